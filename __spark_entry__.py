@@ -17,7 +17,7 @@ from formfold.operators import pivot, quality, reports
 from formfold.operators.duplicates import duplicate_candidates
 from formfold.operators.joins import update_join
 from formfold.plans import forms, marts, refresh, registry
-from formfold.sources import runlog
+from formfold.session import tune
 from formfold.sources.derived import DerivedRecords, base, upstream
 
 REFRESH_AT, VOID_AT = "2024-02-15", "2024-03-01"
@@ -27,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def entry(spark: SparkSession) -> DataFrame:
     """The contact table at the smallest scale."""
-    return form("contact")(spark, "/root/testdata/sf0.001")
+    return tuned(form("contact"))(spark, "/root/testdata/sf0.001")
 
 
 def form(name: str) -> Query:
@@ -183,7 +183,11 @@ def queries() -> dict[str, Query]:
         out[f"refresh_{name}"] = refreshed(name, REFRESH_AT)
     for name in default_catalog().marts():
         out[f"mart_{name}"] = mart(name)
-    return out
+    return {name: tuned(query) for name, query in out.items()}
+
+
+def tuned(query: Query) -> Query:
+    return lambda spark, sf: query(tune(spark), sf)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,8 +1,9 @@
 """Phonetic codes of names (Double Metaphone) as a vectorised column function.
 
-A word is read left to right by one regular expression whose alternatives are
-the context rules below, tried in order: what an alternative matches is consumed,
-look-around gives the context, and its number says which sounds it adds.
+A word is read left to right.  At each letter the context rules below that begin
+with it are tried in order, as the alternatives of one regular expression: what an
+alternative matches is consumed, look-around gives the context, and its number says
+which sounds it adds.
 """
 
 from __future__ import annotations
@@ -18,15 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Context rules "pattern : primary secondary [condition on the word]".
-# "<" is the start of the word, ">" its end, V a vowel, "~" no sound.  One sound
+# "<" is the start of the word, ">" its end, "@" a vowel, "~" no sound.  One sound
 # stands for both codes when only one is given.
 RULES = """
 <[GKP](?=N) : ~
 <W(?=R) : ~
 <P(?=S) : ~
 <X : S
-<V : A
-V : ~
+<@ : A
+@ : ~
 BB? : P
 (?<=[^<AEIOUY]A)CH(?![IE]) : K
 (?<=[BM]A)CH(?=ER) : K
@@ -38,7 +39,7 @@ CH : K [germanic]
 (?<=OR)CH(?=ES|ID) : K
 (?<=AR)CH(?=IT) : K
 CH(?=[TS]) : K
-(?<=[AOUE<])CH(?=[LRNMBHFVW ]) : K
+(?<=[AOUE<])CH(?=[LRNMBHF@W ]) : K
 <CH : X
 CH : K [mc]
 CH : X K
@@ -66,7 +67,7 @@ FF? : F
 (?<=[CGLRT].U)GH : F
 (?<![<I])GH : K
 G(?=H) : ~
-(?<=<V)GN : KN N [not slavic]
+(?<=<@)GN : KN N [not slavic]
 GN(?!EY) : N KN [not slavic]
 GN : KN
 GL(?=I) : KL L [not slavic]
@@ -79,13 +80,13 @@ GI(?=ER[ ]) : J
 G[EIY] : J K
 (?<=[AO])GG(?=I) : J K
 GG? : K
-(?<=[<AEIOUY])HV : H
+(?<=[<AEIOUY])H@ : H
 H : ~
 JJ? : H [san]
 <J(?=OSE[ ]) : H
 J(?=OSE) : J H
 <JJ? : J A
-(?<=V)J(?=[AO]) : J H [not slavic]
+(?<=@)J(?=[AO]) : J H [not slavic]
 J> : J ~
 (?<![SKL])J(?![LTKSNMBZ])J? : J
 JJ? : ~
@@ -129,9 +130,9 @@ TT(?=H) : 0 T
 T[TD]? : T
 VV? : F
 WR : R
-<W(?=V) : A F
+<W(?=@) : A F
 <W(?=H) : A
-(?<=V)W> : ~ F
+(?<=@)W> : ~ F
 (?<=[EO])W(?=SK[IY]) : ~ F
 W : ~ F [sch]
 WI[CT]Z : TS FX
@@ -154,38 +155,46 @@ CONDITIONS = {
     "danger": r"(DANGER|RANGER|MANGER)",
 }
 LONGEST_NAME, LONGEST_CODE = 55, 45
+VOWELS = "AEIOUY"
 START, PAD = "\0\0", " " * 5
 _CONDITIONS = {name: re.compile(text) for name, text in CONDITIONS.items()}
 
 
-_readers: dict[frozenset[str], tuple] = {}
+_readers: dict[frozenset[str], dict] = {}
 
 
-def _reader(held: frozenset[str]):
-    """The expression and its sounds for words under the given conditions."""
+def _reader(held: frozenset[str]) -> dict:
+    """Per letter, the expression and its sounds for words under the given conditions."""
     if held not in _readers:
-        _readers[held] = _build_reader(held)
+        rules: dict[str, list] = {}
+        for line in RULES.strip().splitlines():
+            pattern, _, rest = line.partition(" : ")
+            rest, _, condition = rest.partition(" [")
+            condition = condition.rstrip("]")
+            wanted = condition.removeprefix("not ")
+            if condition and (wanted in held) == condition.startswith("not "):
+                continue
+            codes = ["" if c == "~" else c for c in rest.split()]
+            for letter in _letters(pattern):
+                rules.setdefault(letter, []).append((_spelled(pattern), codes[0], codes[-1]))
+        _readers[held] = {
+            letter: (re.compile("|".join(f"({p})" for p, _, _ in listed), re.DOTALL),
+                     [(first, second) for _, first, second in listed])
+            for letter, listed in rules.items()}
     return _readers[held]
 
 
-def _build_reader(held: frozenset[str]):
-    patterns, sounds = [], []
-    for line in RULES.strip().splitlines():
-        pattern, _, rest = line.partition(" : ")
-        rest, _, condition = rest.partition(" [")
-        condition = condition.rstrip("]")
-        wanted = condition.removeprefix("not ")
-        if condition and (wanted in held) == condition.startswith("not "):
-            continue
-        codes = ["" if c == "~" else c for c in rest.split()]
-        patterns.append(f"({_spelled(pattern)})")
-        sounds.append((codes[0], codes[-1]))
-    return re.compile("|".join(patterns), re.DOTALL), sounds
+def _letters(pattern: str) -> str:
+    """The letters a rule can begin with: what follows its leading context."""
+    rest = re.sub(r"^(<|\(\?<?[=!](\([^()]*\)|[^()])*\))+", "", pattern)
+    if rest[0] == "[":
+        return rest[1:rest.index("]")]
+    return VOWELS if rest[0] == "@" else rest[0]
 
 
 def _spelled(text: str) -> str:
+    """A rule's context with the shorthand spelled out."""
     start = "(?<=\\x00)"
-    vowel = "[AEIOUY]"
     out = []
     i, inside = 0, False
     while i < len(text):
@@ -208,8 +217,8 @@ def _spelled(text: str) -> str:
             c = "\\x00" if inside else start
         elif c == ">" and not inside:
             c = f"(?= {{{len(PAD)}}}\\Z)"
-        elif c == "V" and not inside and not text.startswith("VV?"):
-            c = vowel
+        elif c == "@":
+            c = f"[{VOWELS}]"
         out.append(c)
         i += 1
     return "".join(out)
@@ -217,6 +226,8 @@ def _spelled(text: str) -> str:
 
 def _plain(name: str) -> str:
     """Upper case without accents, as a case- and accent-blind comparison sees it."""
+    if name.isascii():
+        return name[:LONGEST_NAME].upper()
     split = unicodedata.normalize("NFD", name[:LONGEST_NAME].replace("ß", "s"))
     return "".join(c for c in split if not unicodedata.combining(c)).upper()
 
@@ -227,9 +238,16 @@ def word_codes(name: str | None) -> tuple[str, str]:
         return "", ""
     word = _plain(name)
     held = frozenset(n for n, test in _CONDITIONS.items() if test.match(word + PAD))
-    reader, sounds = _reader(held)
-    heard = [sounds[m.lastindex - 1] for m in reader.finditer(START + word + PAD, len(START))]
-    return tuple("".join(side)[:LONGEST_CODE] for side in zip(*heard)) if heard else ("", "")
+    letters, text, at = _reader(held), START + word + PAD, len(START)
+    heard = []
+    while at < len(START) + len(word):
+        listed = letters.get(text[at])
+        found = listed and listed[0].match(text, at)
+        if found:
+            heard.append(listed[1][found.lastindex - 1])
+        at = found.end() if found else at + 1
+    primary, secondary = ("".join(side)[:LONGEST_CODE] for side in zip(*heard)) if heard else ("", "")
+    return primary, secondary
 
 
 CODES = T.StructType().add("code_primary", "string").add("code_secondary", "string")

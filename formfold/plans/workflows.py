@@ -15,6 +15,7 @@ from formfold.operators import pivot
 from formfold.operators.reports import run_history
 from formfold.operators.upsert import changed_encounters, changed_persons
 from formfold.plans import forms, marts, refresh, registry
+from formfold.session import tune
 from formfold.plans.metadata import ENCOUNTER_TYPES, TEST_FORMS
 from formfold.sources import curated
 from formfold.sources.derived import values
@@ -80,6 +81,7 @@ class Workspace:
     staging: str | None = None
 
     def __post_init__(self):
+        tune(self.spark)
         self.staging = shared_folder(self.spark, self.staging)
         self.log = RunLog(self.spark, f"{self.root}/run_log")
 

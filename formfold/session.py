@@ -13,8 +13,21 @@ SETTINGS = {
 }
 
 
+# The JVM does not compile methods above 8000 bytes of bytecode.  One generated
+# method over a hundred decoded columns is far above that and runs interpreted;
+# below this limit Spark falls back to generated code split into small methods.
+TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Set what wide rows need on a session made elsewhere."""
+    for key, value in TUNING.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def session(name: str = "formfold", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(name)
-    for key, value in {**SETTINGS, **settings}.items():
+    for key, value in {**SETTINGS, **TUNING, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
