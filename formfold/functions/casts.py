@@ -1,48 +1,50 @@
-"""Explicit forms of the silent conversions of a non-strict SQL server."""
+"""Explicit forms of the silent conversions of a non-strict SQL server.
 
-from __future__ import annotations
+Each function takes and gives SQL text: a table has up to a hundred such columns,
+and one parsed text per column is far cheaper to plan than nested function calls.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 INT_MIN, INT_MAX = -2147483648, 2147483647
 
 
-def _bounded(x: Column) -> Column:
+def _bounded(x: str) -> str:
     # least() and greatest() skip nulls, so the null test has to come first
-    kept = F.least(F.greatest(x, F.lit(INT_MIN)), F.lit(INT_MAX)).cast("int")
-    return F.when(x.isNotNull(), kept)
+    return f"CASE WHEN {x} IS NOT NULL THEN CAST(least(greatest({x}, {INT_MIN}), {INT_MAX}) AS INT) END"
 
 
-def round_to_int(x: Column) -> Column:
+def round_to_int(x: str) -> str:
     """Half away from zero; out of range goes to the nearest bound, not an error."""
-    return _bounded(F.round(x))
+    return _bounded(f"round({x})")
 
 
-def number_to_text(x: Column) -> Column:
+def number_to_text(x: str) -> str:
     """A whole number is written without its ``.0``."""
-    whole = (x == F.floor(x)) & (F.abs(x) < F.lit(1e15))
-    return F.when(whole, x.cast("bigint").cast("string")).otherwise(x.cast("string"))
+    return (f"CASE WHEN {x} = floor({x}) AND abs({x}) < 1e15 "
+            f"THEN CAST(CAST({x} AS BIGINT) AS STRING) ELSE CAST({x} AS STRING) END")
+
 
+def leading_int(x: str) -> str:
+    """The leading whole number of a text, 0 when it has none, null for null.
 
-def leading_int(x: Column) -> Column:
-    """The leading whole number of a text, 0 when it has none, null for null."""
-    digits = F.regexp_extract(x, r"^\s*([+-]?\d+)", 1)
-    # through decimal, so that a long run of digits is bounded instead of lost
-    number = digits.try_cast("decimal(38,0)")
-    return F.when(x.isNotNull(), F.coalesce(_bounded(number), F.lit(0)))
+    It goes through a decimal, so that a long run of digits is bounded, not lost.
+    """
+    digits = f"regexp_extract({x}, '^[ \\t\\n]*([+-]?[0-9]+)', 1)"
+    number = f"try_cast({digits} AS DECIMAL(38, 0))"
+    return f"CASE WHEN {x} IS NOT NULL THEN coalesce({_bounded(number)}, 0) END"
 
 
-def fit(x: Column, kind: str, type_: str, width: int | None) -> Column:
+def fit(x: str, kind: str, type_: str, width: int | None) -> str:
     """Bring an aggregated value of the given kind into its column type."""
     if type_ == "date":
-        return F.to_date(x)
+        return f"CAST({x} AS DATE)"
     if type_ == "int":
         if kind == "numeric":
             return round_to_int(x)
-        return leading_int(x) if kind in ("text", "trimmed text") else x.cast("int")
+        return leading_int(x) if kind in ("text", "trimmed text") else f"CAST({x} AS INT)"
     if kind == "numeric":
         x = number_to_text(x)
     elif kind in ("code", "flag"):
-        x = x.cast("string")
-    return F.substring(x, 1, width) if width else x
+        x = f"CAST({x} AS STRING)"
+    return f"substring({x}, 1, {width})" if width else x

@@ -1,10 +1,7 @@
-"""Coded answers to labels, as plain column expressions."""
+"""Coded answers to labels, as SQL texts (see ``casts`` for why)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from formfold.catalog import Answers
 
 
@@ -18,10 +15,10 @@ def _case(column: str, arms, other: str) -> str:
     return f"CASE {column} " + " ".join(f"WHEN {c} THEN {v}" for c, v in arms) + f" ELSE {other} END"
 
 
-def label(column: str, answers: Answers) -> Column:
+def label(column: str, answers: Answers) -> str:
     """Label of a code; a null or unlisted code gets the other-label."""
     arms = [(code, text_literal(text)) for code, text in answers.labels]
-    return F.expr(_case(column, arms, text_literal(answers.other)))
+    return _case(column, arms, text_literal(answers.other))
 
 
 def rank(column: str, answers: Answers) -> str:
@@ -35,8 +32,8 @@ def rank(column: str, answers: Answers) -> str:
     return _case(column, arms, str(place[answers.other]))
 
 
-def from_rank(ranked: Column, answers: Answers, width: int | None) -> Column:
+def from_rank(ranked: str, answers: Answers, width: int | None) -> str:
     """Label at a rank, cut to the column width (the cut comes after the max)."""
     labels = [text[:width] if width else text for text in answers.ranked()]
     # not element_at: in ANSI mode it is taken as never null, even for a null position
-    return F.try_element_at(F.expr(f"array({', '.join(map(text_literal, labels))})"), ranked)
+    return f"try_element_at(array({', '.join(map(text_literal, labels))}), {ranked})"

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formfold.catalog import Rule
@@ -32,8 +32,8 @@ def of_concepts(obs: DataFrame, concepts: Sequence[int]) -> DataFrame:
     return live(obs).filter(F.col("concept_id").isin(list(concepts)))
 
 
-def measure(rule: Rule) -> Column:
-    """Partial-combinable aggregate of one rule, under the rule's name."""
+def measure(rule: Rule) -> str:
+    """SQL of the partial-combinable aggregate of one rule."""
     hit = f"concept_id = {rule.key}"
     if rule.kind == "answers":
         value = decode.rank("value_coded", rule.answers)
@@ -41,16 +41,10 @@ def measure(rule: Rule) -> Column:
         hit, value = f"{hit} AND value_coded = {rule.flag}", str(rule.flag)
     elif rule.kind in TEXT_KINDS:
         raw = "trim(value_text)" if rule.kind == "trimmed text" else "value_text"
-        return F.expr(
-            f"max(CASE WHEN {hit} THEN struct(lower({raw}) AS folded, {raw} AS raw) END).raw"
-        ).alias(rule.name)
+        return f"max(CASE WHEN {hit} THEN struct(lower({raw}) AS folded, {raw} AS raw) END).raw"
     else:
-        value = {
-            "numeric": "value_numeric",
-            "datetime": "value_datetime",
-            "code": "value_coded",
-        }[rule.kind]
-    return F.expr(f"max(CASE WHEN {hit} THEN {value} END)").alias(rule.name)
+        value = VALUE_OF[rule.kind]
+    return f"max(CASE WHEN {hit} THEN {value} END)"
 
 
 VALUE_OF = {
@@ -81,11 +75,11 @@ def gathered(
     return slim.hint("rebalance", "gather")
 
 
-def finish(rule: Rule) -> Column:
-    """The aggregated value as the column type wants it."""
+def finish(rule: Rule) -> str:
+    """SQL of the aggregated value as the column type wants it."""
     if rule.kind == "answers":
-        return decode.from_rank(F.col(rule.name), rule.answers, rule.width).alias(rule.name)
-    return casts.fit(F.col(rule.name), rule.kind, rule.type, rule.width).alias(rule.name)
+        return decode.from_rank(rule.name, rule.answers, rule.width)
+    return casts.fit(rule.name, rule.kind, rule.type, rule.width)
 
 
 def eav_pivot(
@@ -102,5 +96,6 @@ def eav_pivot(
     keys, marks = list(keys), marks or {}
     rows = gathered(obs, rules, keys, [concept for concept, _ in marks.values()])
     folded = rows.groupBy(*keys).agg(
-        *[measure(r) for r in rules], *[F.expr(sql).alias(n) for n, (_, sql) in marks.items()])
-    return folded.select(*keys, *[finish(r) for r in rules], *marks)
+        *[F.expr(f"{measure(r)} AS {r.name}") for r in rules],
+        *[F.expr(f"{sql} AS {name}") for name, (_, sql) in marks.items()])
+    return folded.selectExpr(*keys, *[f"{finish(r)} AS {r.name}" for r in rules], *marks)

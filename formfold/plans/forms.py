@@ -37,13 +37,11 @@ def encounters_of(
     return enc
 
 
-def carried(rule: Rule):
-    value = F.col(rule.key)
+def carried(rule: Rule) -> str:
     if rule.type == "date":
-        value = F.to_date(value)
-    elif rule.width:
-        value = F.substring(value, 1, rule.width)
-    return value.alias(rule.name)
+        return f"CAST({rule.key} AS DATE) AS {rule.name}"
+    return f"substring({rule.key}, 1, {rule.width}) AS {rule.name}" if rule.width \
+        else f"{rule.key} AS {rule.name}"
 
 
 def kit_groups(obs: DataFrame, form: Form) -> DataFrame:
@@ -62,14 +60,10 @@ def kit_slots(groups: DataFrame, form: Form) -> DataFrame:
         if rule.source == "kit":
             result = f"result_{rule.key}"
             part = result if rule.kind == "result" else rule.kind
-            value = f"CASE WHEN {result} IS NOT NULL THEN {part} END"
-            if rule.type == "date":
-                out.append(F.expr(f"max({value})").alias(rule.name))
-            else:
-                out.append(F.expr(
-                    f"max(CASE WHEN {result} IS NOT NULL "
-                    f"THEN struct(lower({part}) AS folded, {part} AS raw) END).raw"
-                ).alias(rule.name))
+            held = f"CASE WHEN {result} IS NOT NULL THEN"
+            value = f"max({held} {part} END)" if rule.type == "date" else \
+                f"max({held} struct(lower({part}) AS folded, {part} AS raw) END).raw"
+            out.append(F.expr(f"{value} AS {rule.name}"))
     return groups.groupBy("encounter_id").agg(*out)
 
 
@@ -109,8 +103,8 @@ def build(
             owned = identifiers_by_type(records, {rule.name: rule.key}).withColumn(
                 rule.name, F.substring(rule.name, 1, rule.width))
             wide = wide.join(owned, "patient_id", "left")
-    return wide.select(*[
-        carried(r) if r.source == "encounter" else F.col(r.name) for r in form.columns])
+    return wide.selectExpr(*[
+        carried(r) if r.source == "encounter" else r.name for r in form.columns])
 
 
 def _tests(enc: DataFrame, obs: DataFrame, form: Form) -> DataFrame:

@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from formfold.catalog import Answers, Catalog, Mart, default_catalog
 from formfold.functions.decode import label
 
 
-def dependent(column: str, by: str, cases: tuple[tuple[int, Answers], ...]) -> Column:
+def dependent(column: str, by: str, cases: tuple[tuple[int, Answers], ...]) -> str:
     """Label by the value of another column; any other value passes the code through."""
-    out = None
-    for value, answers in cases:
-        hit, decoded = F.col(by) == value, label(column, answers)
-        out = F.when(hit, decoded) if out is None else out.when(hit, decoded)
-    return out.otherwise(F.col(column).cast("string")).alias(column)
+    arms = " ".join(f"WHEN {value} THEN {label(column, answers)}" for value, answers in cases)
+    return f"CASE {by} {arms} ELSE CAST({column} AS STRING) END"
 
 
 def select(source: DataFrame, mart: Mart) -> DataFrame:
     if mart.everything:
         return source
-    return source.select(
+    return source.selectExpr(
         *mart.carried,
-        *[label(c, answers).alias(c) for c, answers in mart.decoded],
-        *[dependent(c, by, cases) for c, by, cases in mart.dependent],
+        *[f"{label(c, answers)} AS {c}" for c, answers in mart.decoded],
+        *[f"{dependent(c, by, cases)} AS {c}" for c, by, cases in mart.dependent],
     )
 
 

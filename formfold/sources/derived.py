@@ -6,11 +6,11 @@ flags and gaps over the rows, they select nothing to make a run cheaper.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formfold.catalog import Catalog, Mart, default_catalog
-from formfold.functions.decode import text_literal
 from formfold.plans.metadata import (
     ATTRIBUTE_TYPES,
     CONTACT_IDENTIFIER,
@@ -140,15 +140,10 @@ def answer_rows(catalog: Catalog) -> list[tuple]:
 
 
 def values(spark: SparkSession, rows: list[tuple], columns: dict[str, str]) -> DataFrame:
-    """A small fixed table as literal rows, whose size the optimizer knows."""
-    def cell(v):
-        if v is None:
-            return "NULL"
-        return text_literal(v) if isinstance(v, str) else str(v)
-
-    body = ", ".join("(" + ", ".join(map(cell, r)) + ")" for r in rows)
-    casts = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in columns.items())
-    return spark.sql(f"SELECT {casts} FROM VALUES {body} AS t({', '.join(columns)})")
+    """A small fixed table as a local relation, whose size the optimizer knows."""
+    types = {"INT": pa.int32(), "BIGINT": pa.int64(), "STRING": pa.string()}
+    return spark.createDataFrame(pa.table({
+        c: pa.array([r[i] for r in rows], types[t]) for i, (c, t) in enumerate(columns.items())}))
 
 
 def dimensions(spark: SparkSession) -> dict[str, DataFrame]:
@@ -171,8 +166,24 @@ def dimensions(spark: SparkSession) -> dict[str, DataFrame]:
     }
 
 
+# declared, so that no job has to look into the files while a plan is built
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+}
+
+
 def base(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    return {n: spark.read.schema(SCHEMAS[n]).parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
 
 class DerivedRecords(dict):
@@ -245,8 +256,8 @@ def upstream_column(name: str) -> str:
 def coded_column(k: int, codes: list[int]) -> str:
     """Every code in turn, then an unlisted one, then null."""
     n = len(codes)
-    arms = " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(codes + [999999]))
-    return f"CAST(CASE (o_orderkey * 31 + {k}) % {n + 2} {arms} END AS INT)"
+    listed = ", ".join(map(str, codes + [999999]))
+    return f"get(array({listed}), CAST((o_orderkey * 31 + {k}) % {n + 2} AS INT))"
 
 
 def upstream_sql(mart: Mart) -> str:
@@ -260,8 +271,8 @@ def upstream_sql(mart: Mart) -> str:
         coded.append((c, [code for _, a in cases for code, _ in a.labels]))
     for k, (c, codes) in enumerate(coded, 1):
         if c == "lab_test":
-            arms = " ".join(f"WHEN {i} THEN {t}" for i, t in enumerate(LAB_TESTS))
-            cols.append(f"CAST(CASE o_orderkey % {len(LAB_TESTS)} {arms} END AS INT) AS lab_test")
+            tests = ", ".join(map(str, LAB_TESTS))
+            cols.append(f"get(array({tests}), CAST(o_orderkey % {len(LAB_TESTS)} AS INT)) AS lab_test")
         else:
             cols.append(f"{coded_column(k, list(dict.fromkeys(codes)))} AS {c}")
     return "SELECT " + ",\n       ".join(cols) + "\nFROM {orders}"
