@@ -32,7 +32,7 @@ def typed(df: DataFrame, table: str) -> DataFrame:
 
 def with_month(df: DataFrame, table: str) -> DataFrame:
     created = CREATED.get(table, "date_created")
-    return df.withColumn(MONTH, F.date_format(created, "yyyy-MM"))
+    return df.withColumn(MONTH, F.coalesce(F.date_format(created, "yyyy-MM"), F.lit("none")))
 
 
 def laid_out(df: DataFrame, table: str) -> DataFrame:
