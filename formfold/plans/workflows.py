@@ -125,21 +125,30 @@ class Workspace:
 
     def refresh_since(self, records: Mapping[str, DataFrame], since) -> None:
         at = F.lit(since).cast("timestamp")
-        keys = self._written(changed_encounters(records, at), "changed-encounters")
+        keys = self.written(changed_encounters(records, at), "changed-encounters")
+        touched = self.touched_records(records, keys)
         for name in FORMS:
-            self.apply_form_changes(records, name, keys)
-        persons = self._written(changed_persons(records, at), "changed-persons")
+            self.apply_form_changes(touched, name, keys)
+        persons = self.written(changed_persons(records, at), "changed-persons")
         self.apply_registry_changes(records, persons)
 
-    def _written(self, df: DataFrame, what: str) -> DataFrame:
+    def written(self, df: DataFrame, what: str) -> DataFrame:
         """A copy on shared storage: cuts the lineage and survives lost executors."""
         path = self.fresh(what)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def touched_records(self, records, keys: DataFrame) -> dict[str, DataFrame]:
+        """The records of some encounters: the store is read once for all the forms."""
+        own = {t: records[t] for t in _FORM_RECORDS}
+        for table in ("encounter", "obs"):
+            rows = records[table].join(keys, "encounter_id", "left_semi")
+            own[table] = self.written(rows, f"touched-{table}")
+        return own
+
     def apply_form_changes(self, records, name: str, keys: DataFrame) -> None:
         """Merge the recomputed encounters of ``keys`` into the months they are in."""
-        changes = self._written(
+        changes = self.written(
             curated.typed(refresh.form_changes(records, name, keys, self.catalog), name),
             f"changes-{name}")
         target = curated.read_curated(self.spark, self.root, name)

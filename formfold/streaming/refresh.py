@@ -18,10 +18,11 @@ def merge_batch(
     batch change nothing, so at-least-once delivery is enough."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        keys = workspace._written(
+        keys = workspace.written(
             batch.select("encounter_id").distinct(), f"batch-{batch_id}")
+        touched = workspace.touched_records(records(), keys)
         for name in tables:
-            workspace.apply_form_changes(records(), name, keys)
+            workspace.apply_form_changes(touched, name, keys)
 
     return merge
 
