@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from formfold.catalog import FORMS, default_catalog
 from formfold.functions.names import name_codes
-from formfold.operators import pivot, quality, reports
+from formfold.operators import quality, reports
 from formfold.operators.duplicates import duplicate_candidates
 from formfold.operators.joins import update_join
 from formfold.plans import forms, marts, refresh, registry
 from formfold.session import tune
 from formfold.sources.derived import DerivedRecords, base, upstream
+from formfold.sources.schemas import references
 
 REFRESH_AT, VOID_AT = "2024-02-15", "2024-03-01"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -82,7 +83,7 @@ def inner_update(spark, sf):
 
 def orphans(spark, sf):
     records = DerivedRecords(spark, sf)
-    children = {n: forms.build(records, n) for n in FORMS if n != "hts_test"}
+    children = {n: forms.members(records, n) for n in FORMS if references(n)}
     return quality.orphans_of(children, "client_id", registry.persons(records), "client_id")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formfold.functions.names import codes
+from formfold.sources.staging import shared_folder, written
 
 BLOCK = ["given_code", "family_code", "gender", "window"]
 
@@ -35,20 +36,22 @@ def blocks(registry: DataFrame, window_days: int) -> DataFrame:
         codes(F.col("given_name")).alias("given"),
         codes(F.col("family_name")).alias("family"),
         F.array(*halves).alias("windows"),
-    ).filter("given.code_primary <> '' AND family.code_primary <> ''")
+    )
     return (
         coded.withColumn("given_code", F.explode(sounds("given")))
         .withColumn("family_code", F.explode(sounds("family")))
         .withColumn("window", F.explode("windows"))
         .select("client_id", "full_name", *BLOCK)
-        .filter(F.col("window").isNotNull())
+        # after the explodes: a filter on the codes themselves would compute them twice
+        .filter("given_code <> '' AND family_code <> '' AND window IS NOT NULL")
     )
 
 
 def duplicate_candidates(registry: DataFrame, window_days: int = 366) -> DataFrame:
     """(client_id, first_client_id, distance): members of a group and their group's
     first client, once per pair."""
-    member = blocks(registry, window_days)
+    folder = shared_folder(registry.sparkSession)
+    member = written(blocks(registry, window_days), "name-blocks", folder)  # used twice below
     group = member.groupBy(*BLOCK).agg(
         F.min_by(F.struct("client_id", "full_name"), "client_id").alias("first"),
         F.count(F.lit(1)).alias("n"),

@@ -55,12 +55,14 @@ VALUE_OF = {
 
 
 def gathered(
-    obs: DataFrame, rules: Sequence[Rule], keys: Sequence[str], coded: Sequence[int] = ()
+    obs: DataFrame, rules: Sequence[Rule], keys: Sequence[str], coded: Sequence[int] = (),
+    clustered: bool = False,
 ) -> DataFrame:
     """Observations of a key in one place, with only the values some rule reads.
 
     Gathering is by a hash column and not by the key itself, so that the planner
     does not take it for the final grouping and skewed partitions may be split.
+    Observations that are stored ``clustered`` by key stay where they are.
     """
     wanted: dict[str, set[int]] = {}
     for rule in rules:
@@ -71,8 +73,10 @@ def gathered(
         F.when(F.col("concept_id").isin(sorted(concepts)), F.col(column)).alias(column)
         for column, concepts in wanted.items()
     ]
-    slim = obs.select(*keys, "concept_id", *values, F.xxhash64(*keys[:1]).alias("gather"))
-    return slim.hint("rebalance", "gather")
+    slim = obs.select(*keys, "concept_id", *values)
+    if clustered:
+        return slim
+    return slim.withColumn("gather", F.xxhash64(keys[0])).hint("rebalance", "gather")
 
 
 def finish(rule: Rule) -> str:
@@ -87,6 +91,7 @@ def eav_pivot(
     rules: Sequence[Rule],
     keys: Sequence[str] = ("encounter_id",),
     marks: Mapping[str, tuple[int, str]] | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """One row per key with every rule's column, typed.
 
@@ -94,7 +99,7 @@ def eav_pivot(
     and their SQL.
     """
     keys, marks = list(keys), marks or {}
-    rows = gathered(obs, rules, keys, [concept for concept, _ in marks.values()])
+    rows = gathered(obs, rules, keys, [concept for concept, _ in marks.values()], clustered)
     folded = rows.groupBy(*keys).agg(
         *[F.expr(f"{measure(r)} AS {r.name}") for r in rules],
         *[F.expr(f"{sql} AS {name}") for name, (_, sql) in marks.items()])

@@ -37,6 +37,17 @@ def encounters_of(
     return enc
 
 
+def members(
+    records: Mapping[str, DataFrame], name: str, catalog: Catalog | None = None
+) -> DataFrame:
+    """Keys of the rows a form's table has, without folding an observation.
+
+    Not for the test table, whose rows depend on the observations.
+    """
+    enc = encounters_of(records, (catalog or default_catalog()).form(name))
+    return enc.select("encounter_id", F.col("patient_id").alias("client_id"))
+
+
 def carried(rule: Rule) -> str:
     if rule.type == "date":
         return f"CAST({rule.key} AS DATE) AS {rule.name}"
@@ -44,10 +55,11 @@ def carried(rule: Rule) -> str:
         else f"{rule.key} AS {rule.name}"
 
 
-def kit_groups(obs: DataFrame, form: Form) -> DataFrame:
+def kit_groups(obs: DataFrame, form: Form, clustered: bool = False) -> DataFrame:
     """One row per (encounter, observation group) with the parts of one test kit."""
     parts = pivot.of_concepts(obs, [r.concept for r in form.kit_parts])
-    return pivot.eav_pivot(parts, form.kit_parts, ("encounter_id", "obs_group_id"))
+    return pivot.eav_pivot(
+        parts, form.kit_parts, ("encounter_id", "obs_group_id"), clustered=clustered)
 
 
 def kit_slots(groups: DataFrame, form: Form) -> DataFrame:
@@ -81,12 +93,14 @@ def build(
     catalog: Catalog | None = None,
     keys: DataFrame | None = None,
     keep_voided: bool = False,
+    clustered: bool = False,
 ) -> DataFrame:
     """The table of one form.
 
     ``keys`` (one column, encounter_id) limits the work to some encounters, each
     recomputed from all of its live observations; a refresh passes it together
     with ``keep_voided`` so that a soft delete reaches the table as a flag.
+    ``clustered`` says that the observations are stored by encounter.
     """
     form = (catalog or default_catalog()).form(name)
     enc, obs = encounters_of(records, form, keep_voided), records["obs"]
@@ -94,9 +108,10 @@ def build(
         enc = enc.join(keys, "encounter_id", "left_semi")
         obs = obs.join(keys, "encounter_id", "left_semi")
     if name == "hts_test":
-        wide = _tests(enc, obs, form)
+        wide = _tests(enc, obs, form, clustered)
     else:
-        folded = pivot.eav_pivot(pivot.of_concepts(obs, form.concepts), form.measures)
+        asked = pivot.of_concepts(obs, form.concepts)
+        folded = pivot.eav_pivot(asked, form.measures, clustered=clustered)
         wide = enc.join(folded, "encounter_id", "left")
     for rule in form.columns:
         if rule.source == "identifier":
@@ -107,10 +122,11 @@ def build(
         carried(r) if r.source == "encounter" else r.name for r in form.columns])
 
 
-def _tests(enc: DataFrame, obs: DataFrame, form: Form) -> DataFrame:
+def _tests(enc: DataFrame, obs: DataFrame, form: Form, clustered: bool) -> DataFrame:
     mark = repeat_mark(form)
-    asked = pivot.eav_pivot(pivot.of_concepts(obs, form.concepts), form.measures, marks=mark)
-    kits = kit_slots(kit_groups(obs, form), form)
+    asked = pivot.eav_pivot(
+        pivot.of_concepts(obs, form.concepts), form.measures, marks=mark, clustered=clustered)
+    kits = kit_slots(kit_groups(obs, form, clustered), form)
     # both sides hold one row per encounter, so the join cannot fan out
     wide = enc.join(asked, "encounter_id").join(kits, "encounter_id")
     confirmed = F.col("form_uuid") == TEST_FORMS["confirmatory"]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from formfold.catalog import Catalog
 from formfold.operators.upsert import changed_encounters, changed_persons, upsert
 from formfold.plans import forms, registry
+from formfold.sources.staging import shared_folder, written
 
 
 def form_changes(
@@ -32,9 +33,14 @@ def refresh_form(
     update_cols: Sequence[str] | None = None,
     catalog: Catalog | None = None,
 ) -> DataFrame:
-    """The table of a form after the changes since a moment."""
-    keys = changed_encounters(records, since)
-    changes = form_changes(records, name, keys, catalog)
+    """The table of a form after the changes since a moment.
+
+    Keys and changes are used several times: they are written once where the
+    cluster names a shared folder, and recomputed where it does not.
+    """
+    folder = shared_folder(target.sparkSession)
+    keys = written(changed_encounters(records, since), "changed-encounters", folder)
+    changes = written(form_changes(records, name, keys, catalog), f"changes-{name}", folder)
     return upsert(target, changes, "encounter_id", update_cols, recomputed=keys)
 
 
@@ -44,8 +50,9 @@ def refresh_registry(target: DataFrame, records: Mapping[str, DataFrame], since)
     Person columns change for touched persons; attributes, identifiers and
     addresses have no change time that reaches them and are applied anew to all.
     """
-    keys = changed_persons(records, since)
-    changes = registry.persons(records, keys, keep_voided=True)
+    folder = shared_folder(target.sparkSession)
+    keys = written(changed_persons(records, since), "changed-persons", folder)
+    changes = written(registry.persons(records, keys, keep_voided=True), "changed-clients", folder)
     base = target.select(*changes.columns)
     merged = upsert(base, changes, "client_id",
                     recomputed=keys.select(F.col("person_id").alias("client_id")))

@@ -15,24 +15,17 @@ from formfold.operators import pivot
 from formfold.operators.reports import run_history
 from formfold.operators.upsert import changed_encounters, changed_persons
 from formfold.plans import forms, marts, refresh, registry
-from formfold.session import tune
 from formfold.plans.metadata import ENCOUNTER_TYPES, TEST_FORMS
+from formfold.session import tune
 from formfold.sources import curated
 from formfold.sources.derived import values
 from formfold.sources.runlog import RunLog
+from formfold.sources.staging import shared_folder, written
 
 # names of the runs, also what retention goes by
 REBUILD, REFRESH, PUBLISH = "rebuild", "scheduled_updates", "publish_marts"
 
 
-def shared_folder(spark: SparkSession, otherwise: str | None = None) -> str:
-    """The folder every executor can reach, for copies that cut a lineage."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or otherwise
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return folder
-
-
 def stage_observations(
     records: Mapping[str, DataFrame], catalog: Catalog, path: str
 ) -> dict[str, DataFrame]:
@@ -40,7 +33,8 @@ def stage_observations(
 
     Eight tables come from one store; without this each would scan all of it.
     Only narrow columns travel, once, joined by encounter and form; a hot encounter
-    splits on the observation side.
+    splits on the observation side.  The files hold whole encounters in order, so the
+    folds need not gather them again.
     """
     obs = records["obs"]
     spark = obs.sparkSession
@@ -83,6 +77,8 @@ class Workspace:
     def __post_init__(self):
         tune(self.spark)
         self.staging = shared_folder(self.spark, self.staging)
+        if not self.staging:
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         self.log = RunLog(self.spark, f"{self.root}/run_log")
 
     @contextmanager
@@ -110,8 +106,8 @@ class Workspace:
             staged = stage_observations(records, self.catalog, self.fresh("observations"))
             for name in FORMS:
                 own = {**{t: records[t] for t in _FORM_RECORDS}, "obs": staged[name]}
-                curated.write_curated(
-                    forms.build(own, name, self.catalog), self.root, name)
+                built = forms.build(own, name, self.catalog, clustered=True)
+                curated.write_curated(built, self.root, name)
 
     def refresh(self, records: Mapping[str, DataFrame]) -> None:
         """Bring in what changed since the last finished rebuild or refresh; without
@@ -133,10 +129,7 @@ class Workspace:
         self.apply_registry_changes(records, persons)
 
     def written(self, df: DataFrame, what: str) -> DataFrame:
-        """A copy on shared storage: cuts the lineage and survives lost executors."""
-        path = self.fresh(what)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return written(df, what, self.staging)
 
     def touched_records(self, records, keys: DataFrame) -> dict[str, DataFrame]:
         """The records of some encounters: the store is read once for all the forms."""
