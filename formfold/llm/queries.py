@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from formfold.llm.shared import folder
 
 ROOT = Path(__file__).resolve().parent.parent.parent
 SHARDS = 40
@@ -36,6 +40,38 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import PATTERN, path
+
+    from formfold.llm.bpe import decode_documents, encode_documents
+    vocabulary = path("byte_bpe_multi_50k.tiktoken")
+    coded = encode_documents(table(spark, sf_dir, "documents"), vocabulary, PATTERN)
+    return decode_documents(coded, vocabulary).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def idfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from formfold.llm.idfile import read_ids, write_ids
+    files = f"{folder(spark)}/token-ids-{uuid.uuid4().hex}"
+    write_ids(table(spark, sf_dir, "documents"), files, path("byte_bpe_50k.json"))
+    return read_ids(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    from public_tokenizers import path
+
+    from formfold.llm.packing import pack_documents
+    return pack_documents(docs, path("byte_bpe_50k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from formfold.llm.ann import nearest
     return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
@@ -54,9 +90,12 @@ def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": sharding,
+    "op3_bpe": bpe,
+    "op4_idfile": idfile,
     "op5_ann": ann,
     "op8_urls": urls,
     "op9_topk": topk,
+    "op10_packing": packing,
 }
 
 URL_SQL = """
