@@ -77,6 +77,18 @@ def ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formfold.llm.toxicity import fit, held_out, score_documents
+    docs = table(spark, sf_dir, "documents")
+    scored = score_documents(docs.select("doc_id", "text"), fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formfold.llm.minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from formfold.llm.urls import judge_urls
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
@@ -90,9 +102,11 @@ def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": sharding,
+    "op2_toxicity": toxicity,
     "op3_bpe": bpe,
     "op4_idfile": idfile,
     "op5_ann": ann,
+    "op6_minhash": minhash,
     "op8_urls": urls,
     "op9_topk": topk,
     "op10_packing": packing,
