@@ -89,6 +89,13 @@ def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formfold.llm.suffixes import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50).select(
+        "doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"),
+        F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
 def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from formfold.llm.urls import judge_urls
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
@@ -107,6 +114,7 @@ QUERIES = {
     "op4_idfile": idfile,
     "op5_ann": ann,
     "op6_minhash": minhash,
+    "op7_suffixes": suffixes,
     "op8_urls": urls,
     "op9_topk": topk,
     "op10_packing": packing,
