@@ -190,10 +190,11 @@ def queries() -> dict[str, Query]:
 def extra_queries() -> dict[str, Query]:
     """Queries of the training-data operators, where that subpackage is there."""
     try:
+        import corpus_pipeline
         from formfold.llm import queries as llm
     except ImportError:
         return {}
-    return llm.queries()
+    return {**llm.queries(), "pipeline": corpus_pipeline.run}
 
 
 def extra_oracles() -> dict[str, str]:
