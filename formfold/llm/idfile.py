@@ -27,142 +27,150 @@ from pyspark.sql import functions as F
 from formfold.llm.tokens import encoder, slices
 
 U = np.uint64
-SLOTS, TOP, BOTTOM, LOW = 2048, U(1 << 48), U(1 << 32), U((1 << 32) - 1)
-NEW, CONTEXTS, STEP, MOST = 1 << 16, 8, 24, 1024
+SLOTS, TOP, BOTTOM, LOW = 1024, U(1 << 48), U(1 << 32), U((1 << 32) - 1)
+CONTEXTS, STEP, MOST = 8, 24, 1024
+FIELD, EACH, HALF = U(0xFFFF), U(0x0001000100010001), U(0x7FFF7FFF7FFF7FFF)
 
 
 class Model:
-    """The state of many blocks at once."""
+    """The state of many blocks at once.  The four weights of a context are the 16-bit fields
+    of one word, so that a multiplication gives their running sums."""
 
     def __init__(self, lanes: int, block: int):
         if block > 1 << 16:
             raise ValueError("a block holds at most 65536 ids")
-        self.n = lanes
-        self.at = np.arange(lanes) * SLOTS
-        self.two, self.one = np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)
-        self.seen = np.zeros(lanes * SLOTS, np.int32)
-        self.history = np.zeros((block, lanes), np.int32)
-        self.lane = np.arange(lanes)
+        self.n, self.lane = lanes, np.arange(lanes)
+        self.at = self.lane * SLOTS
+        self.two, self.one, self.seen = (np.zeros(lanes * SLOTS, np.uint16) for _ in range(3))
+        self.history = np.zeros(block * lanes, np.uint16)
         self.before, self.last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.base = self.lane * CONTEXTS
         self.right = np.zeros(lanes, np.int64)
-        self.weights = np.ones((lanes * CONTEXTS, 4), np.uint64)
+        self.weights = np.full(lanes * CONTEXTS, EACH, U)
+        self.bits = np.array([0, 0, 0, 16], U)
 
-    def predict(self):
-        self.i2 = self.at + (((self.last * 40503) ^ (self.before * 30011)) >> 3 & SLOTS - 1)
+    def predict(self, t: int) -> np.ndarray:
+        """Running sums of the weights; sets what orders 2 and 1 predict."""
+        self.i2 = self.at + (((self.last << 5) ^ (self.before * 37) ^ (self.last >> 7)) & SLOTS - 1)
         self.i1 = self.at + (self.last & SLOTS - 1)
-        self.p2, self.p1 = self.two[self.i2], self.one[self.i1]
-        self.context = self.lane * CONTEXTS + (self.p2 == self.p1) * 4 + self.right
-        w = self.weights[self.context]
-        c1 = w[:, 0]
-        c2 = c1 + w[:, 1]
-        c3 = c2 + w[:, 2]
-        self.w = w
-        return c1, c2, c3, c3 + w[:, 3]
-
-    def learn(self, t: int, ids, order) -> None:
+        self.p2, self.p1 = self.two.take(self.i2), self.one.take(self.i1)
+        self.context = self.base + self.right + ((self.p2 == self.p1).astype(np.int64) << 2)
+        self.w = self.weights.take(self.context)
+        self.bits[2] = max(t - 1, 0).bit_length()  # of a place in the block so far
+        return self.w * EACH
+
+    def learn(self, t: int, ids: np.ndarray, order: np.ndarray, shift: np.ndarray) -> None:
+        """ids as 64-bit words; order says which prediction was right, shift is 16 times that."""
         self.two[self.i2] = ids
         self.one[self.i1] = ids
         self.seen[self.at + (ids & SLOTS - 1)] = t
-        self.history[t] = ids
-        self.before, self.last, self.right = self.last, ids.astype(np.int64), order
-        self.w[self.lane, order] += U(STEP)
-        heavy = self.w[self.lane, order] > U(MOST)
-        if heavy.any():
-            self.w[heavy] = (self.w[heavy] >> U(1)) | U(1)
-        self.weights[self.context] = self.w
+        self.history[t * self.n:(t + 1) * self.n] = ids
+        self.before, self.last, self.right = self.last, ids, order
+        w = self.w + (U(STEP) << shift)
+        heavy = np.flatnonzero((w >> shift) & FIELD > U(MOST))
+        if len(heavy):
+            w[heavy] = (w[heavy] >> U(1)) & HALF | EACH
+        self.weights[self.context] = w
+
+
+def shifted_out(low, span, lane=None):
+    """Which ranges have a settled top word, after ranges too small to go on were cut short."""
+    apart = (low ^ (low + span)) >= TOP
+    small = span < BOTTOM
+    tight = apart & small
+    if tight.any():
+        span[tight] = (U(0) - low[tight]) & LOW
+    return ~apart | small
 
 
 def compress(ids: np.ndarray, lanes: int, block: int) -> list[bytes]:
     """ids of shape (block, lanes), a column a block, to the bytes of each."""
     model = Model(lanes, block)
     low, span = np.zeros(lanes, U), np.full(lanes, U(2 ** 64 - 1))
-    words = np.zeros((lanes, block * 3 + 8), np.uint16)
-    fill = np.zeros(lanes, np.int64)
-    share = np.array([1, 1, 1, NEW], U)
+    room = block * 3 + 8
+    words = np.zeros(lanes * room, np.uint16)
+    fill = np.arange(lanes) * room
     for t in range(block):
+        sums = model.predict(t)
         now = ids[t]
-        c1, c2, c3, total = model.predict()
-        place = model.seen[model.at + (now & SLOTS - 1)]
-        known = (model.history[place, model.lane] == now) & (place < t)
-        order = np.where(model.p2 == now, 0, np.where(model.p1 == now, 1, np.where(known, 2, 3)))
-        share[2] = max(t, 1)
-        below = np.where(order == 0, U(0), np.where(order == 1, c1, np.where(order == 2, c2, c3)))
-        span = span // total
-        low += span * below
-        span = span * model.w[model.lane, order]
-        span = span // share[order]
-        low += span * np.where(order == 2, place, np.where(order == 3, now, 0)).astype(U)
-        model.learn(t, now, order)
-        lane = None
-        while True:
-            lo, sp = (low, span) if lane is None else (low[lane], span[lane])
-            apart = (lo ^ (lo + sp)) >= TOP
-            go = np.flatnonzero(~apart | (sp < BOTTOM))
-            if not len(go):
-                break
-            tight = apart[go]
-            lane = go if lane is None else lane[go]
-            lo, sp = lo[go], sp[go]
-            sp = np.where(tight, (U(0) - lo) & LOW, sp)
-            words[lane, fill[lane]] = (lo >> U(48)).astype(np.uint16)
-            fill[lane] += 1
-            low[lane], span[lane] = lo << U(16), sp << U(16)
-    for shift in (48, 32, 16, 0):
-        words[model.lane, fill] = (low >> U(shift)).astype(np.uint16)
+        place = model.seen.take(model.at + (now & SLOTS - 1)).astype(np.int64)
+        wrong2, wrong1 = (model.p2 != now).astype(np.int8), (model.p1 != now).astype(np.int8)
+        new = (model.history.take(place * lanes + model.lane) != now).astype(np.int8) if t else np.ones(lanes, np.int8)
+        order = (wrong2 * (1 + wrong1 * (1 + new))).astype(np.int64)
+        shift = (order << 4).astype(U)
+        span = span // (sums >> U(48))
+        low += span * ((sums << U(16) >> shift) & FIELD)
+        span = span * ((model.w >> shift) & FIELD) >> model.bits.take(order)
+        low += span * (np.where(order == 3, now, place) * (order > 1)).astype(U)
+        model.learn(t, now, order, shift)
+        out = shifted_out(low, span)
+        words[fill] = low >> U(48)
+        step = out.astype(U) << U(4)
+        low <<= step
+        span <<= step
+        fill += out
+        again = np.flatnonzero(((low ^ (low + span)) < TOP) | (span < BOTTOM))
+        while len(again):
+            lo, sp = low[again], span[again]
+            out = shifted_out(lo, sp)
+            again, lo, sp = again[out], lo[out], sp[out]
+            words[fill[again]] = lo >> U(48)
+            fill[again] += 1
+            low[again], span[again] = lo << U(16), sp << U(16)
+    for down in (48, 32, 16, 0):
+        words[fill] = low >> U(down) & FIELD
         fill += 1
-    return [words[i, :n].astype("<u2").tobytes() for i, n in enumerate(fill.tolist())]
+    return [words[a:b].astype("<u2").tobytes() for a, b in zip(range(0, lanes * room, room), fill.tolist())]
 
 
 def decompress(payload: np.ndarray, starts: np.ndarray, block: int) -> np.ndarray:
     """Ids of shape (block, lanes) from the words of all blocks and where each begins."""
     lanes = len(starts)
     model = Model(lanes, block)
-    payload = np.concatenate([payload.astype(np.uint64), np.zeros(8, U)])
+    payload = np.concatenate([payload, np.zeros(8, np.uint16)])
     at = starts.astype(np.int64)
     low, span, code = np.zeros(lanes, U), np.full(lanes, U(2 ** 64 - 1)), np.zeros(lanes, U)
     for _ in range(4):
-        code = code << U(16) | payload[at]
+        code = code << U(16) | payload[at].astype(U)
         at = at + 1
-    share = np.array([1, 1, 1, NEW], U)
     for t in range(block):
-        c1, c2, c3, total = model.predict()
-        span = span // total
+        sums = model.predict(t)
+        span = span // (sums >> U(48))
         value = (code - low) // span
-        order = (value >= c1).astype(np.int64) + (value >= c2) + (value >= c3)
-        share[2] = max(t, 1)
-        low += span * np.where(order == 0, U(0), np.where(order == 1, c1, np.where(order == 2, c2, c3)))
-        span = span * model.w[model.lane, order]
-        shares = share[order]
-        span = span // shares
-        place = np.minimum((code - low) // span, shares - U(1))
-        low += span * place
-        place = place.astype(np.int64)
-        old = model.history[np.minimum(place, max(t - 1, 0)), model.lane]
-        now = np.where(order == 0, model.p2, np.where(order == 1, model.p1, np.where(order == 2, old, place))).astype(np.int32)
-        model.learn(t, now, order)
-        lane = None
-        while True:
-            lo, sp = (low, span) if lane is None else (low[lane], span[lane])
-            apart = (lo ^ (lo + sp)) >= TOP
-            go = np.flatnonzero(~apart | (sp < BOTTOM))
-            if not len(go):
-                break
-            tight = apart[go]
-            lane = go if lane is None else lane[go]
-            lo, sp = lo[go], sp[go]
-            sp = np.where(tight, (U(0) - lo) & LOW, sp)
-            code[lane] = code[lane] << U(16) | payload[at[lane]]
-            at[lane] += 1
-            low[lane], span[lane] = lo << U(16), sp << U(16)
-    return model.history
+        order = ((value >= (sums & FIELD)).astype(np.int8) + (value >= (sums >> U(16) & FIELD)) + (value >= (sums >> U(32) & FIELD))).astype(np.int64)
+        shift = (order << 4).astype(U)
+        low += span * ((sums << U(16) >> shift) & FIELD)
+        span = span * ((model.w >> shift) & FIELD) >> model.bits.take(order)
+        literal = np.flatnonzero(order > 1)
+        place = (code[literal] - low[literal]) // span[literal]
+        low[literal] += span[literal] * place
+        now = np.where(order == 0, model.p2, model.p1).astype(np.int64)
+        place, old = place.astype(np.int64), order[literal] == 2
+        now[literal] = np.where(old, model.history.take(np.where(old, place, 0) * lanes + literal), place)
+        model.learn(t, now, order, shift)
+        out = shifted_out(low, span)
+        step = out.astype(U) << U(4)
+        low <<= step
+        span <<= step
+        code = np.where(out, code << U(16) | payload.take(at), code)
+        at += out
+        again = np.flatnonzero(((low ^ (low + span)) < TOP) | (span < BOTTOM))
+        while len(again):
+            lo, sp = low[again], span[again]
+            out = shifted_out(lo, sp)
+            again, lo, sp = again[out], lo[out], sp[out]
+            code[again] = code[again] << U(16) | payload[at[again]].astype(U)
+            at[again] += 1
+            low[again], span[again] = lo << U(16), sp << U(16)
+    return model.history.reshape(block, lanes)
 
 
 def pack_group(ids: np.ndarray, block: int) -> tuple[bytes, bytes, bytes]:
     """(words, bytes of each block, CRC-32 of each block's ids)"""
     lanes = -(-len(ids) // block)
-    if len(ids) and ids.max() >= NEW:
+    if len(ids) and ids.max() >= 1 << 16:
         raise ValueError("ids above 65535 are not supported by this format")
-    padded = np.zeros(lanes * block, np.int32)
+    padded = np.zeros(lanes * block, np.int64)
     padded[:len(ids)] = ids
     padded = padded.reshape(lanes, block)
     parts = compress(np.ascontiguousarray(padded.T), lanes, block) if lanes else []
