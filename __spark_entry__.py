@@ -83,7 +83,7 @@ def inner_update(spark, sf):
 
 def orphans(spark, sf):
     records = DerivedRecords(spark, sf)
-    children = {n: forms.members(records, n) for n in FORMS if references(n)}
+    children = forms.members(records, [n for n in FORMS if references(n)])
     return quality.orphans_of(children, "client_id", registry.persons(records), "client_id")
 
 
@@ -133,12 +133,13 @@ def cross_tab_wide(spark, sf):
 def sounds(spark, sf):
     """Phonetic codes of every distinct word of the documents."""
     words = base(spark, sf, "documents")["documents"].select(
-        F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z]+)"), F.lit(1))).alias("word"))
+        F.explode(F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), F.lit(1))).alias("word"))
     return name_codes(words.distinct(), "word")
 
 
 def events_pivot(spark, sf):
     cells = [F.max(F.when(F.col("event_type") == t, F.col("value"))).alias(t) for t in EVENT_TYPES]
+    cells.append(F.max(F.when(~F.col("event_type").isin(*EVENT_TYPES), F.col("value"))).alias("other"))
     return base(spark, sf, "events")["events"].groupBy(
         "user_id", F.to_date("ts").alias("day")).agg(*cells)
 
@@ -146,6 +147,7 @@ def events_pivot(spark, sf):
 def lineitem_pivot(spark, sf):
     cells = [F.max(F.when(F.col("l_returnflag") == f, F.col("l_quantity"))).alias(f"qty_{f.lower()}")
              for f in "ANR"]
+    cells.append(F.max(F.when(~F.col("l_returnflag").isin("A", "N", "R"), F.col("l_quantity"))).alias("qty_other"))
     return base(spark, sf, "lineitem")["lineitem"].groupBy("l_orderkey").agg(*cells)
 
 

@@ -20,9 +20,11 @@ def round_to_int(x: str) -> str:
 
 
 def number_to_text(x: str) -> str:
-    """A whole number is written without its ``.0``."""
-    return (f"CASE WHEN {x} = floor({x}) AND abs({x}) < 1e15 "
-            f"THEN CAST(CAST({x} AS BIGINT) AS STRING) ELSE CAST({x} AS STRING) END")
+    """Plain digits without trailing zeros; exponents only where 38 digits do not suffice."""
+    shown = f"CAST({x} AS STRING)"
+    plain = f"regexp_replace(CAST(try_cast({shown} AS DECIMAL(38, 18)) AS STRING), '[.]?0+$', '')"
+    whole = f"CAST(try_cast({shown} AS DECIMAL(38, 0)) AS STRING)"
+    return f"CASE WHEN {x} = 0 THEN '0' ELSE coalesce({plain}, {whole}, {shown}) END"
 
 
 def leading_int(x: str) -> str:

@@ -39,7 +39,7 @@ CH : K [germanic]
 (?<=OR)CH(?=ES|ID) : K
 (?<=AR)CH(?=IT) : K
 CH(?=[TS]) : K
-(?<=[AOUE<])CH(?=[LRNMBHF@W ]) : K
+(?<=[AOUE<])CH(?=[LRNMBHFVW ]) : K
 <CH : X
 CH : K [mc]
 CH : X K
@@ -154,7 +154,6 @@ CONDITIONS = {
     "san": r"SAN ",
     "danger": r"(DANGER|RANGER|MANGER)",
 }
-LONGEST_NAME, LONGEST_CODE = 55, 45
 VOWELS = "AEIOUY"
 START, PAD = "\0\0", " " * 5
 _CONDITIONS = {name: re.compile(text) for name, text in CONDITIONS.items()}
@@ -227,8 +226,8 @@ def _spelled(text: str) -> str:
 def _plain(name: str) -> str:
     """Upper case without accents, as a case- and accent-blind comparison sees it."""
     if name.isascii():
-        return name[:LONGEST_NAME].upper()
-    split = unicodedata.normalize("NFD", name[:LONGEST_NAME].replace("ß", "s"))
+        return name.upper()
+    split = unicodedata.normalize("NFD", name.replace("ß", "s"))
     return "".join(c for c in split if not unicodedata.combining(c)).upper()
 
 
@@ -246,7 +245,7 @@ def word_codes(name: str | None) -> tuple[str, str]:
         if found:
             heard.append(listed[1][found.lastindex - 1])
         at = found.end() if found else at + 1
-    primary, secondary = ("".join(side)[:LONGEST_CODE] for side in zip(*heard)) if heard else ("", "")
+    primary, secondary = ("".join(side) for side in zip(*heard)) if heard else ("", "")
     return primary, secondary
 
 

@@ -57,7 +57,8 @@ def duplicate_candidates(registry: DataFrame, window_days: int = 366) -> DataFra
         F.count(F.lit(1)).alias("n"),
     ).filter("n > 1")
     # one row per block on the right; a hot block splits on the left
-    linked = member.join(group, BLOCK).filter("client_id <> first.client_id")
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"g.{c}")) for c in BLOCK]  # no gender is a gender too
+    linked = member.alias("m").join(group.alias("g"), same).filter("client_id <> first.client_id")
     return linked.select(
         "client_id",
         F.col("first.client_id").alias("first_client_id"),

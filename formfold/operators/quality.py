@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -41,11 +41,31 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     return counted.join(known, key, "left_anti")
 
 
-def orphans_of(
-    children: Mapping[str, DataFrame], key: str, parent: DataFrame, parent_key: str
-) -> DataFrame:
-    """(table_name, key, n) over several tables that refer to one parent, with one join."""
-    tagged = [df.select(F.lit(name).alias("table_name"), F.col(key)) for name, df in children.items()]
-    every = reduce(DataFrame.unionByName, tagged).filter(F.col(key).isNotNull())
-    counted = every.groupBy("table_name", key).agg(F.count(F.lit(1)).alias("n"))
+def orphans_of(children: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """(table_name, key, n) over the rows of several tables that refer to one parent."""
+    counted = children.filter(F.col(key).isNotNull()).groupBy("table_name", key).agg(
+        F.count(F.lit(1)).alias("n"))
     return counted.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
+
+
+def violations(df: DataFrame, table: str, key: str, unique: str | None, not_null: Sequence[str]) -> DataFrame:
+    """(table_name, rule, column_name, n): values of the key or the unique column that occur
+    more than once, and missing values of columns that must have one; n is 0 where all is well.
+
+    One scan and one shuffle: a row gives its key, its unique value and the columns it lacks.
+    """
+    said = [("primary key", key, F.col(key).cast("string"))]
+    said += [("unique", unique, F.col(unique).cast("string"))] if unique else []
+    cells = [F.struct(F.lit(r).alias("rule"), F.lit(c).alias("column_name"), v.alias("value")) for r, c, v in said]
+    cells += [F.when(F.col(c).isNull(), F.struct(
+        F.lit("not null").alias("rule"), F.lit(c).alias("column_name"), F.lit(None).cast("string").alias("value")))
+        for c in not_null]
+    counted = df.select(F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("c")).select("c.*").groupBy(
+        "rule", "column_name", "value").agg(F.count(F.lit(1)).alias("times"))
+    broken = F.when(F.col("rule") == "not null", F.col("times")).when(
+        F.col("value").isNotNull() & (F.col("times") > 1), 1).otherwise(0)
+    found = counted.groupBy("rule", "column_name").agg(F.sum(broken).cast("bigint").alias("n"))
+    rules = [(r, c) for r, c, _ in said] + [("not null", c) for c in not_null]
+    every = df.sparkSession.createDataFrame(rules, "rule string, column_name string")
+    return every.join(found, ["rule", "column_name"], "left").select(
+        F.lit(table).alias("table_name"), "rule", "column_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from formfold.sources.staging import shared_folder, written
+
 PAGE = 10
 
 
@@ -35,7 +37,7 @@ def cross_tab(df: DataFrame, row: str, column: str, measure=None) -> DataFrame:
     what is totalled and placed after that is one line per cell.
     """
     value = F.count(F.lit(1)) if measure is None else F.sum(measure)
-    cells = df.groupBy(row, column).agg(value.alias("value"))
+    cells = written(df.groupBy(row, column).agg(value.alias("value")), "cells", shared_folder(df.sparkSession))
     rows = placed(cells, row, "row")
     columns = placed(cells, column, "column")
     return cells.join(rows, row).join(columns, column)
@@ -43,18 +45,29 @@ def cross_tab(df: DataFrame, row: str, column: str, measure=None) -> DataFrame:
 
 def placed(cells: DataFrame, axis: str, name: str) -> DataFrame:
     """Totals of one axis and their places; as many lines as the axis has values."""
-    from pyspark.sql import Window
-
     totals = cells.groupBy(axis).agg(F.sum("value").alias(f"{name}_total"))
-    order = Window.orderBy(F.desc(f"{name}_total"), F.asc(axis))
-    return totals.withColumn(f"{name}_place", F.row_number().over(order))
+    order = [F.desc(f"{name}_total"), F.asc(axis)]
+    # sorted by range over all tasks and written, so that a task can count its own rows
+    folder = shared_folder(cells.sparkSession)
+    ranged = written(
+        totals.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), f"{name}-totals", folder)
+    before = Window.orderBy("_range")  # one line per task
+    starts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", (F.sum("_n").over(before) - F.col("_n")).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn("_own", own).join(starts, "_range").select(
+        axis, f"{name}_total", (F.col("_own") + F.col("_before")).cast("int").alias(f"{name}_place"))
 
 
 def cross_tab_wide(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Wide cross-tab over known column values, ordered by falling row total."""
-    wide = df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1))).na.fill(0)
-    total = sum((F.col(f"`{v}`") for v in values), F.lit(0))
-    return wide.orderBy(F.desc(total), F.asc(row))
+    """Wide cross-tab over known column values, ordered by falling row total.  Rows of any
+    other value, or of none, count in ``other`` and in the total."""
+    cell = F.col(column)
+    known = F.coalesce(cell.isin(list(values)), F.lit(False))
+    wide = df.groupBy(row).agg(
+        *[F.count_if(cell == v).alias(v) for v in values], F.count_if(~known).alias("other"),
+        F.count(F.lit(1)).alias("_total"))
+    return wide.orderBy(F.desc("_total"), F.asc(row)).drop("_total")
 
 
 def as_json(df: DataFrame, column: str = "patient") -> DataFrame:

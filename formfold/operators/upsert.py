@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +14,10 @@ CHANGE_TIMES = ("date_created", "date_changed", "date_voided")
 def since(df: DataFrame, moment: str | Column, columns: Sequence[str] = CHANGE_TIMES) -> DataFrame:
     """Rows created, changed or voided at or after the moment."""
     at = F.lit(moment).cast("timestamp") if isinstance(moment, str) else moment
-    test = F.lit(False)
-    for c in columns:
-        if c in df.columns:
-            test = test | (F.col(c) >= at)
-    return df.filter(test)
+    there = [c for c in columns if c in df.columns]
+    if not there:
+        raise ValueError(f"none of the change columns {', '.join(columns)} in {', '.join(df.columns)}")
+    return df.filter(reduce(lambda a, b: a | b, [F.col(c) >= at for c in there]))
 
 
 def changed_encounters(records: Mapping[str, DataFrame], moment: str | Column) -> DataFrame:
@@ -36,6 +36,15 @@ def changed_persons(records: Mapping[str, DataFrame], moment: str | Column) -> D
     return own.union(through).distinct()
 
 
+def flagged(rows: DataFrame, key: str, gone: DataFrame | None) -> DataFrame:
+    """The rows, voided where their key is in ``gone``."""
+    if gone is None:
+        return rows
+    marks = gone.select(key, F.lit(1).alias("_gone")).distinct()
+    return rows.join(marks, key, "left").select(*[
+        F.coalesce("_gone", c).alias(c) if c == "voided" else F.col(c) for c in rows.columns])
+
+
 def upsert(
     target: DataFrame,
     changes: DataFrame,
@@ -56,16 +65,20 @@ def upsert(
     changes = changes.select(*columns)
     if update_cols is None:
         kept = target.join(changes.select(key), key, "left_anti").select(*columns)
-        if recomputed is not None:
-            gone = recomputed.select(key, F.lit(1).alias("_gone"))
-            kept = kept.join(gone, key, "left").select(*[
-                F.coalesce("_gone", c).alias(c) if c == "voided" else F.col(c) for c in columns])
-        return kept.unionByName(changes)
+        return flagged(kept, key, recomputed).unionByName(changes)
     new = changes.select(
         key, F.lit(True).alias("_found"), *[F.col(c).alias(f"_new_{c}") for c in update_cols])
-    updated = target.join(new, key, "left").select(*[
-        F.when(F.col("_found"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-        if c in update_cols else F.col(c)
-        for c in columns])
+    if recomputed is not None:
+        target = target.join(
+            recomputed.select(key, F.lit(True).alias("_asked")).distinct(), key, "left")
+    else:
+        target = target.withColumn("_asked", F.lit(None).cast("boolean"))
+    def value(c):
+        old = F.col(c)
+        if c == "voided":
+            old = F.when(F.col("_asked") & F.col("_found").isNull(), 1).otherwise(old)
+        return F.when(F.col("_found"), F.col(f"_new_{c}")).otherwise(old) if c in update_cols else old
+
+    updated = target.join(new, key, "left").select(*[value(c).alias(c) for c in columns])
     inserted = changes.join(target.select(key), key, "left_anti").select(*columns)
     return updated.unionByName(inserted)

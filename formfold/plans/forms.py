@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,15 +37,20 @@ def encounters_of(
     return enc
 
 
-def members(
-    records: Mapping[str, DataFrame], name: str, catalog: Catalog | None = None
-) -> DataFrame:
-    """Keys of the rows a form's table has, without folding an observation.
+def members(records: Mapping[str, DataFrame], names: Sequence[str]) -> DataFrame:
+    """(table_name, encounter_id, client_id) of the rows several forms' tables have, from
+    one scan of the encounters and without folding an observation.
 
     Not for the test table, whose rows depend on the observations.
     """
-    enc = encounters_of(records, (catalog or default_catalog()).form(name))
-    return enc.select("encounter_id", F.col("patient_id").alias("client_id"))
+    table = F.coalesce(*[F.when(F.col("uuid") == ENCOUNTER_TYPES[n], F.lit(n)) for n in names])
+    kinds = records["encounter_type"].select(
+        F.col("encounter_type_id").alias("encounter_type"), table.alias("table_name"))
+    known = pivot.live(records["patient"]).select("patient_id", F.lit(True).alias("_known")).distinct()
+    rows = pivot.live(records["encounter"]).join(kinds.filter("table_name IS NOT NULL"), "encounter_type")
+    rows = rows.join(known, "patient_id", "left").filter(
+        ~F.col("table_name").isin(list(LIVE_PATIENT)) | F.col("_known"))
+    return rows.select("table_name", "encounter_id", F.col("patient_id").alias("client_id"))
 
 
 def carried(rule: Rule) -> str:
@@ -113,15 +118,22 @@ def build(
         asked = pivot.of_concepts(obs, form.concepts)
         folded = pivot.eav_pivot(asked, form.measures, clustered=clustered)
         wide = enc.join(folded, "encounter_id", "left")
-    for rule in form.columns:
-        if rule.source == "identifier":
-            owned = identifiers_by_type(records, {rule.name: rule.key}).withColumn(
-                rule.name, F.substring(rule.name, 1, rule.width))
-            wide = wide.join(owned, "patient_id", "left")
+    if owned := owned_identifiers(records, form):
+        wide = wide.join(owned[1], "patient_id", "left")
     return wide.selectExpr(*[
         carried(r) if r.source == "encounter" else r.name for r in form.columns])
 
 
+def owned_identifiers(records: Mapping[str, DataFrame], form: Form):
+    """(columns, one row per patient with them), if the form carries identifiers."""
+    rules = [r for r in form.columns if r.source == "identifier"]
+    if not rules:
+        return None
+    found = identifiers_by_type(records, {r.name: r.key for r in rules})
+    return [r.name for r in rules], found.withColumns(
+        {r.name: F.substring(r.name, 1, r.width) for r in rules})
+
+
 def _tests(enc: DataFrame, obs: DataFrame, form: Form, clustered: bool) -> DataFrame:
     mark = repeat_mark(form)
     asked = pivot.eav_pivot(

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formfold.catalog import Catalog
+from formfold.catalog import Catalog, default_catalog
 from formfold.operators.upsert import changed_encounters, changed_persons, upsert
 from formfold.plans import forms, registry
 from formfold.sources.staging import shared_folder, written
@@ -41,7 +41,39 @@ def refresh_form(
     folder = shared_folder(target.sparkSession)
     keys = written(changed_encounters(records, since), "changed-encounters", folder)
     changes = written(form_changes(records, name, keys, catalog), f"changes-{name}", folder)
-    return upsert(target, changes, "encounter_id", update_cols, recomputed=keys)
+    done = upsert(target, changes, "encounter_id", update_cols, recomputed=keys)
+    return reapplied(done, records, name, catalog).select(*target.columns)
+
+
+def reapplied(
+    table: DataFrame, records: Mapping[str, DataFrame], name: str, catalog: Catalog | None = None
+) -> DataFrame:
+    """What no change of an encounter tells: identifiers as they now stand, and rows whose
+    patient is no longer live voided.  ``_stale`` marks the rows that this changed."""
+    form = (catalog or default_catalog()).form(name)
+    columns, stale = table.columns, F.lit(False)
+    if owned := forms.owned_identifiers(records, form):
+        names, found = owned
+        found = found.select(F.col("patient_id").alias("_owner"), *[F.col(n).alias(f"_now_{n}") for n in names])
+        table = table.join(found, F.col("client_id") == F.col("_owner"), "left")
+        for n in names:
+            stale = stale | ~F.col(n).eqNullSafe(F.col(f"_now_{n}"))
+    else:
+        names = []
+    if name in forms.LIVE_PATIENT:
+        live = records["patient"].filter("voided = 0").select(F.col("patient_id").alias("_patient")).distinct()
+        table = table.join(live, F.col("client_id") == F.col("_patient"), "left")
+        gone = F.col("_patient").isNull() & (F.col("voided") == 0)
+        stale = stale | F.coalesce(gone, F.lit(False))
+    else:
+        gone = F.lit(False)
+
+    def value(c):
+        if c in names:
+            return F.col(f"_now_{c}")
+        return F.when(gone, 1).otherwise(F.col(c)).cast("int") if c == "voided" else F.col(c)
+
+    return table.select(*[value(c).alias(c) for c in columns], stale.alias("_stale"))
 
 
 def refresh_registry(target: DataFrame, records: Mapping[str, DataFrame], since) -> DataFrame:

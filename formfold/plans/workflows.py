@@ -88,7 +88,7 @@ class Workspace:
         try:
             yield
         except Exception as e:
-            error = f"{type(e).__name__}: {e}"[:255]
+            error = f"{type(e).__name__}: {e}"
             raise
         finally:
             self.log.stop(run, error)
@@ -146,13 +146,16 @@ class Workspace:
             f"changes-{name}")
         target = curated.read_curated(self.spark, self.root, name)
         # months that gain, change or lose a row; one short text per calendar month
+        late = refresh.reapplied(target, records, name, self.catalog).filter("_stale")
         touched = (
             curated.with_month(changes, name).select(curated.MONTH)
             .union(target.join(keys, "encounter_id", "left_semi").select(curated.MONTH))
+            .union(late.select(curated.MONTH))
             .distinct())
         months = [r[0] for r in touched.collect()]
         old = target.filter(F.col(curated.MONTH).isin(months)).drop(curated.MONTH)
         merged = refresh.upsert(old, changes, "encounter_id", recomputed=keys)
+        merged = refresh.reapplied(merged, records, name, self.catalog).drop("_stale")
         curated.replace_months(merged, self.root, name, self.staging)
 
     def apply_registry_changes(self, records, persons: DataFrame) -> None:

@@ -219,6 +219,12 @@ class DerivedRecords(dict):
             then[name] = self[name].filter(f"date_created < TIMESTAMP '{moment}'").withColumns({
                 "voided": F.expr(
                     f"CASE WHEN date_voided >= TIMESTAMP '{moment}' THEN 0 ELSE voided END")})
+        # identifiers and patients carry no times: some of them stood otherwise then
+        then["patient_identifier"] = self["patient_identifier"].withColumns({
+            "identifier": F.expr("CASE WHEN patient_id % 5 = 0 THEN CONCAT('old', identifier) ELSE identifier END"),
+            "voided": F.expr("CASE WHEN patient_id % 3 = 0 THEN 1 - voided ELSE voided END")})
+        then["patient"] = self["patient"].withColumn(
+            "voided", F.expr("CASE WHEN patient_id % 2 = 0 THEN 0 ELSE voided END"))
         return then
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, otherwise: str | None = None) -> str | None:
-    """The folder the cluster names for such copies, if it names one."""
-    return spark.conf.get("spark.checkpoint.dir", None) or otherwise
+    """The folder a caller gives for such copies, else the one the cluster names, if any."""
+    return otherwise or spark.conf.get("spark.checkpoint.dir", None)
 
 
 def written(df: DataFrame, what: str, folder: str | None) -> DataFrame:

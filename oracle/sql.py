@@ -82,7 +82,11 @@ def before(moment: str) -> list[str]:
     return [
         f"{t}_before AS (SELECT * REPLACE (CASE WHEN date_voided >= TIMESTAMP '{moment}' "
         f"THEN 0 ELSE voided END AS voided) FROM {t} WHERE date_created < TIMESTAMP '{moment}')"
-        for t in ("encounter", "obs")]
+        for t in ("encounter", "obs")] + [
+        "patient_identifier_before AS (SELECT * REPLACE (CASE WHEN patient_id % 5 = 0 THEN 'old' || identifier "
+        "ELSE identifier END AS identifier, CASE WHEN patient_id % 3 = 0 THEN 1 - voided ELSE voided END AS voided) "
+        "FROM patient_identifier)",
+        "patient_before AS (SELECT * REPLACE (CASE WHEN patient_id % 2 = 0 THEN 0 ELSE voided END AS voided) FROM patient)"]
 
 
 def carried_sql(type_: str, source: str) -> str:
@@ -128,7 +132,7 @@ def form_ctes(form: str, tag: str = "", src: str = "", keys: str | None = None,
     if form != "hts_test":
         pick += f" AND encounter_type = {survey.FORM_ORDER.index(form)}"
     if form in ("contact", "client_enrollment"):
-        pick += " AND patient_id IN (SELECT patient_id FROM patient WHERE voided = 0)"
+        pick += f" AND patient_id IN (SELECT patient_id FROM patient{src} WHERE voided = 0)"
     if keys:
         pick += f" AND encounter_id IN (SELECT encounter_id FROM {keys})"
     out.append(f"{name}_enc AS (SELECT * FROM encounter{src} WHERE {pick})")
@@ -180,7 +184,7 @@ def form_ctes(form: str, tag: str = "", src: str = "", keys: str | None = None,
     group = "ALL"
     if form == "contact":
         joins += (" LEFT JOIN (SELECT patient_id, max(identifier) FILTER (WHERE identifier_type = 3) AS ident "
-                  "FROM patient_identifier WHERE voided = 0 GROUP BY patient_id) i ON i.patient_id = e.patient_id")
+                  f"FROM patient_identifier{src} WHERE voided = 0 GROUP BY patient_id) i ON i.patient_id = e.patient_id")
     out.append(f"{name} AS (SELECT {', '.join(cols)} FROM {name}_enc e {joins} {where} GROUP BY {group})")
     return out
 
@@ -203,9 +207,7 @@ def with_(ctes: list[str], final: str) -> str:
 
 
 def form_views(form: str) -> list[str]:
-    extra = ["patient"] if form in ("contact", "client_enrollment") else []
-    extra += ["patient_identifier"] if form == "contact" else []
-    return views("obs", *extra)
+    return views("obs", "patient", "patient_identifier")
 
 
 def form_sql(form: str) -> str:
@@ -220,11 +222,17 @@ def changed_cte(moment: str) -> str:
 
 
 def refresh_ctes(form: str, moment: str) -> list[str]:
+    lost, ident = "", ""
+    if form in ("contact", "client_enrollment"):
+        lost = " OR client_id NOT IN (SELECT patient_id FROM patient WHERE voided = 0)"
+    if form == "contact":
+        ident = (", (SELECT substr(max(identifier), 1, 50) FROM patient_identifier p WHERE p.patient_id = client_id "
+                 "AND p.voided = 0 AND identifier_type = 3) AS unique_identifier")
     return (form_views(form) + before(moment) + [changed_cte(moment)]
             + form_ctes(form, "_old", "_before")
             + form_ctes(form, "_new", "", "changed", True)
             + [f"refreshed AS (SELECT * FROM {form}_new UNION ALL SELECT * REPLACE (CASE WHEN "
-               "encounter_id IN (SELECT encounter_id FROM changed) THEN 1 ELSE voided END AS voided) "
+               f"encounter_id IN (SELECT encounter_id FROM changed){lost} THEN 1 ELSE voided END AS voided{ident}) "
                f"FROM {form}_old WHERE encounter_id NOT IN (SELECT encounter_id FROM {form}_new))"])
 
 
@@ -366,6 +374,7 @@ RUNS = """runs AS (SELECT CAST(event_id AS VARCHAR) AS id, event_type AS script_
     CASE WHEN user_id % 10 <> 0 THEN ts + INTERVAL 5 MINUTE END AS stop_time,
     CASE WHEN event_type = 'error' THEN props END AS error FROM events)"""
 STAMP = "'%Y-%m-%d %H:%M:%S'"
+REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 REFERRING = ("contact", "client_enrollment", "clinical_visit", "sti_treatment", "peer_calendar",
              "violence_screening")
@@ -429,15 +438,19 @@ def all_sql() -> dict[str, str]:
         "run_states": f"WITH {RUNS} SELECT script_name, strftime(max(start_time), {STAMP}) AS since FROM runs "
                       "WHERE stop_time IS NOT NULL GROUP BY script_name",
         "cross_tab": cross_tab_sql(),
-        "cross_tab_wide": "PIVOT (SELECT c_mktsegment, r_name FROM customer JOIN nation ON n_nationkey = c_nationkey "
-                          "JOIN region ON r_regionkey = n_regionkey) ON r_name USING count(*) GROUP BY c_mktsegment",
+        "cross_tab_wide": "SELECT c_mktsegment, " + ", ".join(
+            f'count(*) FILTER (WHERE r_name = {q(r)}) AS "{r}"' for r in REGIONS)
+            + ", count(*) FILTER (WHERE r_name NOT IN (" + ", ".join(map(q, REGIONS)) + ")) AS other FROM customer "
+            "JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY c_mktsegment",
         "patients_json": with_(registry, "SELECT CAST(to_json(r) AS VARCHAR) AS patient FROM ("
                                + REGISTRY_SELECT.format(clients="clients") + ") r"),
         "events_pivot": "SELECT user_id, CAST(ts AS DATE) AS day, " + ", ".join(
             f"max(value) FILTER (WHERE event_type = {q(t)}) AS {t}" for t in EVENT_TYPES)
+            + ", max(value) FILTER (WHERE event_type NOT IN (" + ", ".join(map(q, EVENT_TYPES)) + ")) AS other"
             + " FROM events GROUP BY ALL",
         "orders_lineitem_pivot": "SELECT l_orderkey, " + ", ".join(
             f"max(l_quantity) FILTER (WHERE l_returnflag = '{f}') AS qty_{f.lower()}" for f in "ANR")
+            + ", max(l_quantity) FILTER (WHERE l_returnflag NOT IN ('A', 'N', 'R')) AS qty_other"
             + " FROM lineitem GROUP BY l_orderkey",
         "soft_delete_propagation": with_(
             refresh_ctes("contact", VOID_AT),

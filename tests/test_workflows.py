@@ -150,7 +150,9 @@ def test_orphan_of_a_missing_person(spark):
 def test_cross_tab_order(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "y"), ("b", "x")], "r string, c string")
     wide = reports.cross_tab_wide(df, "r", "c", ["x", "y"]).collect()
-    assert [tuple(r) for r in wide] == [("b", 2, 1), ("a", 1, 0)]
+    assert [tuple(r) for r in wide] == [("b", 2, 1, 0), ("a", 1, 0, 0)]
+    short = reports.cross_tab_wide(df, "r", "c", ["y"]).collect()
+    assert [tuple(r) for r in short] == [("b", 1, 2), ("a", 0, 1)]
     places = {(r["r"], r["c"]): (r["row_place"], r["column_place"])
               for r in reports.cross_tab(df, "r", "c").collect()}
     assert places == {("b", "x"): (1, 1), ("b", "y"): (1, 2), ("a", "x"): (2, 1)}
