@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -17,10 +20,16 @@ from formfold.operators import quality, reports
 from formfold.operators.duplicates import duplicate_candidates
 from formfold.operators.joins import update_join
 from formfold.plans import forms, marts, refresh, registry
+from formfold.plans.workflows import Workspace
 from formfold.session import tune
+from formfold.sources import curated, runlog
 from formfold.sources.derived import DerivedRecords, base, upstream
-from formfold.sources.schemas import references
+from formfold.sources.records import RECORDS, read_sources
+from formfold.sources.schemas import CURATED, key_of, not_null, references, uuid_column
+from formfold.sources.staging import shared_folder
+from formfold.streaming.refresh import refresh_stream
 
+SUBSET = ("visit_date", "voided")
 REFRESH_AT, VOID_AT = "2024-02-15", "2024-03-01"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +160,113 @@ def lineitem_pivot(spark, sf):
     return base(spark, sf, "lineitem")["lineitem"].groupBy("l_orderkey").agg(*cells)
 
 
+# ---- runs on storage: each in a folder of its own below the shared one ----------
+
+def workspace(spark: SparkSession) -> Workspace:
+    shared = shared_folder(spark) or tempfile.mkdtemp(prefix="formfold-")
+    return Workspace(spark, f"{shared}/workspace-{uuid.uuid4().hex}", staging=f"{shared}/staging-{uuid.uuid4().hex}")
+
+
+class Then(dict):
+    """Record tables as they stood at a moment, the others as they are."""
+
+    def __init__(self, records: DerivedRecords, moment: str):
+        super().__init__()
+        self.then, self.now = records.before(moment), records
+
+    def __missing__(self, name):
+        return self.then[name] if name in self.then else self.now[name]
+
+
+def table_sizes(space: Workspace) -> DataFrame:
+    """(table_name, live, voided, clients) of the curated tables."""
+    sizes = [space.table(n).agg(
+        F.lit(n).alias("table_name"), F.count_if(F.col("voided") == 0).alias("live"),
+        F.count_if(F.col("voided") == 1).alias("voided"), F.sum(F.col("client_id").cast("bigint")).alias("clients"))
+        for n in CURATED]
+    return reduce(DataFrame.unionByName, sizes)
+
+
+def workflow_rebuild(spark, sf):
+    space = workspace(spark)
+    space.rebuild(DerivedRecords(spark, sf))
+    return table_sizes(space)
+
+
+def workflow_refresh(spark, sf):
+    """Tables that stood at a moment, brought up to the present."""
+    space, records = workspace(spark), DerivedRecords(spark, sf)
+    space.rebuild(Then(records, REFRESH_AT))
+    space.refresh_since(records, REFRESH_AT)
+    return table_sizes(space)
+
+
+def workflow_publish(spark, sf):
+    """Rows of the published marts, read back."""
+    space, catalog = workspace(spark), default_catalog()
+    needed = {n: {catalog.mart(n).source: upstream(spark, sf, catalog.mart(n))} for n in catalog.marts()}
+    for name in catalog.marts():
+        space.publish(needed[name], [name])
+    sizes = [spark.read.parquet(f"{space.root}/marts/{n}").agg(
+        F.lit(n).alias("mart"), F.count(F.lit(1)).alias("n")) for n in catalog.marts()]
+    return reduce(DataFrame.unionByName, sizes)
+
+
+def stream_refresh_contact(spark, sf):
+    """The contact table after a stream of all encounters that a moment's table had not seen."""
+    space, records = workspace(spark), DerivedRecords(spark, sf)
+    curated.write_curated(forms.build(Then(records, REFRESH_AT), "contact"), space.root, "contact")
+    records["encounter"].select("encounter_id").write.parquet(f"{space.root}/feed")
+    feed = spark.readStream.schema("encounter_id long").parquet(f"{space.root}/feed")
+    started = refresh_stream(feed, space, lambda: records, f"{space.root}/checkpoint", ("contact",))
+    started.awaitTermination()
+    return space.table("contact").filter("voided = 0")
+
+
+def curated_roundtrip(spark, sf):
+    """The enrollment table written as a curated table and read back."""
+    space = workspace(spark)
+    curated.write_curated(forms.build(DerivedRecords(spark, sf), "client_enrollment"), space.root, "client_enrollment")
+    return space.table("client_enrollment")
+
+
+def records_roundtrip(spark, sf):
+    """The registry built from record tables that were written and read as sources."""
+    space, records = workspace(spark), DerivedRecords(spark, sf)
+    for name in RECORDS:
+        records[name].write.parquet(f"{space.root}/records/{name}")
+    return registry.build(read_sources(spark, f"{space.root}/records"))
+
+
+def run_log_watermark(spark, sf):
+    """Notes of a start and a stop for every event; the start of each name's last finished run."""
+    log = runs(spark, sf)
+    empty = {"start_time": "TIMESTAMP", "stop_time": "TIMESTAMP", "error": "STRING"}
+    starts = log.select("id", "script_name", "start_time", *[F.expr(f"CAST(NULL AS {empty[c]})").alias(c) for c in ("stop_time", "error")])
+    stops = log.filter("stop_time IS NOT NULL").select(
+        "id", F.lit(None).cast("string").alias("script_name"), F.lit(None).cast("timestamp").alias("start_time"),
+        "stop_time", "error")
+    known = runlog.runs(starts.unionByName(stops))
+    names = [runlog.watermark(known, (n,)).select(F.lit(n).alias("script_name"), F.date_format(
+        "since", "yyyy-MM-dd HH:mm:ss").alias("since")) for n in EVENT_TYPES]
+    return reduce(DataFrame.unionByName, names)
+
+
+def curated_violations(spark, sf):
+    """Broken keys, unique columns and missing values of the eight curated tables."""
+    records = DerivedRecords(spark, sf)
+    built = {n: registry.build(records) if n == "client_registration" else forms.build(records, n) for n in CURATED}
+    return reduce(DataFrame.unionByName, [
+        quality.violations(df, n, key_of(n), uuid_column(n), not_null(n)) for n, df in built.items()])
+
+
+def enrollment_subset(spark, sf):
+    """A refresh that updates some columns of the enrollment table only."""
+    records = DerivedRecords(spark, sf)
+    target = forms.build(records.before(REFRESH_AT), "client_enrollment")
+    return refresh.refresh_form(target, records, "client_enrollment", REFRESH_AT, SUBSET)
+
+
 def queries() -> dict[str, Query]:
     """Every operator and job by name."""
     out: dict[str, Query] = {
@@ -180,6 +296,15 @@ def queries() -> dict[str, Query]:
         "events_pivot": events_pivot,
         "orders_lineitem_pivot": lineitem_pivot,
         "refresh_client_registration": refreshed_registry,
+        "refresh_client_enrollment_subset": enrollment_subset,
+        "workflow_rebuild": workflow_rebuild,
+        "workflow_refresh": workflow_refresh,
+        "workflow_publish": workflow_publish,
+        "stream_refresh_contact": stream_refresh_contact,
+        "curated_roundtrip": curated_roundtrip,
+        "records_roundtrip": records_roundtrip,
+        "run_log_watermark": run_log_watermark,
+        "curated_violations": curated_violations,
     }
     for name in FORMS:
         out[name] = form(name)

@@ -411,6 +411,63 @@ def missing_sql(columns: tuple[str, ...]) -> str:
                  " UNION ALL ".join(parts))
 
 
+def size_of(name: str, rows: str) -> str:
+    return (f"SELECT {q(name)} AS table_name, count(*) FILTER (WHERE voided = 0) AS live, "
+            f"count(*) FILTER (WHERE voided = 1) AS voided, CAST(sum(client_id) AS BIGINT) AS clients FROM ({rows})")
+
+
+#: Columns of the specification's tables that must have a value, by table; others: client and encounter.
+REQUIRED = {
+    "client_registration": ["client_id"],
+    "hts_test": ["client_id", "encounter_id", "encounter_uuid", "encounter_location", "creator", "date_created"],
+}
+
+
+def violations_sql() -> str:
+    parts = []
+    for name, text in {"client_registration": registry_sql(), **{f: form_sql(f) for f in survey.FORM_ORDER}}.items():
+        key = "client_id" if name == "client_registration" else "encounter_id"
+        unique = [("primary key", key)]
+        if name != "client_registration" and "uuid" in [c for c, _, _ in survey.form_columns(name)]:
+            unique.append(("unique", "uuid"))
+        for rule, column in unique:
+            parts.append(f"SELECT {q(name)} AS table_name, {q(rule)} AS rule, {q(column)} AS column_name, (SELECT count(*) FROM "
+                         f"(SELECT {column} FROM ({text}) WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS n")
+        for column in REQUIRED.get(name, ["client_id", "encounter_id"]):
+            parts.append(f"SELECT {q(name)}, 'not null', {q(column)}, (SELECT count(*) FROM ({text}) WHERE {column} IS NULL)")
+    return " UNION ALL ".join(parts)
+
+
+def subset_sql() -> str:
+    return with_(refresh_ctes("client_enrollment", REFRESH_AT),
+        "SELECT o.* REPLACE (coalesce(n.visit_date, o.visit_date) AS visit_date, CASE WHEN n.encounter_id IS NOT NULL "
+        "THEN n.voided ELSE r.voided END AS voided) FROM client_enrollment_old o LEFT JOIN client_enrollment_new n "
+        "USING (encounter_id) JOIN refreshed r USING (encounter_id) UNION ALL SELECT * FROM client_enrollment_new "
+        "WHERE encounter_id NOT IN (SELECT encounter_id FROM client_enrollment_old)")
+
+
+def run_sql() -> dict[str, str]:
+    """Expected results of whole runs on storage."""
+    fresh = {f: with_(refresh_ctes(f, REFRESH_AT), "SELECT voided, client_id FROM refreshed") for f in survey.FORM_ORDER}
+    built = {f: f"SELECT voided, client_id FROM ({form_sql(f)})" for f in survey.FORM_ORDER}
+    sizes = lambda first, rest: " UNION ALL ".join(
+        size_of(n, t) for n, t in {"client_registration": first, **rest}.items())
+    return {
+        "workflow_rebuild": sizes(registry_sql(), built),
+        "workflow_refresh": sizes(refresh_registry_sql(REFRESH_AT), fresh),
+        "workflow_publish": " UNION ALL ".join(
+            f"SELECT {q(m)} AS mart, count(*) AS n FROM ({mart_sql(m)})" for m in survey.marts()),
+        "stream_refresh_contact": form_sql("contact"),
+        "curated_roundtrip": form_sql("client_enrollment"),
+        "records_roundtrip": registry_sql(),
+        "run_log_watermark": f"WITH {RUNS} SELECT t.name AS script_name, (SELECT strftime(max(start_time), {STAMP}) FROM runs "
+                             "WHERE script_name = t.name AND stop_time IS NOT NULL AND error IS NULL) AS since FROM (VALUES "
+                             + ", ".join(f"({q(t)})" for t in EVENT_TYPES) + ") t(name)",
+        "curated_violations": violations_sql(),
+        "refresh_client_enrollment_subset": subset_sql(),
+    }
+
+
 def all_sql() -> dict[str, str]:
     registry = registry_ctes() + [person_cte("clients", "p.voided = 0")]
     out = {
@@ -458,6 +515,7 @@ def all_sql() -> dict[str, str]:
             "(SELECT encounter_id FROM contact_old WHERE voided = 0)"),
         "refresh_client_registration": refresh_registry_sql(REFRESH_AT),
     }
+    out |= run_sql()
     for form in survey.FORM_ORDER:
         out[form] = form_sql(form)
         out[f"refresh_{form}"] = with_(refresh_ctes(form, REFRESH_AT), "SELECT * FROM refreshed")
