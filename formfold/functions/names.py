@@ -1,279 +1,230 @@
-"""Phonetic codes of names (Double Metaphone) as a vectorised column function.
+"""Phonetic codes of names (Double Metaphone) as Spark expressions.
 
-A word is read left to right.  At each letter the context rules below that begin
-with it are tried in order, as the alternatives of one regular expression: what an
-alternative matches is consumed, look-around gives the context, and its number says
-which sounds it adds.
+A fold walks over the letters of the padded word.  At each letter the rules of that letter
+are tried in order; the first whose context fits says which sounds it adds to the primary
+and to the secondary code and how many letters it takes.  Everything is one SQL expression,
+evaluated in the JVM, for words of any length.
+
+Against the published algorithm this variant does three things: a name is compared without
+accents, B is P, and a W at the start before H adds A.  Codes are not cut.
 """
 
 from __future__ import annotations
 
-import re
-import sys
 import unicodedata
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Context rules "pattern : primary secondary [condition on the word]".
-# "<" is the start of the word, ">" its end, "@" a vowel, "~" no sound.  One sound
-# stands for both codes when only one is given.
-RULES = """
-<[GKP](?=N) : ~
-<W(?=R) : ~
-<P(?=S) : ~
-<X : S
-<@ : A
-@ : ~
-BB? : P
-(?<=[^<AEIOUY]A)CH(?![IE]) : K
-(?<=[BM]A)CH(?=ER) : K
-<CA(?=ESAR) : S
-CH(?=IA) : K
-(?<!<)CH(?=AE) : K X
-<CH(?=ARAC|ARIS|OR|YM|EM)(?!ORE) : K
-CH : K [germanic]
-(?<=OR)CH(?=ES|ID) : K
-(?<=AR)CH(?=IT) : K
-CH(?=[TS]) : K
-(?<=[AOUE<])CH(?=[LRNMBHFVW ]) : K
-<CH : X
-CH : K [mc]
-CH : X K
-(?<!WI)CZ : S X
-CCI(?=A) : X
-(?<!<M)(?<=U)CCE(?=[ES]) : KS
-(?<!<M)CC(?!HU)[IEH] : X
-(?<!<M)CC : K
-C[KGQ] : K
-C(?=I[OEA]). : S X
-C[IEY] : S
-C[ ][CQG] : K
-C(?!C[EI])[CKQ] : K
-C : K
-DG[IEY] : J
-DG : TK
-D[TD]? : T
-FF? : F
-(?<![<AEIOUY])GH : K
-<GH(?!I) : K
-<GH : J
-(?<=[BHD].)GH : ~
-(?<=[BHD]..)GH : ~
-(?<=[BH]...)GH : ~
-(?<=[CGLRT].U)GH : F
-(?<![<I])GH : K
-G(?=H) : ~
-(?<=<@)GN : KN N [not slavic]
-GN(?!EY) : N KN [not slavic]
-GN : KN
-GL(?=I) : KL L [not slavic]
-<G(?=Y|E[SPBLYIR]|I[BLNE]). : K J
-(?<![EI])(?!(?<=[RO])GY)G(?=ER|Y). : K J [not danger]
-G(?=[EIY]). : K [germanic]
-(?<=[AO])GG(?=I) : K [germanic]
-GE(?=T) : K
-GI(?=ER[ ]) : J
-G[EIY] : J K
-(?<=[AO])GG(?=I) : J K
-GG? : K
-(?<=[<AEIOUY])H@ : H
-H : ~
-JJ? : H [san]
-<J(?=OSE[ ]) : H
-J(?=OSE) : J H
-<JJ? : J A
-(?<=@)J(?=[AO]) : J H [not slavic]
-J> : J ~
-(?<![SKL])J(?![LTKSNMBZ])J? : J
-JJ? : ~
-KK? : K
-(?<=I)LL(?=[OA]>) : L ~
-(?<=A)LL(?=E>) : L ~
-(?<=A)LL(?=E)(?=.*[AO]S?>) : L ~
-LL? : L
-(?<=U)MB(?=>|ER) : M
-MM? : M
-NN? : N
-PH : F
-P[PB]? : P
-QQ? : K
-(?<=IE)(?<!M[EA]IE)R> : ~ R [not slavic]
-RR? : R
-(?<=[IY])S(?=L) : ~
-<S(?=UGAR) : X S
-SH(?=EIM|OEK|OLM|OLZ) : S
-SH : X
-SI[OA] : S X [not slavic]
-SI[OA] : S
-<S(?=[MNLW]) : S X
-SZ : S X
-SCH(?=E[RN]) : X SK
-SCH(?=OO|UY|E[DM]) : SK
-<SCH(?![AEIOUYW]) : X S
-SCH : X
-SC[IEY] : S
-SC. : SK
-(?<=[AO]I)S> : ~ S
-SS? : S
-TIO(?=N) : X
-TIA : X
-TCH : X
-TH(?=[OA]M) : T
-TH : T [germanic]
-TT(?=H) : T [germanic]
-TH : 0 T
-TT(?=H) : 0 T
-T[TD]? : T
-VV? : F
-WR : R
-<W(?=@) : A F
-<W(?=H) : A
-(?<=@)W> : ~ F
-(?<=[EO])W(?=SK[IY]) : ~ F
-W : ~ F [sch]
-WI[CT]Z : TS FX
-W : ~
-(?<=[AO]U)X> : ~
-X[CX]? : KS
-ZHZ? : J
-Z(?=Z[OIA][ ])Z : S TS
-(?<![<T])ZZ? : S TS [slavic]
-ZZ? : S
-"""
 
-# Conditions on the whole word.
-CONDITIONS = {
-    "slavic": r".*(W|K|CZ)",
-    "germanic": r"(VAN |VON |SCH)",
-    "sch": r"SCH",
-    "mc": r"MC",
-    "san": r"SAN ",
-    "danger": r"(DANGER|RANGER|MANGER)",
-}
-VOWELS = "AEIOUY"
-START, PAD = "\0\0", " " * 5
-_CONDITIONS = {name: re.compile(text) for name, text in CONDITIONS.items()}
-
-
-_readers: dict[frozenset[str], dict] = {}
-
-
-def _reader(held: frozenset[str]) -> dict:
-    """Per letter, the expression and its sounds for words under the given conditions."""
-    if held not in _readers:
-        rules: dict[str, list] = {}
-        for line in RULES.strip().splitlines():
-            pattern, _, rest = line.partition(" : ")
-            rest, _, condition = rest.partition(" [")
-            condition = condition.rstrip("]")
-            wanted = condition.removeprefix("not ")
-            if condition and (wanted in held) == condition.startswith("not "):
-                continue
-            codes = ["" if c == "~" else c for c in rest.split()]
-            for letter in _letters(pattern):
-                rules.setdefault(letter, []).append((_spelled(pattern), codes[0], codes[-1]))
-        _readers[held] = {
-            letter: (re.compile("|".join(f"({p})" for p, _, _ in listed), re.DOTALL),
-                     [(first, second) for _, first, second in listed])
-            for letter, listed in rules.items()}
-    return _readers[held]
-
-
-def _letters(pattern: str) -> str:
-    """The letters a rule can begin with: what follows its leading context."""
-    rest = re.sub(r"^(<|\(\?<?[=!](\([^()]*\)|[^()])*\))+", "", pattern)
-    if rest[0] == "[":
-        return rest[1:rest.index("]")]
-    return VOWELS if rest[0] == "@" else rest[0]
-
-
-def _spelled(text: str) -> str:
-    """A rule's context with the shorthand spelled out."""
-    start = "(?<=\\x00)"
-    out = []
-    i, inside = 0, False
-    while i < len(text):
-        two, c = text[i:i + 3], text[i]
-        if two in ("(?<", "(?=", "(?!"):
-            opener = text[i:i + 4] if two == "(?<" else two
-            out.append(opener)
-            i += len(opener)
-            behind = two == "(?<"
-            # directly inside a look-behind "<" is the padding itself
-            if behind and text[i:i + 1] == "<":
-                out.append("\\x00")
-                i += 1
-            continue
-        if c == "[":
-            inside = True
-        elif c == "]":
-            inside = False
-        if c == "<":
-            c = "\\x00" if inside else start
-        elif c == ">" and not inside:
-            c = f"(?= {{{len(PAD)}}}\\Z)"
-        elif c == "@":
-            c = f"[{VOWELS}]"
-        out.append(c)
-        i += 1
-    return "".join(out)
-
-
-def _plain(name: str) -> str:
-    """Upper case without accents, as a case- and accent-blind comparison sees it."""
-    if name.isascii():
-        return name.upper()
-    split = unicodedata.normalize("NFD", name.replace("ß", "s"))
-    return "".join(c for c in split if not unicodedata.combining(c)).upper()
-
-
-def word_codes(name: str | None) -> tuple[str, str]:
-    """(primary, secondary) of one word; ``('', '')`` for a missing one."""
-    if not name:
-        return "", ""
-    word = _plain(name)
-    held = frozenset(n for n, test in _CONDITIONS.items() if test.match(word + PAD))
-    letters, text, at = _reader(held), START + word + PAD, len(START)
-    heard = []
-    while at < len(START) + len(word):
-        listed = letters.get(text[at])
-        found = listed and listed[0].match(text, at)
-        if found:
-            heard.append(listed[1][found.lastindex - 1])
-        at = found.end() if found else at + 1
-    primary, secondary = ("".join(side) for side in zip(*heard)) if heard else ("", "")
-    return primary, secondary
-
-
-CODES = T.StructType().add("code_primary", "string").add("code_secondary", "string")
-
-
-@F.pandas_udf(CODES)
-def _codes(names: pd.Series) -> pd.DataFrame:
-    # names repeat: code each distinct one of the batch once
-    places, distinct = pd.factorize(names, use_na_sentinel=False)
-    coded = [word_codes(n if isinstance(n, str) else None) for n in distinct]
-    frame = pd.DataFrame(coded, columns=["code_primary", "code_secondary"])
-    return frame.take(places).reset_index(drop=True)
-
-
-def codes(name: Column) -> Column:
-    """Struct of both codes of a name column."""
-    return _codes(name)
+START, PAD = "␂" * 4, " " * 8  # what stands before and behind a word
+VOWELS = tuple("AEIOUY")
+FIRST = f"substring(w, i + 3, 1) = '{START[0]}'"
+LAST = f"substring(w, i + 5) = '{PAD}'"
+SLAVIC = "(w LIKE '%W%' OR w LIKE '%K%' OR w LIKE '%CZ%')"
+
+
+def at(place: int, *texts: str) -> str:
+    """One of the texts, all of one length, stands at a place counted from the letter."""
+    listed = ", ".join(f"'{t}'" for t in texts)
+    return f"substring(w, i + {4 + place}, {len(texts[0])}) IN ({listed})"
+
+
+def starts(*texts: str) -> str:
+    """The word starts with one of the texts, all of one length."""
+    return f"substring(w, 5, {len(texts[0])}) IN ({', '.join(repr(t) for t in texts)})"
+
+
+def both(*tests: str) -> str:
+    return "(" + " AND ".join(tests) + ")"
+
+
+def either(*tests: str) -> str:
+    return "(" + " OR ".join(tests) + ")"
+
+
+def no(test: str) -> str:
+    return f"NOT ({test})"
+
+
+GERMANIC = either(starts("VAN ", "VON "), starts("SCH"))
+
+
+def doubled(letter: str, sound: str, *others: str) -> list[tuple]:
+    """A letter that swallows itself, or one of the others, behind it."""
+    return [(at(1, letter, *others), sound, sound, 2), ("true", sound, sound, 1)]
+
+
+def rules() -> dict[str, list[tuple[str, str, str, int]]]:
+    """For each letter: (context, primary, secondary, letters taken), in order."""
+    before_vowel, start_or_vowel = at(-1, *VOWELS), at(-1, START[0], *VOWELS)
+    ending = lambda place: f"substring(w, i + {4 + place}) = '{PAD}'"
+    out = {v: [(FIRST, "A", "A", 1), ("true", "", "", 1)] for v in VOWELS}
+    out["B"] = doubled("B", "P")
+    out["C"] = [
+        (both(no(at(-2, START[0], *VOWELS)), at(-1, "A"), at(1, "H"), no(at(2, "I", "E"))), "K", "K", 2),
+        (both(at(-2, "BA", "MA"), at(1, "HER")), "K", "K", 2),
+        (both(FIRST, at(1, "AESAR")), "S", "S", 2),
+        (at(1, "HIA"), "K", "K", 2),
+        (both(no(FIRST), at(1, "HAE")), "K", "X", 2),
+        (both(FIRST, either(at(1, "HARAC", "HARIS"), at(1, "HOR", "HYM", "HEM")), no(at(1, "HORE"))), "K", "K", 2),
+        (both(at(1, "H"), GERMANIC), "K", "K", 2),
+        (both(at(-2, "OR"), at(1, "HES", "HID")), "K", "K", 2),
+        (both(at(-2, "AR"), at(1, "HIT")), "K", "K", 2),
+        (at(1, "HT", "HS"), "K", "K", 2),
+        (both(at(-1, *"AOUE", START[0]), at(1, "H"), at(2, *"LRNMBHFVW ")), "K", "K", 2),
+        (both(FIRST, at(1, "H")), "X", "X", 2),
+        (both(at(1, "H"), starts("MC")), "K", "K", 2),
+        (at(1, "H"), "X", "K", 2),
+        (both(at(1, "Z"), no(at(-2, "WI"))), "S", "X", 2),
+        (at(1, "CIA"), "X", "X", 3),
+        (both(at(-1, "U"), at(1, "CEE", "CES")), "KS", "KS", 3),
+        (both(no(at(-2, START[0] + "M")), at(1, "CI", "CE", "CH"), no(at(2, "HU"))), "X", "X", 3),
+        (both(no(at(-2, START[0] + "M")), at(1, "C")), "K", "K", 2),
+        (at(1, "K", "G", "Q"), "K", "K", 2),
+        (at(1, "IO", "IE", "IA"), "S", "X", 2),
+        (at(1, "I", "E", "Y"), "S", "S", 2),
+        (at(1, " C", " Q", " G"), "K", "K", 3),
+        (both(at(1, "C"), no(at(2, "E", "I"))), "K", "K", 2),
+        ("true", "K", "K", 1),
+    ]
+    out["D"] = [(at(1, "GI", "GE", "GY"), "J", "J", 3), (at(1, "G"), "TK", "TK", 2), *doubled("D", "T", "T")]
+    out["F"] = doubled("F", "F")
+    silent_gh = either(at(-2, *"BHD"), at(-3, *"BHD"), at(-4, *"BH"))
+    out["G"] = [
+        (both(FIRST, at(1, "N")), "", "", 1),
+        (both(at(1, "H"), no(start_or_vowel)), "K", "K", 2),
+        (both(at(1, "HI"), FIRST), "J", "J", 2),
+        (both(at(1, "H"), FIRST), "K", "K", 2),
+        (both(at(1, "H"), silent_gh), "", "", 2),
+        (both(at(1, "H"), at(-1, "U"), at(-3, *"CGLRT")), "F", "F", 2),
+        (both(at(1, "H"), no(at(-1, "I"))), "K", "K", 2),
+        (at(1, "H"), "", "", 1),
+        (both(at(1, "N"), before_vowel, at(-2, START[0]), no(SLAVIC)), "KN", "N", 2),
+        (both(at(1, "N"), no(at(2, "EY")), no(SLAVIC)), "N", "KN", 2),
+        (at(1, "N"), "KN", "KN", 2),
+        (both(at(1, "LI"), no(SLAVIC)), "KL", "L", 2),
+        (both(FIRST, either(at(1, "Y"), at(1, *["E" + c for c in "SPBLYIR"], *["I" + c for c in "BLNE"]))), "K", "J", 2),
+        (both(either(at(1, "ER"), at(1, "Y")), no(at(-1, "E", "I")), no(both(at(-1, "R", "O"), at(1, "Y"))),
+              no(starts("DANGER", "RANGER", "MANGER"))), "K", "J", 2),
+        (both(at(1, "E", "I", "Y"), GERMANIC), "K", "K", 2),
+        (both(at(-1, "A", "O"), at(1, "GI"), GERMANIC), "K", "K", 2),
+        (at(1, "ET"), "K", "K", 2),
+        (at(1, "IER "), "J", "J", 2),
+        (at(1, "E", "I", "Y"), "J", "K", 2),
+        (both(at(-1, "A", "O"), at(1, "GI")), "J", "K", 2),
+        *doubled("G", "K"),
+    ]
+    out["H"] = [(both(start_or_vowel, at(1, *VOWELS)), "H", "H", 2), ("true", "", "", 1)]
+    out["J"] = [
+        *[(both(test, starts("SAN ")), "H", "H", n) for test, _, _, n in doubled("J", "H")],
+        (both(FIRST, at(1, "OSE ")), "H", "H", 1),
+        (at(1, "OSE"), "J", "H", 1),
+        (both(FIRST, at(1, "J")), "J", "A", 2),
+        (FIRST, "J", "A", 1),
+        (both(before_vowel, at(1, "A", "O"), no(SLAVIC)), "J", "H", 1),
+        (LAST, "J", "", 1),
+        (both(no(at(-1, *"SKL")), at(1, "J")), "J", "J", 2),
+        (both(no(at(-1, *"SKL")), no(at(1, *"LTKSNMBZ"))), "J", "J", 1),
+        *doubled("J", ""),
+    ]
+    out["K"] = [(both(FIRST, at(1, "N")), "", "", 1), *doubled("K", "K")]
+    spanish = either(
+        both(at(-1, "I"), at(2, "O", "A"), ending(3)), both(at(-1, "A"), at(2, "E"), ending(3)),
+        both(at(-1, "A"), at(2, "E"), f"substring(w, i + 6) RLIKE '[AO]S?{PAD}$'"))
+    out["L"] = [(both(at(1, "L"), spanish), "L", "", 2), *doubled("L", "L")]
+    out["M"] = [(both(at(-1, "U"), at(1, "B"), either(ending(2), at(2, "ER"))), "M", "M", 2), *doubled("M", "M")]
+    out["N"] = doubled("N", "N")
+    out["P"] = [(both(FIRST, at(1, "N", "S")), "", "", 1), (at(1, "H"), "F", "F", 2), *doubled("P", "P", "B")]
+    out["Q"] = doubled("Q", "K")
+    out["R"] = [(both(LAST, at(-2, "IE"), no(at(-4, "ME", "MA")), no(SLAVIC)), "", "R", 1), *doubled("R", "R")]
+    out["S"] = [
+        (both(at(-1, "I", "Y"), at(1, "L")), "", "", 1),
+        (both(FIRST, at(1, "UGAR")), "X", "S", 1),
+        (at(1, "HEIM", "HOEK", "HOLM", "HOLZ"), "S", "S", 2),
+        (at(1, "H"), "X", "X", 2),
+        (both(at(1, "IO", "IA"), no(SLAVIC)), "S", "X", 3),
+        (at(1, "IO", "IA"), "S", "S", 3),
+        (both(FIRST, at(1, *"MNLW")), "S", "X", 1),
+        (at(1, "Z"), "S", "X", 2),
+        (at(1, "CHER", "CHEN"), "X", "SK", 3),
+        (at(1, "CHOO", "CHUY", "CHED", "CHEM"), "SK", "SK", 3),
+        (both(FIRST, at(1, "CH"), no(at(3, *VOWELS, "W"))), "X", "S", 3),
+        (at(1, "CH"), "X", "X", 3),
+        (at(1, "CI", "CE", "CY"), "S", "S", 3),
+        (at(1, "C"), "SK", "SK", 3),
+        (both(at(-2, "AI", "OI"), LAST), "", "S", 1),
+        *doubled("S", "S"),
+    ]
+    out["T"] = [
+        (at(1, "ION"), "X", "X", 3),
+        (at(1, "IA", "CH"), "X", "X", 3),
+        (at(1, "HOM", "HAM"), "T", "T", 2),
+        (both(either(at(1, "H"), at(1, "TH")), GERMANIC), "T", "T", 2),
+        (either(at(1, "H"), at(1, "TH")), "0", "T", 2),
+        *doubled("T", "T", "D"),
+    ]
+    out["V"] = doubled("V", "F")
+    out["W"] = [
+        (both(FIRST, at(1, "R")), "", "", 1),
+        (at(1, "R"), "R", "R", 2),
+        (both(FIRST, at(1, *VOWELS)), "A", "F", 1),
+        (both(FIRST, at(1, "H")), "A", "A", 1),
+        (both(before_vowel, LAST), "", "F", 1),
+        (both(at(-1, "E", "O"), at(1, "SKI", "SKY")), "", "F", 1),
+        (starts("SCH"), "", "F", 1),
+        (at(1, "ICZ", "ITZ"), "TS", "FX", 4),
+        ("true", "", "", 1),
+    ]
+    out["X"] = [(FIRST, "S", "S", 1), (both(at(-2, "AU", "OU"), LAST), "", "", 1), *doubled("X", "KS", "C")]
+    out["Z"] = [
+        (at(1, "HZ"), "J", "J", 3),
+        (at(1, "H"), "J", "J", 2),
+        (at(1, "ZO ", "ZI ", "ZA "), "S", "TS", 2),
+        *[(both(test, no(at(-1, START[0], "T")), SLAVIC), "S", "TS", n) for test, _, _, n in doubled("Z", "S")],
+        *doubled("Z", "S"),
+    ]
+    return out
+
+
+def sound_at() -> str:
+    """What is heard at letter i of the padded word w, as a struct."""
+    heard = lambda p, s, n: f"named_struct('p', '{p}', 's', '{s}', 'n', {n})"
+    letters = []
+    for letter, listed in rules().items():
+        tests = " ".join(f"WHEN {test} THEN {heard(p, s, n)}" for test, p, s, n in listed)
+        letters.append(f"WHEN '{letter}' THEN CASE {tests} END")
+    return f"CASE substring(w, i + 4, 1) {' '.join(letters)} ELSE {heard('', '', 1)} END"
+
+
+def plain_letters() -> tuple[str, str, str]:
+    """Letters with marks, the same without, and the marks that stand alone."""
+    marked = [chr(c) for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]]
+    bare = {c: unicodedata.normalize("NFD", c)[0] for c in marked}
+    bare = {c: b.upper() for c, b in bare.items() if b.isascii() and b != c}
+    bare["ß"] = "S"
+    return "".join(bare), "".join(bare.values()), "".join(map(chr, range(0x300, 0x370)))
+
+
+def padded(name: str) -> str:
+    """SQL of the upper case of a name without accents, between its pads."""
+    marked, bare, marks = plain_letters()
+    return f"concat('{START}', upper(translate(coalesce({name}, ''), '{marked}{marks}', '{bare}')), '{PAD}')"
+
+
+def codes(name: str) -> Column:
+    """Struct of code_primary and code_secondary of a name given as SQL; empty for a missing one."""
+    step = ("transform(array({heard}), h -> named_struct('next', i + h.n, 'p', concat(a.p, h.p), "
+            "'s', concat(a.s, h.s)))[0]").format(heard=sound_at())
+    walk = (f"aggregate(slice(sequence(0, length(w) - {len(START + PAD)}), 2, length(w)), "
+            f"named_struct('next', 1, 'p', '', 's', ''), (a, i) -> CASE WHEN i < a.next THEN a ELSE {step} END)")
+    return F.expr(f"transform(transform(array({padded(name)}), w -> {walk}), "
+                  "a -> named_struct('code_primary', a.p, 'code_secondary', a.s))[0]")
 
 
 def name_codes(df: DataFrame, column: str) -> DataFrame:
     """Add ``code_primary``, ``code_secondary`` and ``code`` (both, ``;`` between,
     when they differ).  A narrow step: no shuffle, so no hot name."""
-    coded = df.withColumn("_codes", codes(F.col(column))).select("*", "_codes.*").drop("_codes")
-    both = F.concat_ws(";", "code_primary", "code_secondary")
+    coded = df.withColumn("_codes", codes(f"`{column}`")).select("*", "_codes.*").drop("_codes")
+    both_ = F.concat_ws(";", "code_primary", "code_secondary")
     same = F.col("code_primary") == F.col("code_secondary")
-    return coded.withColumn("code", F.when(same, F.col("code_primary")).otherwise(both))
-
-
-# tasks get this module with the function, so executors need no copy of the package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    return coded.withColumn("code", F.when(same, F.col("code_primary")).otherwise(both_))

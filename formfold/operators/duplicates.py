@@ -33,8 +33,8 @@ def blocks(registry: DataFrame, window_days: int) -> DataFrame:
         "client_id",
         F.col("Gender").alias("gender"),
         F.concat_ws(" ", "given_name", "family_name").alias("full_name"),
-        codes(F.col("given_name")).alias("given"),
-        codes(F.col("family_name")).alias("family"),
+        codes("given_name").alias("given"),
+        codes("family_name").alias("family"),
         F.array(*halves).alias("windows"),
     )
     return (

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from oracle import survey
+from oracle import sounds, survey
 
 UUIDS = ["ea68aad6-4655-4dc5-80f2-780e33055a9e", "c7f47a56-207b-11e9-ab14-d663bd873d93",
          "92e03f22-9686-11e9-bc42-526af7764f64", "2cc8c535-bbfa-4668-98c7-b12e3550ee7b",
@@ -465,6 +465,9 @@ def run_sql() -> dict[str, str]:
                              + ", ".join(f"({q(t)})" for t in EVENT_TYPES) + ") t(name)",
         "curated_violations": violations_sql(),
         "refresh_client_enrollment_subset": subset_sql(),
+        "name_codes": sounds.name_codes_sql(),
+        "duplicate_candidates": sounds.duplicates_sql(
+            registry_ctes() + [person_cte("clients", "p.voided = 0")], REGISTRY_SELECT.format(clients="clients")),
     }
 
 

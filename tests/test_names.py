@@ -1,11 +1,13 @@
 """Phonetic codes and what is built on them."""
 
+import random
 from itertools import combinations
 
-import pytest
+import duckdb
 
-from formfold.functions.names import name_codes, word_codes
+from formfold.functions.names import name_codes
 from formfold.operators.duplicates import duplicate_candidates
+from oracle import sounds
 
 # pairs published with the algorithm, and words its rules are known by
 KNOWN = {
@@ -24,17 +26,33 @@ KNOWN = {
 }
 
 
-@pytest.mark.parametrize("word", KNOWN)
-def test_known_words(word):
-    assert word_codes(word) == KNOWN[word]
-    assert word_codes(word.upper()) == KNOWN[word]
+def word_codes(spark, words):
+    made = spark.createDataFrame([(w,) for w in words], "n string")
+    return {r["n"]: (r["code_primary"], r["code_secondary"]) for r in name_codes(made, "n").collect()}
 
 
-def test_missing_blank_and_long_names():
-    assert word_codes(None) == word_codes("") == word_codes("   ") == ("", "")
-    assert word_codes("José") == word_codes("Jose")
-    assert len(word_codes("tx" * 60)[0]) == 180
-    assert word_codes("b" * 55 + "k") != word_codes("b" * 55)
+def test_known_words(spark):
+    assert word_codes(spark, KNOWN) == KNOWN
+    assert word_codes(spark, [w.upper() for w in KNOWN]) == {w.upper(): c for w, c in KNOWN.items()}
+
+
+def test_missing_blank_and_long_names(spark):
+    got = word_codes(spark, [None, "", "   ", "José", "Jose", "tx" * 60, "b" * 55 + "k", "b" * 55])
+    assert got[None] == got[""] == got["   "] == ("", "")
+    assert got["José"] == got["Jose"] and len(got["tx" * 60][0]) == 180
+    assert got["b" * 55 + "k"] != got["b" * 55]
+
+
+def test_words_of_all_contexts_against_sql(spark):
+    """Random words of the letter groups that rules look at, on a second engine."""
+    rng = random.Random(4)
+    groups = ("CH SCH GH GN CC LL TH TT WI CZ MB AU IE ER OSE GI GE MC ZZ TIA W X J K AESAR LLE OS".split()
+              + ["VAN ", "SAN ", " C"] + list("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    words = {"".join(rng.choice(groups) for _ in range(rng.randint(1, 6))).strip() for _ in range(6000)}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE given_words AS SELECT unnest(?) AS word", [sorted(words)])
+    sql = "WITH RECURSIVE " + ", ".join(sounds.codes_ctes("SELECT word FROM given_words")) + " SELECT * FROM codes"
+    assert word_codes(spark, words) == {w: (p, s) for w, p, s in con.execute(sql).fetchall()}
 
 
 def test_column(spark):
@@ -56,11 +74,13 @@ def test_duplicates_against_all_pairs(spark):
     got = duplicate_candidates(df, window).collect()
     linked = {(r["client_id"], r["first_client_id"]) for r in got}
 
+    coded = word_codes(spark, {p[3] for p in people} | {p[4] for p in people})
+
     def blocks(p):
         from datetime import date
         day = (date.fromisoformat(p[2]) - date(1970, 1, 1)).days
-        for g in set(word_codes(p[3])):
-            for f in set(word_codes(p[4])):
+        for g in set(coded[p[3]]):
+            for f in set(coded[p[4]]):
                 for w in (day // window * 2, (day + window // 2) // window * 2 + 1):
                     yield g, f, p[1], w
 
