@@ -36,6 +36,9 @@ class Packer:
         self.open: list[list[int]] = [[] for _ in range(window)]
 
     def place(self, size: int) -> tuple[int, int]:
+        if size == self.window:
+            self.made += 1
+            return self.made - 1, 0
         most = self.window - size
         change = 2 * self.level[size:self.window + 1] + 1  # by the level the piece comes from
         change[most] = 0  # a full window is closed

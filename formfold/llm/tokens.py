@@ -9,12 +9,15 @@ space touches a space is encoded as one piece.
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 #: White space other than the space itself.
 OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+#: Marks that end a word of letters.
+MARKS = ".,;:!?"
+#: Up to here all libraries agree what a letter is.
+LATIN_END = "\u0250"
 ASCII_SPACES = [c for c in OTHER_SPACES if c < "\x80"]
 
 
@@ -26,39 +29,77 @@ def pieces_of(text: str) -> list[str]:
     return [text] if "" in pieces else pieces
 
 
-class Encoder:
-    """encode(texts) gives each text's ids as little-endian unsigned 32-bit bytes.
+class Memory(dict):
+    """Piece to bytes; of at most `most` entries a half that was not asked for lately goes."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.half, self.older = most // 2, {}
+
+    def trim(self) -> None:
+        if len(self) > self.half:
+            self.older = dict(self)
+            self.clear()
 
-    At most `remembered` pieces are kept; then the memory starts afresh.
-    """
+    def recall(self, pieces: set[str]) -> list[str]:
+        """The pieces that are really new; the others are fetched from the older half."""
+        older, new = self.older, []
+        for p in pieces:
+            found = older.get(p)
+            if found is None:
+                new.append(p)
+            else:
+                self[p] = found
+        return new
 
-    def __init__(self, path: str, remembered: int = 500_000):
+
+class Encoder:
+    """encode(texts) gives each text's ids as little-endian unsigned 32-bit bytes."""
+
+    def __init__(self, path: str, remembered: int = 1_600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.remembered = remembered
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def learn(self, known: dict[str, bytes], new: list[str], lead: str) -> None:
-        for i in range(0, len(new), 20_000):
-            some = new[i:i + 20_000]
-            for piece, e in zip(some, self.tokenizer.encode_batch_fast([lead + p for p in some], add_special_tokens=False)):
-                known[piece] = np.array(e.ids, "<u4").tobytes()
+        self.first, self.later = Memory(remembered // 8), Memory(remembered)
+        self.marks = {m: self.whole([m])[0] for m in MARKS}
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, known: Memory, pieces: set[str], lead: str) -> None:
+        """A mark after letters is a word of its own, so the letters are looked up without it."""
+        new = known.recall(pieces)
+        stems = {p: p[:-1] for p in new if p[-1:] in self.marks and p[:-1].isalpha() and max(p) < LATIN_END}
+        words = {p for p in new if p not in stems}
+        words.update(known.recall({w for w in stems.values() if w not in known}))
+        ordered = list(words)
+        for i in range(0, len(ordered), 20_000):
+            some = ordered[i:i + 20_000]
+            known.update(zip(some, self.whole([lead + p for p in some])))
+        for p, w in stems.items():
+            known[p] = known[w] + self.marks[p[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > self.remembered:
-            self.first, self.later = {}, {}
-        first, later = self.first, self.later
         cut = [pieces_of(t) for t in texts]
-        self.learn(first, list({p[0] for p in cut} - first.keys()), "")
-        new: set[str] = set()
+        heads, tails = {p[0] for p in cut}, []
+        self.first.trim()
+        self.later.trim()
+        self.learn(self.first, heads - self.first.keys(), "")
+        get, missing = self.later.get, set()
         for p in cut:
-            new.update(p[1:])
-        self.learn(later, list(new - later.keys()), " ")
-        get = later.__getitem__
-        return [first[p[0]] + b"".join(map(get, p[1:])) for p in cut]
+            known = list(map(get, p))
+            known[0] = self.first[p[0]]
+            holes = [i for i, x in enumerate(known) if x is None] if None in known else ()
+            missing.update([p[i] for i in holes])
+            tails.append((known, holes))
+        self.learn(self.later, missing, " ")
+        out = []
+        for p, (known, holes) in zip(cut, tails):
+            for i in holes:
+                known[i] = get(p[i])
+            out.append(b"".join(known))
+        return out
 
 
 @lru_cache(maxsize=2)
