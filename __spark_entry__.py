@@ -207,7 +207,7 @@ def workflow_publish(spark, sf):
     needed = {n: {catalog.mart(n).source: upstream(spark, sf, catalog.mart(n))} for n in catalog.marts()}
     for name in catalog.marts():
         space.publish(needed[name], [name])
-    sizes = [spark.read.parquet(f"{space.root}/marts/{n}").agg(
+    sizes = [curated.read_mart(spark, f"{space.root}/marts", n).agg(
         F.lit(n).alias("mart"), F.count(F.lit(1)).alias("n")) for n in catalog.marts()]
     return reduce(DataFrame.unionByName, sizes)
 

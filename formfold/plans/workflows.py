@@ -20,7 +20,7 @@ from formfold.session import tune
 from formfold.sources import curated
 from formfold.sources.derived import values
 from formfold.sources.runlog import RunLog
-from formfold.sources.staging import shared_folder, written
+from formfold.sources.staging import remove, shared_folder
 
 # names of the runs, also what retention goes by
 REBUILD, REFRESH, PUBLISH = "rebuild", "scheduled_updates", "publish_marts"
@@ -79,6 +79,7 @@ class Workspace:
         self.staging = shared_folder(self.spark, self.staging)
         if not self.staging:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        self.copies: list[str] = []
         self.log = RunLog(self.spark, f"{self.root}/run_log")
 
     @contextmanager
@@ -92,9 +93,13 @@ class Workspace:
             raise
         finally:
             self.log.stop(run, error)
+            for path in self.copies:  # nothing reads a run's copies after it
+                remove(self.spark, path)
+            self.copies.clear()
 
     def fresh(self, what: str) -> str:
-        return f"{self.staging}/{what}-{uuid.uuid4().hex}"
+        self.copies.append(f"{self.staging}/{what}-{uuid.uuid4().hex}")
+        return self.copies[-1]
 
     def table(self, name: str) -> DataFrame:
         return curated.read_curated(self.spark, self.root, name).drop(curated.MONTH)
@@ -102,12 +107,15 @@ class Workspace:
     def rebuild(self, records: Mapping[str, DataFrame]) -> None:
         """All eight curated tables from the records."""
         with self.run(REBUILD):
-            curated.write_curated(registry.build(records), self.root, "client_registration")
+            made = {"client_registration": curated.prepare(registry.build(records), self.root, "client_registration")}
             staged = stage_observations(records, self.catalog, self.fresh("observations"))
             for name in FORMS:
                 own = {**{t: records[t] for t in _FORM_RECORDS}, "obs": staged[name]}
                 built = forms.build(own, name, self.catalog, clustered=True)
-                curated.write_curated(built, self.root, name)
+                made[name] = curated.prepare(built, self.root, name)
+            # all tables are written before the first becomes current
+            for name, version in made.items():
+                curated.switch(self.spark, self.root, name, version)
 
     def refresh(self, records: Mapping[str, DataFrame]) -> None:
         """Bring in what changed since the last finished rebuild or refresh; without
@@ -117,9 +125,9 @@ class Workspace:
             return self.rebuild(records)
         with self.run(REFRESH):
             self.refresh_since(records, since)
-        self.log.forget((REFRESH, PUBLISH), self.staging)
 
     def refresh_since(self, records: Mapping[str, DataFrame], since) -> None:
+        """What a logged refresh does, from a moment on."""
         at = F.lit(since).cast("timestamp")
         keys = self.written(changed_encounters(records, at), "changed-encounters")
         touched = self.touched_records(records, keys)
@@ -129,7 +137,9 @@ class Workspace:
         self.apply_registry_changes(records, persons)
 
     def written(self, df: DataFrame, what: str) -> DataFrame:
-        return written(df, what, self.staging)
+        path = self.fresh(what)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def touched_records(self, records, keys: DataFrame) -> dict[str, DataFrame]:
         """The records of some encounters: the store is read once for all the forms."""
@@ -156,7 +166,7 @@ class Workspace:
         old = target.filter(F.col(curated.MONTH).isin(months)).drop(curated.MONTH)
         merged = refresh.upsert(old, changes, "encounter_id", recomputed=keys)
         merged = refresh.reapplied(merged, records, name, self.catalog).drop("_stale")
-        curated.replace_months(merged, self.root, name, self.staging)
+        curated.replace_months(merged, self.root, name, months)
 
     def apply_registry_changes(self, records, persons: DataFrame) -> None:
         """The registry is rewritten whole: details of any client may have changed."""
@@ -167,7 +177,7 @@ class Workspace:
             base, changes, "client_id",
             recomputed=persons.select(F.col("person_id").alias("client_id")))
         done = curated.typed(registry.with_details(merged, records), table)
-        curated.replace_months(done, self.root, table, self.staging)
+        curated.write_curated(done, self.root, table)
 
     def publish(self, upstream: Mapping[str, DataFrame], names: Iterable[str] | None = None) -> None:
         """All marts from their upstream tables."""
@@ -176,16 +186,18 @@ class Workspace:
                 curated.publish_mart(
                     marts.build(upstream, name, self.catalog), name, f"{self.root}/marts")
 
+    def history(self) -> DataFrame:
+        return run_history(self.log.remembered((REFRESH, PUBLISH)))
+
     def refresh_all(self, records, upstream) -> DataFrame:
         self.refresh(records)
         self.publish(upstream)
-        return run_history(self.log.runs())
+        return self.history()
 
     def recreate_all(self, records, upstream) -> DataFrame:
-        curated.reset(self.spark, self.root)
         self.rebuild(records)
         self.publish(upstream)
-        return run_history(self.log.runs())
+        return self.history()
 
 
 _FORM_RECORDS = ("encounter", "encounter_type", "form", "patient", "patient_identifier",

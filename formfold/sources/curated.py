@@ -1,12 +1,16 @@
 """Curated tables and marts on storage: typed writes, empty tables, publishing.
 
-A curated table is a Parquet directory partitioned by the month its rows were
-created in.  That month never changes for a row, so a refresh knows from the
-changed keys which few partitions it has to rewrite.
+A table is never changed in place.  Every write goes to a version folder of its own; one
+appended line of the table's manifest then makes it current, so that readers see the old
+rows or the new ones and a job that dies leaves the old ones.  Curated versions are
+partitioned by the month their rows were created in.  That month never changes for a row, so
+a refresh knows from the changed keys which few months it has to write; the manifest says
+which months its version stands for.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -14,8 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formfold.sources.schemas import CURATED, declared, schema_of, spark_type, width
+from formfold.sources.staging import remove
 
 MONTH = "created_month"
+LINES = "version string, at long, whole boolean, months array<string>"
 CREATED = {"client_registration": "registration_date"}
 
 
@@ -48,34 +54,58 @@ def laid_out(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def write_curated(df: DataFrame, root: str, table: str) -> str:
+def manifest(spark: SparkSession, root: str, table: str) -> list:
+    """The lines that are current, oldest first: the last whole version and the months replaced since.
+
+    One line a write since the last rebuild."""
+    lines = spark.read.schema(LINES).parquet(f"{root}/manifests/{table}").collect()
+    lines.sort(key=lambda r: (r["at"], r["version"]))
+    whole = max(i for i, r in enumerate(lines) if r["whole"])
+    return lines[whole:]
+
+
+def switch(spark: SparkSession, root: str, table: str, version: str, months: Sequence[str] | None = None) -> None:
+    """Make a written version current, for some months or as the whole table."""
+    line = (version, time.time_ns(), months is None, list(months or []))
+    spark.createDataFrame([line], LINES).coalesce(1).write.mode("append").parquet(f"{root}/manifests/{table}")
+
+
+def prepare(df: DataFrame, root: str, table: str) -> str:
+    """Write a version of a curated table without making it current."""
+    version = uuid.uuid4().hex
+    laid_out(typed(df, table), table).write.partitionBy(MONTH).parquet(f"{root}/{table}/version={version}")
+    return version
+
+
+def write_curated(df: DataFrame, root: str, table: str) -> None:
     """Replace a curated table."""
-    path = f"{root}/{table}"
-    laid_out(typed(df, table), table).write.mode("overwrite").partitionBy(MONTH).parquet(path)
-    return path
+    switch(df.sparkSession, root, table, prepare(df, root, table))
 
 
 def read_curated(spark: SparkSession, root: str, table: str) -> DataFrame:
-    schema = schema_of(table).add(MONTH, "string")
-    return spark.read.schema(schema).parquet(f"{root}/{table}")
+    """The current rows: months are pruned before files are read."""
+    first, *later = manifest(spark, root, table)
+    owner = {m: r["version"] for r in later for m in r["months"]}
+    versions = [first["version"], *dict.fromkeys(owner.values())]
+    rows = (spark.read.schema(schema_of(table).add(MONTH, "string").add("version", "string"))
+            .option("basePath", f"{root}/{table}").parquet(*[f"{root}/{table}/version={v}" for v in versions]))
+    wanted = (F.col("version") == first["version"]) & ~F.col(MONTH).isin(list(owner))
+    for v in dict.fromkeys(owner.values()):
+        wanted = wanted | ((F.col("version") == v) & F.col(MONTH).isin([m for m, o in owner.items() if o == v]))
+    return rows.filter(wanted).drop("version")
 
 
-def replace_months(df: DataFrame, root: str, table: str, staging: str) -> None:
-    """Replace the partitions that ``df`` has rows for, and leave the others.
+def replace_months(df: DataFrame, root: str, table: str, months: Sequence[str]) -> None:
+    """Replace the rows of some months by ``df``, and leave the others."""
+    switch(df.sparkSession, root, table, prepare(df, root, table), months)
 
-    The rows are first written in full to a fresh place: the second step reads
-    that copy and never the partitions it replaces, and can be repeated from it.
-    """
-    copy = f"{staging}/{table}-{uuid.uuid4().hex}"
-    laid_out(typed(df, table), table).write.partitionBy(MONTH).parquet(copy)
-    spark = df.sparkSession
-    rows = spark.read.schema(schema_of(table).add(MONTH, "string")).parquet(copy)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(f"{root}/{table}")
-    )
+
+def vacuum(spark: SparkSession, root: str, table: str) -> None:
+    """Delete the versions that are no longer current.  Not while a reader may still use them."""
+    current = {r["version"] for r in manifest(spark, root, table)}
+    every = spark.read.schema(LINES).parquet(f"{root}/manifests/{table}").select("version").collect()
+    for version in {r["version"] for r in every} - current:
+        remove(spark, f"{root}/{table}/version={version}")
 
 
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
@@ -97,13 +127,22 @@ def reset_database(spark: SparkSession, database: str) -> None:
 def publish_mart(df: DataFrame, name: str, root: str | None = None, database: str | None = None) -> None:
     """Create a mart from a select; its schema is that of the select.
 
-    Rows are clustered by visit date where there is one, so that date ranges
-    skip row groups by their min/max.
+    Rows are clustered by visit date where there is one, so that date ranges skip row groups
+    by their min/max.  In a database the mart is a view of its current version.
     """
+    spark = df.sparkSession
     if "visit_date" in df.columns:
         df = df.sortWithinPartitions("visit_date")
-    writer = df.write.mode("overwrite").format("parquet")
     if database:
-        writer.saveAsTable(f"`{database}`.`{name}`")
+        root = spark.sql(f"DESCRIBE DATABASE `{database}`").filter("info_name = 'Location'").first()["info_value"]
+    version = uuid.uuid4().hex
+    path = f"{root}/{name}/version={version}"
+    df.write.parquet(path)
+    if database:
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT * FROM parquet.`{path}`")
     else:
-        writer.save(f"{root}/{name}")
+        switch(spark, root, name, version)
+
+
+def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/{name}/version={manifest(spark, root, name)[-1]['version']}")

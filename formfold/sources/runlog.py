@@ -36,6 +36,7 @@ def watermark(runs_: DataFrame, names: tuple[str, ...]) -> DataFrame:
 class RunLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        spark.createDataFrame([], NOTES).write.mode("ignore").parquet(path)
 
     def _append(self, **note) -> None:
         note = {"noted_at": datetime.now(timezone.utc), **note}
@@ -57,17 +58,9 @@ class RunLog:
         return runs(self.notes())
 
     def since(self, names: tuple[str, ...]) -> datetime | None:
-        try:
-            return watermark(self.runs(), names).first()["since"]
-        except Exception as e:  # no log yet
-            if "PATH_NOT_FOUND" in str(e):
-                return None
-            raise
-
-    def forget(self, names: tuple[str, ...], staging: str, hours: int = 12) -> None:
-        """Drop old runs of the given names.  The log is small; it is rewritten from
-        a copy, never from itself."""
-        kept = retained(self.runs(), names, hours=hours).select("id")
-        copy = f"{staging}/run-log-{uuid.uuid4().hex}"
-        self.notes().join(kept, "id", "left_semi").write.parquet(copy)
-        self.spark.read.schema(NOTES).parquet(copy).coalesce(1).write.mode("overwrite").parquet(self.path)
+        return watermark(self.runs(), names).first()["since"]
+
+    def remembered(self, names: tuple[str, ...], hours: int = 12) -> DataFrame:
+        """The runs without old ones of the given names.  Old notes are left out when the log
+        is read, so that no reader and no crash ever meets a log that is being rewritten."""
+        return retained(self.runs(), names, hours=hours)

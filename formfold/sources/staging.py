@@ -13,6 +13,12 @@ def shared_folder(spark: SparkSession, otherwise: str | None = None) -> str | No
     return otherwise or spark.conf.get("spark.checkpoint.dir", None)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of whatever store its path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(df: DataFrame, what: str, folder: str | None) -> DataFrame:
     """The rows read back from a copy; without a folder, the plan itself."""
     if not folder:

@@ -100,8 +100,37 @@ def test_run_log(spark, folder):
         (REFRESH, "Pending"), (REBUILD, "Success")]
     # the failed run does not move the watermark
     assert made.log.since((REBUILD, REFRESH)) == made.log.since((REBUILD,)) == first
-    made.log.forget((REFRESH, PUBLISH), made.staging, hours=0)
-    assert [r["script_name"] for r in made.log.runs().collect()] == [REBUILD]
+    kept = made.log.remembered((REFRESH, PUBLISH), hours=0)
+    assert [r["script_name"] for r in kept.collect()] == [REBUILD]
+    # what the history no longer shows still counts for the watermark
+    with made.run(REFRESH):
+        pass
+    assert made.log.since((REBUILD, REFRESH)) > first
+
+
+def test_a_rebuild_that_fails_leaves_the_old_tables(spark, folder):
+    records = DerivedRecords(spark, SMALL)
+    made = Workspace(spark, folder)
+    made.rebuild(records)
+    before = {n: made.table(n).count() for n in ("client_registration", "contact", "hts_test")}
+    broken = _all({"person": records["person"].limit(0), "encounter": records["encounter"].filter(
+        "raise_error('store is gone') IS NULL")}, records)
+    with pytest.raises(Exception, match="store is gone"):
+        made.rebuild(broken)
+    assert {n: made.table(n).count() for n in before} == before
+    assert not list(__import__("pathlib").Path(made.staging).glob("observations-*"))
+
+
+def test_months_are_replaced_and_old_versions_deleted(spark, folder):
+    rows = forms.build(DerivedRecords(spark, SMALL), "contact")
+    curated.write_curated(rows, folder, "contact")
+    month = curated.read_curated(spark, folder, "contact").first()[curated.MONTH]
+    left = curated.read_curated(spark, folder, "contact").filter(f"{curated.MONTH} <> '{month}'").count()
+    curated.replace_months(rows.limit(0), folder, "contact", [month])
+    assert curated.read_curated(spark, folder, "contact").count() == left
+    curated.write_curated(rows, folder, "contact")
+    curated.vacuum(spark, folder, "contact")
+    assert curated.read_curated(spark, folder, "contact").count() == rows.count()
 
 
 def test_publish_and_recreate(spark, folder):
@@ -110,7 +139,7 @@ def test_publish_and_recreate(spark, folder):
     tables = {catalog.mart(n).source: upstream(spark, SMALL, catalog.mart(n)) for n in names}
     made = Workspace(spark, folder)
     made.publish(tables, names)
-    got = spark.read.parquet(f"{folder}/marts/laboratory_extract")
+    got = curated.read_mart(spark, f"{folder}/marts", "laboratory_extract")
     assert got.count() == tables["etl_laboratory_extract"].count()
     assert "HIV VIRAL LOAD" in {r[0] for r in got.select("lab_test").distinct().collect()}
     curated.reset(spark, folder)
