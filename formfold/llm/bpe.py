@@ -112,7 +112,7 @@ EXPLODED = pa.schema([("block", pa.binary()), ("bucket", pa.int32()), ("data", p
 EXPLODED_DDL = "block binary, bucket int, data binary, counts binary, doc_ids array<bigint>"
 
 
-def exploded(docs: DataFrame, pattern: str, buckets: int, most: int = 12_000_000) -> DataFrame:
+def exploded(docs: DataFrame, pattern: str, buckets: int, most: int = 9_000_000) -> DataFrame:
     """For each block: a row a bucket with its words, and a row (bucket -1) with the words'
     numbers by position, the number of pre-tokens of each document, and the doc_ids.
 
