@@ -149,7 +149,45 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 5
 """
 
+MINHASH_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE
+    list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(s) AS n FROM documents LEFT JOIN sets USING (doc_id) GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, ways.b FROM reach JOIN ways ON ways.a = reach.other)
+SELECT doc_id, sizes.n AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM sizes JOIN reach USING (doc_id) GROUP BY doc_id, sizes.n
+"""
+
+SUFFIX_SQL = """
+WITH texts AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+strings AS (SELECT doc_id, pos, b[pos:pos + 49] AS s FROM texts, unnest(range(1, octet_length(b) - 48)) AS u(pos)),
+firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s),
+hits AS (SELECT doc_id, pos FROM strings JOIN firsts USING (s) WHERE first < doc_id),
+marked AS (SELECT doc_id, pos, pos > coalesce(lag(pos) OVER (PARTITION BY doc_id ORDER BY pos), -50) + 50 AS fresh FROM hits),
+numbered AS (SELECT doc_id, pos, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM marked),
+spans AS (SELECT doc_id, min(pos) AS a, max(pos) + 50 AS z FROM numbered GROUP BY doc_id, run),
+pieces AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 1) AS s, a AS e FROM spans UNION ALL
+  SELECT doc_id, coalesce(max(z), 1), any_value(octet_length(b)) + 1 FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, sha256(from_hex(coalesce(string_agg(hex(b[s:e - 1]), '' ORDER BY s) FILTER (WHERE e > s), ''))) AS kept_sha256
+  FROM pieces JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(sum(z - a), 0) AS BIGINT) AS n_removed, count(z) AS n_spans, kept_sha256
+FROM texts JOIN kept USING (doc_id) LEFT JOIN spans USING (doc_id) GROUP BY doc_id, b, kept_sha256
+"""
+
 ORACLES = {
+    "op6_minhash": MINHASH_SQL,
+    "op7_suffixes": SUFFIX_SQL,
     "op8_urls": URL_SQL.format(rules=", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)),
     "op9_topk": TOPK_SQL,
 }
