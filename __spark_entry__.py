@@ -30,7 +30,7 @@ from formfold.sources.staging import shared_folder
 from formfold.streaming.refresh import refresh_stream
 
 SUBSET = ("visit_date", "voided")
-REFRESH_AT, VOID_AT = "2024-02-15", "2024-03-01"
+REFRESH_AT, VOID_AT, FEW_AT = "2024-02-15", "2024-03-01", "2024-03-30"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -309,6 +309,8 @@ def queries() -> dict[str, Query]:
     for name in FORMS:
         out[name] = form(name)
         out[f"refresh_{name}"] = refreshed(name, REFRESH_AT)
+    for name in ("contact", "clinical_visit"):
+        out[f"refresh_{name}_few"] = refreshed(name, FEW_AT)
     for name in default_catalog().marts():
         out[f"mart_{name}"] = mart(name)
     return {name: tuned(query) for name, query in {**out, **extra_queries()}.items()}

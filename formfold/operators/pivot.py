@@ -98,9 +98,27 @@ def eav_pivot(
     ``marks`` are further aggregates by name: the concept whose codes they read,
     and their SQL.
     """
+    folded = fold(obs, rules, keys, marks, clustered)
+    return folded.selectExpr(*keys, *[f"{finish(r)} AS {r.name}" for r in rules], *(marks or {}))
+
+
+def fold(
+    obs: DataFrame,
+    rules: Sequence[Rule],
+    keys: Sequence[str],
+    marks: Mapping[str, tuple[int, str]] | None = None,
+    clustered: bool = False,
+) -> DataFrame:
+    """The same before the columns get their types: ranks, numbers, moments and texts."""
     keys, marks = list(keys), marks or {}
     rows = gathered(obs, rules, keys, [concept for concept, _ in marks.values()], clustered)
-    folded = rows.groupBy(*keys).agg(
+    return rows.groupBy(*keys).agg(
         *[F.expr(f"{measure(r)} AS {r.name}") for r in rules],
         *[F.expr(f"{sql} AS {name}") for name, (_, sql) in marks.items()])
-    return folded.selectExpr(*keys, *[f"{finish(r)} AS {r.name}" for r in rules], *marks)
+
+
+def folded_again(rule: Rule) -> str:
+    """SQL that folds a rule's folded values further."""
+    if rule.kind in TEXT_KINDS:
+        return f"max(struct(lower({rule.name}) AS folded, {rule.name} AS raw)).raw AS {rule.name}"
+    return f"max({rule.name}) AS {rule.name}"

@@ -67,7 +67,7 @@ def kit_groups(obs: DataFrame, form: Form, clustered: bool = False) -> DataFrame
         parts, form.kit_parts, ("encounter_id", "obs_group_id"), clustered=clustered)
 
 
-def kit_slots(groups: DataFrame, form: Form) -> DataFrame:
+def kit_slots(form: Form) -> list:
     """Per encounter, the kit of the groups that carry a first (second) result.
 
     Each column is maximised on its own over the encounter's groups.
@@ -81,7 +81,7 @@ def kit_slots(groups: DataFrame, form: Form) -> DataFrame:
             value = f"max({held} {part} END)" if rule.type == "date" else \
                 f"max({held} struct(lower({part}) AS folded, {part} AS raw) END).raw"
             out.append(F.expr(f"{value} AS {rule.name}"))
-    return groups.groupBy("encounter_id").agg(*out)
+    return out
 
 
 def repeat_mark(form: Form) -> dict[str, tuple[int, str]]:
@@ -135,12 +135,25 @@ def owned_identifiers(records: Mapping[str, DataFrame], form: Form):
 
 
 def _tests(enc: DataFrame, obs: DataFrame, form: Form, clustered: bool) -> DataFrame:
+    """One scan: answers fold by (encounter, group), kits by their group's parts, and both
+    again by encounter.  An encounter has a row if it has a kit and an answer."""
     mark = repeat_mark(form)
-    asked = pivot.eav_pivot(
-        pivot.of_concepts(obs, form.concepts), form.measures, marks=mark, clustered=clustered)
-    kits = kit_slots(kit_groups(obs, form, clustered), form)
-    # both sides hold one row per encounter, so the join cannot fan out
-    wide = enc.join(asked, "encounter_id").join(kits, "encounter_id")
-    confirmed = F.col("form_uuid") == TEST_FORMS["confirmatory"]
     (column,) = mark
+    kit_concepts = [r.concept for r in form.kit_parts]
+    held = {name: (concepts[0], f"max(CASE WHEN concept_id IN ({', '.join(map(str, sorted(concepts)))}) THEN 1 ELSE 0 END)")
+            for name, concepts in (("_asked", list(form.concepts)), ("_kit", kit_concepts))}
+    keys = ("encounter_id", "obs_group_id")
+    groups = pivot.fold(
+        pivot.of_concepts(obs, sorted({*form.concepts, *kit_concepts})), [*form.kit_parts, *form.measures], keys,
+        {**mark, **held}, clustered)
+    groups = groups.selectExpr(
+        *keys, *[f"{pivot.finish(r)} AS {r.name}" for r in form.kit_parts], *[r.name for r in form.measures], *mark, *held)
+    asked = groups.groupBy("encounter_id").agg(
+        *kit_slots(form), *[F.expr(pivot.folded_again(r)) for r in form.measures],
+        *[F.max(m).alias(m) for m in (*mark, *held)]).filter("_asked = 1 AND _kit = 1")
+    kits = [r.name for r in form.columns if r.source == "kit"]
+    asked = asked.selectExpr("encounter_id", *kits, *[f"{pivot.finish(r)} AS {r.name}" for r in form.measures], *mark)
+    # one row per encounter on both sides, so the join cannot fan out
+    wide = enc.join(asked, "encounter_id")
+    confirmed = F.col("form_uuid") == TEST_FORMS["confirmatory"]
     return wide.withColumn(column, F.when(confirmed, F.lit(2)).otherwise(F.col(column)))

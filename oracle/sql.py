@@ -21,7 +21,7 @@ KIT = {
     "result_2": (1326, {703: "Positive", 664: "Negative", 1175: "N/A"}),
     "kit_name": (164962, {164960: "Determine", 164961: "First Response"}),
 }
-REFRESH_AT, VOID_AT = "2024-02-15", "2024-03-01"
+REFRESH_AT, VOID_AT, FEW_AT = "2024-02-15", "2024-03-01", "2024-03-30"
 
 
 def q(s: str | None) -> str:
@@ -465,6 +465,7 @@ def run_sql() -> dict[str, str]:
                              + ", ".join(f"({q(t)})" for t in EVENT_TYPES) + ") t(name)",
         "curated_violations": violations_sql(),
         "refresh_client_enrollment_subset": subset_sql(),
+        **{f"refresh_{f}_few": with_(refresh_ctes(f, FEW_AT), "SELECT * FROM refreshed") for f in ("contact", "clinical_visit")},
         "name_codes": sounds.name_codes_sql(),
         "duplicate_candidates": sounds.duplicates_sql(
             registry_ctes() + [person_cte("clients", "p.voided = 0")], REGISTRY_SELECT.format(clients="clients")),
