@@ -11,8 +11,9 @@ long enough to name the band buckets.  Steps:
    that agree by chance, is not far below the threshold (`doubt` standard errors), and are
    then confirmed on full sets.  Links give first components.
 4. Buckets whose members are still in several components are compared exhaustively in tasks
-   of at most two blocks of members: bit counts first, then full sets, and only pairs that
-   are not connected yet.  So no link between components is lost and no group emits all pairs.
+   of at most two blocks of members: first by bit counts, which leave the members that have
+   a possible partner in another component, then on the full sets of these, and only pairs
+   that are not connected yet.  No link between components is lost, no group emits all pairs.
 
 A pair of similarity s shares a bucket with probability 1 - (1 - s^rows)^bands: for s = 0.8,
 4 rows and 28 bands all but 4 in 10 million.  Documents
@@ -131,13 +132,40 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def partners(table: pa.Table, percent: int, most: int):
+    """(x, ys): for each member of a task the later ones of another component that its size and
+    bits allow; of two blocks only cross pairs."""
+    labels, block = table["component"].to_numpy(), table["block"].to_numpy()
+    sizes = table["n"].to_numpy()
+    bits = table["bits"].combine_chunks().flatten().to_numpy().reshape(len(table), -1).view(U)
+    two = table["i"][0].as_py() != table["j"][0].as_py()
+    for x in range(len(table)):
+        y = np.arange(x + 1, len(table))
+        y = y[labels[y] != labels[x]]
+        if two:
+            y = y[block[y] != block[x]]
+        low, high = np.minimum(sizes[y], sizes[x]), np.maximum(sizes[y], sizes[x])
+        y = y[100 * low >= percent * high]
+        d = bits[y] ^ bits[x]
+        d |= d >> U(1)
+        d = (d | d >> U(2)) & U(0x1111111111111111)
+        yield x, y[np.bitwise_count(d).sum(1) <= most]
+
+
+def partnered(table: pa.Table, percent: int, most: int) -> pa.Table:
+    """The members of a task that have a partner."""
+    hit = np.zeros(len(table), bool)
+    for x, y in partners(table, percent, most):
+        if len(y):
+            hit[x] = True
+            hit[y] = True
+    return table.select(["key", "rep"]).filter(pa.array(hit))
+
+
 def block_links(table: pa.Table, percent: int, most: int) -> list[tuple[int, int]]:
-    """Links that join components among a task's members; of two blocks only cross pairs."""
+    """Links that join components among a task's members, confirmed on full sets."""
     names, label = table["rep"].to_pylist(), table["component"].to_pylist()
-    sizes, block = table["n"].to_numpy(), table["block"].to_numpy()
-    bits = np.stack([np.array(x, np.int64) for x in table["bits"].to_pylist()]).view(U)
     sets = [np.frombuffer(x, U) for x in table["values"].to_pylist()]
-    two = table["i"][0].as_py() != table["j"][0].as_py()
     root = {x: x for x in label}
 
     def find(x):
@@ -146,18 +174,7 @@ def block_links(table: pa.Table, percent: int, most: int) -> list[tuple[int, int
         return x
 
     links = []
-    labels = np.array(label)
-    for x in range(len(names)):
-        y = np.arange(x + 1, len(names))
-        y = y[labels[y] != labels[x]]
-        if two:
-            y = y[block[y] != block[x]]
-        low, high = np.minimum(sizes[y], sizes[x]), np.maximum(sizes[y], sizes[x])
-        y = y[100 * low >= percent * high]
-        d = bits[y] ^ bits[x]
-        d |= d >> U(1)
-        d = (d | d >> U(2)) & U(0x1111111111111111)
-        y = y[np.bitwise_count(d).sum(1) <= most]
+    for x, y in partners(table, percent, most):
         for k in y.tolist():
             a, b = find(label[x]), find(label[k])
             if a != b and alike(sets[x], sets[k], percent):
@@ -180,10 +197,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     reps = part.withColumnRenamed("doc_id", "rep").join(classes, ["digest", "rep"], "left_semi").select(
         "rep", "digest", "n", "bits", "keys").dropDuplicates(["rep", "digest"])
     reps = stage(reps, "classes")
-    member = reps.select("rep", "digest", "n", F.explode("keys").alias("key"))
+    member = reps.select("rep", F.explode("keys").alias("key"))
     shared = member.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where("size > 1")
     members = stage(member.join(shared, "key"), "buckets")
-    involved = members.select("rep", "digest").distinct()
+    involved = members.select("rep").distinct()
 
     def sets_of(batches):
         shingles = Shingles(width)
@@ -196,7 +213,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
                     names=["rep", "digest", "values"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    found = texts.join(involved.select("rep").distinct(), "rep", "left_semi").mapInArrow(
+    # the ids are a share of all documents: the join is planned alike at every size
+    found = texts.join(involved.hint("merge"), "rep", "left_semi").mapInArrow(
         sets_of, "rep long, digest binary, values binary")
     sets = stage(reps.drop("keys").join(found.dropDuplicates(["rep", "digest"]), ["rep", "digest"]), "sets")
 
@@ -218,19 +236,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     links = stage(close.mapInArrow(confirm, "a long, b long"), "links")
     first = components(links)
     labelled = members.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "digest", F.coalesce("component", "rep").alias("component"))
+        "key", "rep", F.coalesce("component", "rep").alias("component"))
     # of buckets with the same members one is enough
     several = (labelled.groupBy("key").agg(
         F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("size"),
         F.sum(F.xxhash64("rep").cast("decimal(20,0)")).alias("sum")).where("least <> most")
         .groupBy("size", "sum", "least", "most").agg(F.min("key").alias("key")))
-    dealt = labelled.join(several.select("key", "size"), "key").join(sets, ["rep", "digest"]).withColumn(
-        "blocks", F.ceil(F.col("size") / block).cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component",
-        "n", "bits", "values")
-    more = dealt.groupBy("key", "i", "j").applyInArrow(
+    def dealt(open_: DataFrame, *extra: str) -> DataFrame:
+        """Members of buckets, once for every pair of blocks they are in."""
+        placed = open_.withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).withColumn(
+            "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep",
+            "component", "n", "bits", *extra)
+
+    waiting = labelled.join(several.select("key", "size"), "key")
+    # by their bits alone first: few members have a partner, and only these need their sets
+    paired = dealt(waiting.join(sets.select("rep", "n", "bits"), "rep")).groupBy("key", "i", "j").applyInArrow(
+        lambda t: partnered(t, percent, most), "key long, rep long").distinct()
+    waiting = waiting.join(paired, ["key", "rep"], "left_semi").join(sets, "rep")
+    more = dealt(waiting, "values").groupBy("key", "i", "j").applyInArrow(
         lambda t: pa.table(dict(zip("ab", [pa.array(c, pa.int64()) for c in zip(*block_links(t, percent, most))] or
                                     [pa.array([], pa.int64())] * 2))), "a long, b long")
     last = components(links.unionByName(stage(more, "links")))
