@@ -40,10 +40,11 @@ U = np.uint64
 
 
 def gram(length: int) -> int:
-    """Bytes of an anchor; at most 64 strings of `length` bytes hold one at different places."""
-    if length < 17:
-        raise ValueError("length must be 17 at least")
-    return max(16, length - 63)
+    """Bytes of an anchor: long ones are shared by chance less often, short ones are fewer; at
+    most 64 strings of `length` bytes hold one at different places."""
+    if length < 16:
+        raise ValueError("length must be 16 at least")
+    return max(length // 2, length - 63)
 
 
 class Anchors:
@@ -187,12 +188,16 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False)
     characters: remove whole characters only."""
     k = gram(length)
     reach, blocks = length - k, max(8, docs.rdd.getNumPartitions())
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    names, typed = docs.columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    at_text, docs = names.index("text"), docs.toDF(*[f"column {i}" for i in range(len(names))])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    own_id, own_text = columns[names.index("doc_id")], columns[at_text]
+    known = docs.where(own_id.isNotNull())  # shuffled by doc_id once, for the suffixes and for the removal
+    texts = known.select(own_id.cast("long").alias("doc_id"), F.coalesce(own_text, F.lit("")).alias("text"))
 
     def anchors(batches):
         find = Anchors(length)
         for b in batches:
-            b = b.filter(pa.compute.is_valid(b.column(0)))
             for s in range(0, b.num_rows, 4000):
                 part = b.slice(s, 4000)
                 names = part.column(0).to_numpy()
@@ -213,18 +218,19 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False)
                 # a hash of one document is sent with all its places
                 sent = np.flatnonzero(first | ~known)
                 at = (h[sent] % U(blocks)).astype(np.int64)
-                by = np.argsort(at, kind="stable")
+                by = np.lexsort((place[sent], doc[sent], at))
                 sent, edges = sent[by], np.searchsorted(at[by], np.arange(blocks + 1))
                 out = [[], [], []]
                 for i in range(blocks):
                     x = sent[edges[i]:edges[i + 1]]
                     if len(x):
-                        used, own = np.unique(doc[x], return_inverse=True)
+                        used, own = np.unique(doc[x], return_counts=True)
                         head = np.array([len(x), len(used)], "<u4").tobytes()
                         planes = (place[x] & 0xFFFF).astype("<u2"), (place[x] >> 16).astype("<u2"), (place[x] >> 32).astype("<u2")
                         out[0].append(i)
-                        out[2].append(head + names[used].astype("<i8").tobytes() + h[x].astype("<u8").tobytes()
-                                      + own.astype("<u2").tobytes() + b"".join(p.tobytes() for p in planes)
+                        # within a bucket the upper half of a hash tells anchors apart well enough for a filter
+                        out[2].append(head + names[used].astype("<i8").tobytes() + own.astype("<u4").tobytes()
+                                      + (h[x] >> U(32)).astype("<u4").tobytes() + b"".join(p.tobytes() for p in planes)
                                       + np.packbits(known[x]).tobytes())
                 if out[0]:
                     yield pa.RecordBatch.from_arrays(
@@ -246,13 +252,12 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False)
         for data in table.filter(pa.compute.is_null(table["doc_id"]))["data"]:
             raw = data.as_py()
             n, m = np.frombuffer(raw, "<u4", 2).astype(int)
-            at = 8 + 8 * m
-            names = np.frombuffer(raw, "<i8", m, 8)
-            parts[0].append(np.frombuffer(raw, "<u8", n, at))
-            parts[1].append(names[np.frombuffer(raw, "<u2", n, at + 8 * n)])
-            low, mid, high = (np.frombuffer(raw, "<u2", n, at + (10 + 2 * i) * n).astype(np.int64) for i in range(3))
+            at = 8 + 12 * m
+            parts[0].append(np.frombuffer(raw, "<u4", n, at))
+            parts[1].append(np.repeat(np.frombuffer(raw, "<i8", m, 8), np.frombuffer(raw, "<u4", m, 8 + 8 * m)))
+            low, mid, high = (np.frombuffer(raw, "<u2", n, at + (4 + 2 * i) * n).astype(np.int64) for i in range(3))
             parts[2].append(low | mid << 16 | high << 32)
-            parts[3].append(np.unpackbits(np.frombuffer(raw, np.uint8, -1, at + 16 * n))[:n].astype(bool))
+            parts[3].append(np.unpackbits(np.frombuffer(raw, np.uint8, -1, at + 10 * n))[:n].astype(bool))
         names, data = [], []
         if parts[0]:
             h, doc, place, known = (np.concatenate(p) for p in parts)
@@ -270,13 +275,14 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False)
         return pa.table({"doc_id": pa.concat_arrays([pa.array(names, pa.int64()), *done["doc_id"].chunks]),
                          "data": pa.concat_arrays([pa.array(data, pa.binary()), *[c.cast(pa.binary()) for c in done["data"].chunks]])})
 
-    digests = texts.where("doc_id IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("digest"))
+    digests = texts.select("doc_id", F.sha2("text", 256).alias("digest"))
     firsts = digests.groupBy("digest").agg(F.min("doc_id").alias("first"))
     copies = digests.join(firsts, "digest").where("doc_id <> first").select("doc_id").distinct().withColumn("_copy", F.lit(True))
     copies = stage(copies, "copies")
     places = (texts.mapInArrow(anchors, "bucket int, doc_id long, data binary").groupBy("bucket")
               .applyInArrow(shared, "doc_id long, data binary"))
-    places = places.join(copies, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("data").alias("_places"))
+    places = places.join(copies, "doc_id", "left_anti").groupBy(F.col("doc_id").alias("_doc")).agg(
+        F.collect_list("data").alias("_places"))
 
     def suffixes(batches):
         for b in batches:
@@ -284,17 +290,17 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False)
                 yield from suffixes_of(b.slice(s, 2000))
 
     def suffixes_of(part):
-        names, found = part.column(0).to_numpy(), []
+        ids, found = part.column(len(names)).to_numpy(), []
         pieces, n_left, n_right, doc = [], [], [], []
-        for i, (text, lists) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
-            text = text.encode("utf-8", "surrogatepass")
+        for i, (text, lists) in enumerate(zip(part.column(at_text).to_pylist(), part.column(len(names) + 1).to_pylist())):
+            text = (text or "").encode("utf-8", "surrogatepass")
             at = np.unique(np.concatenate([np.frombuffer(x, "<i8") for x in lists]))
             wide = np.frombuffer(bytes(reach) + text + bytes(length), np.uint8)
             pieces.append(wide[at[:, None] + np.arange(reach + length)])
             found.append(at)
             n_left.append(np.minimum(at, reach))
             n_right.append(np.minimum(len(text) - at, length))
-            doc.append(np.full(len(at), names[i]))
+            doc.append(np.full(len(at), ids[i]))
         if not found:
             return
         pieces, found, n_left, n_right, doc = map(np.concatenate, (pieces, found, n_left, n_right, doc))
@@ -339,23 +345,21 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[s:s + 5000], pa.int64()), pa.array(packed[s:s + 5000], pa.binary())], names=["doc_id", "data"])
 
-    rows = texts.where("doc_id IS NOT NULL").join(places, "doc_id").select("doc_id", "text", "_places").mapInArrow(
+    rows = known.join(places, own_id.cast("long") == F.col("_doc")).select(*columns, "_doc", "_places").mapInArrow(
         suffixes, "lead binary, doc_id long, place long, n_left int, n_right int, data binary")
     marked = (rows.repartitionByRange("lead").mapInArrow(sort_bucket, "doc_id long, data binary")
               .groupBy("doc_id").agg(F.collect_list("data").alias("_marks"))
               .join(copies, "doc_id", "full").select(F.col("doc_id").alias("_id"), "_marks", "_copy"))
-    marked = stage(marked, "marks")
-    names = docs.columns
-    joined = docs.join(marked, F.col("doc_id").cast("long") == F.col("_id"), "left").select(
-        *[F.col(f"`{n}`") for n in names], "_marks", "_copy")
-    at = names.index("text")
+    joined = known.join(marked, own_id.cast("long") == F.col("_id"), "left").select(*columns, "_marks", "_copy")
+    joined = joined.unionByName(docs.where(own_id.isNull()).select(
+        *columns, F.lit(None).cast("array<binary>").alias("_marks"), F.lit(None).cast("boolean").alias("_copy")))
 
     def remove(batches):
         for b in batches:
             for s in range(0, b.num_rows, 1000):
                 part = b.slice(s, 1000)
                 out: list[list] = [[], [], [], []]
-                for text, marks, copy in zip(*[part.column(i).to_pylist() for i in (at, len(names), len(names) + 1)]):
+                for text, marks, copy in zip(*[part.column(i).to_pylist() for i in (at_text, len(names), len(names) + 1)]):
                     raw = (text or "").encode("utf-8", "surrogatepass")
                     if marks or copy:
                         gone = covered(len(raw), marks or [], length, bool(copy))
@@ -371,5 +375,4 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False)
                     [*part.columns[:len(names)], *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.binary())],
                     names=[*names, "_n_bytes", "_n_removed", "_n_spans", "_kept"])
 
-    typed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return joined.mapInArrow(remove, f"{typed}, _n_bytes long, _n_removed long, _n_spans long, _kept binary")
