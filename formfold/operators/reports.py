@@ -40,7 +40,10 @@ def cross_tab(df: DataFrame, row: str, column: str, measure=None) -> DataFrame:
     cells = written(df.groupBy(row, column).agg(value.alias("value")), "cells", shared_folder(df.sparkSession))
     rows = placed(cells, row, "row")
     columns = placed(cells, column, "column")
-    return cells.join(rows, row).join(columns, column)
+    for axis, totals in ((row, rows), (column, columns)):  # a missing value is a line too
+        own = totals.withColumnRenamed(axis, "_axis")
+        cells = cells.join(own, F.col(axis).eqNullSafe(F.col("_axis"))).drop("_axis")
+    return cells
 
 
 def placed(cells: DataFrame, axis: str, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ from formfold.plans import forms, registry
 from formfold.plans.workflows import PUBLISH, REBUILD, REFRESH, Workspace
 from formfold.sources import curated
 from formfold.sources.derived import DerivedRecords, upstream
-from formfold.sources.records import read_sources
+from formfold.sources.records import read_jdbc, read_sources
 from formfold.sources.schemas import schema_of
 from formfold.streaming.refresh import refresh_stream
 from tests.conftest import SMALL
@@ -185,3 +185,10 @@ def test_cross_tab_order(spark):
     places = {(r["r"], r["c"]): (r["row_place"], r["column_place"])
               for r in reports.cross_tab(df, "r", "c").collect()}
     assert places == {("b", "x"): (1, 1), ("b", "y"): (1, 2), ("a", "x"): (2, 1)}
+    gaps = reports.cross_tab(df.union(spark.createDataFrame([(None, "x")], df.schema)), "r", "c")
+    assert gaps.count() == 4 and gaps.filter("r IS NULL").first()["row_total"] == 1
+
+
+def test_growing_tables_need_key_ranges(spark):
+    with pytest.raises(ValueError, match="obs grows"):
+        read_jdbc(spark, "jdbc:none", {}, 4, ("obs",))
