@@ -21,7 +21,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formfold.llm.tokens import encoder, slices
@@ -196,7 +196,7 @@ GROUP_DDL = ("part int, number int, n_ids long, block int, doc_ids array<bigint>
              "sizes binary, sums binary, payload binary")
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int = 0, block: int = 1024, group: int = 3_000_000) -> None:
+def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int = 0, block: int = 512, group: int = 2_000_000) -> None:
     """Write the ids of all documents, each followed by `end`, in ascending doc_id.
 
     Null texts are empty, null doc_ids come first, repeated doc_ids follow one another.  A
@@ -236,8 +236,12 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int = 0, block: i
     ordered.mapInArrow(encoded, GROUP_DDL).write.option("compression", "none").parquet(path)
 
 
-def read_ids(spark, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids (little-endian unsigned 32-bit) of every document in the files."""
+def read_ids(spark, path: str, **instead: Column) -> DataFrame:
+    """doc_id, start, n_tokens, ids (little-endian unsigned 32-bit) of every document in the files.
+
+    instead: named expressions of the ids to return in their place, so that the ids
+    themselves need not be shuffled to the place where starts are joined.
+    """
     rows = spark.read.schema(GROUP_DDL).parquet(path)
 
     def decoded(batches):
@@ -257,7 +261,9 @@ def read_ids(spark, path: str) -> DataFrame:
                         names=["part", "number", "doc_id", "within", "n_tokens", "ids"])
 
     docs = rows.mapInArrow(decoded, "part int, number int, doc_id long, within long, n_tokens long, ids binary")
+    if instead:
+        docs = docs.select("part", "number", "doc_id", "within", "n_tokens", *[e.alias(n) for n, e in instead.items()])
     parts = rows.groupBy("part").agg(F.sum("n_ids").alias("n")).selectExpr("part", "sum(n) OVER (ORDER BY part) - n AS earlier")
     groups = rows.selectExpr("part", "number", "sum(n_ids) OVER (PARTITION BY part ORDER BY number) - n_ids AS before")
     base = groups.join(parts, "part").selectExpr("part", "number", "before + earlier AS base")
-    return docs.join(base, ["part", "number"]).selectExpr("doc_id", "base + within AS start", "n_tokens", "ids")
+    return docs.join(base, ["part", "number"]).selectExpr("doc_id", "base + within AS start", "n_tokens", *(instead or ["ids"]))

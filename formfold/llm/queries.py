@@ -57,7 +57,7 @@ def idfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from formfold.llm.idfile import read_ids, write_ids
     files = f"{folder(spark)}/token-ids-{uuid.uuid4().hex}"
     write_ids(table(spark, sf_dir, "documents"), files, path("byte_bpe_50k.json"))
-    return read_ids(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read_ids(spark, files, ids_crc32=F.crc32("ids"))
 
 
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
