@@ -8,15 +8,15 @@ sorted, and each is compared to its left as far as a string may reach.
 1. Anchors meet by hash, packed by (block, bucket); those of one document only are done
    with.  A block sends each hash once: that several of its documents share it, it knows.
 2. The suffixes of shared anchors (`length` bytes, with the bytes before them) are
-   partitioned by range of their leading k bytes: Spark samples the splitters, which never
-   part suffixes of equal leading bytes.  A block sends equal suffixes once, for the smallest
+   partitioned by range of their leading bytes, by splitters sampled from about `sample`
+   documents; splitters never part suffixes of equal leading bytes.  A block sends equal suffixes once, for the smallest
    document; the others are decided.  So a passage that a third of all documents share costs
    a bucket one row a block.
 3. A bucket sorts its suffixes by multikey quicksort, a word of eight bytes at a time.  From
    the common prefixes of neighbours it reads, for every distance to the left, which
    suffixes go on alike; those with equal bytes before them form the groups in which every
-   document but the smallest repeats.  Arrow batches are joined first, so that no boundary
-   between batches parts a run of equal suffixes.
+   document but the smallest repeats.  A range is read whole, so that no boundary parts a
+   run of equal suffixes.
 4. Marks go back to the documents by doc_id.
 
 Documents whose whole text equals that of a smaller doc_id are decided by a digest.  Bytes
@@ -30,6 +30,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -165,12 +166,12 @@ def covered(size: int, packed: list[bytes], length: int, whole: bool) -> np.ndar
     if whole and size >= length:
         return np.ones(size, bool)
     edges = np.zeros(size + 1, np.int64)
-    for p in packed:
-        places, marks = np.frombuffer(p, "<i8", len(p) // 16), np.frombuffer(p, "<u8", len(p) // 16, len(p) // 2)
-        for o in range(64):
-            starts = places[(marks >> U(o)) & U(1) == 1] - o
-            np.add.at(edges, starts, 1)
-            np.add.at(edges, starts + length, -1)
+    places = np.concatenate([np.frombuffer(p, "<i8", len(p) // 16) for p in packed] or [np.zeros(0, np.int64)])
+    marks = np.concatenate([np.frombuffer(p, "<u8", len(p) // 16, len(p) // 2) for p in packed] or [np.zeros(0, U)])
+    for i in range(0, len(places), 10_000):
+        row, o = np.nonzero((marks[i:i + 10_000, None] >> np.arange(64, dtype=U)) & U(1))
+        starts = places[i:i + 10_000][row] - o
+        edges += np.bincount(starts, minlength=size + 1) - np.bincount(starts + length, minlength=size + 1)
     return np.cumsum(edges[:-1]) > 0
 
 
@@ -183,7 +184,10 @@ def within_characters(text: bytes, gone: np.ndarray) -> np.ndarray:
     return np.bincount(character, weights=~gone)[character] == 0
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False) -> DataFrame:
+MARKS = pa.schema([("doc_id", pa.int64()), ("data", pa.binary())])
+
+
+def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False, sample: int = 2000) -> DataFrame:
     """The rows of docs with _n_bytes, _n_removed, _n_spans and _kept (the bytes that stay).
     characters: remove whole characters only."""
     k = gram(length)
@@ -311,43 +315,71 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False)
         np.minimum.at(least, group, doc)
         later = doc > least[group]
         marks = np.where(later, full_marks(n_left, n_right, length), U(0))
-        ids, packed = marks_by_document(doc, found, marks)
-        if len(ids):
-            spread = mixed(ids.astype(U))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(x).to_bytes(8, "big") for x in spread], pa.binary()), pa.array(ids, pa.int64()),
-                 pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.int32()),
-                 pa.array(packed, pa.binary())], names=["lead", "doc_id", "place", "n_left", "n_right", "data"])
+        yield from rows_by_document(*marks_by_document(doc, found, marks))
         keep = np.flatnonzero(~later)
-        raw, step = pieces[keep].tobytes(), reach + length
-        lead = [raw[i * step + reach:i * step + reach + k] for i in range(len(keep))]
+        at = np.searchsorted(splitters, leads_of(pieces[keep][:, reach:]), side="right")
+        keep = keep[np.argsort(at, kind="stable")]
+        edges = np.searchsorted(np.sort(at), np.arange(ranges + 1))
+        out = [(i, keep[x:y]) for i, (x, y) in enumerate(zip(edges, edges[1:])) if x < y]
+        data = [zstandard.ZstdCompressor(level=1).compress(
+            np.array([len(x)], "<u4").tobytes() + doc[x].astype("<i8").tobytes() + found[x].astype("<i8").tobytes()
+            + n_left[x].astype(np.uint8).tobytes() + n_right[x].astype(np.uint8).tobytes() + pieces[x].tobytes()) for _, x in out]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(lead, pa.binary()), pa.array(doc[keep], pa.int64()), pa.array(found[keep], pa.int64()),
-             pa.array(n_left[keep], pa.int32()), pa.array(n_right[keep], pa.int32()),
-             pa.array([raw[i * step:(i + 1) * step] for i in range(len(keep))], pa.binary())],
-            names=["lead", "doc_id", "place", "n_left", "n_right", "data"])
+            [pa.array([i for i, _ in out], pa.int32()), pa.nulls(len(out), pa.int64()), pa.array(data, pa.binary())],
+            names=["bucket", "doc_id", "data"])
+
+    def rows_by_document(ids, packed):
+        if len(ids):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((mixed(ids.astype(U)) % U(ranges)).astype(np.int32)), pa.array(ids, pa.int64()),
+                 pa.array(packed, pa.binary())], names=["bucket", "doc_id", "data"])
+
+    def leads_of(right: np.ndarray) -> np.ndarray:
+        """The leading bytes of suffixes, as byte strings that sort like them."""
+        wide = min(k, 24)
+        return np.ascontiguousarray(right[:, :wide]).view(f"S{wide}").reshape(-1)
 
-    def sort_bucket(batches):
-        held = []
+    def sampled(batches):
+        find = Anchors(length)
         for b in batches:
-            done = b.filter(pa.compute.is_null(b.column(2)))
-            if done.num_rows:
-                yield done.select([1, 5])
-            held.append(b.filter(pa.compute.is_valid(b.column(2))))
-        table = pa.Table.from_batches(held) if held else None
-        if table is None or not len(table):
-            return
-        doc, place = table["doc_id"].to_numpy(), table["place"].to_numpy()
-        bytes_ = np.frombuffer(b"".join(table["data"].to_pylist()), np.uint8).reshape(len(doc), reach + length)
-        marks = repeats(doc, bytes_[:, :reach][:, ::-1], bytes_[:, reach:], table["n_left"].to_numpy(), table["n_right"].to_numpy(), length)
+            for text in b.column(0).to_pylist():
+                raw = text.encode("utf-8", "surrogatepass")
+                at, _ = find(raw)
+                at = at[::1 + len(at) // 200]
+                wide = np.frombuffer(raw + bytes(length), np.uint8)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(leads_of(wide[at[:, None] + np.arange(k)]).tolist() if len(at) else [], pa.binary())], names=["lead"])
+
+    # splitters from about `sample` documents; what a splitter cuts matters for balance only
+    ranges, total = 2 * blocks, known.count()
+    some = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, total // sample))) == 0).select(
+        "text").limit(2 * sample)
+    leads = np.sort(np.array([x or b"" for x in some.mapInArrow(sampled, "lead binary").toArrow()["lead"].to_pylist()], f"S{min(k, 24)}"))
+    splitters = leads[np.arange(1, ranges) * len(leads) // ranges] if len(leads) else leads
+
+    def sort_bucket(table: pa.Table) -> pa.Table:
+        done = table.filter(pa.compute.is_valid(table["doc_id"])).select(["doc_id", "data"])
+        parts: list[list[np.ndarray]] = [[], [], [], [], []]
+        step = reach + length
+        for data in table.filter(pa.compute.is_null(table["doc_id"]))["data"]:
+            raw = zstandard.ZstdDecompressor().decompress(data.as_py())
+            n = int(np.frombuffer(raw, "<u4", 1)[0])
+            parts[0].append(np.frombuffer(raw, "<i8", n, 4))
+            parts[1].append(np.frombuffer(raw, "<i8", n, 4 + 8 * n))
+            parts[2].append(np.frombuffer(raw, np.uint8, n, 4 + 16 * n).astype(np.int64))
+            parts[3].append(np.frombuffer(raw, np.uint8, n, 4 + 17 * n).astype(np.int64))
+            parts[4].append(np.frombuffer(raw, np.uint8, n * step, 4 + 18 * n).reshape(n, step))
+        if not parts[0]:
+            return done.cast(MARKS)
+        doc, place, n_left, n_right, pieces = (np.concatenate(p) for p in parts)
+        del parts
+        marks = repeats(doc, pieces[:, :reach][:, ::-1], pieces[:, reach:], n_left, n_right, length)
         ids, packed = marks_by_document(doc, place, marks)
-        for s in range(0, len(ids), 5000):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[s:s + 5000], pa.int64()), pa.array(packed[s:s + 5000], pa.binary())], names=["doc_id", "data"])
+        return pa.concat_tables([done.cast(MARKS), pa.table([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], schema=MARKS)])
 
     rows = known.join(places, own_id.cast("long") == F.col("_doc")).select(*columns, "_doc", "_places").mapInArrow(
-        suffixes, "lead binary, doc_id long, place long, n_left int, n_right int, data binary")
-    marked = (rows.repartitionByRange("lead").mapInArrow(sort_bucket, "doc_id long, data binary")
+        suffixes, "bucket int, doc_id long, data binary")
+    marked = (rows.groupBy("bucket").applyInArrow(sort_bucket, "doc_id long, data binary")
               .groupBy("doc_id").agg(F.collect_list("data").alias("_marks"))
               .join(copies, "doc_id", "full").select(F.col("doc_id").alias("_id"), "_marks", "_copy"))
     joined = known.join(marked, own_id.cast("long") == F.col("_id"), "left").select(*columns, "_marks", "_copy")
