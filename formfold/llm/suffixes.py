@@ -285,13 +285,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False,
     copies = stage(copies, "copies")
     places = (texts.mapInArrow(anchors, "bucket int, doc_id long, data binary").groupBy("bucket")
               .applyInArrow(shared, "doc_id long, data binary"))
-    places = places.join(copies, "doc_id", "left_anti").groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.collect_list("data").alias("_places"))
+    places = places.groupBy("doc_id").agg(F.collect_list("data").alias("_places")).join(
+        copies, "doc_id", "left_anti").withColumnRenamed("doc_id", "_doc")
 
     def suffixes(batches):
         for b in batches:
-            for s in range(0, b.num_rows, 2000):
-                yield from suffixes_of(b.slice(s, 2000))
+            for s in range(0, b.num_rows, 1000):
+                yield from suffixes_of(b.slice(s, 1000))
 
     def suffixes_of(part):
         ids, found = part.column(len(names)).to_numpy(), []
@@ -351,7 +351,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False,
                     [pa.array(leads_of(wide[at[:, None] + np.arange(k)]).tolist() if len(at) else [], pa.binary())], names=["lead"])
 
     # splitters from about `sample` documents; what a splitter cuts matters for balance only
-    ranges, total = 2 * blocks, known.count()
+    ranges, total = 4 * blocks, known.count()
     some = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, total // sample))) == 0).select(
         "text").limit(2 * sample)
     leads = np.sort(np.array([x or b"" for x in some.mapInArrow(sampled, "lead binary").toArrow()["lead"].to_pylist()], f"S{min(k, 24)}"))
