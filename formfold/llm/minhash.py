@@ -46,7 +46,7 @@ class Shingles:
     """The distinct shingle hashes of a text, ascending.  A-Z count as a-z; words part at
     space, tab, line feed, vertical tab, form feed and carriage return."""
 
-    def __init__(self, width: int, remembered: int = 500_000):
+    def __init__(self, width: int, remembered: int = 250_000):
         self.width, self.remembered = width, remembered
         self.known: dict[bytes, int] = {}
         self.factors = mixed(np.arange(1, width + 1, dtype=U)) | U(1)

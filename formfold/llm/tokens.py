@@ -56,7 +56,7 @@ class Memory(dict):
 class Encoder:
     """encode(texts) gives each text's ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, remembered: int = 1_600_000):
+    def __init__(self, path: str, remembered: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
