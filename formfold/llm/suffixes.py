@@ -285,8 +285,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False,
     copies = stage(copies, "copies")
     places = (texts.mapInArrow(anchors, "bucket int, doc_id long, data binary").groupBy("bucket")
               .applyInArrow(shared, "doc_id long, data binary"))
-    places = places.groupBy("doc_id").agg(F.collect_list("data").alias("_places")).join(
-        copies, "doc_id", "left_anti").withColumnRenamed("doc_id", "_doc")
+    # not an anti join, which the optimizer would put back below the aggregate
+    places = places.groupBy("doc_id").agg(F.collect_list("data").alias("_places")).join(copies, "doc_id", "left").where(
+        F.col("_copy").isNull()).select(F.col("doc_id").alias("_doc"), "_places")
 
     def suffixes(batches):
         for b in batches:
