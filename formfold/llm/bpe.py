@@ -9,8 +9,9 @@ A word has one entry a block whatever its frequency, so frequent words are no bu
 bucket holds about as many words as a task of the input, whatever the size of the input.
 
 Both shuffles read the documents anew, which is cheaper than to keep the positions; a
-block's name is a hash of its content, and a block that was read differently the second
-time stops the job rather than give wrong ids.
+block's name is a hash of its place (partition and number in it) and its content: equal
+blocks stay apart, and a block that was read differently the second time stops the job
+rather than give wrong ids.
 
 Decoding joins ids with the table of token bytes: token numbers are dense, so that the join
 is a gather from an Arrow array of the vocabulary, which has a fixed size.
@@ -30,6 +31,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,7 +120,7 @@ def exploded(docs: DataFrame, pattern: str, buckets: int, most: int = 9_000_000)
 
     Words are numbered by bucket and then by first position."""
 
-    def block_rows(names: list, texts: list[str]):
+    def block_rows(place_read: tuple[int, int], names: list, texts: list[str]):
         cut, numbers, counts = Splitter(pattern), array("I"), []
         for t in texts:
             n = len(numbers)
@@ -132,7 +134,7 @@ def exploded(docs: DataFrame, pattern: str, buckets: int, most: int = 9_000_000)
         place[order] = np.arange(len(order), dtype=np.uint32)
         refs = place[np.frombuffer(numbers, np.uint32)] if numbers else np.zeros(0, np.uint32)
         refs, counts = planes(refs), np.array(counts, "<u4").tobytes()
-        block = blake2b(repr(names).encode() + refs + counts + b"\0".join(words), digest_size=16).digest()
+        block = blake2b(repr((place_read, names)).encode() + refs + counts + b"\0".join(words), digest_size=16).digest()
         rows = [(block, -1, refs, counts, names)]
         edges = np.searchsorted(at[order], np.arange(buckets + 1)).tolist()
         for b, (s, e) in enumerate(zip(edges, edges[1:])):
@@ -141,6 +143,7 @@ def exploded(docs: DataFrame, pattern: str, buckets: int, most: int = 9_000_000)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), EXPLODED.types)], schema=EXPLODED)
 
     def explode(batches):
+        partition, number = TaskContext.get().partitionId(), 0
         names, texts, size = [], [], 0
         for b in batches:
             for name, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
@@ -148,10 +151,11 @@ def exploded(docs: DataFrame, pattern: str, buckets: int, most: int = 9_000_000)
                 texts.append(text)
                 size += len(text or "")
                 if size >= most:
-                    yield block_rows(names, texts)
+                    yield block_rows((partition, number), names, texts)
+                    number += 1
                     names, texts, size = [], [], 0
         if names:
-            yield block_rows(names, texts)
+            yield block_rows((partition, number), names, texts)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(explode, EXPLODED_DDL)
 

@@ -1,9 +1,10 @@
 """Tables on which an operator once did less than its whole job."""
 
 import numpy as np
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from formfold.llm import toxicity
+from formfold.llm import bpe, toxicity
 
 
 def trained(network):
@@ -21,3 +22,13 @@ def test_repeated_documents_train_as_single_ones(spark):
     for repeated in (docs.unionAll(docs), hot):
         again = trained(toxicity.fit(repeated, labels, sample=60))
         assert again.keys() == once.keys() and all(np.array_equal(again[k], once[k]) for k in once)
+
+
+def test_bpe_of_equal_blocks(spark):
+    """Equal rows in partitions of their own, and one row repeated over several blocks of a partition."""
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = spark.createDataFrame(spark.sparkContext.parallelize([(5, "one two two")] * 6, 6), "doc_id long, text string")
+    out = bpe.encode_documents(docs, vocabulary, public_tokenizers.PATTERN).collect()
+    assert len(out) == 6 and len({(r.doc_id, bytes(r.ids)) for r in out}) == 1
+    names = bpe.exploded(docs.coalesce(1), public_tokenizers.PATTERN, 8, most=1).where("bucket = -1").select("block").distinct()
+    assert names.count() == 6
