@@ -11,8 +11,10 @@ gets its exact score from the original vector in double precision, coordinate by
 
 Centroids are fitted on at most `sample` vectors, those with the smallest hash of their id;
 every vector is in a list.  A list above `part` vectors is split by a hash of the id and its
-queries go to each split.  A query first searches its home, the nearest tenth of the lists or
-as many as hold more than k vectors; its k-th best there is the bound for the other probes.
+queries go to each split; above `query_block` queries these are dealt into blocks by a hash,
+and a task takes one block's queries of one split.  A query first searches its home, the
+nearest tenth of the lists or as many as hold more than k vectors; its k-th best there is the
+bound for the other probes.
 So k are found where there are k.  `probed` is the share of lists a query visits.
 
 Vectors that take part: see `vectors.one_per_id`; zero vectors do not.  Shorter vectors are
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formfold.llm.shared import stage
+from formfold.llm.shared import bucket_count, stage
 from formfold.llm.vectors import matrix, merged, one_per_id, top
 
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -59,18 +61,30 @@ def centroids_of(rows: np.ndarray, lists: int, seed: int, rounds: int = 8) -> np
     return centers
 
 
-def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row-wise inner products, summed coordinate by coordinate: equal rows give equal sums."""
-    out = np.zeros(len(a))
-    for d in range(a.shape[1]):
-        out += a[:, d] * b[:, d]
+def exact(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of the columns i of a and j of b, summed coordinate by coordinate:
+    equal columns give equal sums."""
+    out = np.zeros(len(i))
+    for x, y in zip(a, b):
+        out += x[i] * y[j]
     return out
 
 
-def scan(query_ids, queries, bounds, ids, rows, square, turn, k, block, doubt, chunk=1024):
-    """The k best of `rows` for each query as (query, vec_id, score) arrays; ids must ascend."""
+def scan(query_ids, queries, bounds, ids, rows, square, turn, k, block, doubt, chunk=1024, slice_rows=256):
+    """The k best of `rows` for each query as (query, vec_id, score) arrays; ids must ascend.
+
+    Queries go in slices, so that no array has more than slice_rows * chunk pairs."""
+    c, across = lifted(rows, square, turn), np.ascontiguousarray(rows.T)
+    found = [scan_slice(query_ids[s:s + slice_rows], queries[s:s + slice_rows], bounds[s:s + slice_rows],
+                        ids, c, across, square, turn, k, block, doubt, chunk) for s in range(0, len(query_ids), slice_rows)]
+    empty = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return tuple(np.concatenate(x) for x in zip(empty, *found))
+
+
+def scan_slice(query_ids, queries, bounds, ids, c, across, square, turn, k, block, doubt, chunk):
+    """c: the lifted rows; across: the rows themselves, a column each."""
     dims = turn.shape[0]
-    q, c = lifted(queries, None, turn), lifted(rows, square, turn)
+    q, down = lifted(queries, None, turn), np.ascontiguousarray(queries.T)
     base = (queries ** 2).sum(1) + square
     slack = 1e-9 * (base + square)
     bounds = bounds.copy()
@@ -93,7 +107,7 @@ def scan(query_ids, queries, bounds, ids, rows, square, turn, k, block, doubt, c
         ci = live[ci]
         if not len(qi):
             continue
-        scores = exact(queries[qi], rows[ci])
+        scores = exact(down, qi, across, ci)
         edges = np.searchsorted(qi, np.arange(len(query_ids) + 1))
         for i in np.unique(qi):
             s = np.concatenate([best[i][0], scores[edges[i]:edges[i + 1]]])
@@ -108,12 +122,13 @@ def scan(query_ids, queries, bounds, ids, rows, square, turn, k, block, doubt, c
 
 
 def nearest(vectors: DataFrame, k: int, every: int, probed: float = 0.7, sample: int = 16384, part: int = 4096,
-            block: int = 16, doubt: float = 1.8, seed: int = 7) -> DataFrame:
+            query_block: int = 16384, block: int = 16, doubt: float = 1.8, seed: int = 7) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found among all other vectors for each
     vector whose id is divisible by `every`."""
     rows = stage(one_per_id(vectors, zeros=False), "vectors")
     square_of = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    about = rows.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dims"), F.max(square_of).alias("square")).first()
+    about = rows.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dims"), F.max(square_of).alias("square"),
+                     F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("queries")).first()
     dims, square = about.dims or 1, about.square or 0.0
     fitted = rows.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(sample).toArrow()
     known_ids, known = fitted["vec_id"].to_numpy(), matrix(fitted["embedding"], dims)
@@ -137,7 +152,8 @@ def nearest(vectors: DataFrame, k: int, every: int, probed: float = 0.7, sample:
     parts = np.maximum(1, -(-sizes // part))
 
     def probe(batches):
-        for b in batches:
+        # few queries at a time: each becomes a row for every split it visits
+        for b in (x.slice(s, 64) for x in batches for s in range(0, x.num_rows, 64)):
             ids, q = b.column("vec_id").to_numpy(), matrix(b.column("embedding"), dims)
             close = np.argsort(nearest_order(lifted(q, None, turn), centers), axis=1, kind="stable")
             first = (np.cumsum(sizes[close], axis=1) <= k).sum(1) + 1  # lists that surely hold k others
@@ -155,11 +171,13 @@ def nearest(vectors: DataFrame, k: int, every: int, probed: float = 0.7, sample:
                  pa.array(ids[i]), b.column("embedding").take(pa.array(i))],
                 names=["list", "split", "first", "vec_id", "embedding"])
 
+    blocks = bucket_count(about.queries, query_block)
     asked = dealt.where(F.col("vec_id") % every == 0).select("vec_id", "embedding").mapInArrow(
-        probe, f"list int, split int, first boolean, vec_id long, embedding {kind}")
+        probe, f"list int, split int, first boolean, vec_id long, embedding {kind}").withColumn(
+        "block", F.pmod(F.xxhash64("vec_id", F.lit(seed + 1)), F.lit(blocks)).cast("int"))
     split_of = F.element_at(F.array(*[F.lit(int(p)) for p in parts]), F.col("list") + 1)
     candidates = dealt.select("list", F.pmod(F.xxhash64("vec_id", F.lit(seed)), split_of).cast("int").alias("split"),
-                              "vec_id", "embedding")
+                              F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "embedding")
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
@@ -170,7 +188,8 @@ def nearest(vectors: DataFrame, k: int, every: int, probed: float = 0.7, sample:
         return pa.table([pa.array(x, t) for x, t in zip(found, FOUND.types)], schema=FOUND)
 
     def among(queries: DataFrame) -> DataFrame:
-        return queries.groupBy("list", "split").cogroup(candidates.groupBy("list", "split")).applyInArrow(
+        key = ["list", "split", "block"]
+        return queries.groupBy(*key).cogroup(candidates.groupBy(*key)).applyInArrow(
             search, "query_id long, vec_id long, score double")
 
     home = stage(among(asked.where("first").withColumn("bound", F.lit(float("-inf")))), "home")

@@ -1,10 +1,12 @@
 """Tables on which an operator once did less than its whole job."""
 
+import tracemalloc
+
 import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from formfold.llm import bpe, toxicity
+from formfold.llm import ann, bpe, toxicity
 
 
 def trained(network):
@@ -32,3 +34,28 @@ def test_bpe_of_equal_blocks(spark):
     assert len(out) == 6 and len({(r.doc_id, bytes(r.ids)) for r in out}) == 1
     names = bpe.exploded(docs.coalesce(1), public_tokenizers.PATTERN, 8, most=1).where("bucket = -1").select("block").distinct()
     assert names.count() == 6
+
+
+def test_scan_of_many_queries_stays_small():
+    rng = np.random.default_rng(4)
+    rows, queries = rng.normal(size=(1500, 6)), rng.normal(size=(5000, 6))
+    ids, names = np.arange(1500), np.arange(10_000, 15_000)
+    tracemalloc.start()
+    q, v, s = ann.scan(names, queries, np.full(5000, -np.inf), ids, rows, (rows ** 2).sum(1).max(), ann.rotation(7, 1), 3, 4, 9.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6  # an array of all pairs of a chunk has 41 MB
+    assert (q.reshape(-1, 3) == names[:, None]).all()
+    assert (v.reshape(-1, 3) == np.argsort(-queries @ rows.T, axis=1)[:, :3]).all()
+    assert np.allclose(s, (queries[q - 10_000] * rows[v]).sum(1))
+
+
+def test_nearest_by_blocks_of_queries(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=5)]) for i in range(300)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    x = np.array([r[1] for r in rows])
+    out = ann.nearest(vectors, 4, 5, probed=1.0, doubt=9.0, part=16, query_block=7).orderBy("query_id", "rank").collect()
+    scores = x[::5] @ x.T
+    scores[np.arange(60), np.arange(0, 300, 5)] = -np.inf
+    assert [r.vec_id for r in out] == np.argsort(-scores, axis=1)[:, :4].ravel().tolist()
