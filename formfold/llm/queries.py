@@ -107,6 +107,11 @@ def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formfold.llm.manifest import Manifest
+    return Manifest(table(spark, sf_dir, "documents")).proofs().drop("rank", "tree")
+
+
 QUERIES = {
     "op1_sharding": sharding,
     "op2_toxicity": toxicity,
@@ -118,6 +123,7 @@ QUERIES = {
     "op8_urls": urls,
     "op9_topk": topk,
     "op10_packing": packing,
+    "op13_manifest": manifest,
 }
 
 URL_SQL = """
