@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import string
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -242,11 +243,12 @@ def handed_down(batches):
 PATHS = "tree long, part long, subroot string, path binary"
 
 
-def with_paths(strata: list[DataFrame], tops: DataFrame) -> DataFrame:
-    """The segments of the lowest stratum with the path above them; tops: (tree, subroot, path)."""
+def with_paths(strata: list[DataFrame], topped: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The segments of the lowest stratum with the path above them; topped gives the last
+    segments of their trees subroot and path."""
     below = None
     for i, segments in reversed(list(enumerate(strata))):
-        rows = segments.where(F.col("total") <= SEGMENT).join(tops, "tree")
+        rows = topped(segments.where(F.col("total") <= SEGMENT))
         if below is not None:
             rows = rows.unionByName(segments.where(F.col("total") > SEGMENT).join(below, ["tree", "part"]))
         if i == 0:
@@ -294,12 +296,11 @@ class Manifest:
                   "folded_root string, verified boolean, rank long, tree long")
         if self.root is None:
             return self.leaves.sparkSession.createDataFrame([], schema)
-        spark, root = self.leaves.sparkSession, self.root
-        start = spark.range(1).select(F.lit(0).cast("long").alias("tree"), F.lit(root).alias("subroot"),
-                                      F.lit(b"").alias("path"))
-        above = with_paths(self.upper, start).mapInArrow(handed_down, PATHS).select(F.col("part").alias("tree"), "path")
+        root = self.root
+        upper = with_paths(self.upper, lambda rows: rows.withColumns({"subroot": F.lit(root), "path": F.lit(b"")}))
+        above = upper.mapInArrow(handed_down, PATHS).select(F.col("part").alias("tree"), "path")
         tops = self.subroots.withColumnRenamed("root", "subroot").join(above, "tree")
-        segments = with_paths(self.strata, tops)
+        segments = with_paths(self.strata, lambda rows: rows.join(tops, "tree"))
         leaves = self.leaves.withColumn("part", segment_of("rank"))
         return leaves.groupBy("tree", "part").cogroup(segments.groupBy("tree", "part")).applyInArrow(
             lambda key, left, right: prove(key, left, right, root), schema)
