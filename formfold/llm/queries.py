@@ -112,6 +112,12 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Manifest(table(spark, sf_dir, "documents")).proofs().drop("rank", "tree")
 
 
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formfold.llm.whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings"), components=16, scale=64).select(
+        "vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
 QUERIES = {
     "op1_sharding": sharding,
     "op2_toxicity": toxicity,
@@ -123,6 +129,7 @@ QUERIES = {
     "op8_urls": urls,
     "op9_topk": topk,
     "op10_packing": packing,
+    "op11_whitening": whitening,
     "op13_manifest": manifest,
 }
 
