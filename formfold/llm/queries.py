@@ -107,6 +107,12 @@ def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formfold.llm.phrases import remove_phrases
+    return remove_phrases(table(spark, sf_dir, "documents"), width=35).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from formfold.llm.manifest import Manifest
     return Manifest(table(spark, sf_dir, "documents")).proofs().drop("rank", "tree")
@@ -130,6 +136,7 @@ QUERIES = {
     "op9_topk": topk,
     "op10_packing": packing,
     "op11_whitening": whitening,
+    "op12_phrases": phrases,
     "op13_manifest": manifest,
 }
 
