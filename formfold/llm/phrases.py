@@ -27,6 +27,7 @@ gives no row.  Other columns are not read, whatever their names.
 from __future__ import annotations
 
 import hashlib
+from array import array
 
 import ahocorasick
 import numpy as np
@@ -128,7 +129,7 @@ def packer(width: int, gram: int, block_bytes: int):
         number, waiting, held = 0, [], 0
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                waiting.append((doc, (text or b"").split()))
+                waiting.append((doc, b" ".join((text or b"").split())))
                 held += len(text or b"")
                 if held >= block_bytes:
                     yield packed(waiting, number)
@@ -137,8 +138,8 @@ def packer(width: int, gram: int, block_bytes: int):
             yield packed(waiting, number)
 
     def packed(rows, number):
-        texts = [b" ".join(words) for _, words in rows]
-        sizes = np.array([len(words) for _, words in rows], np.int64)
+        texts = [text for _, text in rows]
+        sizes = np.array([text.count(b" ") + bool(text) for text in texts], np.int64)
         block = Block(b" ".join(t for t in texts if t), sizes)
         places, _, _, hashes = block.anchors(width, gram, np.zeros(len(rows), bool))
         hashes, counts = np.unique(hashes, return_counts=True)
@@ -205,10 +206,16 @@ PIECES = "shard int, block long, places binary, text binary"
 
 
 def cutter(width: int, gram: int, shards: int):
-    """Pieces of blocks: rows of (block, data, copies, hot: recurring hashes with a flag)."""
+    """Pieces of blocks: rows of (block, data, recurring: hashes with a flag, copies)."""
+    def rows(b):
+        for i, (number, data, copies) in enumerate(zip(*[b.column(c).to_pylist() for c in ("block", "data", "copies")])):
+            asked = b.column("recurring")[i].values
+            yield {"block": number, "data": data, "copies": copies,
+                   "hashes": asked.field("hash").to_numpy(), "hot": asked.field("hot").to_numpy(zero_copy_only=False)}
+
     def cut(batches):
         for b in batches:
-            for row in b.to_pylist():
+            for row in rows(b):
                 out = [[], [], []]
                 for shard, places, text in pieces_of(row):
                     for column, x in zip(out, (shard, places, text)):
@@ -226,8 +233,8 @@ def cutter(width: int, gram: int, shards: int):
     def pieces_of(row):
         block, _, _, later = opened(row["data"], row["copies"])
         _, first, last, hashes = block.anchors(width, gram, later)
-        asked = np.array([h["hash"] for h in row["recurring"]], np.int64).view(U)
-        hot = np.array([h["hot"] for h in row["recurring"]], bool)
+        asked = row["hashes"].view(U)
+        hot = row["hot"]
         by = np.argsort(asked)
         asked, hot = asked[by], hot[by]
         at = np.minimum(np.searchsorted(asked, hashes), len(asked) - 1)
@@ -239,12 +246,14 @@ def cutter(width: int, gram: int, shards: int):
         keys = np.zeros(0, U)
         if len(single):
             keys = runs(word_hashes(block.data, block.starts, block.ends), width)[single]
-        held: dict[bytes, list] = {}
-        for a, z, h in zip(np.concatenate([first[one], single]), np.concatenate([last[one], single]),
-                           np.concatenate([hashes[one], keys])):
-            held.setdefault(block.text(a, z + width), [h, []])[1].append(a)
-        for text, (h, places) in held.items():
-            yield int(mixed(np.array([h], U))[0] % U(shards)), np.array(places, "<u4").tobytes(), text
+        begin = np.concatenate([first[one], single]).astype(np.int64)
+        stop = np.concatenate([last[one], single]).astype(np.int64) + width
+        shard = (mixed(np.concatenate([hashes[one], keys])) % U(shards)).astype(np.int64)
+        data, held = block.data, {}
+        for a, x, y, s in zip(begin.tolist(), block.starts[begin].tolist(), block.ends[stop - 1].tolist(), shard.tolist()):
+            held.setdefault(data[x:y], (s, []))[1].append(a)
+        for text, (s, places) in held.items():
+            yield s, array("I", places).tobytes(), text
 
     return cut
 
@@ -253,14 +262,10 @@ def cutter(width: int, gram: int, shards: int):
 
 def numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
     """Words as numbers, where each text begins and ends among them, and how many differ."""
-    known: dict[bytes, int] = {}
-    sizes, ids = [], []
-    for t in texts:
-        words = t.split(b" ")
-        sizes.append(len(words))
-        ids.append([known.setdefault(w, len(known)) for w in words])
-    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    return np.fromiter((i for x in ids for i in x), np.int64, bounds[-1]), bounds, len(known)
+    words = b" ".join(texts).split(b" ")
+    known = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    bounds = np.concatenate([[0], np.cumsum([t.count(b" ") + 1 for t in texts])]).astype(np.int64)
+    return np.array(array("I", map(known.__getitem__, words)), np.int64), bounds, len(known)
 
 
 def recurring(ids: np.ndarray, bounds: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
@@ -362,10 +367,9 @@ def remover(width: int):
         for b in batches:
             for row in b.to_pylist():
                 block, ids, whole, _ = opened(row["data"], row["copies"])
-                steps = np.zeros(len(block.starts) + 1, np.int64)
-                for packed in row["spans"] or []:
-                    ends = np.frombuffer(packed, "<u4").reshape(-1, 2).astype(np.int64)
-                    steps += np.bincount(ends[:, 0], minlength=len(steps)) - np.bincount(ends[:, 1], minlength=len(steps))
+                n = len(block.starts) + 1
+                ends = np.frombuffer(b"".join(row["spans"] or []), "<u4").reshape(-1, 2).astype(np.int64)
+                steps = np.bincount(ends[:, 0], minlength=n) - np.bincount(ends[:, 1], minlength=n)
                 gone = np.cumsum(steps[:-1]) > 0
                 gone |= np.repeat(whole, block.sizes)
                 counts = np.diff(np.concatenate([[0], np.cumsum(gone)])[block.firsts])
