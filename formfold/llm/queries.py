@@ -81,7 +81,7 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from formfold.llm.toxicity import fit, held_out, score_documents
     docs = table(spark, sf_dir, "documents")
     scored = score_documents(docs.select("doc_id", "text"), fit(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "toxicity.score", "toxicity.predicted")
 
 
 def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,8 +92,7 @@ def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from formfold.llm.suffixes import remove_repeats
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50).select(
-        "doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"),
-        F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
+        "doc_id", "removal.n_bytes", "removal.n_removed", "removal.n_spans", F.sha2("removal.kept", 256).alias("kept_sha256"))
 
 
 def urls(spark: SparkSession, sf_dir: str) -> DataFrame:

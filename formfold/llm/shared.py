@@ -32,6 +32,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: list[str], wanted: str) -> str:
+    """The wanted name, with underscores until no column has it."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def bucket_count(rows: int, per_bucket: int) -> int:
     return max(1, -(-rows // per_bucket))
 

@@ -5,37 +5,49 @@ smaller doc_id.  Any such string holds an anchor: the `k` bytes of smallest hash
 equal strings have it at the same place.  So only suffixes that begin at anchors are
 sorted, and each is compared to its left as far as a string may reach.
 
-1. Anchors meet by hash, packed by (block, bucket); those of one document only are done
-   with.  A block sends each hash once: that several of its documents share it, it knows.
-2. The suffixes of shared anchors (`length` bytes, with the bytes before them) are
-   partitioned by range of their leading bytes, by splitters sampled from about `sample`
-   documents; splitters never part suffixes of equal leading bytes.  A block sends equal suffixes once, for the smallest
-   document; the others are decided.  So a passage that a third of all documents share costs
-   a bucket one row a block.
-3. A bucket sorts its suffixes by multikey quicksort, a word of eight bytes at a time.  From
+Documents are packed in blocks and written once; a row is named by its block and its place
+there, so rows of equal doc_id stay apart, and doc_id only says who is smaller.
+
+1. Texts that equal one of a smaller doc_id are decided by a digest.
+2. Anchors meet by hash: a block sends each hash once, packed by bucket, and gets bits back:
+   which of them other texts have too, and which of them more than `hot` blocks have.
+3. The suffixes of shared anchors (`length` bytes, with the bytes before them) are partitioned
+   by range of their leading bytes, by splitters sampled from `sample` texts; splitters never
+   part suffixes of equal leading bytes.  A block sends equal suffixes once, for the smallest
+   document; the others are decided.  Strings around a hot anchor go one by one, by their own
+   hash, so that what surrounds a very frequent passage is spread over all tasks.
+4. A range sorts its suffixes by multikey quicksort, a word of eight bytes at a time.  From
    the common prefixes of neighbours it reads, for every distance to the left, which
    suffixes go on alike; those with equal bytes before them form the groups in which every
    document but the smallest repeats.  A range is read whole, so that no boundary parts a
    run of equal suffixes.
-4. Marks go back to the documents by doc_id.
+5. Marks go back to the blocks, which give their rows out.
 
-Documents whose whole text equals that of a smaller doc_id are decided by a digest.  Bytes
-before a suffix and leading bytes are compared by 64-bit hashes within groups of equal
+A task of 2 or 4 handles some 2 million anchors or half a million suffixes, whatever the size
+of the input; small inputs have 64 tasks each.
+
+Bytes before a suffix and leading bytes are compared by 64-bit hashes within groups of equal
 suffixes.  Null texts are empty; documents shorter than `length` lose nothing; a row without
-doc_id takes no part and keeps its text; rows of equal doc_id do not count as smaller.
+doc_id takes no part and keeps its text; rows of equal doc_id do not count as smaller, whether
+their texts are equal or not.  Every row of the input comes back once, with all its columns,
+and an empty table gives no row; the result is one column under a name the caller chooses.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formfold.llm.minhash import mixed
-from formfold.llm.shared import stage
+from formfold.llm.shared import free_name, stage
 
 U = np.uint64
 
@@ -152,22 +164,9 @@ def full_marks(n_left: np.ndarray, n_right: np.ndarray, length: int) -> np.ndarr
     return ones((n_left + 1).astype(np.int64)) & ~ones(low.astype(np.int64))
 
 
-def marks_by_document(docs: np.ndarray, places: np.ndarray, marks: np.ndarray):
-    """(doc_id, packed places and marks) of the documents with marks."""
-    keep = np.flatnonzero(marks)
-    keep = keep[np.argsort(docs[keep], kind="stable")]
-    names, starts = np.unique(docs[keep], return_index=True)
-    packed = [places[p].astype("<i8").tobytes() + marks[p].astype("<u8").tobytes() for p in np.split(keep, starts[1:])]
-    return names, packed if len(names) else []
-
-
-def covered(size: int, packed: list[bytes], length: int, whole: bool) -> np.ndarray:
-    """Which bytes go, by packed marks; whole: all of them."""
-    if whole and size >= length:
-        return np.ones(size, bool)
+def covered(size: int, places: np.ndarray, marks: np.ndarray, length: int) -> np.ndarray:
+    """Which bytes of a text go, by the marks at its places."""
     edges = np.zeros(size + 1, np.int64)
-    places = np.concatenate([np.frombuffer(p, "<i8", len(p) // 16) for p in packed] or [np.zeros(0, np.int64)])
-    marks = np.concatenate([np.frombuffer(p, "<u8", len(p) // 16, len(p) // 2) for p in packed] or [np.zeros(0, U)])
     for i in range(0, len(places), 10_000):
         row, o = np.nonzero((marks[i:i + 10_000, None] >> np.arange(64, dtype=U)) & U(1))
         starts = places[i:i + 10_000][row] - o
@@ -184,228 +183,420 @@ def within_characters(text: bytes, gone: np.ndarray) -> np.ndarray:
     return np.bincount(character, weights=~gone)[character] == 0
 
 
-MARKS = pa.schema([("doc_id", pa.int64()), ("data", pa.binary())])
+# ---- blocks -----------------------------------------------------------------------
 
+PACKED = "block long, bytes long, texts long, digests array<struct<high:long,low:long,at:int,least:long,most:long>>, data binary"
 
-def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False, sample: int = 2000) -> DataFrame:
-    """The rows of docs with _n_bytes, _n_removed, _n_spans and _kept (the bytes that stay).
-    characters: remove whole characters only."""
-    k = gram(length)
-    reach, blocks = length - k, max(8, docs.rdd.getNumPartitions())
-    names, typed = docs.columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    at_text, docs = names.index("text"), docs.toDF(*[f"column {i}" for i in range(len(names))])
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    own_id, own_text = columns[names.index("doc_id")], columns[at_text]
-    known = docs.where(own_id.isNotNull())  # shuffled by doc_id once, for the suffixes and for the removal
-    texts = known.select(own_id.cast("long").alias("doc_id"), F.coalesce(own_text, F.lit("")).alias("text"))
-
-    def anchors(batches):
+
+def packer(at_id: int, at_text: int, length: int, block_bytes: int):
+    """Rows of any columns to blocks of about so many bytes of text.  Each row gets the place of
+    the first row of equal text (-1: takes no part), each such text its least and largest doc_id."""
+    def pack(batches):
+        number, waiting, held = 0, [], 0
+        for b in batches:
+            sizes = pa.compute.binary_length(b.column(at_text)).fill_null(0).to_numpy(zero_copy_only=False)
+            start = 0
+            for i, size in enumerate(sizes.tolist(), 1):
+                held += size
+                if held >= block_bytes:
+                    yield packed([*waiting, b.slice(start, i - start)], number)
+                    number, waiting, held, start = number + 1, [], 0, i
+            if start < b.num_rows:
+                waiting.append(b.slice(start))
+        if waiting:
+            yield packed(waiting, number)
+
+    def packed(batches, number):
+        table = pa.Table.from_batches(batches)
+        same, known, total = [], {}, 0
+        for i, (doc, text) in enumerate(zip(table.column(at_id).to_pylist(), table.column(at_text).to_pylist())):
+            raw = (text or "").encode("utf-8", "surrogatepass")
+            total += len(raw)
+            if doc is None or len(raw) < length:
+                same.append(-1)
+                continue
+            found = known.setdefault(hashlib.blake2b(raw, digest_size=16).digest(), [i, doc, doc])
+            found[1:] = min(found[1], doc), max(found[2], doc)
+            same.append(found[0])
+        digests = [dict(zip(("high", "low"), np.frombuffer(d, "<i8").tolist()), at=x[0], least=x[1], most=x[2])
+                   for d, x in known.items()]
+        data = squeezed(table.append_column("same", pa.array(same, pa.int32())))
+        return pa.RecordBatch.from_pydict({
+            "block": pa.array([TaskContext.get().partitionId() << 32 | number], pa.int64()),
+            "bytes": pa.array([total], pa.int64()), "texts": pa.array([len(known)], pa.int64()),
+            "digests": pa.array([digests], pa.list_(pa.struct(
+                [("high", pa.int64()), ("low", pa.int64()), ("at", pa.int32()), ("least", pa.int64()), ("most", pa.int64())]))),
+            "data": pa.array([data], pa.binary())})
+
+    return pack
+
+
+def squeezed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table.combine_chunks())
+    return zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+
+
+class Block:
+    """The rows of a block.  units: places of the texts that take part, each once; docs: their
+    least doc_id; raw: their bytes."""
+
+    def __init__(self, data: bytes, at_id: int, at_text: int):
+        self.table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(data)).read_all()
+        self.same = self.table.column("same").to_numpy()
+        self.at_text = at_text
+        self.ids = self.table.column(at_id).fill_null(0).to_numpy()
+        self.units = np.flatnonzero(self.same == np.arange(len(self.same)))
+        least = np.full(len(self.same), np.iinfo(np.int64).max)
+        part = np.flatnonzero(self.same >= 0)
+        np.minimum.at(least, self.same[part], self.ids[part])
+        self.docs = least[self.units]
+        texts = self.table.column(at_text)
+        self.raw = [texts[int(u)].as_py().encode("utf-8", "surrogatepass") for u in self.units]
+
+    def anchors(self, find: Anchors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(unit, place, hash) of all anchors."""
+        found = [find(raw) for raw in self.raw]
+        unit = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+        place = np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)])
+        return unit, place, np.concatenate([f[1] for f in found] or [np.zeros(0, U)])
+
+
+def dealt(hashes: np.ndarray, buckets: int):
+    """The distinct hashes by bucket and then by size, where each bucket begins, and the number
+    of each hash among them."""
+    known, inverse = np.unique(hashes, return_inverse=True)
+    at = (known % U(buckets)).astype(np.int64)
+    order = np.argsort(at, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return known[order], np.searchsorted(at[order], np.arange(buckets + 1)), rank[inverse]
+
+
+def asker(at_id: int, at_text: int, length: int, buckets: int):
+    """A row a bucket: upper halves of the hashes of a block's anchors, and which of them two of
+    its texts share.  Within a bucket the half tells anchors apart well enough for a filter."""
+    def ask(batches):
         find = Anchors(length)
         for b in batches:
-            for s in range(0, b.num_rows, 4000):
-                part = b.slice(s, 4000)
-                names = part.column(0).to_numpy()
-                found = [find(t.encode("utf-8", "surrogatepass")) for t in part.column(1).to_pylist()]
-                doc = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-                place, h = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-                order = np.lexsort((place, names[doc], h))
-                h, doc, place = h[order], doc[order], place[order]
-                first = np.concatenate([[True], h[1:] != h[:-1]])[:len(h)]
-                starts = np.flatnonzero(first)
-                group = np.cumsum(first) - 1
-                last = np.append(starts[1:], len(h))[group] - 1
-                known = names[doc[starts]][group] != names[doc[last]]  # shared within the block
-                # known anchors go to their documents; of each hash one row goes to its bucket
-                mine = np.flatnonzero(known)
-                mine = mine[np.argsort(doc[mine], kind="stable")]
-                yield from rows_of(names, doc[mine], place[mine])
-                # a hash of one document is sent with all its places
-                sent = np.flatnonzero(first | ~known)
-                at = (h[sent] % U(blocks)).astype(np.int64)
-                by = np.lexsort((place[sent], doc[sent], at))
-                sent, edges = sent[by], np.searchsorted(at[by], np.arange(blocks + 1))
-                out = [[], [], []]
-                for i in range(blocks):
-                    x = sent[edges[i]:edges[i + 1]]
-                    if len(x):
-                        used, own = np.unique(doc[x], return_counts=True)
-                        head = np.array([len(x), len(used)], "<u4").tobytes()
-                        planes = (place[x] & 0xFFFF).astype("<u2"), (place[x] >> 16).astype("<u2"), (place[x] >> 32).astype("<u2")
-                        out[0].append(i)
-                        # within a bucket the upper half of a hash tells anchors apart well enough for a filter
-                        out[2].append(head + names[used].astype("<i8").tobytes() + own.astype("<u4").tobytes()
-                                      + (h[x] >> U(32)).astype("<u4").tobytes() + b"".join(p.tobytes() for p in planes)
-                                      + np.packbits(known[x]).tobytes())
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(out[0], pa.int32()), pa.nulls(len(out[0]), pa.int64()), pa.array(out[2], pa.binary())],
-                        names=["bucket", "doc_id", "data"])
+            for number, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                unit, _, hashes = Block(data, at_id, at_text).anchors(find)
+                known, edges, rank = dealt(hashes, buckets)
+                shared = several(rank, unit, len(known))
+                out = [(i, (known[x:y] >> U(32)).astype("<u4").tobytes() + np.packbits(shared[x:y]).tobytes(), y - x)
+                       for i, (x, y) in enumerate(zip(edges.tolist(), edges[1:].tolist())) if x < y]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([o[0] for o in out], pa.int32()), pa.array([number] * len(out), pa.int64()),
+                     pa.array([o[2] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())],
+                    names=["bucket", "block", "n", "data"])
 
-    def rows_of(names, doc, place):
-        if not len(doc):
-            return
-        ids, starts = np.unique(doc, return_index=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((mixed(names[ids].astype(U)) % U(blocks)).astype(np.int32)), pa.array(names[ids], pa.int64()),
-             pa.array([x.astype("<i8").tobytes() for x in np.split(place, starts[1:])], pa.binary())],
-            names=["bucket", "doc_id", "data"])
-
-    def shared(table: pa.Table) -> pa.Table:
-        done = table.filter(pa.compute.is_valid(table["doc_id"]))
-        parts: list[list[np.ndarray]] = [[], [], [], []]
-        for data in table.filter(pa.compute.is_null(table["doc_id"]))["data"]:
-            raw = data.as_py()
-            n, m = np.frombuffer(raw, "<u4", 2).astype(int)
-            at = 8 + 12 * m
-            parts[0].append(np.frombuffer(raw, "<u4", n, at))
-            parts[1].append(np.repeat(np.frombuffer(raw, "<i8", m, 8), np.frombuffer(raw, "<u4", m, 8 + 8 * m)))
-            low, mid, high = (np.frombuffer(raw, "<u2", n, at + (4 + 2 * i) * n).astype(np.int64) for i in range(3))
-            parts[2].append(low | mid << 16 | high << 32)
-            parts[3].append(np.unpackbits(np.frombuffer(raw, np.uint8, -1, at + 10 * n))[:n].astype(bool))
-        names, data = [], []
-        if parts[0]:
-            h, doc, place, known = (np.concatenate(p) for p in parts)
-            order = np.argsort(h, kind="stable")
-            starts = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
-            sizes = np.diff(np.append(starts, len(h)))
-            several = np.minimum.reduceat(doc[order], starts) != np.maximum.reduceat(doc[order], starts)
-            several |= np.bitwise_or.reduceat(known[order], starts)
-            keep = order[np.repeat(several, sizes)]
-            keep = keep[~known[keep]]
-            keep = keep[np.argsort(doc[keep], kind="stable")]
-            if len(keep):
-                ids, at = np.unique(doc[keep], return_index=True)
-                names, data = ids.tolist(), [x.astype("<i8").tobytes() for x in np.split(place[keep], at[1:])]
-        return pa.table({"doc_id": pa.concat_arrays([pa.array(names, pa.int64()), *done["doc_id"].chunks]),
-                         "data": pa.concat_arrays([pa.array(data, pa.binary()), *[c.cast(pa.binary()) for c in done["data"].chunks]])})
-
-    digests = texts.select("doc_id", F.sha2("text", 256).alias("digest"))
-    firsts = digests.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    copies = digests.join(firsts, "digest").where("doc_id <> first").select("doc_id").distinct().withColumn("_copy", F.lit(True))
-    copies = stage(copies, "copies")
-    places = (texts.mapInArrow(anchors, "bucket int, doc_id long, data binary").groupBy("bucket")
-              .applyInArrow(shared, "doc_id long, data binary"))
-    # not an anti join, which the optimizer would put back below the aggregate
-    places = places.groupBy("doc_id").agg(F.collect_list("data").alias("_places")).join(copies, "doc_id", "left").where(
-        F.col("_copy").isNull()).select(F.col("doc_id").alias("_doc"), "_places")
-
-    def suffixes(batches):
+    return ask
+
+
+def several(group: np.ndarray, owner: np.ndarray, groups: int) -> np.ndarray:
+    """Which groups have more than one owner."""
+    low, high = np.full(groups, np.iinfo(np.int64).max), np.full(groups, -1)
+    np.minimum.at(low, group, owner)
+    np.maximum.at(high, group, owner)
+    return low < high
+
+
+def answer(table: pa.Table, hot: int) -> pa.Table:
+    """For each block's row of a bucket: bits of the hashes that it or another block has twice,
+    and of those that more than `hot` blocks have."""
+    sizes = table["n"].to_numpy().astype(np.int64)
+    raw = [d.as_py() for d in table["data"]]
+    h = np.concatenate([np.frombuffer(r, "<u4", n) for r, n in zip(raw, sizes)])
+    own = np.concatenate([np.unpackbits(np.frombuffer(r, np.uint8, -1, 4 * n))[:n] for r, n in zip(raw, sizes)]).astype(bool)
+    order = np.argsort(h, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
+    count = np.diff(np.append(first, len(h)))
+    shared, many = np.zeros(len(h), bool), np.zeros(len(h), bool)
+    shared[order] = np.repeat((count > 1) | np.bitwise_or.reduceat(own[order], first), count)
+    many[order] = np.repeat(count > hot, count)
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    bits = [[np.packbits(x[a:b]).tobytes() for a, b in zip(edges, edges[1:])] for x in (shared, many)]
+    return pa.table({"block": table["block"], "bucket": table["bucket"],
+                     "shared": pa.array(bits[0], pa.binary()), "many": pa.array(bits[1], pa.binary())})
+
+
+# ---- suffixes ---------------------------------------------------------------------
+
+SENT = "bucket int, block long, done boolean, data binary"
+
+
+def leads_of(right: np.ndarray, k: int) -> np.ndarray:
+    """The leading bytes of suffixes, as byte strings that sort like them."""
+    wide = min(k, 24)
+    return np.ascontiguousarray(right[:, :wide]).view(f"S{wide}").reshape(-1)
+
+
+def first_of_equal(rows: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Of equal rows of bytes, which are not of the least document."""
+    if not len(rows):
+        return np.zeros(0, bool)
+    _, group = np.unique(np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").reshape(-1), return_inverse=True)
+    least = np.full(group.max() + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, group, docs)
+    return docs > least[group]
+
+
+def row_hashes(rows: np.ndarray) -> np.ndarray:
+    out, values = np.zeros(len(rows), U), mixed(np.arange(1, 257, dtype=U))
+    for j in range(rows.shape[1]):
+        out = mixed(out + values[rows[:, j]])
+    return out
+
+
+class Suffixes:
+    """Suffixes as arrays: the unit and doc_id they are of, their place, how many bytes before
+    and behind it count, and those bytes."""
+
+    FIELDS = (("unit", "<u4"), ("place", "<u4"), ("doc", "<i8"), ("n_left", "<u2"), ("n_right", "<u2"))
+
+    def __init__(self, unit, place, doc, n_left, n_right, pieces):
+        self.unit, self.place, self.doc, self.n_left, self.n_right, self.pieces = unit, place, doc, n_left, n_right, pieces
+
+    def take(self, rows: np.ndarray) -> "Suffixes":
+        return Suffixes(*[x[rows] for x in (self.unit, self.place, self.doc, self.n_left, self.n_right, self.pieces)])
+
+    def packed(self) -> bytes:
+        fields = [getattr(self, n).astype(t).tobytes() for n, t in self.FIELDS]
+        return zstandard.ZstdCompressor(level=1).compress(
+            np.array([len(self.unit)], "<u4").tobytes() + b"".join(fields) + self.pieces.tobytes())
+
+    @classmethod
+    def unpacked(cls, data: list[bytes], step: int) -> tuple["Suffixes", list[int]]:
+        """The suffixes of several packets, and how many each has."""
+        parts: list[list[np.ndarray]] = [[] for _ in range(6)]
+        sizes = []
+        for one in data:
+            raw = zstandard.ZstdDecompressor().decompress(one)
+            n, at = int(np.frombuffer(raw, "<u4", 1)[0]), 4
+            sizes.append(n)
+            for column, (name, kind) in zip(parts, cls.FIELDS):
+                column.append(np.frombuffer(raw, kind, n, at).astype(np.int64))
+                at += n * np.dtype(kind).itemsize
+            parts[5].append(np.frombuffer(raw, np.uint8, n * step, at).reshape(n, step))
+        return cls(*[np.concatenate(p) for p in parts]), sizes
+
+
+def packed_marks(unit: np.ndarray, place: np.ndarray, marks: np.ndarray) -> bytes:
+    return unit.astype("<u4").tobytes() + place.astype("<u4").tobytes() + marks.astype("<u8").tobytes()
+
+
+def unpacked_marks(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    out = [[], [], []]
+    for p in packed:
+        n = len(p) // 16
+        for column, kind, at in zip(out, ("<u4", "<u4", "<u8"), (0, 4 * n, 8 * n)):
+            column.append(np.frombuffer(p, kind, n, at))
+    unit, place, marks = (np.concatenate(c or [np.zeros(0, U)]) for c in out)
+    return unit.astype(np.int64), place.astype(np.int64), marks.astype(U)
+
+
+def cutter(at_id: int, at_text: int, length: int, buckets: int, ranges: int, splitters: np.ndarray):
+    """Suffixes of blocks by range, and the marks that a block can tell by itself: rows of (block,
+    data, copies, answers) to SENT."""
+    k, reach = gram(length), length - gram(length)
+
+    def cut(batches):
+        find = Anchors(length)
         for b in batches:
-            for s in range(0, b.num_rows, 1000):
-                yield from suffixes_of(b.slice(s, 1000))
-
-    def suffixes_of(part):
-        ids, found = part.column(len(names)).to_numpy(), []
-        pieces, n_left, n_right, doc = [], [], [], []
-        for i, (text, lists) in enumerate(zip(part.column(at_text).to_pylist(), part.column(len(names) + 1).to_pylist())):
-            text = (text or "").encode("utf-8", "surrogatepass")
-            at = np.unique(np.concatenate([np.frombuffer(x, "<i8") for x in lists]))
-            wide = np.frombuffer(bytes(reach) + text + bytes(length), np.uint8)
-            pieces.append(wide[at[:, None] + np.arange(reach + length)])
-            found.append(at)
-            n_left.append(np.minimum(at, reach))
-            n_right.append(np.minimum(len(text) - at, length))
-            doc.append(np.full(len(at), ids[i]))
-        if not found:
-            return
-        pieces, found, n_left, n_right, doc = map(np.concatenate, (pieces, found, n_left, n_right, doc))
+            for row in b.to_pylist():
+                out = list(sent(row, find))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([o[0] for o in out], pa.int32()), pa.array([row["block"]] * len(out), pa.int64()),
+                     pa.array([o[1] for o in out], pa.bool_()), pa.array([o[2] for o in out], pa.binary())],
+                    names=["bucket", "block", "done", "data"])
+
+    def sent(row, find) -> Iterator[tuple[int, bool, bytes]]:
+        block = Block(row["data"], at_id, at_text)
+        unit, place, hashes = block.anchors(find)
+        known, edges, rank = dealt(hashes, buckets)
+        shared, many = np.zeros(len(known), bool), np.zeros(len(known), bool)
+        for a in row["answers"]:
+            x, y = edges[a["bucket"]], edges[a["bucket"] + 1]
+            for bits, name in ((shared, "shared"), (many, "many")):
+                bits[x:y] = np.unpackbits(np.frombuffer(a[name], np.uint8))[:y - x]
+        # texts that a smaller document has need no search
+        searched = np.ones(len(block.units), bool)
+        for c in row["copies"] or []:
+            i = int(np.searchsorted(block.units, c["at"]))
+            searched[i] = block.docs[i] == c["least"]
+        asked = np.flatnonzero(shared[rank] & searched[unit])
+        for first in range(0, len(asked), 200_000):
+            some = asked[first:first + 200_000]
+            yield from routed(block, row["block"], unit[some], place[some], many[rank[some]])
+
+    def routed(block, number, unit, place, many):
+        pieces = np.zeros((len(unit), reach + length), np.uint8)
+        bounds = np.searchsorted(unit, np.unique(unit)).tolist() + [len(unit)]
+        for x, y in zip(bounds, bounds[1:]):
+            wide = np.frombuffer(bytes(reach) + block.raw[unit[x]] + bytes(length), np.uint8)
+            pieces[x:y] = wide[place[x:y, None] + np.arange(reach + length)]
+        sizes = np.array([len(r) for r in block.raw], np.int64)
+        n_left, n_right = np.minimum(place, reach), np.minimum(sizes[unit] - place, length)
+        every = Suffixes(unit, place, block.docs[unit], n_left, n_right, pieces)
         # the smallest document of equal suffixes stands for them; in the others every string repeats
-        whole = np.ascontiguousarray(np.column_stack([pieces, n_left.astype(np.uint8), n_right.astype(np.uint8)]))
-        _, group = np.unique(whole.view(f"V{whole.shape[1]}").reshape(-1), return_inverse=True)
-        least = np.full(group.max(initial=0) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, group, doc)
-        later = doc > least[group]
-        marks = np.where(later, full_marks(n_left, n_right, length), U(0))
-        yield from rows_by_document(*marks_by_document(doc, found, marks))
-        keep = np.flatnonzero(~later)
-        at = np.searchsorted(splitters, leads_of(pieces[keep][:, reach:]), side="right")
-        keep = keep[np.argsort(at, kind="stable")]
-        edges = np.searchsorted(np.sort(at), np.arange(ranges + 1))
-        out = [(i, keep[x:y]) for i, (x, y) in enumerate(zip(edges, edges[1:])) if x < y]
-        data = [zstandard.ZstdCompressor(level=1).compress(
-            np.array([len(x)], "<u4").tobytes() + doc[x].astype("<i8").tobytes() + found[x].astype("<i8").tobytes()
-            + n_left[x].astype(np.uint8).tobytes() + n_right[x].astype(np.uint8).tobytes() + pieces[x].tobytes()) for _, x in out]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([i for i, _ in out], pa.int32()), pa.nulls(len(out), pa.int64()), pa.array(data, pa.binary())],
-            names=["bucket", "doc_id", "data"])
-
-    def rows_by_document(ids, packed):
-        if len(ids):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((mixed(ids.astype(U)) % U(ranges)).astype(np.int32)), pa.array(ids, pa.int64()),
-                 pa.array(packed, pa.binary())], names=["bucket", "doc_id", "data"])
-
-    def leads_of(right: np.ndarray) -> np.ndarray:
-        """The leading bytes of suffixes, as byte strings that sort like them."""
-        wide = min(k, 24)
-        return np.ascontiguousarray(right[:, :wide]).view(f"S{wide}").reshape(-1)
-
-    def sampled(batches):
+        plain = every.take(np.flatnonzero(~many))
+        sides = np.column_stack([plain.n_left, plain.n_right]).astype("<u2").view(np.uint8).reshape(-1, 4)
+        later = first_of_equal(np.column_stack([plain.pieces, sides]), plain.doc)
+        own = int(mixed(np.array([number], np.int64).view(U))[0] % U(ranges))
+        if later.any():
+            x = plain.take(np.flatnonzero(later))
+            yield own, True, packed_marks(x.unit, x.place, full_marks(x.n_left, x.n_right, length))
+        plain = plain.take(np.flatnonzero(~later))
+        yield from by_bucket(plain, np.searchsorted(splitters, leads_of(plain.pieces[:, reach:], k), side="right"))
+        hot = every.take(np.flatnonzero(many))
+        if not len(hot.unit):
+            return
+        parts = []
+        for o in range(reach + 1):  # each string around a hot anchor, once
+            x = hot.take(np.flatnonzero((hot.n_left >= o) & (hot.n_right >= length - o)))
+            strings = np.zeros((len(x.unit), reach + length), np.uint8)
+            strings[:, reach:] = x.pieces[:, reach - o:reach - o + length]
+            parts.append(Suffixes(x.unit, x.place - o, x.doc, np.zeros(len(x.unit), np.int64), np.full(len(x.unit), length), strings))
+        single = Suffixes(*[np.concatenate([getattr(p, n) for p in parts]) for n in ("unit", "place", "doc", "n_left", "n_right", "pieces")])
+        _, once = np.unique(single.unit << 32 | single.place, return_index=True)
+        single = single.take(once)
+        later = first_of_equal(single.pieces, single.doc)
+        if later.any():
+            yield own, True, packed_marks(single.unit[later], single.place[later], np.ones(int(later.sum()), U))
+        single = single.take(np.flatnonzero(~later))
+        yield from by_bucket(single, ranges + (row_hashes(single.pieces[:, reach:]) % U(ranges)).astype(np.int64))
+
+    def by_bucket(suffixes: Suffixes, at: np.ndarray):
+        order = np.argsort(at, kind="stable")
+        names, starts = np.unique(at[order], return_index=True)
+        for name, rows in zip(names.tolist(), np.split(order, starts[1:])):
+            yield name, False, suffixes.take(rows).packed()
+
+    return cut
+
+
+def sort_bucket(table: pa.Table, length: int) -> pa.Table:
+    """Marks of a range, packed by block; what is done already goes through."""
+    reach = length - gram(length)
+    done = table.filter(table["done"]).select(["block", "data"])
+    todo = table.filter(pa.compute.invert(table["done"]))
+    blocks, packed = done["block"].to_pylist(), done["data"].to_pylist()
+    if todo.num_rows:
+        s, sizes = Suffixes.unpacked(todo["data"].to_pylist(), reach + length)
+        marks = repeats(s.doc, s.pieces[:, :reach][:, ::-1], s.pieces[:, reach:], s.n_left, s.n_right, length)
+        owner = np.repeat(todo["block"].to_numpy(), sizes)
+        keep = np.flatnonzero(marks)
+        keep = keep[np.argsort(owner[keep], kind="stable")]
+        names, starts = np.unique(owner[keep], return_index=True)
+        for name, rows in zip(names.tolist(), np.split(keep, starts[1:])):
+            blocks.append(name)
+            packed.append(packed_marks(s.unit[rows], s.place[rows], marks[rows]))
+    return pa.table({"block": pa.array(blocks, pa.int64()), "data": pa.array(packed, pa.binary())})
+
+
+def sampled_leads(blocks: DataFrame, at_id: int, at_text: int, length: int, sample: int) -> np.ndarray:
+    """Leading bytes of the suffixes of about `sample` texts, sorted."""
+    each, k = 50, gram(length)
+
+    def leads(batches):
         find = Anchors(length)
         for b in batches:
-            for text in b.column(0).to_pylist():
-                raw = text.encode("utf-8", "surrogatepass")
-                at, _ = find(raw)
-                at = at[::1 + len(at) // 200]
-                wide = np.frombuffer(raw + bytes(length), np.uint8)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(leads_of(wide[at[:, None] + np.arange(k)]).tolist() if len(at) else [], pa.binary())], names=["lead"])
+            for data in b.column(0).to_pylist():
+                block = Block(data, at_id, at_text)
+                for raw in block.raw[::1 + len(block.raw) // each]:
+                    at, _ = find(raw)
+                    at = at[::1 + len(at) // 200]
+                    wide = np.frombuffer(raw + bytes(length), np.uint8)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(leads_of(wide[at[:, None] + np.arange(k)], k).tolist() if len(at) else [], pa.binary())], names=["lead"])
 
-    # splitters from about `sample` documents; what a splitter cuts matters for balance only
-    ranges, total = 4 * blocks, known.count()
-    some = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, total // sample))) == 0).select(
-        "text").limit(2 * sample)
-    leads = np.sort(np.array([x or b"" for x in some.mapInArrow(sampled, "lead binary").toArrow()["lead"].to_pylist()], f"S{min(k, 24)}"))
-    splitters = leads[np.arange(1, ranges) * len(leads) // ranges] if len(leads) else leads
+    apart = max(1, blocks.count() * each // sample)
+    some = blocks.where(F.pmod(F.xxhash64("block"), F.lit(apart)) == 0).select("data").limit(2 * sample // each)
+    return np.sort(np.array([x or b"" for x in some.mapInArrow(leads, "lead binary").toArrow()["lead"].to_pylist()], f"S{min(k, 24)}"))
 
-    def sort_bucket(table: pa.Table) -> pa.Table:
-        done = table.filter(pa.compute.is_valid(table["doc_id"])).select(["doc_id", "data"])
-        parts: list[list[np.ndarray]] = [[], [], [], [], []]
-        step = reach + length
-        for data in table.filter(pa.compute.is_null(table["doc_id"]))["data"]:
-            raw = zstandard.ZstdDecompressor().decompress(data.as_py())
-            n = int(np.frombuffer(raw, "<u4", 1)[0])
-            parts[0].append(np.frombuffer(raw, "<i8", n, 4))
-            parts[1].append(np.frombuffer(raw, "<i8", n, 4 + 8 * n))
-            parts[2].append(np.frombuffer(raw, np.uint8, n, 4 + 16 * n).astype(np.int64))
-            parts[3].append(np.frombuffer(raw, np.uint8, n, 4 + 17 * n).astype(np.int64))
-            parts[4].append(np.frombuffer(raw, np.uint8, n * step, 4 + 18 * n).reshape(n, step))
-        if not parts[0]:
-            return done.cast(MARKS)
-        doc, place, n_left, n_right, pieces = (np.concatenate(p) for p in parts)
-        del parts
-        marks = repeats(doc, pieces[:, :reach][:, ::-1], pieces[:, reach:], n_left, n_right, length)
-        ids, packed = marks_by_document(doc, place, marks)
-        return pa.concat_tables([done.cast(MARKS), pa.table([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], schema=MARKS)])
-
-    rows = known.join(places, own_id.cast("long") == F.col("_doc")).select(*columns, "_doc", "_places").mapInArrow(
-        suffixes, "bucket int, doc_id long, data binary")
-    marked = (rows.groupBy("bucket").applyInArrow(sort_bucket, "doc_id long, data binary")
-              .groupBy("doc_id").agg(F.collect_list("data").alias("_marks"))
-              .join(copies, "doc_id", "full").select(F.col("doc_id").alias("_id"), "_marks", "_copy"))
-    joined = known.join(marked, own_id.cast("long") == F.col("_id"), "left").select(*columns, "_marks", "_copy")
-    joined = joined.unionByName(docs.where(own_id.isNull()).select(
-        *columns, F.lit(None).cast("array<binary>").alias("_marks"), F.lit(None).cast("boolean").alias("_copy")))
 
+# ---- removal ----------------------------------------------------------------------
+
+REMOVAL = "struct<n_bytes:long,n_removed:long,n_spans:long,kept:binary>"
+
+
+def remover(at_id: int, at_text: int, length: int, characters: bool, columns: list[str]):
+    """Rows of blocks with what is left of them: rows of (data, copies, marks)."""
     def remove(batches):
         for b in batches:
-            for s in range(0, b.num_rows, 1000):
-                part = b.slice(s, 1000)
-                out: list[list] = [[], [], [], []]
-                for text, marks, copy in zip(*[part.column(i).to_pylist() for i in (at_text, len(names), len(names) + 1)]):
-                    raw = (text or "").encode("utf-8", "surrogatepass")
-                    if marks or copy:
-                        gone = covered(len(raw), marks or [], length, bool(copy))
-                        if characters:
-                            gone = within_characters(raw, gone)
-                        spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                        kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                    else:
-                        spans, kept = 0, raw
-                    for column, value in zip(out, (len(raw), len(raw) - len(kept), spans, kept)):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:len(names)], *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.binary())],
-                    names=[*names, "_n_bytes", "_n_removed", "_n_spans", "_kept"])
+            for row in b.to_pylist():
+                block = Block(row["data"], at_id, at_text)
+                yield from results(block, row["copies"] or [], row["marks"] or [])
+
+    def results(block, copies, marks):
+        least = {c["at"]: c["least"] for c in copies}
+        unit, place, bits = unpacked_marks(marks)
+        order = np.argsort(unit, kind="stable")
+        bounds = np.searchsorted(unit[order], np.arange(len(block.units) + 1))
+        number = {int(u): i for i, u in enumerate(block.units)}
+        done: dict[tuple[int, bool], tuple] = {}
+        out: list[tuple] = []
+        for i, (of, doc) in enumerate(zip(block.same.tolist(), block.ids.tolist())):
+            if of < 0:
+                raw = (block.table.column(block.at_text)[i].as_py() or "").encode("utf-8", "surrogatepass")
+                out.append((len(raw), 0, 0, raw))
+                continue
+            key = of, of in least and doc > least[of]
+            if key not in done:
+                done[key] = left(block.raw[number[of]], key[1], *[x[order[bounds[number[of]]:bounds[number[of] + 1]]] for x in (place, bits)])
+            out.append(done[key])
+        columns_ = [block.table.column(c).combine_chunks() for c in range(len(columns))]
+        for s in range(0, len(out), 1000):
+            some = list(zip(*out[s:s + 1000]))
+            made = pa.StructArray.from_arrays([*[pa.array(c, pa.int64()) for c in some[:3]], pa.array(some[3], pa.binary())],
+                                              names=["n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([*[c.slice(s, 1000) for c in columns_], made], names=[*columns, "removal"])
+
+    def left(raw, whole, place, bits):
+        if not whole and not len(place):
+            return len(raw), 0, 0, raw
+        gone = np.ones(len(raw), bool) if whole else covered(len(raw), place, bits, length)
+        if characters:
+            gone = within_characters(raw, gone)
+        spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+        kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+        return len(raw), len(raw) - len(kept), spans, kept
+
+    return remove
+
+
+def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False, into: str | None = None, sample: int = 2000,
+                   hot: int = 256, block_bytes: int = 4 << 20) -> DataFrame:
+    """The rows of docs with a struct of n_bytes, n_removed, n_spans and kept (the bytes that stay),
+    in a column named `into` (by default `removal`, with underscores until no column has that name).
+    characters: remove whole characters only."""
+    names = docs.columns
+    into = into or free_name(names, "removal")
+    at_id, at_text = names.index("doc_id"), names.index("text")
+    inner = [f"c{i}" for i in range(len(names))]
+    plain = docs.toDF(*inner)
+    plain = plain.withColumn(inner[at_id], F.col(inner[at_id]).cast("long"))
+    typed = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(inner, plain.schema))
+    blocks = stage(plain.mapInArrow(packer(at_id, at_text, length, block_bytes), PACKED), "repeat-blocks")
+    total = blocks.agg(F.sum("bytes")).first()[0] or 0
+    # tasks of bounded size, 64 at least
+    buckets, ranges = max(64, total >> 25), max(64, total >> 24)
+    leads = sampled_leads(blocks, at_id, at_text, length, sample)
+    splitters = leads[np.arange(1, ranges) * len(leads) // ranges] if len(leads) else leads
 
-    return joined.mapInArrow(remove, f"{typed}, _n_bytes long, _n_removed long, _n_spans long, _kept binary")
+    digests = blocks.select("block", F.inline("digests")).selectExpr(
+        "block", "at", "most", "min(least) OVER (PARTITION BY high, low) AS least")
+    copies = stage(digests.where("most > least").groupBy("block").agg(
+        F.collect_list(F.struct("at", "least")).alias("copies")), "copies")
+    whole = blocks.select("block", "data")
+    answers = whole.mapInArrow(asker(at_id, at_text, length, buckets), "bucket int, block long, n int, data binary").groupBy(
+        "bucket").applyInArrow(lambda t: answer(t, hot), "block long, bucket int, shared binary, many binary")
+    answers = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "shared", "many")).alias("answers"))
+    sent = whole.join(answers, "block").join(copies, "block", "left").mapInArrow(
+        cutter(at_id, at_text, length, buckets, ranges, splitters), SENT)
+    marks = sent.groupBy("bucket").applyInArrow(lambda t: sort_bucket(t, length), "block long, data binary")
+    marks = marks.groupBy("block").agg(F.collect_list("data").alias("marks"))
+    done = whole.join(marks, "block", "left").join(copies, "block", "left").select("data", "copies", "marks").mapInArrow(
+        remover(at_id, at_text, length, characters, inner), f"{typed}, removal {REMOVAL}")
+    return done.toDF(*names, into).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))

@@ -37,6 +37,10 @@ def frame(spark, rows=None):
     return spark.createDataFrame(documents() if rows is None else rows, DDL).repartition(3)
 
 
+def texts(spark, rows, parts=3):
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+
+
 @lru_cache(maxsize=None)
 def plain_tokenizer():
     made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -84,16 +88,24 @@ def plain_components(rows, width, percent=80):
 
 
 def plain_removal(rows, length):
-    """doc_id -> which bytes go, by a table of all strings."""
-    seen, out = set(), {}
-    for d, t in sorted(rows):
-        raw, new = (t or "").encode(), []
-        gone = np.zeros(len(raw), bool)
+    """doc_id -> which bytes go, for rows of distinct doc_ids."""
+    return dict(zip([d for d, _ in rows], plain_removal_of_rows(rows, length)))
+
+
+def plain_removal_of_rows(rows, length):
+    """Which bytes of each row go, by a table of all strings with their least doc_id."""
+    least = {}
+    raws = [(t or "").encode() for _, t in rows]
+    for (d, _), raw in zip(rows, raws):
         for i in range(len(raw) - length + 1):
             s = raw[i:i + length]
-            if s in seen:
+            if d is not None and d < least.get(s, d + 1):
+                least[s] = d
+    out = []
+    for (d, _), raw in zip(rows, raws):
+        gone = np.zeros(len(raw), bool)
+        for i in range(len(raw) - length + 1):
+            if d is not None and least[raw[i:i + length]] < d:
                 gone[i:i + length] = True
-            new.append(s)
-        seen.update(new)
-        out[d] = gone
+        out.append(gone)
     return out

@@ -99,12 +99,12 @@ def test_toxicity_of_odd_rows(spark, docs, none, rows):
                                    "doc_id long, toxic int")
     network = toxicity.fit(docs, labels)
     out = toxicity.score_documents(text_only, network).collect()
-    assert len(out) == len(rows) and all(0 <= r.score <= 1 for r in out)
-    empty = {r.score for r in out if not (r.text or "").strip()}
+    assert len(out) == len(rows) and all(0 <= r.toxicity.score <= 1 for r in out)
+    empty = {r.toxicity.score for r in out if not (r.text or "").strip()}
     assert len(empty) == 1
     assert toxicity.score_documents(none.select("doc_id", "text"), network).count() == 0
     one_class = toxicity.fit(docs, labels.where("toxic = 0"))
-    assert {r.score for r in toxicity.score_documents(text_only, one_class).collect()} == {0.0}
+    assert {r.toxicity.score for r in toxicity.score_documents(text_only, one_class).collect()} == {0.0}
 
 
 # byte-level BPE
@@ -332,27 +332,55 @@ def test_components(spark):
 
 # repeated passages
 
-@pytest.mark.parametrize("length", [17, 50, 100])
-def test_removal(spark, docs, rows, none, length):
-    want = cases.plain_removal(rows, length)
-    out = suffixes.remove_repeats(docs, length).collect()
-    assert len(out) == len(rows)
-    for r in out:
-        gone, raw = want[r.doc_id], (r.text or "").encode()
-        assert bytes(r._kept) == np.frombuffer(raw, np.uint8)[~gone].tobytes()
-        assert (r._n_bytes, r._n_removed) == (len(raw), int(gone.sum()))
-        assert r._n_spans == int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+def same_removal(docs, rows, length, **options):
+    """The operator's rows against the plain ones, repeated doc_ids and rows included."""
+    got = sorted(((r.doc_id, r.text, r.removal.n_bytes, r.removal.n_removed, r.removal.n_spans, bytes(r.removal.kept))
+                  for r in suffixes.remove_repeats(docs, length, **options).select("doc_id", "text", "removal").collect()), key=repr)
+    want = []
+    for (d, t), gone in zip(rows, cases.plain_removal_of_rows(rows, length)):
+        raw = (t or "").encode()
+        want.append((d, t, len(raw), int(gone.sum()), int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()),
+                     np.frombuffer(raw, np.uint8)[~gone].tobytes()))
+    assert got == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("length", [17, 50, 100, 300])
+def test_removal(docs, rows, none, length):
+    same_removal(docs, rows, length)
     assert suffixes.remove_repeats(none, length).count() == 0
 
 
-def test_whole_characters_only(spark, docs):
-    for r in suffixes.remove_repeats(docs, 50, characters=True).collect():
-        assert bytes(r._kept).decode("utf-8") is not None
+@pytest.mark.parametrize("options", [{"block_bytes": 1}, {"hot": 1, "block_bytes": 2000}, {"hot": 0, "block_bytes": 1}])
+def test_removal_by_small_blocks(spark, docs, rows, options):
+    same_removal(docs, rows, 50, **options)
+    line = "This line stands in every document of the source, word for word, as licences do. "
+    own = [(i, f"own words of number {i} " + line + f"more of document {i * i}") for i in range(80)]
+    same_removal(cases.texts(spark, own), own, 50, **options)
 
 
-def test_removal_of_repeated_rows(spark, twice):
-    out = suffixes.remove_repeats(twice.select("doc_id", "text")).collect()
-    assert len(out) == 9 and all(r._n_removed == 0 for r in out if r.doc_id is None)
+def test_whole_characters_only(spark, docs):
+    for r in suffixes.remove_repeats(docs, 50, characters=True).collect():
+        assert bytes(r.removal.kept).decode("utf-8") is not None
+
+
+def test_removal_where_doc_ids_repeat(spark, rows):
+    """A doc_id names several rows: equal ones, copies of others, and texts of their own."""
+    a, b = "A" + "first text, of which there are copies, with enough bytes " * 2, "Another text that stands nowhere else at all, of its own. " * 2
+    for block_bytes in (1, 4 << 20):
+        for some in ([(1, a), (2, a), (2, b)], [(1, a), (2, "zz " + a), (2, "short text")], [(1, a), (2, "zz " + a), (2, b + b)],
+                     [(1, a), (1, a), (2, a), (2, a), (2, a + b), (1, b)], [(2, a), (2, b), (2, a + b)],
+                     [(None, a), (1, a), (None, b), (3, a), (2, None), (2, ""), (2, a + b)],
+                     [(d % 5, t) for d, t in rows]):
+            same_removal(cases.texts(spark, some), some, 50, block_bytes=block_bytes)
+
+
+def test_removal_keeps_clashing_columns(spark):
+    some = spark.createDataFrame([(1, "x " * 60, 7, {"k": 1}, None), (2, "x " * 60, 8, None, 2.5)],
+                                 "doc_id int, text string, removal int, same map<string,int>, c0 double")
+    out = suffixes.remove_repeats(some, 50)
+    assert out.columns == [*some.columns, "removal_"] and out.schema.fields[:5] == some.schema.fields
+    assert sorted((r.doc_id, r.removal, r.same, r.c0, r.removal_.n_removed) for r in out.collect()) == [
+        (1, 7, {"k": 1}, None, 0), (2, 8, None, 2.5, 120)]
 
 
 def test_removal_query(spark):

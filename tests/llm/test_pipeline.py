@@ -4,6 +4,7 @@ import zlib
 
 import duckdb
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SMALL
@@ -57,8 +58,12 @@ def test_run_follows_the_stages(spark):
 
 def test_odd_rows(spark):
     docs = cases.frame(spark)
+    clashing = docs.withColumns({c: F.lit(1) for c in (
+        "predicted", "toxicity", "removal", "Removal_", "_kept", "_n_removed", "_n_bytes", "_n_spans", "kept", "same", "c0", "made",
+        "block", "marks", "copies", "_id", "_toxic")})
+    repeated = docs.unionAll(docs).unionAll(docs.withColumn("doc_id", F.lit(None).cast("long")))
     for name, step in corpus_pipeline.STAGES:
-        for given in (docs, docs.limit(0)):
+        for given in (docs, docs.limit(0), clashing, repeated):
             out = step(spark, given, SMALL)
             assert name == "packing" or out.columns == given.columns
             assert out.count() >= 0
