@@ -1,9 +1,18 @@
 """The documents table as training sequences: toxic documents go, one of each group of
 near-duplicates stays, passages that repeat an earlier document go, and the rest is packed.
 
-Every stage takes and returns whole tables; all but the last keep the columns of documents.
-Rows without doc_id pass the near-duplicate and passage stages as they are, null texts stay
-null, and a document whose whole text goes stays as an empty one.
+Every stage takes and returns whole tables; all but the last keep the columns of documents,
+whatever else these are called.
+
+* Nulls: a null text counts as empty and stays null.  Rows without doc_id pass the
+  near-duplicate and passage stages as they are.
+* Empty texts: in no group of near-duplicates; a document whose whole text goes stays, empty.
+* Ties: the smallest doc_id of a group stays.  Where a passage is in several documents, the
+  smallest doc_id keeps it.
+* Repeated rows: a doc_id that is dropped as near-duplicate is dropped with all its rows.
+  Rows of equal doc_id keep what they share with each other, and lose what they share with a
+  smaller one.  Packing gives each row its own pieces.
+* Empty tables: every stage gives an empty table with the same columns.
 """
 
 from __future__ import annotations
@@ -13,7 +22,7 @@ from pyspark.sql import functions as F
 
 from formfold.llm.minhash import near_duplicates
 from formfold.llm.queries import packed, ship, table
-from formfold.llm.shared import stage
+from formfold.llm.shared import free_name, stage
 from formfold.llm.suffixes import remove_repeats
 from formfold.llm.toxicity import fit, score_documents
 
@@ -25,7 +34,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that a classifier trained on the labels calls toxic."""
     ship(spark)
     network = fit(docs, table(spark, sf_dir, "labels"))
-    return score_documents(docs, network).where("predicted = 0").select(docs.columns)
+    made = free_name(docs.columns, "toxicity")
+    return score_documents(docs, network, made).where(F.col(f"{made}.predicted") == 0).select(docs.columns)
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,12 +48,14 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what is covered by strings that start in a document of smaller doc_id."""
     ship(spark)
-    left = remove_repeats(docs, length=PASSAGE_BYTES, characters=True)
-    text = F.when(F.col("_n_removed") > 0, F.decode("_kept", "UTF-8")).otherwise(F.col("text"))
-    left = left.withColumn("text", text)
+    made = free_name(docs.columns, "removal")
+    left = remove_repeats(docs, length=PASSAGE_BYTES, characters=True, into=made)
+    shorter = F.col(f"{made}.n_removed") > 0
+    text = F.when(shorter, F.decode(f"{made}.kept", "UTF-8")).otherwise(F.col("text"))
+    changed = {"text": text}
     if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return left.select(docs.columns)
+        changed["n_chars"] = F.when(shorter, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+    return left.withColumns(changed).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
