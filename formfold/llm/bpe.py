@@ -114,8 +114,8 @@ EXPLODED = pa.schema([("block", pa.binary()), ("bucket", pa.int32()), ("data", p
 EXPLODED_DDL = "block binary, bucket int, data binary, counts binary, doc_ids array<bigint>"
 
 
-def exploded(docs: DataFrame, pattern: str, buckets: int, most: int = 9_000_000) -> DataFrame:
-    """For each block: a row a bucket with its words, and a row (bucket -1) with the words'
+def exploded(docs: DataFrame, pattern: str, buckets: int, words_only: bool, most: int = 9_000_000) -> DataFrame:
+    """For each block: a row a bucket with its words, or one row (bucket -1) with the words'
     numbers by position, the number of pre-tokens of each document, and the doc_ids.
 
     Words are numbered by bucket and then by first position."""
@@ -133,13 +133,19 @@ def exploded(docs: DataFrame, pattern: str, buckets: int, most: int = 9_000_000)
         place = np.empty(len(order), np.uint32)
         place[order] = np.arange(len(order), dtype=np.uint32)
         refs = place[np.frombuffer(numbers, np.uint32)] if numbers else np.zeros(0, np.uint32)
-        refs, counts = planes(refs), np.array(counts, "<u4").tobytes()
-        block = blake2b(repr((place_read, names)).encode() + refs + counts + b"\0".join(words), digest_size=16).digest()
-        rows = [(block, -1, refs, counts, names)]
-        edges = np.searchsorted(at[order], np.arange(buckets + 1)).tolist()
-        for b, (s, e) in enumerate(zip(edges, edges[1:])):
-            if s < e:
-                rows.append((block, b, packed([words[i] for i in order[s:e].tolist()]), None, None))
+        counts = np.array(counts, "<u4").tobytes()
+        name = blake2b(repr((place_read, names)).encode(), digest_size=16)
+        for part in (refs.tobytes(), counts, b"\0".join(words)):
+            name.update(part)
+        block = name.digest()
+        if words_only:
+            edges = np.searchsorted(at[order], np.arange(buckets + 1)).tolist()
+            rows = [(block, b, packed([words[i] for i in order[s:e].tolist()]), None, None)
+                    for b, (s, e) in enumerate(zip(edges, edges[1:])) if s < e]
+        else:
+            rows = [(block, -1, planes(refs), counts, names)]
+        if not rows:
+            return pa.RecordBatch.from_pylist([], schema=EXPLODED)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), EXPLODED.types)], schema=EXPLODED)
 
     def explode(batches):
@@ -163,8 +169,6 @@ def exploded(docs: DataFrame, pattern: str, buckets: int, most: int = 9_000_000)
 def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, buckets: int | None = None) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit) of every document."""
     buckets = buckets or max(8, 4 * docs.rdd.getNumPartitions())
-    rows = exploded(docs, pattern, buckets)
-
     def encode(table: pa.Table) -> pa.Table:
         merge, known = merger(vocabulary), {}
         coded = []
@@ -180,7 +184,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, buckets: in
                          "counts": pa.nulls(len(coded), pa.binary()),
                          "doc_ids": pa.nulls(len(coded), pa.list_(pa.int64()))})
 
-    words = rows.where("bucket >= 0").groupBy("bucket").applyInArrow(encode, EXPLODED_DDL)
+    words = exploded(docs, pattern, buckets, True).groupBy("bucket").applyInArrow(encode, EXPLODED_DDL)
 
     def reassemble(table: pa.Table) -> pa.Table:
         table = table.sort_by("bucket")
@@ -205,7 +209,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, buckets: in
             out += [ids[a:b] for a, b in zip(edges, edges[1:])]
         return pa.table({"doc_id": pa.array(table["doc_ids"][0].as_py(), pa.int64()), "ids": pa.array(out, pa.binary())})
 
-    return (rows.where("bucket = -1").unionByName(words).groupBy("block")
+    return (exploded(docs, pattern, buckets, False).unionByName(words).groupBy("block")
             .applyInArrow(reassemble, "doc_id long, ids binary"))
 
 

@@ -56,12 +56,13 @@ class Packer:
         return number, fill
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, window: int = 1024, end: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, window: int = 1024, end: int = 0,
+                   remembered: int = 1_600_000) -> DataFrame:
     """doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id
-    and offset of every piece."""
+    and offset of every piece.  remembered: pieces of text whose ids a worker keeps."""
 
     def pack(batches):
-        encode, packer = encoder(tokenizer), Packer(window)
+        encode, packer = encoder(tokenizer, remembered), Packer(window)
         base = TaskContext.get().partitionId() << 32
         last = np.array([end], "<u4").tobytes()
         for b in batches:

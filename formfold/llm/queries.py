@@ -64,11 +64,11 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, **options) -> DataFrame:
     from public_tokenizers import path
 
     from formfold.llm.packing import pack_documents
-    return pack_documents(docs, path("byte_bpe_50k.json")).select(
+    return pack_documents(docs, path("byte_bpe_50k.json"), **options).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -56,7 +56,7 @@ class Memory(dict):
 class Encoder:
     """encode(texts) gives each text's ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, remembered: int = 600_000):
+    def __init__(self, path: str, remembered: int = 1_600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -103,9 +103,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker process."""
-    return Encoder(path)
+def encoder(path: str, remembered: int = 1_600_000) -> Encoder:
+    """One encoder for each worker process; remembered: pieces whose ids it keeps, some 220 bytes each."""
+    return Encoder(path, remembered)
 
 
 def slices(texts: list[str | None], most: int = 2_000_000):

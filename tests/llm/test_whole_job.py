@@ -32,7 +32,7 @@ def test_bpe_of_equal_blocks(spark):
     docs = spark.createDataFrame(spark.sparkContext.parallelize([(5, "one two two")] * 6, 6), "doc_id long, text string")
     out = bpe.encode_documents(docs, vocabulary, public_tokenizers.PATTERN).collect()
     assert len(out) == 6 and len({(r.doc_id, bytes(r.ids)) for r in out}) == 1
-    names = bpe.exploded(docs.coalesce(1), public_tokenizers.PATTERN, 8, most=1).where("bucket = -1").select("block").distinct()
+    names = bpe.exploded(docs.coalesce(1), public_tokenizers.PATTERN, 8, False, most=1).select("block").distinct()
     assert names.count() == 6
 
 
