@@ -61,7 +61,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of sequences of 1024 tokens."""
     ship(spark)
-    return packed(docs)
+    return packed(docs, remembered=600_000)  # workers still hold what earlier stages learnt
 
 
 STAGES = [
