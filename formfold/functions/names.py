@@ -1,201 +1,338 @@
-"""Phonetic codes of names (Double Metaphone) as Spark expressions.
+"""Phonetic codes of names (Double Metaphone) and the likeness of names, as Spark expressions.
 
-A fold walks over the letters of the padded word.  At each letter the rules of that letter
-are tried in order; the first whose context fits says which sounds it adds to the primary
-and to the secondary code and how many letters it takes.  Everything is one SQL expression,
-evaluated in the JVM, for words of any length.
-
-Against the published algorithm this variant does three things: a name is compared without
-accents, B is P, and a W at the start before H adds A.  Codes are not cut.
+All spellings are one regular expression.  It walks over a name from the left; at each place the
+first spelling that fits is taken, its letters are replaced by what is heard, and the walk goes
+on behind them.  What is heard is captured from a list that is written behind the name, since a
+replacement can only repeat what was captured; marks before that list say what holds for
+the name as a whole.  So a name costs one pass in generated code, whatever its length.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-START, PAD = "␂" * 4, " " * 8  # what stands before and behind a word
-VOWELS = tuple("AEIOUY")
-FIRST = f"substring(w, i + 3, 1) = '{START[0]}'"
-LAST = f"substring(w, i + 5) = '{PAD}'"
-SLAVIC = "(w LIKE '%W%' OR w LIKE '%K%' OR w LIKE '%CZ%')"
-
-
-def at(place: int, *texts: str) -> str:
-    """One of the texts, all of one length, stands at a place counted from the letter."""
-    listed = ", ".join(f"'{t}'" for t in texts)
-    return f"substring(w, i + {4 + place}, {len(texts[0])}) IN ({listed})"
-
-
-def starts(*texts: str) -> str:
-    """The word starts with one of the texts, all of one length."""
-    return f"substring(w, 5, {len(texts[0])}) IN ({', '.join(repr(t) for t in texts)})"
-
-
-def both(*tests: str) -> str:
-    return "(" + " AND ".join(tests) + ")"
-
-
-def either(*tests: str) -> str:
-    return "(" + " OR ".join(tests) + ")"
-
-
-def no(test: str) -> str:
-    return f"NOT ({test})"
-
-
-GERMANIC = either(starts("VAN ", "VON "), starts("SCH"))
-
-
-def doubled(letter: str, sound: str, *others: str) -> list[tuple]:
-    """A letter that swallows itself, or one of the others, behind it."""
-    return [(at(1, letter, *others), sound, sound, 2), ("true", sound, sound, 1)]
-
-
-def rules() -> dict[str, list[tuple[str, str, str, int]]]:
-    """For each letter: (context, primary, secondary, letters taken), in order."""
-    before_vowel, start_or_vowel = at(-1, *VOWELS), at(-1, START[0], *VOWELS)
-    ending = lambda place: f"substring(w, i + {4 + place}) = '{PAD}'"
-    out = {v: [(FIRST, "A", "A", 1), ("true", "", "", 1)] for v in VOWELS}
-    out["B"] = doubled("B", "P")
-    out["C"] = [
-        (both(no(at(-2, START[0], *VOWELS)), at(-1, "A"), at(1, "H"), no(at(2, "I", "E"))), "K", "K", 2),
-        (both(at(-2, "BA", "MA"), at(1, "HER")), "K", "K", 2),
-        (both(FIRST, at(1, "AESAR")), "S", "S", 2),
-        (at(1, "HIA"), "K", "K", 2),
-        (both(no(FIRST), at(1, "HAE")), "K", "X", 2),
-        (both(FIRST, either(at(1, "HARAC", "HARIS"), at(1, "HOR", "HYM", "HEM")), no(at(1, "HORE"))), "K", "K", 2),
-        (both(at(1, "H"), GERMANIC), "K", "K", 2),
-        (both(at(-2, "OR"), at(1, "HES", "HID")), "K", "K", 2),
-        (both(at(-2, "AR"), at(1, "HIT")), "K", "K", 2),
-        (at(1, "HT", "HS"), "K", "K", 2),
-        (both(at(-1, *"AOUE", START[0]), at(1, "H"), at(2, *"LRNMBHFVW ")), "K", "K", 2),
-        (both(FIRST, at(1, "H")), "X", "X", 2),
-        (both(at(1, "H"), starts("MC")), "K", "K", 2),
-        (at(1, "H"), "X", "K", 2),
-        (both(at(1, "Z"), no(at(-2, "WI"))), "S", "X", 2),
-        (at(1, "CIA"), "X", "X", 3),
-        (both(at(-1, "U"), at(1, "CEE", "CES")), "KS", "KS", 3),
-        (both(no(at(-2, START[0] + "M")), at(1, "CI", "CE", "CH"), no(at(2, "HU"))), "X", "X", 3),
-        (both(no(at(-2, START[0] + "M")), at(1, "C")), "K", "K", 2),
-        (at(1, "K", "G", "Q"), "K", "K", 2),
-        (at(1, "IO", "IE", "IA"), "S", "X", 2),
-        (at(1, "I", "E", "Y"), "S", "S", 2),
-        (at(1, " C", " Q", " G"), "K", "K", 3),
-        (both(at(1, "C"), no(at(2, "E", "I"))), "K", "K", 2),
-        ("true", "K", "K", 1),
-    ]
-    out["D"] = [(at(1, "GI", "GE", "GY"), "J", "J", 3), (at(1, "G"), "TK", "TK", 2), *doubled("D", "T", "T")]
-    out["F"] = doubled("F", "F")
-    silent_gh = either(at(-2, *"BHD"), at(-3, *"BHD"), at(-4, *"BH"))
-    out["G"] = [
-        (both(FIRST, at(1, "N")), "", "", 1),
-        (both(at(1, "H"), no(start_or_vowel)), "K", "K", 2),
-        (both(at(1, "HI"), FIRST), "J", "J", 2),
-        (both(at(1, "H"), FIRST), "K", "K", 2),
-        (both(at(1, "H"), silent_gh), "", "", 2),
-        (both(at(1, "H"), at(-1, "U"), at(-3, *"CGLRT")), "F", "F", 2),
-        (both(at(1, "H"), no(at(-1, "I"))), "K", "K", 2),
-        (at(1, "H"), "", "", 1),
-        (both(at(1, "N"), before_vowel, at(-2, START[0]), no(SLAVIC)), "KN", "N", 2),
-        (both(at(1, "N"), no(at(2, "EY")), no(SLAVIC)), "N", "KN", 2),
-        (at(1, "N"), "KN", "KN", 2),
-        (both(at(1, "LI"), no(SLAVIC)), "KL", "L", 2),
-        (both(FIRST, either(at(1, "Y"), at(1, *["E" + c for c in "SPBLYIR"], *["I" + c for c in "BLNE"]))), "K", "J", 2),
-        (both(either(at(1, "ER"), at(1, "Y")), no(at(-1, "E", "I")), no(both(at(-1, "R", "O"), at(1, "Y"))),
-              no(starts("DANGER", "RANGER", "MANGER"))), "K", "J", 2),
-        (both(at(1, "E", "I", "Y"), GERMANIC), "K", "K", 2),
-        (both(at(-1, "A", "O"), at(1, "GI"), GERMANIC), "K", "K", 2),
-        (at(1, "ET"), "K", "K", 2),
-        (at(1, "IER "), "J", "J", 2),
-        (at(1, "E", "I", "Y"), "J", "K", 2),
-        (both(at(-1, "A", "O"), at(1, "GI")), "J", "K", 2),
-        *doubled("G", "K"),
-    ]
-    out["H"] = [(both(start_or_vowel, at(1, *VOWELS)), "H", "H", 2), ("true", "", "", 1)]
-    out["J"] = [
-        *[(both(test, starts("SAN ")), "H", "H", n) for test, _, _, n in doubled("J", "H")],
-        (both(FIRST, at(1, "OSE ")), "H", "H", 1),
-        (at(1, "OSE"), "J", "H", 1),
-        (both(FIRST, at(1, "J")), "J", "A", 2),
-        (FIRST, "J", "A", 1),
-        (both(before_vowel, at(1, "A", "O"), no(SLAVIC)), "J", "H", 1),
-        (LAST, "J", "", 1),
-        (both(no(at(-1, *"SKL")), at(1, "J")), "J", "J", 2),
-        (both(no(at(-1, *"SKL")), no(at(1, *"LTKSNMBZ"))), "J", "J", 1),
-        *doubled("J", ""),
-    ]
-    out["K"] = [(both(FIRST, at(1, "N")), "", "", 1), *doubled("K", "K")]
-    spanish = either(
-        both(at(-1, "I"), at(2, "O", "A"), ending(3)), both(at(-1, "A"), at(2, "E"), ending(3)),
-        both(at(-1, "A"), at(2, "E"), f"substring(w, i + 6) RLIKE '[AO]S?{PAD}$'"))
-    out["L"] = [(both(at(1, "L"), spanish), "L", "", 2), *doubled("L", "L")]
-    out["M"] = [(both(at(-1, "U"), at(1, "B"), either(ending(2), at(2, "ER"))), "M", "M", 2), *doubled("M", "M")]
-    out["N"] = doubled("N", "N")
-    out["P"] = [(both(FIRST, at(1, "N", "S")), "", "", 1), (at(1, "H"), "F", "F", 2), *doubled("P", "P", "B")]
-    out["Q"] = doubled("Q", "K")
-    out["R"] = [(both(LAST, at(-2, "IE"), no(at(-4, "ME", "MA")), no(SLAVIC)), "", "R", 1), *doubled("R", "R")]
-    out["S"] = [
-        (both(at(-1, "I", "Y"), at(1, "L")), "", "", 1),
-        (both(FIRST, at(1, "UGAR")), "X", "S", 1),
-        (at(1, "HEIM", "HOEK", "HOLM", "HOLZ"), "S", "S", 2),
-        (at(1, "H"), "X", "X", 2),
-        (both(at(1, "IO", "IA"), no(SLAVIC)), "S", "X", 3),
-        (at(1, "IO", "IA"), "S", "S", 3),
-        (both(FIRST, at(1, *"MNLW")), "S", "X", 1),
-        (at(1, "Z"), "S", "X", 2),
-        (at(1, "CHER", "CHEN"), "X", "SK", 3),
-        (at(1, "CHOO", "CHUY", "CHED", "CHEM"), "SK", "SK", 3),
-        (both(FIRST, at(1, "CH"), no(at(3, *VOWELS, "W"))), "X", "S", 3),
-        (at(1, "CH"), "X", "X", 3),
-        (at(1, "CI", "CE", "CY"), "S", "S", 3),
-        (at(1, "C"), "SK", "SK", 3),
-        (both(at(-2, "AI", "OI"), LAST), "", "S", 1),
-        *doubled("S", "S"),
-    ]
-    out["T"] = [
-        (at(1, "ION"), "X", "X", 3),
-        (at(1, "IA", "CH"), "X", "X", 3),
-        (at(1, "HOM", "HAM"), "T", "T", 2),
-        (both(either(at(1, "H"), at(1, "TH")), GERMANIC), "T", "T", 2),
-        (either(at(1, "H"), at(1, "TH")), "0", "T", 2),
-        *doubled("T", "T", "D"),
-    ]
-    out["V"] = doubled("V", "F")
-    out["W"] = [
-        (both(FIRST, at(1, "R")), "", "", 1),
-        (at(1, "R"), "R", "R", 2),
-        (both(FIRST, at(1, *VOWELS)), "A", "F", 1),
-        (both(FIRST, at(1, "H")), "A", "A", 1),
-        (both(before_vowel, LAST), "", "F", 1),
-        (both(at(-1, "E", "O"), at(1, "SKI", "SKY")), "", "F", 1),
-        (starts("SCH"), "", "F", 1),
-        (at(1, "ICZ", "ITZ"), "TS", "FX", 4),
-        ("true", "", "", 1),
-    ]
-    out["X"] = [(FIRST, "S", "S", 1), (both(at(-2, "AU", "OU"), LAST), "", "", 1), *doubled("X", "KS", "C")]
-    out["Z"] = [
-        (at(1, "HZ"), "J", "J", 3),
-        (at(1, "H"), "J", "J", 2),
-        (at(1, "ZO ", "ZI ", "ZA "), "S", "TS", 2),
-        *[(both(test, no(at(-1, START[0], "T")), SLAVIC), "S", "TS", n) for test, _, _, n in doubled("Z", "S")],
-        *doubled("Z", "S"),
-    ]
-    return out
-
-
-def sound_at() -> str:
-    """What is heard at letter i of the padded word w, as a struct."""
-    heard = lambda p, s, n: f"named_struct('p', '{p}', 's', '{s}', 'n', {n})"
-    letters = []
-    for letter, listed in rules().items():
-        tests = " ".join(f"WHEN {test} THEN {heard(p, s, n)}" for test, p, s, n in listed)
-        letters.append(f"WHEN '{letter}' THEN CASE {tests} END")
-    return f"CASE substring(w, i + 4, 1) {' '.join(letters)} ELSE {heard('', '', 1)} END"
-
-
+# ---- fixed values -----------------------------------------------------------------
+# Double Metaphone as published by Lawrence Philips ("The Double Metaphone Search
+# Algorithm", C/C++ Users Journal, June 2000), as a table of spellings.  A line is
+#
+#     before(letters)after   primary/secondary   [what holds for the name]
+#
+# `^` and `$` are the start and end of the name, `_` a blank or the end, `~` a vowel (Y is
+# one), `[..]` one of some letters, `[^..]` another letter, `.` any letter, `%` any letters.
+# `!X` at the end of a side says that X does not stand there (before: not up to the letters).
+# One sound stands for both codes; `-` is silence; 0 is the English TH, X is SH.
+# Of the spellings of a first letter, the first that fits holds.
+#
+# Three things differ from the published form, as the specification asks: accents are dropped,
+# so that C with a cedilla is a C; B is heard as P; W before H at the start is heard as A.
+SPELLINGS = """
+Vowels are heard at the start only
+    ^([AEIOUY])         A
+    ([AEIOUY])          -
+
+Letters that are mostly heard one way
+    (BB)                P
+    (B)                 P
+    (FF)                F
+    (F)                 F
+    (KK)                K
+    (MM)                M
+    (NN)                N
+    (N)                 N
+    (PB)                P
+    (PP)                P
+    (QQ)                K
+    (Q)                 K
+    (RR)                R
+    (VV)                F
+    (V)                 F
+
+Silent at the start: GNOME, KNIGHT, PNEUMONIA, PSALM, WRIGHT
+    ^(G)N               -
+    ^(K)N               -
+    ^(P)N               -
+    ^(P)S               -
+    ^(W)R               -
+    (K)                 K
+    (PH)                F
+    (P)                 P
+
+C: words with a sound of their own
+    BA(CH)ER            K
+    MA(CH)ER            K
+    ^(CA)ESAR           S
+    OR(CH)ES            K
+    OR(CH)ID            K
+    AR(CH)IT            K
+C: Greek and Italian CH is hard
+    (CH)IA              K
+    ^(CH)ARAC           K
+    ^(CH)ARIS           K
+    ^(CH)OR!E           K
+    ^(CH)YM             K
+    ^(CH)EM             K
+C: Germanic CH is hard
+    [^AEIOUY]A(CH)!E!I  K
+    !^(CH)AE            K/X
+    (CH)                K       germanic
+    (CH)[TS]            K
+    ^(CH)[BFHLMNRVW]    K
+    ^(CH)_              K
+    [AEOU](CH)[BFHLMNRVW] K
+    [AEOU](CH)_         K
+C: other CH
+    ^(CH)               X
+    (CH)                K       mc
+    (CH)                X/K
+C: Slavic CZ, not in WICZ
+    !WI(CZ)             S/X
+C: Italian and Latin CC
+    (CCI)A              X
+    U(CCE)[ES]          KS
+    !^M(CC[EI])         X
+    !^M(CCH)!U          X
+    !^M(CC)             K
+C: hard and soft
+    (C[GKQ])            K
+    (CI)[AEO]           S/X
+    (C[EIY])            S
+    (C [CGQ])           K
+    (CC)!E!I            K
+    (C)                 K
+
+D
+    (DG[EIY])           J
+    (DG)                TK
+    (D[DT])             T
+    (D)                 T
+
+G: GH is hard at the start and after consonants, silent or F after vowels
+    ^(GH)I              J
+    ^(GH)               K
+    [^AEIOUY](GH)       K
+    [BDH].(GH)          -
+    [BDH]..(GH)         -
+    [BH]...(GH)         -
+    [CGLRT].U(GH)       F
+    !I(GH)              K
+    (G)H                -
+G: French and Italian GN and GL
+    ^~(GN)              KN/N    not slavic
+    (GN)!EY             N/KN    not slavic
+    (GN)                KN
+    (GL)I               KL/L    not slavic
+G: hard or soft at the start
+    ^(GY)               K/J
+    ^(GE)[BILPRSY]      K/J
+    ^(GI)[BELN]         K/J
+G: hard or soft before ER and Y, soft in DANGER, RANGER, MANGER
+    !E!I(GE)R           K/J     not danger
+    !E!I!O!R(GY)        K/J     not danger
+G: Germanic G is hard
+    (G[EIY])            K       germanic
+    [AO](GG)I           K       germanic
+    (GE)T               K
+G: other soft G
+    (GI)ER_             J
+    (G[EIY])            J/K
+    [AO](GG)I           J/K
+    (GG)                K
+    (G)                 K
+
+H is heard between vowels and before the first
+    ^(H~)               H
+    ~(H~)               H
+    (H)                 -
+
+J: Spanish J is an H
+    (JJ)                H       san
+    (J)                 H       san
+    ^(J)OSE_            H
+    (J)OSE              J/H
+J: at the start also a vowel
+    ^(JJ)               J/A
+    ^(J)                J/A
+J: other
+    ~(J)[AO]            J/H     not slavic
+    (J)$                J/-
+    !K!L!S(JJ)          J
+    !K!L!S(J)!B!K!L!M!N!S!T!Z J
+    (JJ)                -
+    (J)                 -
+
+L: Spanish endings in ILLO, ILLA, ALLE
+    I(LL)[AO]$          L/-
+    A(LL)E$             L/-
+    A(LL)E%[AO]$        L/-
+    A(LL)E%[AO]S$       L/-
+    (LL)                L
+    (L)                 L
+
+M: B is silent in DUMB and THUMBER
+    U(MB)$              M
+    U(MB)ER             M
+    (M)                 M
+
+R: French ending IER, not after ME and MA
+    IE!MEIE!MAIE(R)$    -/R     not slavic
+    (R)                 R
+
+S: silent in ISLAND and CARLYSLE
+    [IY](S)L            -
+S: words with a sound of their own
+    ^(S)UGAR            X/S
+    (SH)EIM             S
+    (SH)OEK             S
+    (SH)OLM             S
+    (SH)OLZ             S
+    (SH)                X
+S: Italian and Armenian SIO and SIA
+    (SI[AO])            S/X     not slavic
+    (SI[AO])            S
+S: German and Anglicised SCHMIDT as SMITH, SNYDER as SCHNEIDER; Slavic SZ
+    ^(S)[LMNW]          S/X
+    (SZ)                S/X
+S: Dutch and German SCH
+    (SCH)E[RN]          X/SK
+    (SCH)E[DM]          SK
+    (SCH)OO             SK
+    (SCH)UY             SK
+    ^(SCH)!A!E!I!O!U!Y!W X/S
+    (SCH)               X
+    (SC[EIY])           S
+    (SC.)               SK
+    (SC)                SK
+S: French endings in AIS and OIS
+    [AO]I(S)$           -/S
+    (SS)                S
+    (S)                 S
+
+T
+    (TIO)N              X
+    (TIA)               X
+    (TCH)               X
+    (TH)[AO]M           T
+    (TH)                T       germanic
+    (TT)H               T       germanic
+    (TH)                0/T
+    (TT)H               0/T
+    (T[DT])             T
+    (T)                 T
+
+W
+    (WR)                R
+    ^(W)~               A/F
+    ^(W)H               A
+    ~(W)$               -/F
+    [EO](W)SK[IY]       -/F
+    (W)                 -/F     sch
+    (WI[CT]Z)           TS/FX
+    (W)                 -
+
+X: French endings in AUX and OUX
+    ^(X)                S
+    [AO]U(X)$           -
+    (X[CX])             KS
+    (X)                 KS
+
+Z: Chinese ZH; Italian endings in ZZO, ZZI, ZZA; Slavic Z
+    (ZHZ)               J
+    (ZH)                J
+    (ZZ)[AIO]_          S/TS
+    !^!T(ZZ)            S/TS    slavic
+    !^!T(Z)             S/TS    slavic
+    (ZZ)                S
+    (Z)                 S
+"""
+# What holds for a name as a whole, as a pattern of its letters.
+WHOLE = {
+    "slavic": "W|K|CZ",
+    "germanic": "^(VAN|VON)( |$)|^SCH",
+    "mc": "^MC",
+    "san": "^SAN( |$)",
+    "sch": "^SCH",
+    "danger": "^(DANGER|MANGER|RANGER)",
+}
+# ---- end of fixed values ----------------------------------------------------------
+
+END = "\n"  # parts a name from what is written behind it
+
+
+@dataclass(frozen=True)
+class Spelling:
+    before: str
+    letters: str
+    after: str
+    primary: str
+    secondary: str
+    holds: tuple[tuple[str, bool], ...]
+
+    @property
+    def sounds(self) -> tuple[tuple[str, str], ...]:
+        """What is heard as pairs of a primary and a secondary letter; one may be empty."""
+        n = max(len(self.primary), len(self.secondary))
+        return tuple((p.strip(), s.strip()) for p, s in zip(self.primary.rjust(n), self.secondary.rjust(n)))
+
+
+@lru_cache(maxsize=1)
+def spellings() -> tuple[Spelling, ...]:
+    out = []
+    for text in SPELLINGS.splitlines():
+        if found := re.fullmatch(r"    (\S*)\((.+?)\)(\S*) +(\S+) *(.*)", text):
+            before, letters, after, sound, holds = found.groups()
+            primary, _, secondary = sound.partition("/")
+            heard = [x.replace("-", "") for x in (primary, secondary or primary)]
+            marks = tuple((x.removeprefix("not "), not x.startswith("not ")) for x in holds.split(", ") if x)
+            out.append(Spelling(before, letters, after, *heard, marks))
+    return tuple(out)
+
+
+def letters_of(text: str) -> str:
+    """The regular expression of one side of a spelling."""
+    for sign, meant in ((".", f"[^{END}]"), ("[^", f"[^{END}"), ("~", "[AEIOUY]"), ("%", f"[^{END}]*"),
+                        ("$", f"(?={END})"), ("_", f"(?=[ {END}])")):
+        text = text.replace(sign, meant)
+    return text.replace(f"[^{END}{END}]", f"[^{END}]")
+
+
+@lru_cache(maxsize=1)
+def walk() -> tuple[str, int, str, tuple[tuple[str, str], ...]]:
+    """The regular expression, how many sounds it captures, the list of sounds that is written
+    behind a name, and the pairs of letters that the list is made of."""
+    pairs = {p: chr(0xE000 + i) for i, p in enumerate(dict.fromkeys(p for s in spellings() for p in s.sounds))}
+    listed, place = "", {}
+    for s in spellings():
+        text = "".join(pairs[p] for p in s.sounds)
+        if text not in place:
+            place[text] = len(WHOLE) + len(listed)
+            listed += text
+    captured, by_first = 0, {}
+    for s in spellings():
+        first = re.match(r"\[.*?\]|.", s.letters).group()
+        read, rest = letters_of(s.letters), letters_of(s.letters[len(first):])
+        (before, *not_before), (after, *not_after) = s.before.split("!"), s.after.split("!")
+        tests = [f"(?<={letters_of(before)}{read})"] if before else []
+        tests += [f"(?<!{letters_of(x)}{read})" for x in not_before]
+        if after or not_after:
+            tests.append(f"(?={letters_of(after)}{''.join(f'(?!{letters_of(x)})' for x in not_after)})")
+        behind = f"(?=[^{END}]*+{END}"
+        tests += [f"{behind}.{{{list(WHOLE).index(name)}}}{int(wanted)})" for name, wanted in s.holds]
+        heard = "".join(pairs[p] for p in s.sounds)
+        if heard:
+            tests.append(f"{behind}.{{{place[heard]}}}(.{{{len(heard)}}}))")
+            captured += 1
+        by_first.setdefault(first, []).append(rest + "".join(tests))
+    letters = "|".join(f"{first}(?:{'|'.join(texts)})" for first, texts in by_first.items())
+    return f"{letters}|{END}(?s:.*)|[^{END}]", captured, listed, tuple(pairs)
+
+
+@lru_cache(maxsize=1)
 def plain_letters() -> tuple[str, str, str]:
     """Letters with marks, the same without, and the marks that stand alone."""
     marked = [chr(c) for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]]
@@ -205,26 +342,39 @@ def plain_letters() -> tuple[str, str, str]:
     return "".join(bare), "".join(bare.values()), "".join(map(chr, range(0x300, 0x370)))
 
 
-def padded(name: str) -> str:
-    """SQL of the upper case of a name without accents, between its pads."""
+def plain(name: Column) -> Column:
+    """The upper case of a name without accents; empty for a missing one."""
     marked, bare, marks = plain_letters()
-    return f"concat('{START}', upper(translate(coalesce({name}, ''), '{marked}{marks}', '{bare}')), '{PAD}')"
+    return F.upper(F.translate(F.coalesce(name, F.lit("")), f"{END}{marked}{marks}", f"\u0001{bare}"))
+
+
+def heard(name: Column) -> Column:
+    """What is heard of a name, a letter for each pair of sounds."""
+    expression, captured, listed, _ = walk()
+    word = plain(name)
+    marks = [F.when(word.rlike(pattern), "1").otherwise("0") for pattern in WHOLE.values()]
+    behind = F.concat(word, F.lit(END), *marks, F.lit(listed))
+    return F.regexp_replace(behind, expression, "".join(f"${i}" for i in range(1, captured + 1)))
+
+
+def spoken(sounds: Column, side: int) -> Column:
+    """The primary (0) or secondary (1) code of what is heard."""
+    pairs = sorted(((p[side], chr(0xE000 + i)) for i, p in enumerate(walk()[3])), key=lambda x: not x[0])
+    # translate drops the letters at the end that have no counterpart: the silent ones
+    return F.translate(sounds, "".join(c for _, c in pairs), "".join(p for p, _ in pairs))
 
 
 def codes(name: str) -> Column:
-    """Struct of code_primary and code_secondary of a name given as SQL; empty for a missing one."""
-    step = ("transform(array({heard}), h -> named_struct('next', i + h.n, 'p', concat(a.p, h.p), "
-            "'s', concat(a.s, h.s)))[0]").format(heard=sound_at())
-    walk = (f"aggregate(slice(sequence(0, length(w) - {len(START + PAD)}), 2, length(w)), "
-            f"named_struct('next', 1, 'p', '', 's', ''), (a, i) -> CASE WHEN i < a.next THEN a ELSE {step} END)")
-    return F.expr(f"transform(transform(array({padded(name)}), w -> {walk}), "
-                  "a -> named_struct('code_primary', a.p, 'code_secondary', a.s))[0]")
+    """Struct of code_primary and code_secondary of a column; empty for a missing name."""
+    sounds = heard(F.col(name))
+    return F.struct(spoken(sounds, 0).alias("code_primary"), spoken(sounds, 1).alias("code_secondary"))
 
 
 def name_codes(df: DataFrame, column: str) -> DataFrame:
     """Add ``code_primary``, ``code_secondary`` and ``code`` (both, ``;`` between,
     when they differ).  A narrow step: no shuffle, so no hot name."""
-    coded = df.withColumn("_codes", codes(f"`{column}`")).select("*", "_codes.*").drop("_codes")
-    both_ = F.concat_ws(";", "code_primary", "code_secondary")
+    coded = df.withColumn("_heard", heard(F.col(f"`{column}`")))
+    coded = coded.withColumns({"code_primary": spoken(F.col("_heard"), 0), "code_secondary": spoken(F.col("_heard"), 1)})
+    both = F.concat_ws(";", "code_primary", "code_secondary")
     same = F.col("code_primary") == F.col("code_secondary")
-    return coded.withColumn("code", F.when(same, F.col("code_primary")).otherwise(both_))
+    return coded.withColumn("code", F.when(same, F.col("code_primary")).otherwise(both)).drop("_heard")

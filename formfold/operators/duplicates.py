@@ -2,7 +2,8 @@
 
 Clients sharing the sound of both names, the gender and a birth-date window form
 a group; each member is linked to the group's lowest client id and scored by edit
-distance.  The output grows with the clients, not with the pairs of a group.
+distance and by Jaro-Winkler similarity (six digits).  The output grows with the clients, not
+with the pairs of a group.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from formfold.functions.likeness import jaro_winkler
 from formfold.functions.names import codes
 from formfold.sources.staging import shared_folder, written
 
@@ -48,8 +50,8 @@ def blocks(registry: DataFrame, window_days: int) -> DataFrame:
 
 
 def duplicate_candidates(registry: DataFrame, window_days: int = 366) -> DataFrame:
-    """(client_id, first_client_id, distance): members of a group and their group's
-    first client, once per pair."""
+    """(client_id, first_client_id, distance, similarity): members of a group and their
+    group's first client, once per pair."""
     folder = shared_folder(registry.sparkSession)
     member = written(blocks(registry, window_days), "name-blocks", folder)  # used twice below
     group = member.groupBy(*BLOCK).agg(
@@ -59,8 +61,9 @@ def duplicate_candidates(registry: DataFrame, window_days: int = 366) -> DataFra
     # one row per block on the right; a hot block splits on the left
     same = [F.col(f"m.{c}").eqNullSafe(F.col(f"g.{c}")) for c in BLOCK]  # no gender is a gender too
     linked = member.alias("m").join(group.alias("g"), same).filter("client_id <> first.client_id")
-    return linked.select(
-        "client_id",
-        F.col("first.client_id").alias("first_client_id"),
-        F.levenshtein("full_name", "first.full_name").alias("distance"),
-    ).distinct()
+    pairs = linked.select(
+        "client_id", F.col("first.client_id").alias("first_client_id"),
+        "full_name", F.col("first.full_name").alias("first_name")).distinct()
+    return pairs.select(
+        "client_id", "first_client_id", F.levenshtein("full_name", "first_name").alias("distance"),
+        F.round(jaro_winkler("full_name", "first_name"), 6).alias("similarity"))

@@ -1,85 +1,239 @@
 """Phonetic codes as SQL for a second engine: a recursive walk over the distinct words.
 
-At each step a word is cut in two, what was read (l, from its start) and what is to come (r,
-to its end).  A sound is a pair of regular expressions on the two, or their absence.
-Fixed values: the sounds.
+At each step a word is in two parts, what was read and what is to come.  The table says what is
+heard, by sound; of the lines that fit a place the one of least rank holds.
 """
 
 from __future__ import annotations
 
+import re
 
-def line(p: str, s: str, n: int, r: str, l: str = "", but: str = "", but_l: str = "", when: str = "") -> tuple:
-    """r must follow and l stand before; but must not follow, but_l not stand before."""
-    tests = [f"regexp_matches(r, '^{r}')"]
-    tests += [f"regexp_matches(l, '{l}$')"] if l else []
-    tests += [f"NOT regexp_matches(r, '^{but}')"] if but else []
-    tests += [f"NOT regexp_matches(l, '{but_l}$')"] if but_l else []
-    tests += [when] if when else []
-    return " AND ".join(tests), p, s, n
+# Double Metaphone as published by Lawrence Philips (C/C++ Users Journal, June
+# 2000), by what is heard, as regular expressions with the letters read between < and >.  Behind
+# them: `but`, what must not be read or come; `if`, what the word must be.  As specified, accents
+# are dropped, B is P, and a W before H at the start is A.
+TABLE = """
+silence
+  1 ^<G>N
+  1 ^<K>N
+  1 ^<P>[NS]
+  1 ^<W>R
+  3 (B|D|H).<GH>
+  3 (B|D|H)..<GH>
+  3 (B|H)...<GH>
+  6 <G>H
+  8 <JJ>
+  9 <J>
+  9 <H>
+  1 (I|Y)<S>L
+  9 <W>
+  2 (A|O)U<X>$
+  9 <[AEIOUY]>
+A
+  1 ^<[AEIOUY]>
+  3 ^<W>H
+F
+  8 <FF>
+  9 <F>
+  4 (C|G|L|R|T).U<GH>
+  1 <PH>
+  8 <VV>
+  9 <V>
+H
+  1 <JJ> if ^SAN( |$)
+  2 <J> if ^SAN( |$)
+  3 ^<J>OSE( |$)
+  1 (^|[AEIOUY])<H[AEIOUY]>
+J
+  1 <DG[EIY]>
+  1 ^<GH>I
+  5 <GI>ER( |$)
+  7 <JJ> but (S|K|L)<JJ>
+  8 <J> but (S|K|L)<J> but <J>(L|T|K|S|N|M|B|Z)
+  1 <ZHZ>
+  2 <ZH>
+K
+  1 BA<CH>ER
+  1 MA<CH>ER
+  1 OR<CH>ES
+  1 OR<CH>ID
+  1 AR<CH>IT
+  2 <CH>IA
+  2 ^<CH>ARAC
+  2 ^<CH>ARIS
+  2 ^<CH>YM
+  2 ^<CH>EM
+  2 ^<CH>OR but <CH>ORE
+  2 [^AEIOUY]A<CH> but <CH>(E|I)
+  4 <CH> if ^(VAN |VON |SCH)
+  4 <CH>(T|S)
+  4 (^|A|E|O|U)<CH>(L|R|N|M|B|H|F|V|W| |$)
+  5 <CH> if ^MC
+  5 <CC> but ^M<CC>
+  6 <C[GKQ]>
+  7 <C [CGQ]>
+  7 <CC> but <CC>(E|I)
+  9 <C>
+  1 [^AEIOUY]<GH>
+  2 ^<GH>
+  5 <GH> but I<GH>
+  4 <G[EIY]> if ^(VAN |VON |SCH)
+  4 (A|O)<GG>I if ^(VAN |VON |SCH)
+  4 <GE>T
+  8 <GG>
+  9 <G>
+  8 <KK>
+  9 <K>
+  8 <QQ>
+  9 <Q>
+KN
+  3 <GN>
+KS
+  3 U<CCE>(E|S)
+  8 <X[CX]>
+  9 <X>
+L
+  8 <LL>
+  9 <L>
+M
+  1 U<MB>($|ER)
+  8 <MM>
+  9 <M>
+N
+  8 <NN>
+  9 <N>
+P
+  8 <BB>
+  9 <B>
+  8 <P[BP]>
+  9 <P>
+R
+  1 <WR> but ^<WR>
+  8 <RR>
+  9 <R>
+S
+  1 ^<CA>ESAR
+  7 <C[EIY]>
+  2 <SH>(EIM|OEK|OLM|OLZ)
+  4 <SI[AO]>
+  6 <SC[EIY]>
+  8 <SS>
+  9 <S>
+  1 ^<X>
+  8 <ZZ>
+  9 <Z>
+SK
+  5 <SCH>(EM|ED|OO|UY)
+  7 <SC.>
+  8 <SC>
+T
+  8 <D[DT]>
+  9 <D>
+  1 <TH>(AM|OM)
+  2 <T[TH]> but <TT>([^H]|$) if ^(VAN |VON |SCH)
+  8 <T[DT]>
+  9 <T>
+TK
+  2 <DG>
+X
+  2 <CCI>A
+  4 <CC[EHI]> but ^M<CC> but <CCH>U
+  5 ^<CH>
+  3 <SH>
+  6 <SCH>
+  1 <TIO>N
+  1 <TIA>
+  1 <TCH>
+0 or T
+  3 <T[TH]> but <TT>([^H]|$)
+A or F
+  2 ^<W>[AEIOUY]
+none or F
+  4 [AEIOUY]<W>$
+  4 (E|O)<W>(SKI|SKY)
+  5 <W> if ^SCH
+J or none
+  6 <J>$
+J or A
+  4 ^<JJ>
+  5 ^<J>
+J or H
+  3 <J>OSE
+  5 [AEIOUY]<J>(A|O) not W|K|CZ
+J or K
+  6 <G[EIY]>
+  6 (A|O)<GG>I
+K or J
+  2 ^<G[EIY]> but <GE>([^SPBLYIR]|$) but <GI>([^BELN]|$)
+  3 <GE>R but (E|I)<GE> not ^(DANGER|RANGER|MANGER)
+  3 <GY> but (E|I|R|O)<GY> not ^(DANGER|RANGER|MANGER)
+K or X
+  3 <CH>AE but ^<CH>
+KL or L
+  1 <GL>I not W|K|CZ
+KN or N
+  1 ^[AEIOUY]<GN> not W|K|CZ
+L or none
+  1 I<LL>(A|O)$
+  1 A<LL>E$
+  1 A<LL>E.*(A|O|AS|OS)$
+N or KN
+  2 <GN> but <GN>EY not W|K|CZ
+none or R
+  1 IE<R>$ but (ME|MA)IE<R> not W|K|CZ
+none or S
+  1 (A|O)I<S>$
+S or TS
+  3 <ZZ>[AIO]( |$)
+  4 <ZZ> but (^|T)<ZZ> if W|K|CZ
+  5 <Z> but (^|T)<Z> if W|K|CZ
+S or X
+  2 <CZ> but WI<CZ>
+  6 <CI>(A|E|O)
+  3 <SI[AO]> not W|K|CZ
+  3 ^<S>(L|M|N|W)
+  4 <SZ>
+TS or FX
+  6 <WI[CT]Z>
+X or K
+  6 <CH>
+X or S
+  1 ^<S>UGAR
+  5 ^<SCH> but <SCH>[AEIOUYW]
+X or SK
+  4 <SCH>(ER|EN)
+"""
 
 
-def word(pattern: str) -> str:
-    return f"regexp_matches(whole, '{pattern}')"
+def fits(pattern: str) -> str:
+    """Whether the two parts of a word stand around the letters between < and >."""
+    read, letters, comes = re.fullmatch(r"(.*)<(.*)>(.*)", pattern).groups()
+    tests = [f"regexp_matches(r, '^{letters}({comes})')"] + [f"regexp_matches(l, '({read})$')"] * bool(read)
+    return f"({' AND '.join(tests)})"
 
 
-SLAVIC, GERMANIC, MC, SAN, SCH = word("W|K|CZ"), word("^(VAN |VON |SCH)"), word("^MC"), word("^SAN( |$)"), word("^SCH")
-V = "[AEIOUY]"
-SOUNDS = [
-    line("", "", 1, "[GKP]N", "^"), line("", "", 1, "WR", "^"), line("", "", 1, "PS", "^"), line("S", "S", 1, "X", "^"),
-    line("A", "A", 1, V, "^"), line("", "", 1, V),
-    line("P", "P", 2, "BB"), line("P", "P", 1, "B"),
-    line("K", "K", 2, "CH", "[^AEIOUY]A", but="CH[IE]"), line("K", "K", 2, "CHER", "[BM]A"),
-    line("S", "S", 2, "CAESAR", "^"), line("K", "K", 2, "CHIA"), line("K", "X", 2, "CHAE", but_l="^"),
-    line("K", "K", 2, "CH(ARAC|ARIS|OR|YM|EM)", "^", but="CHORE"), line("K", "K", 2, "CH", when=GERMANIC),
-    line("K", "K", 2, "CH(ES|ID)", "OR"), line("K", "K", 2, "CHIT", "AR"), line("K", "K", 2, "CH[TS]"),
-    line("K", "K", 2, "CH([LRNMBHFVW ]|$)", "(^|[AOUE])"), line("X", "X", 2, "CH", "^"), line("K", "K", 2, "CH", when=MC),
-    line("X", "K", 2, "CH"), line("S", "X", 2, "CZ", but_l="WI"), line("X", "X", 3, "CCIA"),
-    line("KS", "KS", 3, "CCE[ES]", "U", but_l="^M"), line("X", "X", 3, "CC[IEH]", but="CCHU", but_l="^M"),
-    line("K", "K", 2, "CC", but_l="^M"), line("K", "K", 2, "C[KGQ]"), line("S", "X", 2, "CI[OEA]"), line("S", "S", 2, "C[IEY]"),
-    line("K", "K", 3, "C [CQG]"), line("K", "K", 2, "CC", but="CC[EI]"), line("K", "K", 1, "C"),
-    line("J", "J", 3, "DG[IEY]"), line("TK", "TK", 2, "DG"), line("T", "T", 2, "D[TD]"), line("T", "T", 1, "D"),
-    line("F", "F", 2, "FF"), line("F", "F", 1, "F"),
-    line("K", "K", 2, "GH", "[^AEIOUY]"), line("J", "J", 2, "GHI", "^"), line("K", "K", 2, "GH", "^"),
-    line("", "", 2, "GH", "([BHD].|[BHD]..|[BH]...)"), line("F", "F", 2, "GH", "[CGLRT].U"), line("K", "K", 2, "GH", "[^I]"),
-    line("", "", 1, "GH"), line("KN", "N", 2, "GN", f"^{V}", when=f"NOT {SLAVIC}"),
-    line("N", "KN", 2, "GN", but="GNEY", when=f"NOT {SLAVIC}"), line("KN", "KN", 2, "GN"),
-    line("KL", "L", 2, "GLI", when=f"NOT {SLAVIC}"), line("K", "J", 2, "G(Y|E[SPBLYIR]|I[BLNE])", "^"),
-    line("K", "J", 2, "GER", but_l="[EI]", when=f"NOT {word('^[DRM]ANGER')}"),
-    line("K", "J", 2, "GY", but_l="[EIRO]", when=f"NOT {word('^[DRM]ANGER')}"),
-    line("K", "K", 2, "G[EIY]", when=GERMANIC), line("K", "K", 2, "GGI", "[AO]", when=GERMANIC), line("K", "K", 2, "GET"),
-    line("J", "J", 2, "GIER( |$)"), line("J", "K", 2, "G[EIY]"), line("J", "K", 2, "GGI", "[AO]"), line("K", "K", 2, "GG"),
-    line("K", "K", 1, "G"),
-    line("H", "H", 2, f"H{V}", f"(^|{V})"), line("", "", 1, "H"),
-    line("H", "H", 2, "JJ", when=SAN), line("H", "H", 1, "J", when=SAN), line("H", "H", 1, "JOSE( |$)", "^"), line("J", "H", 1, "JOSE"),
-    line("J", "A", 2, "JJ", "^"), line("J", "A", 1, "J", "^"), line("J", "H", 1, "J[AO]", V, when=f"NOT {SLAVIC}"),
-    line("J", "", 1, "J$"), line("J", "J", 2, "JJ", but_l="[SKL]"), line("J", "J", 1, "J", but="J[LTKSNMBZ]", but_l="[SKL]"),
-    line("", "", 2, "JJ"), line("", "", 1, "J"),
-    line("K", "K", 2, "KK"), line("K", "K", 1, "K"),
-    line("L", "", 2, "LL[OA]$", "I"), line("L", "", 2, "LLE$", "A"), line("L", "", 2, "LLE?.*[AO]S?$", "A", but="LL[^E]"),
-    line("L", "L", 2, "LL"), line("L", "L", 1, "L"),
-    line("M", "M", 2, "MB($|ER)", "U"), line("M", "M", 2, "MM"), line("M", "M", 1, "M"), line("N", "N", 2, "NN"), line("N", "N", 1, "N"),
-    line("F", "F", 2, "PH"), line("P", "P", 2, "P[PB]"), line("P", "P", 1, "P"), line("K", "K", 2, "QQ"), line("K", "K", 1, "Q"),
-    line("", "R", 1, "R$", "IE", but_l="M[EA]IE", when=f"NOT {SLAVIC}"), line("R", "R", 2, "RR"), line("R", "R", 1, "R"),
-    line("", "", 1, "SL", "[IY]"), line("X", "S", 1, "SUGAR", "^"), line("S", "S", 2, "SH(EIM|OEK|OLM|OLZ)"), line("X", "X", 2, "SH"),
-    line("S", "X", 3, "SI[OA]", when=f"NOT {SLAVIC}"), line("S", "S", 3, "SI[OA]"), line("S", "X", 1, "S[MNLW]", "^"),
-    line("S", "X", 2, "SZ"), line("X", "SK", 3, "SCHE[RN]"), line("SK", "SK", 3, "SCH(OO|UY|E[DM])"),
-    line("X", "S", 3, "SCH", "^", but="SCH[AEIOUYW]"), line("X", "X", 3, "SCH"), line("S", "S", 3, "SC[IEY]"), line("SK", "SK", 3, "SC"),
-    line("", "S", 1, "S$", "[AO]I"), line("S", "S", 2, "SS"), line("S", "S", 1, "S"),
-    line("X", "X", 3, "TION"), line("X", "X", 3, "TIA"), line("X", "X", 3, "TCH"), line("T", "T", 2, "TH[OA]M"),
-    line("T", "T", 2, "TT?H", when=GERMANIC), line("0", "T", 2, "TT?H"), line("T", "T", 2, "T[TD]"), line("T", "T", 1, "T"),
-    line("F", "F", 2, "VV"), line("F", "F", 1, "V"),
-    line("R", "R", 2, "WR"), line("A", "F", 1, f"W{V}", "^"), line("A", "A", 1, "WH", "^"), line("", "F", 1, "W$", V),
-    line("", "F", 1, "WSK[IY]", "[EO]"), line("", "F", 1, "W", when=SCH), line("TS", "FX", 4, "WI[CT]Z"), line("", "", 1, "W"),
-    line("", "", 1, "X$", "[AO]U"), line("KS", "KS", 2, "X[CX]"), line("KS", "KS", 1, "X"),
-    line("J", "J", 3, "ZHZ"), line("J", "J", 2, "ZH"), line("S", "TS", 2, "ZZ[OIA]( |$)"),
-    line("S", "TS", 2, "ZZ", "[^T]", when=SLAVIC), line("S", "TS", 1, "Z", "[^T]", when=SLAVIC),
-    line("S", "S", 2, "ZZ"), line("S", "S", 1, "Z"),
-]
+def lines() -> list[tuple[int, str, str, str, int]]:
+    """(rank, test, primary, secondary, letters read)"""
+    out, heard = [], ("", "")
+    for text in TABLE.strip().splitlines():
+        if not text.startswith("  "):
+            first, _, second = text.partition(" or ")
+            heard = [x.replace("none", "").replace("silence", "") for x in (first, second or first)]
+            continue
+        rank, rest = re.fullmatch(r"  (\d) (.*)", text).groups()
+        parts = re.split(r" (but|if|not) ", rest)
+        tests = []
+        for kind, pattern in zip(parts[1::2], parts[2::2]):
+            test = fits(pattern) if kind == "but" else f"regexp_matches(whole, '{pattern}')"
+            tests.append(test if kind == "if" else f"NOT {test}")
+        letters = re.sub(r"\[.*?\]", "x", re.search("<(.*)>", parts[0]).group(1))
+        out.append((int(rank), " AND ".join([fits(parts[0]), *tests]), *heard, len(letters)))
+    return sorted(out, key=lambda x: x[0])
 
 
 def codes_ctes(words: str, name: str = "codes") -> list[str]:
     """CTEs up to name(word, code_primary, code_secondary) of the words of a query with a column word."""
-    cases = " ".join(f"WHEN {test} THEN {{'p': '{p}', 's': '{s}', 'n': {n}}}" for test, p, s, n in SOUNDS)
+    cases = " ".join(f"WHEN {test} THEN {{'p': '{p}', 's': '{s}', 'n': {n}}}" for _, test, p, s, n in lines())
     heard = f"CASE {cases} ELSE {{'p': '', 's': '', 'n': 1}} END"
     return [
         f"{name}_walk(word, whole, l, r, p, s) AS (SELECT word, x, '', x, '', '' FROM (SELECT word, "
@@ -113,6 +267,7 @@ def duplicates_sql(ctes: list[str], registry: str, days: int = 366) -> str:
         "firsts AS (SELECT given_code, family_code, gender, place, min(client_id) AS first_client_id, "
         "arg_min(full_name, client_id) AS first_name FROM member GROUP BY ALL)"]
     return ("WITH RECURSIVE " + ", ".join(parts) + " SELECT DISTINCT client_id, first_client_id, "
-            "CAST(levenshtein(full_name, first_name) AS INTEGER) AS distance FROM member m JOIN firsts b ON m.given_code = b.given_code "
+            "CAST(levenshtein(full_name, first_name) AS INTEGER) AS distance, "
+            "round(jaro_winkler_similarity(full_name, first_name), 6) AS similarity FROM member m JOIN firsts b ON m.given_code = b.given_code "
             "AND m.family_code = b.family_code AND m.place = b.place AND m.gender IS NOT DISTINCT FROM b.gender "
             "WHERE client_id <> first_client_id")

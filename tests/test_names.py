@@ -5,6 +5,7 @@ from itertools import combinations
 
 import duckdb
 
+from formfold.functions.likeness import jaro_winkler
 from formfold.functions.names import name_codes
 from formfold.operators.duplicates import duplicate_candidates
 from oracle import sounds
@@ -62,6 +63,22 @@ def test_column(spark):
     assert ("Thomas", "TMS", "TMS", "TMS") in got and (None, "", "", "") in got
 
 
+def test_likeness(spark):
+    """Published pairs of the two measures, and random names on a second engine."""
+    rng = random.Random(3)
+    some = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(0, 12))) for _ in range(1200)]
+    pairs = [("martha", "marhta"), ("dixon", "dicksonx"), ("dwayne", "duane"), ("jones", "johnson"), ("abroms", "abrams"),
+             ("a", "a"), ("a", "b"), ("ab", "ba"), ("", ""), ("", "a"), (None, "a"), ("a", None), *zip(some[::2], some[1::2])]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    got = {r["i"]: r["s"] for r in df.select("i", jaro_winkler("a", "b").alias("s")).collect()}
+    assert [round(got[i], 4) for i in range(5)] == [0.9611, 0.8133, 0.84, 0.8324, 0.9222]
+    assert got[8] == got[9] == 0 and got[10] is got[11] is None
+    con = duckdb.connect()
+    for i, (a, b) in list(enumerate(pairs))[12:]:
+        if a.isascii() and b.isascii() and (a or b):  # the other engine compares bytes
+            assert abs(got[i] - con.execute("SELECT jaro_winkler_similarity(?, ?)", [a, b]).fetchone()[0]) < 1e-9
+
+
 def test_duplicates_against_all_pairs(spark):
     people = []
     for i, (given, family) in enumerate([
