@@ -1,7 +1,7 @@
 """Clinical record tables as views over a star-schema sales data set.
 
 Every row of every base table takes part; the remainders below spread types,
-flags and gaps over the rows, they select nothing to make a run cheaper.
+flags and kinds of values over the rows, they select nothing.  A gap is a voided row.
 """
 
 from __future__ import annotations
@@ -55,31 +55,28 @@ VIEWS = {
                CASE WHEN k = 0 THEN c_mktsegment ELSE CONCAT(c_mktsegment, 'a') END AS given_name,
                CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE n_name END AS middle_name,
                c_name AS family_name,
-               CAST(CASE WHEN (c_custkey + k) % 13 = 0 THEN 1 ELSE 0 END AS INT) AS voided,
+               CAST(CASE WHEN (c_custkey + k) % 13 = 0 OR k = 1 AND c_custkey % 3 <> 0 THEN 1 ELSE 0 END AS INT) AS voided,
                CAST(DATE '2024-01-01' + CAST(c_custkey % 70 AS INT) AS TIMESTAMP) AS date_created,
                CAST(NULL AS TIMESTAMP) AS date_changed,
                CAST(NULL AS TIMESTAMP) AS date_voided
         FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey
-        LATERAL VIEW explode(array(0, 1)) kk AS k
-        WHERE k = 0 OR c_custkey % 3 = 0""",
+        LATERAL VIEW explode(array(0, 1)) kk AS k""",
     "patient": """
         SELECT c_custkey AS patient_id,
-               CAST(CASE WHEN c_custkey % 31 = 0 THEN 1 ELSE 0 END AS INT) AS voided
-        FROM {customer} WHERE c_custkey % 10 <> 0""",
+               CAST(CASE WHEN c_custkey % 31 = 0 OR c_custkey % 10 = 0 THEN 1 ELSE 0 END AS INT) AS voided
+        FROM {customer}""",
     "person_attribute": """
         SELECT c_custkey AS person_id,
                t AS person_attribute_type_id,
                CONCAT('v', CAST(c_custkey * 10 + t AS STRING)) AS value,
-               CAST(CASE WHEN (c_custkey + t) % 19 = 0 THEN 1 ELSE 0 END AS INT) AS voided
-        FROM {customer} LATERAL VIEW explode(array(1, 2, 3, 4, 5)) tt AS t
-        WHERE (c_custkey + t) % 3 <> 0""",
+               CAST(CASE WHEN (c_custkey + t) % 19 = 0 OR (c_custkey + t) % 3 = 0 THEN 1 ELSE 0 END AS INT) AS voided
+        FROM {customer} LATERAL VIEW explode(array(1, 2, 3, 4, 5)) tt AS t""",
     "patient_identifier": """
         SELECT c_custkey AS patient_id,
                t AS identifier_type,
                CONCAT('id', CAST(c_custkey * 10 + t AS STRING)) AS identifier,
-               CAST(CASE WHEN (c_custkey + t) % 21 = 0 THEN 1 ELSE 0 END AS INT) AS voided
-        FROM {customer} LATERAL VIEW explode(array(1, 2, 3)) tt AS t
-        WHERE (c_custkey + t) % 4 <> 0""",
+               CAST(CASE WHEN (c_custkey + t) % 21 = 0 OR (c_custkey + t) % 4 = 0 THEN 1 ELSE 0 END AS INT) AS voided
+        FROM {customer} LATERAL VIEW explode(array(1, 2, 3)) tt AS t""",
     "person_address": """
         SELECT c_custkey * 2 + k AS person_address_id,
                c_custkey AS person_id,
@@ -89,11 +86,11 @@ VIEWS = {
                c_mktsegment AS address6,
                CAST(NULL AS STRING) AS address5,
                CONCAT('V', CAST(c_custkey % 40 AS STRING)) AS city_village,
-               CAST(CASE WHEN (c_custkey + k) % 27 = 0 THEN 1 ELSE 0 END AS INT) AS voided
+               CAST(CASE WHEN (c_custkey + k) % 27 = 0 OR k = 1 AND c_custkey % 7 <> 0 OR c_custkey % 8 = 0
+                         THEN 1 ELSE 0 END AS INT) AS voided
         FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey
         JOIN {region} ON r_regionkey = n_regionkey
-        LATERAL VIEW explode(array(0, 1)) kk AS k
-        WHERE (k = 0 OR c_custkey % 7 = 0) AND c_custkey % 8 <> 0""",
+        LATERAL VIEW explode(array(0, 1)) kk AS k""",
 }
 
 # The encounter type is a function of the order key, so the observations need no
@@ -103,8 +100,13 @@ OBS = """
     SELECT l_orderkey AS encounter_id,
            c.concept_id,
            c.value_coded,
-           l_quantity AS value_numeric,
-           CONCAT(' ', p_name) AS value_text,
+           CASE l_linenumber % 4 WHEN 0 THEN l_quantity WHEN 1 THEN -l_quantity / 4
+                WHEN 2 THEN l_extendedprice ELSE l_extendedprice * 100000 END AS value_numeric,
+           CASE (l_suppkey + l_linenumber) % 5 WHEN 0 THEN CONCAT(' ', p_name)
+                WHEN 1 THEN CONCAT(CAST(l_partkey AS STRING), 'x')
+                WHEN 2 THEN REPEAT(CONCAT(p_name, ' '), 20)
+                WHEN 3 THEN CONCAT('-', CAST(l_suppkey AS STRING))
+                ELSE CONCAT(CAST(l_partkey AS STRING), '00000000000') END AS value_text,
            CAST(l_shipdate AS TIMESTAMP) AS value_datetime,
            CAST(l_linenumber % 3 AS INT) AS obs_group_id,
            CAST(CASE WHEN l_suppkey % 17 = 0 THEN 1 ELSE 0 END AS INT) AS voided,
@@ -219,15 +221,34 @@ class DerivedRecords(dict):
             then[name] = self[name].filter(f"date_created < TIMESTAMP '{moment}'").withColumns({
                 "voided": F.expr(
                     f"CASE WHEN date_voided >= TIMESTAMP '{moment}' THEN 0 ELSE voided END")})
-        # identifiers and patients carry no times: some of them stood otherwise then
+        # identifiers and patients carry no times: some of them stood otherwise then, and of the
+        # patients some are no longer live and some have come back
         then["patient_identifier"] = self["patient_identifier"].withColumns({
             "identifier": F.expr("CASE WHEN patient_id % 5 = 0 THEN CONCAT('old', identifier) ELSE identifier END"),
             "voided": F.expr("CASE WHEN patient_id % 3 = 0 THEN 1 - voided ELSE voided END")})
         then["patient"] = self["patient"].withColumn(
-            "voided", F.expr("CASE WHEN patient_id % 2 = 0 THEN 0 ELSE voided END"))
+            "voided", F.expr("CASE WHEN patient_id % 2 = 0 THEN 0 WHEN patient_id % 7 = 0 THEN 1 ELSE voided END"))
         return then
 
 
+CARE = """
+    SELECT CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS Gender,
+           CASE WHEN c_custkey % 6 <> 5
+                THEN CONCAT(CAST(c_custkey % 6 * 10 AS STRING), '-', CAST(c_custkey % 6 * 10 + 9 AS STRING)) END AS AgeGroup,
+           date_format(last_day(o_orderdate), 'yyyy-MM-dd') AS StartDateEOM,
+           CONCAT('Facility ', CAST(c_custkey % 11 AS STRING)) AS FacilityName,
+           r_name AS County, n_name AS SubCounty, c_mktsegment AS Mechanism, o_orderpriority AS Agency,
+           CAST(c_custkey % 11 AS INT) AS SiteCode, CAST(1 + o_orderkey % 3 AS INT) AS Total
+    FROM {orders} JOIN {customer} ON c_custkey = o_custkey JOIN {nation} ON n_nationkey = c_nationkey
+    JOIN {region} ON r_regionkey = n_regionkey"""
+#: The nine axes of the care cross-tabs; `Total` is their measure.
+CARE_AXES = ("Gender", "AgeGroup", "StartDateEOM", "FacilityName", "County", "SubCounty", "Mechanism", "Agency", "SiteCode")
+
+
+def care(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(CARE, **base(spark, sf_dir, "orders", "customer", "nation", "region"))
+
+
 # ---- upstream tables of the marts: one row per order -------------------------
 
 KEYS = {

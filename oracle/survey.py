@@ -85,11 +85,5 @@ def fixture_views() -> dict[str, str]:
         source = re.search(r"`(FROM [^`]*)`", part)
         source = source.group(1) if source else "FROM " + part.split("—", 1)[1].split("\n")[0].strip()
         columns = [(c, t, e.strip("`")) for c, t, e in table_rows(part)]
-        where = {
-            "person_name": "customer JOIN nation ON n_nationkey = c_nationkey CROSS JOIN "
-                           "(SELECT 0 AS k UNION ALL SELECT 1 AS k) kk WHERE k = 0 OR c_custkey % 3 = 0",
-        }.get(name)
-        if where and "FROM" not in source:
-            source = f"FROM {where}"
         out[name] = "SELECT " + ", ".join(f"CAST({e} AS {t}) AS {c}" for c, t, e in columns) + f" {source}"
     return out
