@@ -27,14 +27,26 @@ def number_to_text(x: str) -> str:
     return f"CASE WHEN {x} = 0 THEN '0' ELSE coalesce({plain}, {whole}, {shown}) END"
 
 
+def leading_number(x: str) -> str:
+    """The leading whole number of a text as a decimal, so that a long run of digits is not lost."""
+    digits = f"regexp_extract({x}, '^[ \\t\\n]*([+-]?[0-9]+)', 1)"
+    return f"try_cast({digits} AS DECIMAL(38, 0))"
+
+
 def leading_int(x: str) -> str:
-    """The leading whole number of a text, 0 when it has none, null for null.
+    """The leading whole number of a text, bounded; 0 when it has none, null for null."""
+    return f"CASE WHEN {x} IS NOT NULL THEN coalesce({_bounded(leading_number(x))}, 0) END"
 
-    It goes through a decimal, so that a long run of digits is bounded, not lost.
-    """
-    digits = f"regexp_extract({x}, '^[ \\t\\n]*([+-]?[0-9]+)', 1)"
-    number = f"try_cast({digits} AS DECIMAL(38, 0))"
-    return f"CASE WHEN {x} IS NOT NULL THEN coalesce({_bounded(number)}, 0) END"
+
+def lost(x: str, kind: str, type_: str, width: int | None) -> tuple[str, str] | None:
+    """What ``fit`` takes away from a value ("cut" to a width, "bounded" to an int), and the SQL
+    test for it; None where it can take nothing."""
+    if type_ == "int" and kind in ("numeric", "text", "trimmed text"):
+        number = f"round({x})" if kind == "numeric" else leading_number(x)
+        return "bounded", f"{number} NOT BETWEEN {INT_MIN} AND {INT_MAX}"
+    if width and kind in ("numeric", "text", "trimmed text"):
+        return "cut", f"length({number_to_text(x) if kind == 'numeric' else x}) > {width}"
+    return None
 
 
 def fit(x: str, kind: str, type_: str, width: int | None) -> str:

@@ -86,6 +86,25 @@ def finish(rule: Rule) -> str:
     return casts.fit(rule.name, rule.kind, rule.type, rule.width)
 
 
+def lost(rule: Rule) -> tuple[str, str] | None:
+    """What the column type takes away from the aggregated value, and the SQL test for it."""
+    if rule.kind == "answers" and rule.width:
+        shown = decode.from_rank(rule.name, rule.answers, None)
+        longer = any(len(text) > rule.width for text in rule.answers.ranked())
+        return "cut", f"length({shown}) > {rule.width}" if longer else "false"
+    return casts.lost(rule.name, rule.kind, rule.type, rule.width)
+
+
+def count_lost(folded: DataFrame, rules: Sequence[Rule], prefix: str = "") -> DataFrame:
+    """(column_name, lost, n) of the rules' columns where something can be lost, in one pass."""
+    tests = {r.name: lost(r) for r in rules if lost(r)}
+    counts = folded.agg(*[F.expr(f"count_if({test}) AS {name}") for name, (_, test) in tests.items()])
+    what = F.coalesce(*[F.when(F.col("column_name").isin([n for n, (w, _) in tests.items() if w == kind]), F.lit(kind))
+                        for kind in ("cut", "bounded")])
+    return counts.unpivot([], list(tests), "column_name", "n").select(
+        F.concat(F.lit(prefix), "column_name").alias("column_name"), what.alias("lost"), "n")
+
+
 def eav_pivot(
     obs: DataFrame,
     rules: Sequence[Rule],
@@ -117,6 +136,15 @@ def fold(
         *[F.expr(f"{sql} AS {name}") for name, (_, sql) in marks.items()])
 
 
+def wide(df: DataFrame, keys: Sequence, by: str, value: str, columns: Mapping[str, str], other: str | None = None) -> DataFrame:
+    """One row per key with the largest value of each listed value of ``by`` ({value: column}),
+    and of all others in ``other``."""
+    cells = [F.max(F.when(F.col(by) == v, F.col(value))).alias(c) for v, c in columns.items()]
+    if other:
+        cells.append(F.max(F.when(~F.col(by).isin(list(columns)), F.col(value))).alias(other))
+    return df.groupBy(*keys).agg(*cells)
+
+
 def folded_again(rule: Rule) -> str:
     """SQL that folds a rule's folded values further."""
     if rule.kind in TEXT_KINDS:

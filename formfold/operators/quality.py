@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -48,6 +48,34 @@ def orphans_of(children: DataFrame, key: str, parent: DataFrame, parent_key: str
     return counted.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
 
 
+BROKEN = "table_name string, column_name string, parent_name string, value string, n bigint"
+
+
+def broken_references(tables: Mapping[str, DataFrame], references: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """(table_name, column_name, parent_name, value, n): referenced values that their parent lacks.
+
+    references: (table, column, parent table, parent column).  Every table is read once: a row
+    gives each of its references, these are counted per value before anything is shuffled,
+    and one anti join meets the keys of all parents.
+    """
+    by_child: dict[str, list] = {}
+    for child, column, parent, key in references:
+        by_child.setdefault(child, []).append((column, parent, key))
+    counted = []
+    for child, refs in by_child.items():
+        cells = [F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("parent_name"), F.lit(k).alias("parent_key"),
+                          F.col(c).cast("string").alias("value")) for c, p, k in refs]
+        counted.append(tables[child].select(F.lit(child).alias("table_name"), F.explode(F.array(*cells)).alias("c")).select(
+            "table_name", "c.*"))
+    keys = [tables[p].select(F.lit(p).alias("parent_name"), F.lit(k).alias("parent_key"), F.col(k).cast("string").alias("value"))
+            for p, k in dict.fromkeys((p, k) for _, _, p, k in references)]
+    used = reduce(DataFrame.unionAll, counted).filter("value IS NOT NULL").groupBy(
+        "table_name", "column_name", "parent_name", "parent_key", "value").agg(F.count(F.lit(1)).alias("n"))
+    there = reduce(DataFrame.unionAll, keys)
+    return used.join(there, ["parent_name", "parent_key", "value"], "left_anti").select(
+        "table_name", "column_name", "parent_name", "value", "n")
+
+
 def violations(df: DataFrame, table: str, key: str, unique: str | None, not_null: Sequence[str]) -> DataFrame:
     """(table_name, rule, column_name, n): values of the key or the unique column that occur
     more than once, and missing values of columns that must have one; n is 0 where all is well.

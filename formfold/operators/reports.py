@@ -62,6 +62,37 @@ def placed(cells: DataFrame, axis: str, name: str) -> DataFrame:
         axis, f"{name}_total", (F.col("_own") + F.col("_before")).cast("int").alias(f"{name}_place"))
 
 
+def cross_tab_sets(df: DataFrame, pairs: Sequence[tuple[str, str]], measure: str) -> DataFrame:
+    """Long cross-tabs of several pairs of axes from one scan: (row_axis, column_axis, row_value,
+    column_value, records, total, row_total, row_place, column_total, column_place).
+
+    Cells of all pairs are one aggregate over grouping sets.  Both axes of a pair are placed by
+    falling total; what is placed is one line per value of an axis.
+    """
+    axes = list(dict.fromkeys(a for pair in pairs for a in pair))
+    sets = [[F.col(a), F.col(b)] for a, b in pairs]
+    grouped = df.groupingSets(sets, *[F.col(a) for a in axes]).agg(
+        F.count(F.lit(1)).alias("records"), F.sum(measure).alias("total"), F.grouping_id().alias("_set"))
+    text = lambda a: F.col(a).cast("string")
+    number = lambda pair: sum(1 << (len(axes) - 1 - i) for i, a in enumerate(axes) if a not in pair)
+    of_pair = [F.when(F.col("_set") == number((a, b)), F.struct(
+        F.lit(a).alias("row_axis"), F.lit(b).alias("column_axis"), text(a).alias("row_value"), text(b).alias("column_value")))
+        for a, b in pairs]
+    cells = grouped.select(F.explode(F.filter(F.array(*of_pair), lambda c: c.isNotNull())).alias("c"), "records", "total").select(
+        "c.*", "records", "total")
+    cells = written(cells, "cells", shared_folder(df.sparkSession))
+    pair = ["row_axis", "column_axis"]
+    for axis in ("row", "column"):
+        value, total = f"{axis}_value", f"{axis}_total"
+        totals = cells.groupBy(*pair, value).agg(F.sum("total").alias(total))
+        order = Window.partitionBy(*pair).orderBy(F.desc(total), F.asc(value))
+        totals = totals.withColumn(f"{axis}_place", F.row_number().over(order)).select(
+            *[F.col(c).alias(f"_{c}") for c in (*pair, value)], total, f"{axis}_place")
+        same = [F.col(c) == F.col(f"_{c}") for c in pair] + [F.col(value).eqNullSafe(F.col(f"_{value}"))]
+        cells = cells.join(totals, same).drop(*[f"_{c}" for c in (*pair, value)])
+    return cells
+
+
 def cross_tab_wide(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
     """Wide cross-tab over known column values, ordered by falling row total.  Rows of any
     other value, or of none, count in ``other`` and in the total."""

@@ -134,23 +134,49 @@ def owned_identifiers(records: Mapping[str, DataFrame], form: Form):
         {r.name: F.substring(r.name, 1, r.width) for r in rules})
 
 
-def _tests(enc: DataFrame, obs: DataFrame, form: Form, clustered: bool) -> DataFrame:
-    """One scan: answers fold by (encounter, group), kits by their group's parts, and both
-    again by encounter.  An encounter has a row if it has a kit and an answer."""
+def audit(records: Mapping[str, DataFrame], name: str, catalog: Catalog | None = None) -> DataFrame:
+    """(table_name, column_name, lost, n): how many values of a form's table the declared types cut
+    or bound, of every column where they can.  Counted on the folded rows, before the types."""
+    form = (catalog or default_catalog()).form(name)
+    obs, enc = records["obs"], encounters_of(records, form).select("encounter_id")
+    if name == "hts_test":
+        groups = _groups(obs, form, False)
+        kits = [r for r in form.kit_parts if r.kind in pivot.TEXT_KINDS]
+        found = pivot.count_lost(enc.join(_asked(groups, form), "encounter_id"), form.measures).unionByName(
+            pivot.count_lost(groups, kits, "kit."))
+    else:
+        folded = pivot.fold(pivot.of_concepts(obs, form.concepts), form.measures, ("encounter_id",))
+        found = pivot.count_lost(enc.join(folded, "encounter_id"), form.measures)
+    return found.select(F.lit(name).alias("table_name"), "column_name", "lost", "n")
+
+
+def _groups(obs: DataFrame, form: Form, clustered: bool) -> DataFrame:
+    """Answers and the parts of kits folded by (encounter, observation group), untyped, from one scan."""
     mark = repeat_mark(form)
-    (column,) = mark
     kit_concepts = [r.concept for r in form.kit_parts]
     held = {name: (concepts[0], f"max(CASE WHEN concept_id IN ({', '.join(map(str, sorted(concepts)))}) THEN 1 ELSE 0 END)")
             for name, concepts in (("_asked", list(form.concepts)), ("_kit", kit_concepts))}
     keys = ("encounter_id", "obs_group_id")
-    groups = pivot.fold(
+    return pivot.fold(
         pivot.of_concepts(obs, sorted({*form.concepts, *kit_concepts})), [*form.kit_parts, *form.measures], keys,
         {**mark, **held}, clustered)
-    groups = groups.selectExpr(
-        *keys, *[f"{pivot.finish(r)} AS {r.name}" for r in form.kit_parts], *[r.name for r in form.measures], *mark, *held)
-    asked = groups.groupBy("encounter_id").agg(
+
+
+def _asked(groups: DataFrame, form: Form) -> DataFrame:
+    """The groups folded by encounter: kits typed, answers not yet.  An encounter has a row if it
+    has a kit and an answer."""
+    marks = [*repeat_mark(form), "_asked", "_kit"]
+    groups = groups.selectExpr("encounter_id", *[f"{pivot.finish(r)} AS {r.name}" for r in form.kit_parts],
+                               *[r.name for r in form.measures], *marks)
+    return groups.groupBy("encounter_id").agg(
         *kit_slots(form), *[F.expr(pivot.folded_again(r)) for r in form.measures],
-        *[F.max(m).alias(m) for m in (*mark, *held)]).filter("_asked = 1 AND _kit = 1")
+        *[F.max(m).alias(m) for m in marks]).filter("_asked = 1 AND _kit = 1")
+
+
+def _tests(enc: DataFrame, obs: DataFrame, form: Form, clustered: bool) -> DataFrame:
+    mark = repeat_mark(form)
+    (column,) = mark
+    asked = _asked(_groups(obs, form, clustered), form)
     kits = [r.name for r in form.columns if r.source == "kit"]
     asked = asked.selectExpr("encounter_id", *kits, *[f"{pivot.finish(r)} AS {r.name}" for r in form.measures], *mark)
     # one row per encounter on both sides, so the join cannot fan out

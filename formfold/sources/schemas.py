@@ -57,6 +57,14 @@ def references(table: str) -> bool:
     return table not in ("client_registration", "hts_test")
 
 
+def declared_references() -> list[tuple[str, str, str, str]]:
+    """(table, column, parent table, parent column) of every declared reference: the encounter
+    tables refer to the registry, and every mart to the demographics of its patient."""
+    out = [(t, "client_id", "client_registration", "client_id") for t in CURATED if references(t)]
+    parent = "patient_demographics"
+    return out + [(f"mart.{m}", "patient_id", f"mart.{parent}", "patient_id") for m in default_catalog().marts() if m != parent]
+
+
 def spark_type(name: str, declared_type: str) -> T.DataType:
     if declared_type == "date":
         return T.DateType()
