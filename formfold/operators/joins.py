@@ -66,10 +66,7 @@ def update_join(
     ``outer``: a row without a partner gets nulls.  ``inner``: it keeps its values.
     """
     shared = [c for c in source.columns if c != key]
-    new = source.select(
-        key, F.lit(True).alias("_found"), *[F.col(c).alias(f"_new_{c}") for c in shared])
+    new = source.selectExpr(key, "true AS _found", *[f"{c} AS _new_{c}" for c in shared])
     joined = target.join(new, key, "left")
-    found = F.lit(True) if how == "outer" else F.col("_found")
-    return joined.select(*[
-        F.when(found, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in shared else F.col(c)
-        for c in target.columns])
+    found = "true" if how == "outer" else "_found"
+    return joined.selectExpr(*[f"if({found}, _new_{c}, {c}) AS {c}" if c in shared else c for c in target.columns])

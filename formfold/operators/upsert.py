@@ -62,9 +62,9 @@ def upsert(
     broadcast (by measured size) and the target is not shuffled.
     """
     columns = target.columns
-    changes = changes.select(*columns)
+    changes = changes.selectExpr(*columns)
     if update_cols is None:
-        kept = target.join(changes.select(key), key, "left_anti").select(*columns)
+        kept = target.join(changes.select(key), key, "left_anti").selectExpr(*columns)
         return flagged(kept, key, recomputed).unionByName(changes)
     new = changes.select(
         key, F.lit(True).alias("_found"), *[F.col(c).alias(f"_new_{c}") for c in update_cols])

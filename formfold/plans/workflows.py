@@ -3,25 +3,33 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from datetime import datetime
+from functools import partial
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formfold.catalog import FORMS, Catalog, default_catalog
-from formfold.operators import pivot
+from formfold.operators import pivot, quality
 from formfold.operators.reports import run_history
-from formfold.operators.upsert import changed_encounters, changed_persons
+from formfold.operators.upsert import changed_persons
 from formfold.plans import forms, marts, refresh, registry
 from formfold.plans.metadata import ENCOUNTER_TYPES, TEST_FORMS
 from formfold.session import tune
 from formfold.sources import curated
 from formfold.sources.derived import values
-from formfold.sources.runlog import RunLog
+from formfold.sources.runlog import RunLog, present
+from formfold.sources.schemas import declared_references
 from formfold.sources.staging import remove, shared_folder
 
+T = TypeVar("T")
+
 # names of the runs, also what retention goes by
 REBUILD, REFRESH, PUBLISH = "rebuild", "scheduled_updates", "publish_marts"
 
@@ -65,14 +73,29 @@ def stage_observations(
     return {n: staged.filter(F.col("form") == n).drop("form") for n in FORMS}
 
 
+def at_once(spark: SparkSession, works: Mapping[str, Callable[[], T]], threads: int) -> dict[str, T]:
+    """The results of independent pieces of work, a few at the same time.  If one fails, those
+    that wait are dropped and its error is raised when the running ones are done."""
+    with ThreadPoolExecutor(threads) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(work)) for name, work in works.items()}
+        try:
+            return {name: future.result() for name, future in running.items()}
+        except BaseException:
+            pool.shutdown(cancel_futures=True)
+            raise
+
+
 @dataclass
 class Workspace:
-    """Where the curated tables, the marts and the run log live."""
+    """Where the curated tables, the marts and the run log live.  ``threads`` tables of a run are
+    written at the same time; all become current together."""
 
     spark: SparkSession
     root: str
     catalog: Catalog = field(default_factory=default_catalog)
     staging: str | None = None
+    threads: int = 4
+    clock: Callable[[], datetime] = present
 
     def __post_init__(self):
         tune(self.spark)
@@ -80,20 +103,28 @@ class Workspace:
         if not self.staging:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         self.copies: list[str] = []
-        self.log = RunLog(self.spark, f"{self.root}/run_log")
+        self.log = RunLog(self.spark, f"{self.root}/run_log", clock=lambda: self.clock())
 
     @contextmanager
     def run(self, name: str):
         """A logged run: stopped also when it fails, and then with its error."""
         run, error = self.log.start(name), None
         try:
-            yield
+            with self.scratch():
+                yield
         except Exception as e:
             error = f"{type(e).__name__}: {e}"
             raise
         finally:
             self.log.stop(run, error)
-            for path in self.copies:  # nothing reads a run's copies after it
+
+    @contextmanager
+    def scratch(self):
+        """Copies made within are deleted at the end: nothing reads them after it."""
+        try:
+            yield
+        finally:
+            for path in self.copies:
                 remove(self.spark, path)
             self.copies.clear()
 
@@ -101,21 +132,26 @@ class Workspace:
         self.copies.append(f"{self.staging}/{what}-{uuid.uuid4().hex}")
         return self.copies[-1]
 
+    def written(self, df: DataFrame, what: str) -> DataFrame:
+        path = self.fresh(what)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def table(self, name: str) -> DataFrame:
-        return curated.read_curated(self.spark, self.root, name).drop(curated.MONTH)
+        return curated.read_curated(self.spark, self.root, name)
 
     def rebuild(self, records: Mapping[str, DataFrame]) -> None:
         """All eight curated tables from the records."""
         with self.run(REBUILD):
-            made = {"client_registration": curated.prepare(registry.build(records), self.root, "client_registration")}
             staged = stage_observations(records, self.catalog, self.fresh("observations"))
-            for name in FORMS:
+
+            def form(name):
                 own = {**{t: records[t] for t in _FORM_RECORDS}, "obs": staged[name]}
-                built = forms.build(own, name, self.catalog, clustered=True)
-                made[name] = curated.prepare(built, self.root, name)
-            # all tables are written before the first becomes current
-            for name, version in made.items():
-                curated.switch(self.spark, self.root, name, version)
+                return [curated.prepare(forms.build(own, name, self.catalog, clustered=True), self.root, name)]
+
+            works = {name: partial(form, name) for name in FORMS}
+            works[REGISTRY] = lambda: [curated.prepare(registry.build(records), self.root, REGISTRY)]
+            curated.switch(self.spark, self.root, at_once(self.spark, works, self.threads))
 
     def refresh(self, records: Mapping[str, DataFrame]) -> None:
         """Bring in what changed since the last finished rebuild or refresh; without
@@ -124,67 +160,70 @@ class Workspace:
         if since is None:
             return self.rebuild(records)
         with self.run(REFRESH):
-            self.refresh_since(records, since)
+            self.bring_in(records, since)
 
     def refresh_since(self, records: Mapping[str, DataFrame], since) -> None:
         """What a logged refresh does, from a moment on."""
+        with self.scratch():
+            self.bring_in(records, since)
+
+    def bring_in(self, records: Mapping[str, DataFrame], since) -> None:
         at = F.lit(since).cast("timestamp")
-        keys = self.written(changed_encounters(records, at), "changed-encounters")
+        asked = {name: self.table(name) for name in forms.LIVE_PATIENT}
+        keys = partial(self.written, refresh.touched_keys(records, at, asked, self.catalog), "changed-encounters")
+        persons = partial(self.written, changed_persons(records, at), "changed-persons")
+        found = at_once(self.spark, {"keys": keys, "persons": persons}, self.threads)
+        self.apply(records, found["keys"], found["persons"])
+
+    def apply(self, records: Mapping[str, DataFrame], keys: DataFrame, persons: DataFrame | None = None, tables=FORMS,
+              only: bool = False, batch: tuple[str, int] | None = None) -> None:
+        """Recompute some encounters in their tables, and the clients that differ (only: of
+        ``persons``) in the registry; tables that do not change are not written."""
         touched = self.touched_records(records, keys)
-        for name in FORMS:
-            self.apply_form_changes(touched, name, keys)
-        persons = self.written(changed_persons(records, at), "changed-persons")
-        self.apply_registry_changes(records, persons)
-
-    def written(self, df: DataFrame, what: str) -> DataFrame:
-        path = self.fresh(what)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        works = {name: partial(self.changed_form, touched, name, keys) for name in tables}
+        if persons is not None:
+            works[REGISTRY] = partial(self.changed_registry, records, persons, only)
+        made = at_once(self.spark, works, self.threads)
+        curated.switch(self.spark, self.root, {n: v for n, v in made.items() if v}, batch)
 
     def touched_records(self, records, keys: DataFrame) -> dict[str, DataFrame]:
         """The records of some encounters: the store is read once for all the forms."""
-        own = {t: records[t] for t in _FORM_RECORDS}
-        for table in ("encounter", "obs"):
-            rows = records[table].join(keys, "encounter_id", "left_semi")
-            own[table] = self.written(rows, f"touched-{table}")
-        return own
-
-    def apply_form_changes(self, records, name: str, keys: DataFrame) -> None:
-        """Merge the recomputed encounters of ``keys`` into the months they are in."""
-        changes = self.written(
-            curated.typed(refresh.form_changes(records, name, keys, self.catalog), name),
-            f"changes-{name}")
-        target = curated.read_curated(self.spark, self.root, name)
-        # months that gain, change or lose a row; one short text per calendar month
-        late = refresh.reapplied(target, records, name, self.catalog).filter("_stale")
-        touched = (
-            curated.with_month(changes, name).select(curated.MONTH)
-            .union(target.join(keys, "encounter_id", "left_semi").select(curated.MONTH))
-            .union(late.select(curated.MONTH))
-            .distinct())
-        months = [r[0] for r in touched.collect()]
-        old = target.filter(F.col(curated.MONTH).isin(months)).drop(curated.MONTH)
-        merged = refresh.upsert(old, changes, "encounter_id", recomputed=keys)
-        merged = refresh.reapplied(merged, records, name, self.catalog).drop("_stale")
-        curated.replace_months(merged, self.root, name, months)
-
-    def apply_registry_changes(self, records, persons: DataFrame) -> None:
-        """The registry is rewritten whole: details of any client may have changed."""
-        table = "client_registration"
-        changes = registry.persons(records, persons, keep_voided=True)
-        base = self.table(table).select(*changes.columns)
-        merged = refresh.upsert(
-            base, changes, "client_id",
-            recomputed=persons.select(F.col("person_id").alias("client_id")))
-        done = curated.typed(registry.with_details(merged, records), table)
-        curated.write_curated(done, self.root, table)
-
-    def publish(self, upstream: Mapping[str, DataFrame], names: Iterable[str] | None = None) -> None:
-        """All marts from their upstream tables."""
+        works = {table: partial(self.written, records[table].join(keys, "encounter_id", "left_semi"), f"touched-{table}")
+                 for table in ("encounter", "obs")}
+        return {**{t: records[t] for t in _FORM_RECORDS}, **at_once(self.spark, works, self.threads)}
+
+    def changed_form(self, records, name: str, keys: DataFrame) -> list[dict] | None:
+        changes = curated.typed(refresh.form_changes(records, name, keys, self.catalog), name)
+        rows = refresh.delta(self.table(name), changes, keys, records, name, self.catalog)
+        return curated.with_changes(rows, self.root, name)
+
+    def changed_registry(self, records, persons: DataFrame, only: bool) -> list[dict] | None:
+        versions = curated.versions_of(self.spark, self.root, REGISTRY)
+        known = curated.read_versions(self.spark, self.root, REGISTRY, versions, digest=True)
+        return curated.with_changes(refresh.registry_delta(known, records, persons, only), self.root, REGISTRY)
+
+    def publish(self, upstream: Mapping[str, DataFrame], names: Iterable[str] | None = None, strict: bool = False) -> None:
+        """All marts from their upstream tables, current together.  References that their parent
+        lacks are written to `mart_orphans`; strict: and then nothing is published."""
+        names, root = list(names or self.catalog.marts()), f"{self.root}/marts"
         with self.run(PUBLISH):
-            for name in names or self.catalog.marts():
-                curated.publish_mart(
-                    marts.build(upstream, name, self.catalog), name, f"{self.root}/marts")
+            works = {n: partial(curated.prepare_mart, marts.build(upstream, n, self.catalog), n, root) for n in names}
+            made = at_once(self.spark, works, self.threads)
+            broken = curated.write_version(self.broken_references(made), root, "mart_orphans")
+            if strict and broken["rows"]:
+                raise ValueError(f"{broken['rows']} references of the marts have no row in their parent")
+            curated.switch(self.spark, root, {**{n: [v] for n, v in made.items()}, "mart_orphans": [broken]})
+
+    def broken_references(self, made: Mapping[str, dict]) -> DataFrame:
+        """Broken references of marts that were written, against the newest version of their parents."""
+        root = f"{self.root}/marts"
+        current = {n: v[-1] for n, v in curated.state(self.spark, root)["tables"].items()}
+        versions = {f"mart.{n}": f"{root}/{n}/version={v['version']}" for n, v in {**current, **made}.items()}
+        asked = [r for r in declared_references() if r[0].removeprefix("mart.") in made and r[0] != r[2] and r[2] in versions]
+        if not asked:
+            return self.spark.createDataFrame([], quality.BROKEN)
+        tables = {n: self.spark.read.parquet(versions[n]) for r in asked for n in (r[0], r[2])}
+        return quality.broken_references(tables, asked)
 
     def history(self) -> DataFrame:
         return run_history(self.log.remembered((REFRESH, PUBLISH)))
@@ -200,5 +239,6 @@ class Workspace:
         return self.history()
 
 
+REGISTRY = "client_registration"
 _FORM_RECORDS = ("encounter", "encounter_type", "form", "patient", "patient_identifier",
                  "patient_identifier_type")

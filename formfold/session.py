@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # tables of one run are written at the same time
+    "spark.scheduler.mode": "FAIR",
     # 41 tables with a few generated classes each: keep them all compiled
     "spark.sql.codegen.cache.maxEntries": "1000",
 }

@@ -1,111 +1,163 @@
 """Curated tables and marts on storage: typed writes, empty tables, publishing.
 
-A table is never changed in place.  Every write goes to a version folder of its own; one
-appended line of the table's manifest then makes it current, so that readers see the old
-rows or the new ones and a job that dies leaves the old ones.  Curated versions are
-partitioned by the month their rows were created in.  That month never changes for a row, so
-a refresh knows from the changed keys which few months it has to write; the manifest says
-which months its version stands for.
+A table is never changed in place.  Every write goes to a version folder of its own.  One small
+file, the state, names the versions that are current, of all tables; a run writes the next
+state when all its tables are written, so that readers see the old rows of all tables or the
+new ones, and a run that dies leaves the old ones.
+
+A refresh adds a version that holds the rows it changed.  Of several versions of a table the
+newest row of a key counts.  When a table has more than `MOST_VERSIONS` versions, or its
+changes reach a quarter of its rows, the refresh writes the whole table instead.
+
+Marts, and curated tables when they are written again from their own files, are laid out by the
+columns that the declared indexes name (`sources/indexes`), so that a range or value of any of
+them is in few files.  All files carry Bloom filters of the keys.
 """
 
 from __future__ import annotations
 
+import json
+import threading
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from formfold.sources.schemas import CURATED, declared, schema_of, spark_type, width
-from formfold.sources.staging import remove
+from formfold.sources import indexes
+from formfold.sources.schemas import CURATED, declared, key_of, schema_of, spark_type, width
+from formfold.sources.staging import file_names, read_file, remove, write_file
 
-MONTH = "created_month"
-LINES = "version string, at long, whole boolean, months array<string>"
-CREATED = {"client_registration": "registration_date"}
+MOST_VERSIONS = 5
+KEPT_STATES = 20
+DIGEST = "row_digest"
+_switching = threading.Lock()
 
 
 def typed(df: DataFrame, table: str) -> DataFrame:
     """Exactly the declared columns, in order, in their types and widths."""
-    out = []
+    out = []  # SQL texts: a hundred columns built by calls take longer than a small refresh
     for name, declared_type in declared(table):
-        value = F.col(name).cast(spark_type(name, declared_type))
-        if width(declared_type):
-            value = F.substring(value, 1, width(declared_type))
-        out.append(value.alias(name))
-    return df.select(*out)
+        value = f"CAST({name} AS {spark_type(name, declared_type).simpleString()})"
+        out.append(f"substring({value}, 1, {width(declared_type)}) AS {name}" if width(declared_type) else f"{value} AS {name}")
+    return df.selectExpr(*out)
 
 
-def with_month(df: DataFrame, table: str) -> DataFrame:
-    created = CREATED.get(table, "date_created")
-    return df.withColumn(MONTH, F.coalesce(F.date_format(created, "yyyy-MM"), F.lit("none")))
+def with_digest(df: DataFrame) -> DataFrame:
+    """The rows with a digest of all their values."""
+    values = ", ".join(f"coalesce(CAST({c} AS STRING), '\u0000')" for c in df.columns)
+    return df.selectExpr("*", f"xxhash64({values}) AS {DIGEST}")
 
 
-def laid_out(df: DataFrame, table: str) -> DataFrame:
-    """Rows of a month together, ordered by client inside each file.
+# ---- state -------------------------------------------------------------------------
 
-    ``rebalance`` evens the file sizes out and splits a month that is much
-    larger than the others, instead of giving it to one task.
-    """
-    return (
-        with_month(df, table)
-        .hint("rebalance", MONTH)
-        .sortWithinPartitions(MONTH, "client_id")
-    )
+def state(spark: SparkSession, root: str) -> dict:
+    """{"tables": {name: [{"version", "rows"}, ...]}, "batches": {stream: last batch}}"""
+    names = _states(spark, root)
+    if not names:
+        return {"tables": {}, "batches": {}}
+    return json.loads(read_file(spark, f"{root}/state/{names[-1]}"))
 
 
-def manifest(spark: SparkSession, root: str, table: str) -> list:
-    """The lines that are current, oldest first: the last whole version and the months replaced since.
+def _states(spark: SparkSession, root: str) -> list[str]:
+    return [n for n in file_names(spark, f"{root}/state") if n.endswith(".json")]
 
-    One line a write since the last rebuild."""
-    lines = spark.read.schema(LINES).parquet(f"{root}/manifests/{table}").collect()
-    lines.sort(key=lambda r: (r["at"], r["version"]))
-    whole = max(i for i, r in enumerate(lines) if r["whole"])
-    return lines[whole:]
 
+def switch(spark: SparkSession, root: str, tables: Mapping[str, Sequence[dict]], batch: tuple[str, int] | None = None) -> None:
+    """Make versions current, all at once, and note the stream's batch they come from.  One run
+    at a time writes to a root."""
+    with _switching:
+        now = state(spark, root)
+        now["tables"] |= {name: list(versions) for name, versions in tables.items()}
+        if batch:
+            now["batches"][batch[0]] = batch[1]
+        write_file(spark, f"{root}/state/{time.time_ns():020d}-{uuid.uuid4().hex}.json", json.dumps(now))
+        for name in _states(spark, root)[:-KEPT_STATES]:
+            remove(spark, f"{root}/state/{name}")
 
-def switch(spark: SparkSession, root: str, table: str, version: str, months: Sequence[str] | None = None) -> None:
-    """Make a written version current, for some months or as the whole table."""
-    line = (version, time.time_ns(), months is None, list(months or []))
-    spark.createDataFrame([line], LINES).coalesce(1).write.mode("append").parquet(f"{root}/manifests/{table}")
 
+def versions_of(spark: SparkSession, root: str, table: str) -> list[dict]:
+    found = state(spark, root)["tables"].get(table)
+    if not found:
+        raise LookupError(f"{table} was never written below {root}")
+    return found
 
-def prepare(df: DataFrame, root: str, table: str) -> str:
+
+def vacuum(spark: SparkSession, root: str, table: str) -> None:
+    """Delete the versions that are no longer current.  Not while a reader may still use them."""
+    current = {f"version={v['version']}" for v in versions_of(spark, root, table)}
+    for name in file_names(spark, f"{root}/{table}"):
+        if name.startswith("version=") and name not in current:
+            remove(spark, f"{root}/{table}/{name}")
+
+
+# ---- tables ------------------------------------------------------------------------
+
+def write_version(df: DataFrame, root: str, name: str, blooms: Sequence[str] = ()) -> dict:
+    """Write rows without making them current; gives the version with its number of rows, counted
+    while they are written."""
+    version, seen = uuid.uuid4().hex, Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    for column in blooms:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(
+            f"parquet.bloom.filter.adaptive.enabled#{column}", "true")
+    writer.parquet(f"{root}/{name}/version={version}")
+    return {"version": version, "rows": seen.get["rows"]}
+
+
+def prepare(df: DataFrame, root: str, table: str) -> dict:
     """Write a version of a curated table without making it current."""
-    version = uuid.uuid4().hex
-    laid_out(typed(df, table), table).write.partitionBy(MONTH).parquet(f"{root}/{table}/version={version}")
-    return version
+    rows = typed(df, table)
+    if table == "client_registration":
+        rows = with_digest(rows)
+    return write_version(rows, root, table, indexes.keys_of(table))
+
+
+def optimized(spark: SparkSession, root: str, table: str, versions: Sequence[dict], files: int | None = None) -> dict:
+    """One version in place of several, laid out by the declared indexes; not current yet."""
+    rows = read_versions(spark, root, table, versions)
+    return prepare(indexes.laid_out(rows, indexes.of_table(table), files), root, table)
+
+
+def optimize(spark: SparkSession, root: str, table: str, files: int | None = None) -> None:
+    """Write a table again in the order of its indexes."""
+    switch(spark, root, {table: [optimized(spark, root, table, versions_of(spark, root, table), files)]})
 
 
 def write_curated(df: DataFrame, root: str, table: str) -> None:
     """Replace a curated table."""
-    switch(df.sparkSession, root, table, prepare(df, root, table))
+    switch(df.sparkSession, root, {table: [prepare(df, root, table)]})
 
 
-def read_curated(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The current rows: months are pruned before files are read."""
-    first, *later = manifest(spark, root, table)
-    owner = {m: r["version"] for r in later for m in r["months"]}
-    versions = [first["version"], *dict.fromkeys(owner.values())]
-    rows = (spark.read.schema(schema_of(table).add(MONTH, "string").add("version", "string"))
-            .option("basePath", f"{root}/{table}").parquet(*[f"{root}/{table}/version={v}" for v in versions]))
-    wanted = (F.col("version") == first["version"]) & ~F.col(MONTH).isin(list(owner))
-    for v in dict.fromkeys(owner.values()):
-        wanted = wanted | ((F.col("version") == v) & F.col(MONTH).isin([m for m, o in owner.items() if o == v]))
-    return rows.filter(wanted).drop("version")
+def read_versions(spark: SparkSession, root: str, table: str, versions: Sequence[dict], digest: bool = False) -> DataFrame:
+    """The newest row of every key."""
+    schema, key = schema_of(table), key_of(table)
+    if digest:
+        schema = schema.add(DIGEST, "long")
+    first, *later = [spark.read.schema(schema).parquet(f"{root}/{table}/version={v['version']}") for v in versions]
+    for rows in later:  # few, and each with few rows
+        first = first.join(rows.select(key), key, "left_anti").select(*rows.columns).unionByName(rows)
+    return first
 
 
-def replace_months(df: DataFrame, root: str, table: str, months: Sequence[str]) -> None:
-    """Replace the rows of some months by ``df``, and leave the others."""
-    switch(df.sparkSession, root, table, prepare(df, root, table), months)
+def read_curated(spark: SparkSession, root: str, table: str) -> DataFrame:
+    return read_versions(spark, root, table, versions_of(spark, root, table))
 
 
-def vacuum(spark: SparkSession, root: str, table: str) -> None:
-    """Delete the versions that are no longer current.  Not while a reader may still use them."""
-    current = {r["version"] for r in manifest(spark, root, table)}
-    every = spark.read.schema(LINES).parquet(f"{root}/manifests/{table}").select("version").collect()
-    for version in {r["version"] for r in every} - current:
-        remove(spark, f"{root}/{table}/version={version}")
+def with_changes(changes: DataFrame, root: str, table: str) -> list[dict] | None:
+    """The versions of a table that hold changed rows (of keys once each), in place of those of
+    the same keys; None where nothing changed.  Written, but not current yet."""
+    spark = changes.sparkSession
+    versions = versions_of(spark, root, table)
+    added = prepare(changes, root, table)
+    if not added["rows"]:
+        remove(spark, f"{root}/{table}/version={added['version']}")
+        return None
+    versions = [*versions, added]
+    if len(versions) <= MOST_VERSIONS and 4 * sum(v["rows"] for v in versions[1:]) < max(versions[0]["rows"], 1000):
+        return versions
+    return [optimized(spark, root, table, versions)]
 
 
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
@@ -114,8 +166,7 @@ def empty_table(spark: SparkSession, table: str) -> DataFrame:
 
 def reset(spark: SparkSession, root: str, tables: Sequence[str] = CURATED) -> None:
     """Every curated table anew and empty, with its declared columns."""
-    for table in tables:
-        write_curated(empty_table(spark, table), root, table)
+    switch(spark, root, {t: [prepare(empty_table(spark, t), root, t)] for t in tables})
 
 
 def reset_database(spark: SparkSession, database: str) -> None:
@@ -124,25 +175,26 @@ def reset_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE `{database}`")
 
 
-def publish_mart(df: DataFrame, name: str, root: str | None = None, database: str | None = None) -> None:
-    """Create a mart from a select; its schema is that of the select.
+# ---- marts -------------------------------------------------------------------------
+
+def prepare_mart(df: DataFrame, name: str, root: str, files: int | None = None) -> dict:
+    """Write a version of a mart; its schema is that of the select."""
+    rows = indexes.laid_out(df, indexes.of_mart(name), files)
+    return write_version(rows, root, name, [c for c in ("encounter_id", "uuid") if c in df.columns])
 
-    Rows are clustered by visit date where there is one, so that date ranges skip row groups
-    by their min/max.  In a database the mart is a view of its current version.
-    """
+
+def publish_mart(df: DataFrame, name: str, root: str | None = None, database: str | None = None) -> None:
+    """Create a mart from a select.  In a database the mart is a view of its current version."""
     spark = df.sparkSession
-    if "visit_date" in df.columns:
-        df = df.sortWithinPartitions("visit_date")
     if database:
         root = spark.sql(f"DESCRIBE DATABASE `{database}`").filter("info_name = 'Location'").first()["info_value"]
-    version = uuid.uuid4().hex
-    path = f"{root}/{name}/version={version}"
-    df.write.parquet(path)
+    made = prepare_mart(df, name, root)
     if database:
+        path = f"{root}/{name}/version={made['version']}"
         spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT * FROM parquet.`{path}`")
     else:
-        switch(spark, root, name, version)
+        switch(spark, root, {name: [made]})
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}/version={manifest(spark, root, name)[-1]['version']}")
+    return spark.read.parquet(f"{root}/{name}/version={versions_of(spark, root, name)[-1]['version']}")

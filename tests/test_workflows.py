@@ -1,16 +1,23 @@
 """Whole runs on storage: a refresh gives what a rebuild gives."""
 
+import os
+from datetime import timedelta
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from formfold.catalog import FORMS, default_catalog
 from formfold.operators import quality, reports
 from formfold.plans import forms, registry
 from formfold.plans.workflows import PUBLISH, REBUILD, REFRESH, Workspace
-from formfold.sources import curated
+from formfold.sources import curated, indexes, staging
 from formfold.sources.derived import DerivedRecords, upstream
 from formfold.sources.records import read_jdbc, read_sources
-from formfold.sources.schemas import schema_of
-from formfold.streaming.refresh import refresh_stream
+from formfold.sources.runlog import RunLog, present
+from formfold.sources.schemas import declared, schema_of
+from formfold.streaming.refresh import merge_batch, refresh_stream
 from tests.conftest import SMALL
 
 CUT = "2024-02-15"
@@ -57,13 +64,50 @@ def test_registry_refresh_is_rebuild_on_live_rows(spark, space):
     assert rows(space.table("client_registration"), live=True) == rows(built, live=True)
 
 
-def test_refreshing_twice_changes_nothing(spark, space):
-    first = rows(space.table("contact"))
+def test_patients_that_came_back_have_their_rows(spark, space):
+    records = DerivedRecords(spark, SMALL)
+    then = records.before(CUT)["patient"].filter("voided = 1").select("patient_id")
+    back = records["patient"].filter("voided = 0").join(then, "patient_id", "left_semi").withColumnRenamed("patient_id", "client_id")
+    assert space.table("contact").filter("voided = 0").join(back, "client_id", "left_semi").count() > 0
+
+
+def test_refreshing_twice_writes_nothing(spark, space):
+    before = curated.state(spark, space.root)["tables"]
     records = DerivedRecords(spark, SMALL)
     keys = records["encounter"].select("encounter_id")
-    space.apply_form_changes(records, "contact", keys)
-    again = rows(space.table("contact"), live=True)
-    assert again == [r for r in first if "voided=0" in r]
+    with space.scratch():
+        space.apply(records, keys, records["person"].select("person_id"))
+    assert curated.state(spark, space.root)["tables"] == before
+
+
+def test_a_refresh_writes_what_changed(spark, folder):
+    """Few changed rows are a version of their own, many a whole one; the newest row of a key counts."""
+    made = Workspace(spark, folder)
+    base = forms.build(DerivedRecords(spark, SMALL), "contact")
+    curated.write_curated(base, folder, "contact")
+    keys = [r[0] for r in base.select("encounter_id").orderBy("encounter_id").limit(40).collect()]
+    for i in range(curated.MOST_VERSIONS + 1):
+        changed = made.table("contact").filter(f"encounter_id IN ({keys[i]}, {keys[i + 1]})").withColumn(
+            "location_id", F.lit(100 + i).cast("int"))
+        versions = curated.with_changes(changed, folder, "contact")
+        assert [v["rows"] for v in versions[1:]] == ([2] * (i + 1) if i + 1 < curated.MOST_VERSIONS else [2] * max(0, i + 1 - curated.MOST_VERSIONS))
+        curated.switch(spark, folder, {"contact": versions})
+    places = {r["encounter_id"]: r["location_id"] for r in made.table("contact").collect()}
+    assert len(places) == base.count() and [places[k] for k in keys[:4]] == [100, 101, 102, 103]
+    assert curated.with_changes(made.table("contact").limit(0), folder, "contact") is None
+    curated.vacuum(spark, folder, "contact")
+    assert made.table("contact").count() == base.count()
+
+
+def test_tables_switch_together(spark, folder):
+    """A run that dies while it writes leaves all tables as they were."""
+    made, records = Workspace(spark, folder), DerivedRecords(spark, SMALL)
+    made.rebuild(_all(records.before(CUT), records))
+    before = curated.state(spark, folder)
+    broken = _all({"person_attribute": records["person_attribute"].filter("raise_error('store is gone') IS NULL")}, records)
+    with pytest.raises(Exception, match="store is gone"):
+        made.refresh_since(broken, CUT)
+    assert curated.state(spark, folder) == before
 
 
 def test_voided_encounters_are_flagged(spark, space):
@@ -79,10 +123,31 @@ def test_stream_of_touched_encounters(spark, folder):
     records["encounter"].select("encounter_id").repartition(3).write.parquet(feed)
     stream = spark.readStream.schema("encounter_id long").option("maxFilesPerTrigger", 2).parquet(feed)
     for _ in range(2):  # the second start has nothing left to do
-        query = refresh_stream(stream, made, lambda: records, f"{folder}/checkpoint", ("contact",))
+        query = refresh_stream(stream, made, lambda: records, f"{folder}/checkpoint", ("contact",), clients=False)
         assert query.awaitTermination(300)
     assert rows(made.table("contact"), live=True) == rows(
         curated.typed(forms.build(records, "contact"), "contact"), live=True)
+    assert not [n for n in os.listdir(made.staging) if n.startswith(("batch-", "touched-"))]
+
+
+def test_a_batch_that_comes_again_is_skipped(spark, folder):
+    made, records, calls = Workspace(spark, folder), DerivedRecords(spark, SMALL), []
+    made.rebuild(_all(records.before(CUT), records))
+
+    def now():
+        calls.append(1)
+        return records
+
+    merge = merge_batch(made, now, ("contact",), "a stream")
+    patients = records["patient"].select(F.lit("patient").alias("kind"), F.col("patient_id").alias("id"))
+    merge(patients, 0)
+    first = curated.state(spark, folder)
+    merge(patients, 0)
+    assert curated.state(spark, folder) == first and len(calls) == 1 and first["batches"] == {"a stream": 0}
+    # patients alone bring their encounters and their clients up to date
+    live = records["patient"].filter("voided = 0").select(F.col("patient_id").alias("client_id"))
+    gone = made.table("contact").filter("voided = 0").join(live, "client_id", "left_anti")
+    assert gone.isEmpty()
 
 
 def test_run_log(spark, folder):
@@ -118,19 +183,65 @@ def test_a_rebuild_that_fails_leaves_the_old_tables(spark, folder):
     with pytest.raises(Exception, match="store is gone"):
         made.rebuild(broken)
     assert {n: made.table(n).count() for n in before} == before
-    assert not list(__import__("pathlib").Path(made.staging).glob("observations-*"))
-
-
-def test_months_are_replaced_and_old_versions_deleted(spark, folder):
-    rows = forms.build(DerivedRecords(spark, SMALL), "contact")
-    curated.write_curated(rows, folder, "contact")
-    month = curated.read_curated(spark, folder, "contact").first()[curated.MONTH]
-    left = curated.read_curated(spark, folder, "contact").filter(f"{curated.MONTH} <> '{month}'").count()
-    curated.replace_months(rows.limit(0), folder, "contact", [month])
-    assert curated.read_curated(spark, folder, "contact").count() == left
-    curated.write_curated(rows, folder, "contact")
-    curated.vacuum(spark, folder, "contact")
-    assert curated.read_curated(spark, folder, "contact").count() == rows.count()
+    assert not list(Path(made.staging).glob("observations-*"))
+
+
+def file_ranges(path, column):
+    """(least, largest) value of a column in each file."""
+    out = []
+    for f in Path(path).glob("*.parquet"):
+        values = [x for x in pq.read_table(f, columns=[column])[column].to_pylist() if x is not None]
+        out.append((min(values), max(values)) if values else None)
+    return out
+
+
+@pytest.mark.parametrize("name", ["client_registration", "contact", "clinical_visit", "sti_treatment", "violence_screening", "peer_calendar"])
+def test_tables_are_laid_out_by_their_indexes(spark, space, name):
+    """In 16 files a value of any indexed column is in at most three quarters of them, and one of
+    the first column in at most half, where its values differ enough."""
+    curated.optimize(spark, space.root, name, files=16)
+    made = space.table(name).count()
+    path = f"{space.root}/{name}/version={curated.versions_of(spark, space.root, name)[-1]['version']}"
+    for i, column in enumerate(indexes.of_table(name)):
+        ranges = file_ranges(path, column)
+        values = [r[0] for r in space.table(name).filter(f"{column} IS NOT NULL").select(column).collect()]
+        if len(set(values)) < 8:
+            continue
+        read = sum(sum(r is not None and r[0] <= v <= r[1] for r in ranges) for v in values) / len(values)
+        assert read <= (0.55 if i == 0 else 0.8) * len(ranges), (column, read, len(ranges))
+    assert space.table(name).count() == made
+
+
+def test_index_columns_exist():
+    for name, columns in indexes.listed().items():
+        kind, table = name.split(" ")
+        if kind == "form":
+            assert set(columns) <= {c for c, _ in declared(table)}, name
+
+
+def test_run_log_is_put_together(spark, folder):
+    log = RunLog(spark, folder, most=6)
+    ids = []
+    for i in range(7):
+        ids.append(log.start(f"run {i % 2}"))
+        log.stop(ids[-1], "lost" if i == 3 else None)
+    assert len(os.listdir(folder)) <= 12 and log.runs().count() == 7
+    assert log.runs().filter("error = 'lost' AND stop_time IS NOT NULL").count() == 1
+    old = RunLog(spark, folder, days=0, clock=lambda: present() + timedelta(days=1))
+    old.compact()
+    assert {r["id"] for r in old.runs().collect()} == set(ids[-2:])
+
+
+def test_copies_go(spark, folder):
+    df = staging.written(spark.range(3), "few", folder)
+    path = staging.kept_folder(spark, folder)
+    assert df.count() == 3 and os.listdir(path)
+    kept = {p: s for p, s in staging._kept.items() if p != path}
+    staging._kept.clear()
+    staging._kept[path] = spark
+    staging.sweep()
+    staging._kept.update(kept)
+    assert not os.path.exists(path)
 
 
 def test_publish_and_recreate(spark, folder):
@@ -148,6 +259,31 @@ def test_publish_and_recreate(spark, folder):
         assert empty.count() == 0 and empty.columns == schema_of(name).names
 
 
+def test_a_mart_that_fails_leaves_the_old_ones(spark, folder):
+    catalog = default_catalog()
+    names = ["patient_demographics", "triage"]
+    tables = {catalog.mart(n).source: upstream(spark, SMALL, catalog.mart(n)) for n in names}
+    made = Workspace(spark, folder)
+    made.publish(tables, names)
+    before = curated.state(spark, f"{folder}/marts")
+    source = catalog.mart("triage").source
+    with pytest.raises(Exception, match="store is gone"):
+        made.publish({**tables, source: tables[source].filter("raise_error('store is gone') IS NULL")}, names)
+    few = {**tables, catalog.mart(names[0]).source: tables[catalog.mart(names[0]).source].limit(1)}
+    with pytest.raises(ValueError, match="no row in their parent"):
+        made.publish(few, names, strict=True)
+    assert curated.state(spark, f"{folder}/marts") == before
+    made.publish(few, names)
+    assert curated.read_mart(spark, f"{folder}/marts", "mart_orphans").count() > 0
+
+
+def test_broken_references(spark):
+    child = spark.createDataFrame([(1, 7), (1, 8), (2, None), (None, 7), (1, 7)], "a long, b int")
+    parents = {"p": spark.createDataFrame([(2,)], "a long"), "q": spark.createDataFrame([(8,), (8,)], "k int")}
+    got = quality.broken_references({"c": child, **parents}, [("c", "a", "p", "a"), ("c", "b", "q", "k")])
+    assert sorted(tuple(r) for r in got.collect()) == [("c", "a", "p", "1", 3), ("c", "b", "q", "7", 3)]
+
+
 def test_publish_to_a_database(spark):
     curated.reset_database(spark, "reporting")
     df = upstream(spark, SMALL, default_catalog().mart("hts_test"))
