@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -16,18 +16,18 @@ from pyspark.sql import functions as F
 
 from formfold.catalog import FORMS, default_catalog
 from formfold.functions.names import name_codes
-from formfold.operators import quality, reports
+from formfold.operators import pivot, quality, reports
 from formfold.operators.duplicates import duplicate_candidates
 from formfold.operators.joins import update_join
 from formfold.plans import forms, marts, refresh, registry
 from formfold.plans.workflows import Workspace
 from formfold.session import tune
 from formfold.sources import curated, runlog
-from formfold.sources.derived import DerivedRecords, base, upstream
-from formfold.sources.records import RECORDS, read_sources
-from formfold.sources.schemas import CURATED, key_of, not_null, references, uuid_column
-from formfold.sources.staging import shared_folder
-from formfold.streaming.refresh import refresh_stream
+from formfold.sources.derived import CARE_AXES, DerivedRecords, base, care, upstream
+from formfold.sources.records import RECORDS, read_sources, read_upstream
+from formfold.sources.schemas import CURATED, declared_references, key_of, not_null, references, uuid_column
+from formfold.sources.staging import kept_folder, working_folder
+from formfold.streaming.refresh import FEED, merge_batch, refresh_stream
 
 SUBSET = ("visit_date", "voided")
 REFRESH_AT, VOID_AT, FEW_AT = "2024-02-15", "2024-03-01", "2024-03-30"
@@ -118,9 +118,8 @@ def retention(spark, sf):
 
 
 def run_states(spark, sf):
-    done = runs(spark, sf).filter("stop_time IS NOT NULL")
-    return done.groupBy("script_name").agg(
-        F.date_format(F.max("start_time"), "yyyy-MM-dd HH:mm:ss").alias("since"))
+    return runlog.last_starts(runs(spark, sf)).select(
+        "script_name", F.date_format("since", "yyyy-MM-dd HH:mm:ss").alias("since"))
 
 
 def customers_by_place(spark, sf):
@@ -147,24 +146,43 @@ def sounds(spark, sf):
 
 
 def events_pivot(spark, sf):
-    cells = [F.max(F.when(F.col("event_type") == t, F.col("value"))).alias(t) for t in EVENT_TYPES]
-    cells.append(F.max(F.when(~F.col("event_type").isin(*EVENT_TYPES), F.col("value"))).alias("other"))
-    return base(spark, sf, "events")["events"].groupBy(
-        "user_id", F.to_date("ts").alias("day")).agg(*cells)
+    keys = ["user_id", F.to_date("ts").alias("day")]
+    return pivot.wide(base(spark, sf, "events")["events"], keys, "event_type", "value", {t: t for t in EVENT_TYPES}, "other")
 
 
 def lineitem_pivot(spark, sf):
-    cells = [F.max(F.when(F.col("l_returnflag") == f, F.col("l_quantity"))).alias(f"qty_{f.lower()}")
-             for f in "ANR"]
-    cells.append(F.max(F.when(~F.col("l_returnflag").isin("A", "N", "R"), F.col("l_quantity"))).alias("qty_other"))
-    return base(spark, sf, "lineitem")["lineitem"].groupBy("l_orderkey").agg(*cells)
+    columns = {f: f"qty_{f.lower()}" for f in "ANR"}
+    return pivot.wide(base(spark, sf, "lineitem")["lineitem"], ["l_orderkey"], "l_returnflag", "l_quantity", columns, "qty_other")
+
+
+def cross_tab_sets(spark, sf):
+    """Nine cross-tabs: each axis against the next."""
+    pairs = list(zip(CARE_AXES, CARE_AXES[1:] + CARE_AXES[:1]))
+    return reports.cross_tab_sets(care(spark, sf), pairs, "Total")
+
+
+def lost_values(spark, sf):
+    """Values that the declared types of the seven encounter tables cut or bound."""
+    records = DerivedRecords(spark, sf)
+    return reduce(DataFrame.unionByName, [forms.audit(records, n) for n in FORMS])
+
+
+def mart_orphans(spark, sf):
+    """References of the 25 marts to patients that the demographics lack: these come from the
+    live persons only."""
+    catalog, live = default_catalog(), DerivedRecords(spark, sf)["person"].filter("voided = 0")
+    tables = {f"mart.{n}": mart(n)(spark, sf) for n in catalog.marts()}
+    tables["mart.patient_demographics"] = tables["mart.patient_demographics"].join(
+        live.select(F.col("person_id").alias("patient_id")), "patient_id", "left_semi")
+    return quality.broken_references(tables, [r for r in declared_references() if r[0] in tables])
 
 
 # ---- runs on storage: each in a folder of its own below the shared one ----------
 
-def workspace(spark: SparkSession) -> Workspace:
-    shared = shared_folder(spark) or tempfile.mkdtemp(prefix="formfold-")
-    return Workspace(spark, f"{shared}/workspace-{uuid.uuid4().hex}", staging=f"{shared}/staging-{uuid.uuid4().hex}")
+def workspace(spark: SparkSession, **options) -> Workspace:
+    """A workspace of its own among the copies of this application, which go when it ends."""
+    root = kept_folder(spark, working_folder(spark))
+    return Workspace(spark, f"{root}/workspace-{uuid.uuid4().hex}", staging=f"{root}/staging-{uuid.uuid4().hex}", **options)
 
 
 class Then(dict):
@@ -193,23 +211,89 @@ def workflow_rebuild(spark, sf):
     return table_sizes(space)
 
 
+def stood_at(spark, sf, moment: str) -> tuple[Workspace, DerivedRecords]:
+    """A workspace that was rebuilt at a moment, and the records of today."""
+    then = datetime.fromisoformat(moment).replace(tzinfo=timezone.utc)
+    space, records = workspace(spark, clock=lambda: then), DerivedRecords(spark, sf)
+    space.rebuild(Then(records, moment))
+    space.clock = runlog.present
+    return space, records
+
+
 def workflow_refresh(spark, sf):
-    """Tables that stood at a moment, brought up to the present."""
-    space, records = workspace(spark), DerivedRecords(spark, sf)
-    space.rebuild(Then(records, REFRESH_AT))
-    space.refresh_since(records, REFRESH_AT)
+    """Tables that stood at a moment, brought up to the present by the run log's watermark."""
+    space, records = stood_at(spark, sf, REFRESH_AT)
+    space.refresh(records)
     return table_sizes(space)
 
 
+def mart_sources(spark, sf) -> dict[str, DataFrame]:
+    """The upstream tables of all marts, one each."""
+    catalog = default_catalog()
+    return {catalog.mart(n).source: upstream(spark, sf, catalog.mart(n)) for n in catalog.marts()}
+
+
+def mart_sizes(space: Workspace) -> DataFrame:
+    return reduce(DataFrame.unionByName, [curated.read_mart(space.spark, f"{space.root}/marts", n).agg(
+        F.lit(n).alias("mart"), F.count(F.lit(1)).alias("n")) for n in default_catalog().marts()])
+
+
 def workflow_publish(spark, sf):
     """Rows of the published marts, read back."""
-    space, catalog = workspace(spark), default_catalog()
-    needed = {n: {catalog.mart(n).source: upstream(spark, sf, catalog.mart(n))} for n in catalog.marts()}
-    for name in catalog.marts():
-        space.publish(needed[name], [name])
-    sizes = [curated.read_mart(spark, f"{space.root}/marts", n).agg(
-        F.lit(n).alias("mart"), F.count(F.lit(1)).alias("n")) for n in catalog.marts()]
-    return reduce(DataFrame.unionByName, sizes)
+    space = workspace(spark)
+    space.publish(mart_sources(spark, sf))
+    return mart_sizes(space)
+
+
+def everything(space: Workspace) -> DataFrame:
+    """(table_name, n): live rows of the curated tables and rows of the marts."""
+    tables = table_sizes(space).select("table_name", F.col("live").alias("n"))
+    return tables.unionByName(mart_sizes(space).select(F.concat(F.lit("mart."), "mart").alias("table_name"), "n"))
+
+
+def workflow_refresh_all(spark, sf):
+    """A refresh by the watermark and a publication, as a scheduler calls them."""
+    space, records = stood_at(spark, sf, REFRESH_AT)
+    space.refresh_all(records, mart_sources(spark, sf))
+    return everything(space)
+
+
+def workflow_recreate_all(spark, sf):
+    """A rebuild over other tables and a publication."""
+    space, records = stood_at(spark, sf, REFRESH_AT)
+    space.recreate_all(records, mart_sources(spark, sf))
+    return everything(space)
+
+
+def workflow_reset(spark, sf):
+    """Tables with rows, then all anew and empty."""
+    space = workspace(spark)
+    curated.write_curated(form("contact")(spark, sf), space.root, "contact")
+    curated.reset(spark, space.root)
+    return table_sizes(space).select("table_name", (F.col("live") + F.col("voided")).cast("int").alias("n"))
+
+
+def upstream_roundtrip(spark, sf):
+    """A mart over an upstream table that was written and read as a source."""
+    space, rules = workspace(spark), default_catalog().mart("hiv_followup")
+    upstream(spark, sf, rules).write.parquet(f"{space.root}/upstream/{rules.source}")
+    return marts.build(read_upstream(spark, f"{space.root}/upstream", [rules.source]), "hiv_followup")
+
+
+def stream_refresh_all(spark, sf):
+    """All eight tables after a stream of what has an id, of which the first batch comes twice."""
+    space, records = stood_at(spark, sf, REFRESH_AT)
+    kinds = {"encounter": "encounter_id", "patient": "patient_id", "person": "person_id"}
+    feed = reduce(DataFrame.unionByName, [
+        records[k].select(F.lit(k).alias("kind"), F.col(c).cast("bigint").alias("id")) for k, c in kinds.items()])
+    feed.repartition(2).write.parquet(f"{space.root}/feed")
+    checkpoint = f"{space.root}/checkpoint"
+    stream = spark.readStream.schema(FEED).option("maxFilesPerTrigger", 1).parquet(f"{space.root}/feed")
+    refresh_stream(stream, space, lambda: records, checkpoint).awaitTermination()
+    merge_batch(space, lambda: records, stream=checkpoint)(feed, 0)  # delivered again: known by its number
+    return reduce(DataFrame.unionByName, [space.table(n).filter("voided = 0").agg(
+        F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("live"), F.sum(F.col("client_id").cast("bigint")).alias("clients"))
+        for n in CURATED])
 
 
 def stream_refresh_contact(spark, sf):
@@ -218,7 +302,7 @@ def stream_refresh_contact(spark, sf):
     curated.write_curated(forms.build(Then(records, REFRESH_AT), "contact"), space.root, "contact")
     records["encounter"].select("encounter_id").write.parquet(f"{space.root}/feed")
     feed = spark.readStream.schema("encounter_id long").parquet(f"{space.root}/feed")
-    started = refresh_stream(feed, space, lambda: records, f"{space.root}/checkpoint", ("contact",))
+    started = refresh_stream(feed, space, lambda: records, f"{space.root}/checkpoint", ("contact",), clients=False)
     started.awaitTermination()
     return space.table("contact").filter("voided = 0")
 
@@ -300,6 +384,14 @@ def queries() -> dict[str, Query]:
         "workflow_rebuild": workflow_rebuild,
         "workflow_refresh": workflow_refresh,
         "workflow_publish": workflow_publish,
+        "workflow_refresh_all": workflow_refresh_all,
+        "workflow_recreate_all": workflow_recreate_all,
+        "workflow_reset": workflow_reset,
+        "upstream_roundtrip": upstream_roundtrip,
+        "stream_refresh_all": stream_refresh_all,
+        "cut_and_clamped_values": lost_values,
+        "mart_orphans": mart_orphans,
+        "cross_tab_sets": cross_tab_sets,
         "stream_refresh_contact": stream_refresh_contact,
         "curated_roundtrip": curated_roundtrip,
         "records_roundtrip": records_roundtrip,

@@ -11,6 +11,7 @@ import re
 
 from oracle import sounds, survey
 
+# Metadata uuids, and the codes and labels of the test kits.
 UUIDS = ["ea68aad6-4655-4dc5-80f2-780e33055a9e", "c7f47a56-207b-11e9-ab14-d663bd873d93",
          "92e03f22-9686-11e9-bc42-526af7764f64", "2cc8c535-bbfa-4668-98c7-b12e3550ee7b",
          "c4f9db39-2c18-49a6-bf9b-b243d673c64d", "7b69daf5-b567-4384-9d29-f020c408d613"]
@@ -86,7 +87,8 @@ def before(moment: str) -> list[str]:
         "patient_identifier_before AS (SELECT * REPLACE (CASE WHEN patient_id % 5 = 0 THEN 'old' || identifier "
         "ELSE identifier END AS identifier, CASE WHEN patient_id % 3 = 0 THEN 1 - voided ELSE voided END AS voided) "
         "FROM patient_identifier)",
-        "patient_before AS (SELECT * REPLACE (CASE WHEN patient_id % 2 = 0 THEN 0 ELSE voided END AS voided) FROM patient)"]
+        "patient_before AS (SELECT * REPLACE (CASE WHEN patient_id % 2 = 0 THEN 0 WHEN patient_id % 7 = 0 THEN 1 "
+        "ELSE voided END AS voided) FROM patient)"]
 
 
 def carried_sql(type_: str, source: str) -> str:
@@ -95,20 +97,32 @@ def carried_sql(type_: str, source: str) -> str:
     return f"substr(e.{source}, 1, 38)" if source == "uuid" else f"e.{source}"
 
 
+def bounded(value: str) -> str:
+    return (f"CASE WHEN {value} > 2147483647 THEN 2147483647 WHEN {value} < -2147483648 THEN -2147483648 "
+            f"ELSE CAST({value} AS INTEGER) END")
+
+
+def leading(value: str) -> str:
+    return f"TRY_CAST(regexp_extract({value}, " + r"'^\s*([+-]?\d+)', 1) AS HUGEINT)"
+
+
+def as_text(value: str) -> str:
+    return (f"CASE WHEN {value} = floor({value}) THEN CAST(CAST({value} AS BIGINT) AS VARCHAR) "
+            f"ELSE CAST({value} AS VARCHAR) END")
+
+
 def typed_sql(value: str, kind: str, type_: str) -> str:
     width = re.search(r"\((\d+)\)", type_)
     if type_ == "DATE":
         return f"CAST({value} AS DATE)"
     if type_ == "INT":
         if kind == "numeric":
-            return f"CAST(round({value}) AS INTEGER)"
+            return bounded(f"round({value})")
         if kind == "text":
-            return (f"CASE WHEN {value} IS NOT NULL THEN coalesce(TRY_CAST(regexp_extract({value}, "
-                    r"'^\s*([+-]?\d+)', 1) AS INTEGER), 0) END")
+            return f"CASE WHEN {value} IS NOT NULL THEN coalesce({bounded(leading(value))}, 0) END"
         return f"CAST({value} AS INTEGER)"
     if kind == "numeric":
-        value = (f"CASE WHEN {value} = floor({value}) THEN CAST(CAST({value} AS BIGINT) AS VARCHAR) "
-                 f"ELSE CAST({value} AS VARCHAR) END")
+        value = as_text(value)
     elif kind == "code":
         value = f"CAST(CAST({value} AS INTEGER) AS VARCHAR)"
     return f"substr({value}, 1, {width.group(1)})" if width else value
@@ -195,8 +209,8 @@ def kit_cte(name: str, src: str = "") -> str:
         label = f"CASE o.value_coded {' '.join(f'WHEN {c} THEN {q(v)}' for c, v in codes.items())} ELSE '' END"
         parts.append(f"arg_max({label}, lower({label})) FILTER (WHERE o.concept_id = {concept}) AS {part}")
     return (f"{name} AS (SELECT o.encounter_id, o.obs_group_id, {', '.join(parts)}, "
-            "arg_max(trim(o.value_text), (lower(trim(o.value_text)), trim(o.value_text))) "
-            "FILTER (WHERE o.concept_id = 164964) AS lot_no, "
+            "substr(arg_max(trim(o.value_text), (lower(trim(o.value_text)), trim(o.value_text))) "
+            "FILTER (WHERE o.concept_id = 164964), 1, 50) AS lot_no, "
             "CAST(max(o.value_datetime) FILTER (WHERE o.concept_id = 162502) AS DATE) AS expiry_date "
             f"FROM obs{src} o WHERE o.voided = 0 AND o.concept_id IN (1040, 1326, 164962, 164964, 162502) "
             "GROUP BY o.encounter_id, o.obs_group_id)")
@@ -214,11 +228,11 @@ def form_sql(form: str) -> str:
     return with_(form_views(form) + form_ctes(form), f"SELECT * FROM {form}")
 
 
-def changed_cte(moment: str) -> str:
+def changed_cte(moment: str, more: str = "") -> str:
     return (f"changed AS (SELECT encounter_id FROM encounter WHERE date_created >= TIMESTAMP '{moment}' "
             f"OR date_changed >= TIMESTAMP '{moment}' OR date_voided >= TIMESTAMP '{moment}' "
             f"UNION SELECT encounter_id FROM obs WHERE date_created >= TIMESTAMP '{moment}' "
-            f"OR date_voided >= TIMESTAMP '{moment}')")
+            f"OR date_voided >= TIMESTAMP '{moment}'{more})")
 
 
 def refresh_ctes(form: str, moment: str) -> list[str]:
@@ -228,8 +242,13 @@ def refresh_ctes(form: str, moment: str) -> list[str]:
     if form == "contact":
         ident = (", (SELECT substr(max(identifier), 1, 50) FROM patient_identifier p WHERE p.patient_id = client_id "
                  "AND p.voided = 0 AND identifier_type = 3) AS unique_identifier")
-    return (form_views(form) + before(moment) + [changed_cte(moment)]
-            + form_ctes(form, "_old", "_before")
+    back = ""
+    if form in ("contact", "client_enrollment"):  # patients that have come back
+        back = (f" UNION SELECT encounter_id FROM encounter WHERE voided = 0 AND encounter_type = {survey.FORM_ORDER.index(form)} "
+                "AND patient_id IN (SELECT patient_id FROM patient WHERE voided = 0) "
+                f"AND encounter_id NOT IN (SELECT encounter_id FROM {form}_old WHERE voided = 0)")
+    return (form_views(form) + before(moment) + form_ctes(form, "_old", "_before")
+            + [changed_cte(moment, back)]
             + form_ctes(form, "_new", "", "changed", True)
             + [f"refreshed AS (SELECT * FROM {form}_new UNION ALL SELECT * REPLACE (CASE WHEN "
                f"encounter_id IN (SELECT encounter_id FROM changed){lost} THEN 1 ELSE voided END AS voided{ident}) "
@@ -438,6 +457,66 @@ def violations_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def lost_sql() -> str:
+    """Cells that lose something on their way into their column's type, by column."""
+    ctes, parts = form_views("hts_test"), []
+    for form in survey.FORM_ORDER:
+        ctes += form_ctes(form)
+        asked = []
+        for column, type_, (concept, kind, decoder, flag) in rules_of(form):
+            width = re.search(r"\((\d+)\)", type_)
+            if type_ == "INT" and kind in ("numeric", "text", "trim(text)"):
+                asked.append(f"({q(column)}, 'bounded', {q(kind)}, 0)")
+            elif width and kind in ("numeric", "text", "trim(text)", "label"):
+                asked.append(f"({q(column)}, 'cut', {q(kind)}, {width.group(1)})")
+        number = f"CASE WHEN kind = 'numeric' THEN round(num) ELSE CAST({leading('txt')} AS DOUBLE) END"
+        test = (f"CASE WHEN lost = 'bounded' THEN {number} NOT BETWEEN -2147483648 AND 2147483647 "
+                f"ELSE length(CASE WHEN kind = 'numeric' THEN {as_text('num')} ELSE txt END) > width END")
+        parts.append(
+            f"SELECT {q(form)} AS table_name, a.col AS column_name, lost, count(*) FILTER (WHERE {test}) AS n "
+            f"FROM (VALUES {', '.join(asked)}) a(col, lost, kind, width) LEFT JOIN (SELECT * FROM {form}_best "
+            f"WHERE encounter_id IN (SELECT encounter_id FROM {form}_enc)"
+            + (f" AND encounter_id IN (SELECT encounter_id FROM {form})" if form == "hts_test" else "")
+            + ") b ON b.col = a.col GROUP BY a.col, lost")
+    parts.append("SELECT 'hts_test', 'kit.lot_no', 'cut', (SELECT count(*) FROM (SELECT encounter_id, obs_group_id, "
+                 "arg_max(trim(value_text), (lower(trim(value_text)), trim(value_text))) AS t FROM obs WHERE voided = 0 AND "
+                 "concept_id = 164964 GROUP BY ALL) WHERE length(t) > 50)")
+    return with_(ctes, " UNION ALL ".join(parts))
+
+
+def mart_orphans_sql() -> str:
+    children = " UNION ALL ".join(
+        f"SELECT {q('mart.' + m)} AS table_name, patient_id FROM ({mart_sql(m)})" for m in survey.marts() if m != "patient_demographics")
+    return with_(views("person"), "SELECT table_name, 'patient_id' AS column_name, 'mart.patient_demographics' AS parent_name, "
+                 f"CAST(patient_id AS VARCHAR) AS value, count(*) AS n FROM ({children}) WHERE patient_id NOT IN "
+                 "(SELECT person_id FROM person WHERE voided = 0) GROUP BY ALL")
+
+
+AXES = ["Gender", "AgeGroup", "StartDateEOM", "FacilityName", "County", "SubCounty", "Mechanism", "Agency", "SiteCode"]
+
+
+def cross_tab_sets_sql() -> str:
+    pairs = list(zip(AXES, AXES[1:] + AXES[:1]))
+    cells = " UNION ALL ".join(
+        f"SELECT {q(a)} AS row_axis, {q(b)} AS column_axis, CAST({a} AS VARCHAR) AS row_value, CAST({b} AS VARCHAR) AS column_value, "
+        f"count(*) AS records, CAST(sum(Total) AS BIGINT) AS total FROM care GROUP BY {a}, {b}" for a, b in pairs)
+    return f"""WITH care AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS Gender,
+    CASE WHEN c_custkey % 6 = 5 THEN NULL ELSE (c_custkey % 6) * 10 || '-' || ((c_custkey % 6) * 10 + 9) END AS AgeGroup,
+    strftime(last_day(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS StartDateEOM, 'Facility ' || (c_custkey % 11) AS FacilityName,
+    r_name AS County, n_name AS SubCounty, c_mktsegment AS Mechanism, o_orderpriority AS Agency,
+    CAST(c_custkey % 11 AS INT) AS SiteCode, CAST(1 + o_orderkey % 3 AS INT) AS Total
+    FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey),
+cells AS ({cells}),
+r AS (SELECT row_axis, column_axis, row_value, sum(total) AS t, row_number() OVER (PARTITION BY row_axis, column_axis
+      ORDER BY sum(total) DESC, row_value NULLS FIRST) AS place FROM cells GROUP BY 1, 2, 3),
+c AS (SELECT row_axis, column_axis, column_value, sum(total) AS t, row_number() OVER (PARTITION BY row_axis, column_axis
+      ORDER BY sum(total) DESC, column_value NULLS FIRST) AS place FROM cells GROUP BY 1, 2, 3)
+SELECT x.row_axis, x.column_axis, x.row_value, x.column_value, records, total, CAST(r.t AS BIGINT) AS row_total,
+    CAST(r.place AS INTEGER) AS row_place, CAST(c.t AS BIGINT) AS column_total, CAST(c.place AS INTEGER) AS column_place
+FROM cells x JOIN r ON r.row_axis = x.row_axis AND r.column_axis = x.column_axis AND r.row_value IS NOT DISTINCT FROM x.row_value
+    JOIN c ON c.row_axis = x.row_axis AND c.column_axis = x.column_axis AND c.column_value IS NOT DISTINCT FROM x.column_value"""
+
+
 def subset_sql() -> str:
     return with_(refresh_ctes("client_enrollment", REFRESH_AT),
         "SELECT o.* REPLACE (coalesce(n.visit_date, o.visit_date) AS visit_date, CASE WHEN n.encounter_id IS NOT NULL "
@@ -452,7 +531,21 @@ def run_sql() -> dict[str, str]:
     built = {f: f"SELECT voided, client_id FROM ({form_sql(f)})" for f in survey.FORM_ORDER}
     sizes = lambda first, rest: " UNION ALL ".join(
         size_of(n, t) for n, t in {"client_registration": first, **rest}.items())
+    live = lambda first, rest: "SELECT table_name, live, clients FROM (" + sizes(
+        f"SELECT * FROM ({first}) WHERE voided = 0", {n: f"SELECT * FROM ({t}) WHERE voided = 0" for n, t in rest.items()}) + ")"
+    published = " UNION ALL ".join(f"SELECT {q('mart.' + m)} AS table_name, count(*) AS n FROM ({mart_sql(m)})" for m in survey.marts())
+    rebuilt = " UNION ALL ".join(f"SELECT {q(n)} AS table_name, count(*) AS n FROM ({t}) WHERE voided = 0"
+                                 for n, t in {"client_registration": registry_sql(), **built}.items())
     return {
+        "workflow_refresh_all": f"{rebuilt} UNION ALL {published}",
+        "workflow_recreate_all": f"{rebuilt} UNION ALL {published}",
+        "workflow_reset": " UNION ALL ".join(f"SELECT {q(n)} AS table_name, 0 AS n FROM region WHERE r_regionkey = 0"
+                                             for n in ("client_registration", *survey.FORM_ORDER)),
+        "upstream_roundtrip": mart_sql("hiv_followup"),
+        "stream_refresh_all": live(registry_sql(), built),
+        "cut_and_clamped_values": lost_sql(),
+        "mart_orphans": mart_orphans_sql(),
+        "cross_tab_sets": cross_tab_sets_sql(),
         "workflow_rebuild": sizes(registry_sql(), built),
         "workflow_refresh": sizes(refresh_registry_sql(REFRESH_AT), fresh),
         "workflow_publish": " UNION ALL ".join(
