@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formfold.llm.shared import components, stage
+from formfold.llm.shared import components, stage, tidy
 
 U = np.uint64
 BITS = 4
@@ -107,7 +107,7 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int, seed: int) ->
                 names=["doc_id", "n", "digest", "bits", "keys"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        sign, "doc_id long, n long, digest binary, bits array<bigint>, keys array<bigint>")
+        tidy(sign), "doc_id long, n long, digest binary, bits array<bigint>, keys array<bigint>")
 
 
 def differing(a: Column, b: Column, longs: int) -> Column:
@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
     # the ids are a share of all documents: the join is planned alike at every size
     found = texts.join(involved.hint("merge"), "rep", "left_semi").mapInArrow(
-        sets_of, "rep long, digest binary, values binary")
+        tidy(sets_of), "rep long, digest binary, values binary")
     sets = stage(reps.drop("keys").join(found.dropDuplicates(["rep", "digest"]), ["rep", "digest"]), "sets")
 
     hubs = members.where("rep <> hub").select("rep", "hub").distinct()
@@ -233,7 +233,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
                     for x, y in zip(p.column(2).to_pylist(), p.column(3).to_pylist())]
             yield p.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    links = stage(close.mapInArrow(confirm, "a long, b long"), "links")
+    links = stage(close.mapInArrow(tidy(confirm), "a long, b long"), "links")
     first = components(links)
     labelled = members.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component"))

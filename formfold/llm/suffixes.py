@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formfold.llm.minhash import mixed
-from formfold.llm.shared import free_name, stage
+from formfold.llm.shared import free_name, stage, tidy
 
 U = np.uint64
 
@@ -135,6 +135,7 @@ def repeats(docs: np.ndarray, left: np.ndarray, right: np.ndarray, n_left: np.nd
     pad = -right.shape[1] % 8
     words = np.ascontiguousarray(np.pad(right, ((0, 0), (0, pad)))).view(">u8").astype(U)
     order = sorted_order(words)
+    del words
     docs, left, n_left, n_right = docs[order], left[order], n_left[order], n_right[order]
     prefix = common_prefix(right[order])
     marks, before = np.zeros(len(order), U), np.zeros(len(order), U)
@@ -280,12 +281,13 @@ def asker(at_id: int, at_text: int, length: int, buckets: int):
     def ask(batches):
         find = Anchors(length)
         for b in batches:
-            for number, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for i in range(b.num_rows):
+                number, data = b.column(0)[i].as_py(), b.column(1)[i].as_py()
                 unit, _, hashes = Block(data, at_id, at_text).anchors(find)
                 known, edges, rank = dealt(hashes, buckets)
                 shared = several(rank, unit, len(known))
-                out = [(i, (known[x:y] >> U(32)).astype("<u4").tobytes() + np.packbits(shared[x:y]).tobytes(), y - x)
-                       for i, (x, y) in enumerate(zip(edges.tolist(), edges[1:].tolist())) if x < y]
+                out = [(bucket, (known[x:y] >> U(32)).astype("<u4").tobytes() + np.packbits(shared[x:y]).tobytes(), y - x)
+                       for bucket, (x, y) in enumerate(zip(edges.tolist(), edges[1:].tolist())) if x < y]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[0] for o in out], pa.int32()), pa.array([number] * len(out), pa.int64()),
                      pa.array([o[2] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())],
@@ -404,7 +406,8 @@ def cutter(at_id: int, at_text: int, length: int, buckets: int, ranges: int, spl
     def cut(batches):
         find = Anchors(length)
         for b in batches:
-            for row in b.to_pylist():
+            for i in range(b.num_rows):
+                (row,) = b.slice(i, 1).to_pylist()
                 out = list(sent(row, find))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[0] for o in out], pa.int32()), pa.array([row["block"]] * len(out), pa.int64()),
@@ -426,8 +429,8 @@ def cutter(at_id: int, at_text: int, length: int, buckets: int, ranges: int, spl
             i = int(np.searchsorted(block.units, c["at"]))
             searched[i] = block.docs[i] == c["least"]
         asked = np.flatnonzero(shared[rank] & searched[unit])
-        for first in range(0, len(asked), 200_000):
-            some = asked[first:first + 200_000]
+        for first in range(0, len(asked), 50_000):
+            some = asked[first:first + 50_000]
             yield from routed(block, row["block"], unit[some], place[some], many[rank[some]])
 
     def routed(block, number, unit, place, many):
@@ -525,7 +528,8 @@ def remover(at_id: int, at_text: int, length: int, characters: bool, columns: li
     """Rows of blocks with what is left of them: rows of (data, copies, marks)."""
     def remove(batches):
         for b in batches:
-            for row in b.to_pylist():
+            for i in range(b.num_rows):
+                (row,) = b.slice(i, 1).to_pylist()
                 block = Block(row["data"], at_id, at_text)
                 yield from results(block, row["copies"] or [], row["marks"] or [])
 
@@ -567,7 +571,7 @@ def remover(at_id: int, at_text: int, length: int, characters: bool, columns: li
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False, into: str | None = None, sample: int = 2000,
-                   hot: int = 256, block_bytes: int = 4 << 20) -> DataFrame:
+                   hot: int = 512, block_bytes: int = 2 << 20) -> DataFrame:
     """The rows of docs with a struct of n_bytes, n_removed, n_spans and kept (the bytes that stay),
     in a column named `into` (by default `removal`, with underscores until no column has that name).
     characters: remove whole characters only."""
@@ -578,7 +582,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False,
     plain = docs.toDF(*inner)
     plain = plain.withColumn(inner[at_id], F.col(inner[at_id]).cast("long"))
     typed = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(inner, plain.schema))
-    blocks = stage(plain.mapInArrow(packer(at_id, at_text, length, block_bytes), PACKED), "repeat-blocks")
+    blocks = stage(plain.mapInArrow(tidy(packer(at_id, at_text, length, block_bytes)), PACKED), "repeat-blocks")
     total = blocks.agg(F.sum("bytes")).first()[0] or 0
     # tasks of bounded size, 64 at least
     buckets, ranges = max(64, total >> 25), max(64, total >> 24)
@@ -590,13 +594,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False,
     copies = stage(digests.where("most > least").groupBy("block").agg(
         F.collect_list(F.struct("at", "least")).alias("copies")), "copies")
     whole = blocks.select("block", "data")
-    answers = whole.mapInArrow(asker(at_id, at_text, length, buckets), "bucket int, block long, n int, data binary").groupBy(
+    answers = whole.mapInArrow(tidy(asker(at_id, at_text, length, buckets)), "bucket int, block long, n int, data binary").groupBy(
         "bucket").applyInArrow(lambda t: answer(t, hot), "block long, bucket int, shared binary, many binary")
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "shared", "many")).alias("answers"))
     sent = whole.join(answers, "block").join(copies, "block", "left").mapInArrow(
-        cutter(at_id, at_text, length, buckets, ranges, splitters), SENT)
+        tidy(cutter(at_id, at_text, length, buckets, ranges, splitters)), SENT)
     marks = sent.groupBy("bucket").applyInArrow(lambda t: sort_bucket(t, length), "block long, data binary")
     marks = marks.groupBy("block").agg(F.collect_list("data").alias("marks"))
     done = whole.join(marks, "block", "left").join(copies, "block", "left").select("data", "copies", "marks").mapInArrow(
-        remover(at_id, at_text, length, characters, inner), f"{typed}, removal {REMOVAL}")
+        tidy(remover(at_id, at_text, length, characters, inner)), f"{typed}, removal {REMOVAL}")
     return done.toDF(*names, into).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
