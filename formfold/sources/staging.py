@@ -10,7 +10,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import suppress
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 _local: list[str] = []
@@ -90,7 +92,8 @@ def sweep() -> None:
     while _kept:
         path, spark = _kept.popitem()
         if spark.sparkContext._jsc is not None:  # a stopped session can delete nothing
-            remove(spark, path)
+            with suppress(Py4JError, OSError):  # nor one whose JVM has gone
+                remove(spark, path)
 
 
 def written(df: DataFrame, what: str, folder: str | None, **options: str) -> DataFrame:
