@@ -443,18 +443,25 @@ REQUIRED = {
 
 
 def violations_sql() -> str:
+    registry = REGISTRY_SELECT.format(clients="clients")
+    ctes = views("obs", "patient", *REGISTRY_VIEWS) + [
+        attribute_cte(), IDENT_CTE, ADDRESS_CTE, person_cte("clients", "p.voided = 0"),
+        f"client_registration AS MATERIALIZED ({registry})"]
     parts = []
-    for name, text in {"client_registration": registry_sql(), **{f: form_sql(f) for f in survey.FORM_ORDER}}.items():
+    for name in ("client_registration", *survey.FORM_ORDER):
+        if name != "client_registration":
+            *inner, last = form_ctes(name)
+            ctes += [*inner, last.replace(f"{name} AS (", f"{name} AS MATERIALIZED (", 1)]
         key = "client_id" if name == "client_registration" else "encounter_id"
         unique = [("primary key", key)]
         if name != "client_registration" and "uuid" in [c for c, _, _ in survey.form_columns(name)]:
             unique.append(("unique", "uuid"))
         for rule, column in unique:
             parts.append(f"SELECT {q(name)} AS table_name, {q(rule)} AS rule, {q(column)} AS column_name, (SELECT count(*) FROM "
-                         f"(SELECT {column} FROM ({text}) WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS n")
+                         f"(SELECT {column} FROM {name} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS n")
         for column in REQUIRED.get(name, ["client_id", "encounter_id"]):
-            parts.append(f"SELECT {q(name)}, 'not null', {q(column)}, (SELECT count(*) FROM ({text}) WHERE {column} IS NULL)")
-    return " UNION ALL ".join(parts)
+            parts.append(f"SELECT {q(name)}, 'not null', {q(column)}, (SELECT count(*) FROM {name} WHERE {column} IS NULL)")
+    return with_(ctes, " UNION ALL ".join(parts))
 
 
 def lost_sql() -> str:
