@@ -1,6 +1,7 @@
 """Tables on which an operator once did less than its whole job."""
 
 import tracemalloc
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -59,3 +60,31 @@ def test_nearest_by_blocks_of_queries(spark):
     scores = x[::5] @ x.T
     scores[np.arange(60), np.arange(0, 300, 5)] = -np.inf
     assert [r.vec_id for r in out] == np.argsort(-scores, axis=1)[:, :4].ravel().tolist()
+
+
+def test_every_labelled_document_trains(spark):
+    """Also those beyond the first unit, and long ones: each toxic document has a word of its own kind."""
+    rows = [(i, f"w{i * 7 % 50} w{i % 30} " + (f"foul{i // 3 % 16}" if i % 3 == 0 else "fair")) for i in range(600)]
+    long = next(i for i in range(600, 700) if zlib.crc32(str(i).encode()) % 5)
+    rows.append((long, "long " * 20_500))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows] + [(9999, 1), (None, 1), (1, None)], "doc_id long, toxic int")
+    units = toxicity.units_of(docs, labels, 40).persist()
+    trained_on = sorted(i for r in units.collect() for i in r.ids)
+    assert trained_on == [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5] and long in trained_on
+    assert units.count() > 5
+    seen, _, sizes = toxicity.counted(units, toxicity.Network())
+    assert sizes[:, 0].sum() == len(trained_on) and sizes[:, 1].sum() == sum(i % 3 == 0 for i in trained_on)
+    scored = toxicity.score_documents(docs, toxicity.fit(docs, labels, sample=40)).where("doc_id < 600").collect()
+    assert sum(r.toxicity.predicted == (r.doc_id % 3 == 0) for r in scored) > 570
+    units.unpersist()
+
+
+def test_thresholds_over_partitions(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(rng.integers(0, 3)), i, float(np.round(rng.normal() * 3, 2)), int(rng.integers(0, 2))) for i in range(500)]
+    found = toxicity.best_cuts(spark.createDataFrame(rows, "lang int, id long, logit double, toxic int").repartition(6))
+    for lang, cut in found.items():
+        some = [r for r in rows if lang in (-1, r[0])]
+        assert cut.n == len(some) and cut.toxic == sum(r[3] for r in some)
+        assert cut.cut == toxicity.best_cut(np.array([r[2] for r in some]), np.array([r[3] for r in some]))
