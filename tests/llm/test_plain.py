@@ -96,3 +96,24 @@ def test_thresholds_have_the_best_f1():
         assert f1(cut) <= best + 1e-12
         if len(set(logits)) == 30:
             assert abs(f1(cut) - best) < 1e-12
+
+
+def test_ids_of_pieces_in_lines():
+    """Lines of pieces have the ids of the pieces one by one, in far fewer calls."""
+    import public_tokenizers
+
+    from formfold.llm import tokens
+    encode = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    odd = ["x", "don't", "a\nb", "\n", "\r", "\x1c", "\x1fz", "\u0085", "", "\u200b", "e\u0301", "\u6f22\u5b57", "<|endoftext|>", "(1,2)", "\u00bd", "\U0001f600", "'s"]
+    pieces = odd + [f"w{i * 37}.{i}" for i in range(1000)] + odd
+    plain = encode.tokenizer.encode_batch([" " + p for p in pieces], add_special_tokens=False)
+    texts, library = [], encode.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, some, **options):
+            texts.extend(some)
+            return library.encode_batch_fast(some, **options)
+
+    encode.tokenizer = Counted()
+    assert [np.frombuffer(x, np.uint32).tolist() for x in encode.spaced(pieces)] == [e.ids for e in plain]
+    assert len(texts) < 50
