@@ -328,3 +328,27 @@ def test_cross_tab_order(spark):
 def test_growing_tables_need_key_ranges(spark):
     with pytest.raises(ValueError, match="obs grows"):
         read_jdbc(spark, "jdbc:none", {}, 4, ("obs",))
+
+
+def test_copies_of_touched_observations_hold_what_is_read(spark, folder):
+    """One copy by form, of touched encounters alone and without values that no rule reads."""
+    from formfold.operators import pivot
+    from formfold.plans.metadata import ENCOUNTER_TYPES
+    text = next(r for r in default_catalog().form("clinical_visit").measures if r.kind in pivot.TEXT_KINDS)
+    coded = next(r for r in default_catalog().form("clinical_visit").measures if r.kind == "answers")
+    assert text.concept != coded.concept
+    rows = [(1, 0, text.concept, None, 1.5, "a", 0), (1, 0, coded.concept, 7, 2.5, "b", 0), (1, 0, 424242, 1, None, "c", 0),
+            (1, 0, text.concept, None, None, "voided", 1), (2, 0, text.concept, None, None, "other", 0), (3, 0, text.concept, None, None, "form", 0)]
+    obs = spark.createDataFrame(rows, "encounter_id long, obs_group_id int, concept_id int, value_coded int, value_numeric double, "
+                                "value_text string, voided int").selectExpr("*", "TIMESTAMP '2024-01-01 00:00:00' AS value_datetime")
+    records = dict.fromkeys(("patient", "patient_identifier", "patient_identifier_type"))
+    records |= {"obs": obs, "form": spark.createDataFrame([], "form_id int, uuid string"),
+                "encounter": spark.createDataFrame([(1, 0, 0), (2, 0, 0), (3, 1, 0)], "encounter_id long, encounter_type int, form_id int"),
+                "encounter_type": spark.createDataFrame([(0, ENCOUNTER_TYPES["clinical_visit"]), (1, ENCOUNTER_TYPES["contact"])],
+                                                        "encounter_type_id int, uuid string")}
+    space = Workspace(spark, f"{folder}/root", staging=f"{folder}/staging")
+    keys = spark.createDataFrame([(1,), (3,)], "encounter_id long")
+    touched = space.touched_records(records, keys, ["clinical_visit"])["clinical_visit"]
+    assert sorted(r.encounter_id for r in touched["encounter"].collect()) == [1, 3]
+    found = {(r.encounter_id, r.concept_id, r.value_coded, r.value_text) for r in touched["obs"].collect()}
+    assert found == {(1, text.concept, None, "a"), (1, coded.concept, 7, None)}
