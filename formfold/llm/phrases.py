@@ -38,13 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formfold.llm.minhash import mixed
-from formfold.llm.shared import stage
+from formfold.llm.shared import give_back, stage, tidy
 from formfold.llm.suffixes import sliding
 
 U = np.uint64
 VALUES = mixed(np.arange(1, 257, dtype=U))
 STEP = U(0x9E3779B97F4A7C15)
 LETTERS = 1_000_000
+#: Words that are hashed at a time.
+WORDS = 50_000
 
 
 def powers(n: int) -> np.ndarray:
@@ -60,14 +62,17 @@ def edges(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    if not len(starts):
-        return np.zeros(0, U)
-    sizes = ends - starts
-    factors = powers(min(int(sizes.max()) + 1, 1 << 16))
-    at = np.arange(len(data)) - np.repeat(starts, np.append(sizes[:-1] + 1, sizes[-1]))
-    raw = VALUES[np.frombuffer(data, np.uint8)] * factors[at % len(factors)]
-    raw[ends[:-1]] = 0  # the space after a word
-    return mixed(np.add.reduceat(raw, starts) + sizes.astype(U))
+    out, letters = np.zeros(len(starts), U), np.frombuffer(data, np.uint8)
+    for i in range(0, len(starts), WORDS):  # eight bytes a letter and more: not for all words at once
+        first, last = starts[i:i + WORDS], ends[i:i + WORDS]
+        sizes = last - first
+        factors = powers(min(int(sizes.max()) + 1, 1 << 16))
+        at = np.arange(first[0], last[-1]) - np.repeat(first, np.append(sizes[:-1] + 1, sizes[-1]))
+        raw = VALUES[letters[first[0]:last[-1]]]
+        raw *= factors[at % len(factors)]
+        raw[last[:-1] - first[0]] = 0  # the space after a word
+        out[i:i + WORDS] = mixed(np.add.reduceat(raw, first - first[0]) + sizes.astype(U))
+    return out
 
 
 def runs(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -208,7 +213,8 @@ PIECES = "shard int, block long, places binary, text binary"
 def cutter(width: int, gram: int, shards: int):
     """Pieces of blocks: rows of (block, data, recurring: hashes with a flag, copies)."""
     def rows(b):
-        for i, (number, data, copies) in enumerate(zip(*[b.column(c).to_pylist() for c in ("block", "data", "copies")])):
+        for i in range(b.num_rows):
+            number, data, copies = (b.column(c)[i].as_py() for c in ("block", "data", "copies"))
             asked = b.column("recurring")[i].values
             yield {"block": number, "data": data, "copies": copies,
                    "hashes": asked.field("hash").to_numpy(), "hot": asked.field("hot").to_numpy(zero_copy_only=False)}
@@ -260,12 +266,21 @@ def cutter(width: int, gram: int, shards: int):
 
 # ---- shards -----------------------------------------------------------------------
 
+class Numbers(dict):
+    """A number for each key, in the order in which they are asked for first."""
+
+    def __missing__(self, key):
+        self[key] = len(self)
+        return self[key]
+
+
 def numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
     """Words as numbers, where each text begins and ends among them, and how many differ."""
-    words = b" ".join(texts).split(b" ")
-    known = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    known, ids = Numbers(), array("I")
+    for t in texts:
+        ids.extend(map(known.__getitem__, t.split(b" ")))
     bounds = np.concatenate([[0], np.cumsum([t.count(b" ") + 1 for t in texts])]).astype(np.int64)
-    return np.array(array("I", map(known.__getitem__, words)), np.int64), bounds, len(known)
+    return np.array(ids, np.int64), bounds, len(known)
 
 
 def recurring(ids: np.ndarray, bounds: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
@@ -365,7 +380,8 @@ def remover(width: int):
     """Documents of blocks without their spans: rows of (data, copies, spans)."""
     def remove(batches):
         for b in batches:
-            for row in b.to_pylist():
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
                 block, ids, whole, _ = opened(row["data"], row["copies"])
                 n = len(block.starts) + 1
                 ends = np.frombuffer(b"".join(row["spans"] or []), "<u4").reshape(-1, 2).astype(np.int64)
@@ -387,7 +403,7 @@ def remove_phrases(docs: DataFrame, width: int = 35, gram: int = 12, hot: int =
     if not 0 < gram <= width:
         raise ValueError("an anchor has from 1 to `width` words")
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("text"))
-    blocks = stage(texts.mapInArrow(packer(width, gram, block_bytes), PACKED), "phrase-blocks")
+    blocks = stage(texts.mapInArrow(tidy(packer(width, gram, block_bytes)), PACKED), "phrase-blocks")
     shards = max(8, (blocks.agg(F.sum("bytes")).first()[0] or 0) // shard_bytes)
     # rows of a key are a row a block: sums over them are small windows
     digests = blocks.select("block", F.inline("digests")).selectExpr(
@@ -397,8 +413,15 @@ def remove_phrases(docs: DataFrame, width: int = 35, gram: int = 12, hot: int =
     asked = anchors.where("n > 1").groupBy("block").agg(
         F.collect_list(F.struct("hash", (F.col("n") > hot).alias("hot"))).alias("recurring"))
     whole = blocks.select("block", "data")
-    pieces = whole.join(asked, "block").join(copies, "block", "left").mapInArrow(cutter(width, gram, shards), PIECES)
-    spans = pieces.groupBy("shard").applyInArrow(lambda t: search_shard(t, width), "block long, spans binary")
+    pieces = whole.join(asked, "block").join(copies, "block", "left").mapInArrow(tidy(cutter(width, gram, shards)), PIECES)
+
+    def search(table):  # applyInArrow hands a shard over at a time
+        try:
+            return search_shard(table, width)
+        finally:
+            give_back()
+
+    spans = pieces.groupBy("shard").applyInArrow(search, "block long, spans binary")
     spans = spans.groupBy("block").agg(F.collect_list("spans").alias("spans"))
     return whole.join(spans, "block", "left").join(copies, "block", "left").select("data", "copies", "spans").mapInArrow(
-        remover(width), REMOVED)
+        tidy(remover(width)), REMOVED)

@@ -30,6 +30,14 @@ def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps what it has
+        pass
+
+
 def tidy(work):
     """A task's function whose worker gives freed memory back to the system at the end: workers
     live on, and the next stage finds theirs beside it."""
@@ -37,10 +45,7 @@ def tidy(work):
         try:
             yield from work(batches)
         finally:
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library keeps what it has
-                pass
+            give_back()
     return run
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -103,3 +104,19 @@ def test_query(spark):
     assert out.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"]
     assert sorted(tuple(r) for r in out.collect()) == sorted(
         (d, n, m, hashlib.sha256(t.encode()).hexdigest()) for d, n, m, t in plain(rows, 35))
+
+
+def test_memory_of_a_block():
+    """Hashes of a block of 4 MB take little beside the block, and do not depend on how many are made at a time."""
+    rng = np.random.default_rng(5)
+    words = [b"w%x" % i for i in rng.integers(0, 1 << 20, 600_000)] + [b"q" * 70_000, b"end"]
+    data = b" ".join(words)
+    starts, ends = phrases.edges(data)
+    tracemalloc.start()
+    try:
+        hashes = phrases.word_hashes(data, starts, ends)
+        assert tracemalloc.get_traced_memory()[1] < 8 * len(data)
+    finally:
+        tracemalloc.stop()
+    few = [*range(5), *range(phrases.WORDS - 3, phrases.WORDS + 3), len(words) - 2, len(words) - 1]
+    assert [hashes[i] for i in few] == [phrases.word_hashes(words[i], *phrases.edges(words[i]))[0] for i in few]
