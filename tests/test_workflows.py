@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from formfold.catalog import FORMS, default_catalog
 from formfold.operators import quality, reports
-from formfold.plans import forms, registry
+from formfold.plans import forms, marts, registry
 from formfold.plans.workflows import PUBLISH, REBUILD, REFRESH, Workspace
 from formfold.sources import curated, indexes, staging
 from formfold.sources.derived import DerivedRecords, upstream
@@ -212,6 +212,30 @@ def test_tables_are_laid_out_by_their_indexes(spark, space, name):
     assert space.table(name).count() == made
 
 
+def test_marts_are_decoded_behind_the_shuffle(spark, folder):
+    """A mart's source rows travel in the order of its indexes and get their labels behind; a publication does so."""
+    rules = default_catalog().mart("hiv_followup")
+    source = upstream(spark, SMALL, rules).withColumn("unread", F.lit("x")).localCheckpoint()
+    mart = marts.build({rules.source: source}, "hiv_followup")
+    rows = indexes.laid_out(mart, indexes.of_mart("hiv_followup"), 4, (source, marts.expressions(source, rules)))
+    assert rows.schema == mart.schema
+    assert rows.exceptAll(mart).count() == mart.exceptAll(rows).count() == 0
+    asked = []
+    real = indexes.laid_out
+    try:
+        indexes.laid_out = lambda *args, **named: asked.append(real(*args, **named)) or asked[-1]
+        Workspace(spark, folder, staging=folder).publish({rules.source: source}, ["hiv_followup"])
+    finally:
+        indexes.laid_out = real
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    plan = asked[0]._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.index(" AS who_stage") < plan.index("RepartitionByExpression")
+    assert " AS who_stage" not in plan[plan.index("RepartitionByExpression"):]
+    assert "unread" not in plan[:plan.index("LogicalRDD")]
+    assert curated.read_mart(spark, f"{folder}/marts", "hiv_followup").exceptAll(mart).count() == 0
+
+
 def test_index_columns_exist():
     for name, columns in indexes.listed().items():
         kind, table = name.split(" ")
