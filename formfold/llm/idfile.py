@@ -34,38 +34,51 @@ FIELD, EACH, HALF = U(0xFFFF), U(0x0001000100010001), U(0x7FFF7FFF7FFF7FFF)
 
 class Model:
     """The state of many blocks at once.  The four weights of a context are the 16-bit fields
-    of one word, so that a multiplication gives their running sums."""
+    of one word, so that a multiplication gives their running sums.  What followed an id and
+    where it was last seen stand side by side: this step's place of an id is read from memory
+    together with the next step's prediction."""
 
     def __init__(self, lanes: int, block: int):
         if block > 1 << 16:
             raise ValueError("a block holds at most 65536 ids")
         self.n, self.lane = lanes, np.arange(lanes)
         self.at = self.lane * SLOTS
-        self.two, self.one, self.seen = (np.zeros(lanes * SLOTS, np.uint16) for _ in range(3))
+        self.two, self.known = np.zeros(lanes * SLOTS, np.uint16), np.zeros(lanes * SLOTS, "<u4")
+        self.fields = self.known.view("<u2")  # the id that followed, the place of the last
         self.history = np.zeros(block * lanes, np.uint16)
         self.before, self.last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.i1, self.p1 = self.at, np.zeros(lanes, np.uint16)
         self.base = self.lane * CONTEXTS
         self.right = np.zeros(lanes, np.int64)
         self.weights = np.full(lanes * CONTEXTS, EACH, U)
         self.bits = np.array([0, 0, 0, 16], U)
 
     def predict(self, t: int) -> np.ndarray:
-        """Running sums of the weights; sets what orders 2 and 1 predict."""
+        """Running sums of the weights; sets what order 2 predicts.  Order 1 has its prediction since `enter`."""
         self.i2 = self.at + (((self.last << 5) ^ (self.before * 37) ^ (self.last >> 7)) & SLOTS - 1)
-        self.i1 = self.at + (self.last & SLOTS - 1)
-        self.p2, self.p1 = self.two.take(self.i2), self.one.take(self.i1)
+        self.p2 = self.two.take(self.i2)
         self.context = self.base + self.right + ((self.p2 == self.p1).astype(np.int64) << 2)
         self.w = self.weights.take(self.context)
         self.bits[2] = max(t - 1, 0).bit_length()  # of a place in the block so far
         return self.w * EACH
 
-    def learn(self, t: int, ids: np.ndarray, order: np.ndarray, shift: np.ndarray) -> None:
-        """ids as 64-bit words; order says which prediction was right, shift is 16 times that."""
-        self.two[self.i2] = ids
-        self.one[self.i1] = ids
-        self.seen[self.at + (ids & SLOTS - 1)] = t
-        self.history[t * self.n:(t + 1) * self.n] = ids
-        self.before, self.last, self.right = self.last, ids, order
+    def enter(self, t: int, ids: np.ndarray, short: np.ndarray, places: bool = True) -> np.ndarray | None:
+        """Note the ids (short: with 16 bits) and what the next step's order 1 predicts; returns where they were last seen."""
+        self.two[self.i2] = short
+        self.fields[self.i1 << 1] = short
+        self.i1 = self.at + (ids & SLOTS - 1)
+        entry = self.known.take(self.i1)
+        self.p1 = entry.astype(np.uint16)
+        self.history[t * self.n:(t + 1) * self.n] = short
+        self.before, self.last = self.last, ids
+        if not places:
+            return None
+        self.fields[(self.i1 << 1) + 1] = t
+        return (entry >> 16).astype(np.int64)
+
+    def weigh(self, order: np.ndarray, shift: np.ndarray) -> None:
+        """order says which prediction was right, shift is 16 times that."""
+        self.right = order
         w = self.w + (U(STEP) << shift)
         heavy = np.flatnonzero((w >> shift) & FIELD > U(MOST))
         if len(heavy):
@@ -86,25 +99,26 @@ def shifted_out(low, span, lane=None):
 def compress(ids: np.ndarray, lanes: int, block: int) -> list[bytes]:
     """ids of shape (block, lanes), a column a block, to the bytes of each."""
     model = Model(lanes, block)
+    shorts = ids.astype(np.uint16)
     low, span = np.zeros(lanes, U), np.full(lanes, U(2 ** 64 - 1))
     room = block * 3 + 8
     words = np.zeros(lanes * room, np.uint16)
     fill = np.arange(lanes) * room
     for t in range(block):
         sums = model.predict(t)
-        now = ids[t]
-        place = model.seen.take(model.at + (now & SLOTS - 1)).astype(np.int64)
-        wrong2, wrong1 = (model.p2 != now).astype(np.int8), (model.p1 != now).astype(np.int8)
-        new = (model.history.take(place * lanes + model.lane) != now).astype(np.int8) if t else np.ones(lanes, np.int8)
+        now, short = ids[t], shorts[t]
+        wrong2, wrong1 = (model.p2 != short).view(np.int8), (model.p1 != short).view(np.int8)
+        place = model.enter(t, now, short)
+        new = (model.history.take(place * lanes + model.lane) != short).view(np.int8) if t else np.ones(lanes, np.int8)
         order = (wrong2 * (1 + wrong1 * (1 + new))).astype(np.int64)
         shift = (order << 4).astype(U)
         span = span // (sums >> U(48))
         low += span * ((sums << U(16) >> shift) & FIELD)
         span = span * ((model.w >> shift) & FIELD) >> model.bits.take(order)
         low += span * (np.where(order == 3, now, place) * (order > 1)).astype(U)
-        model.learn(t, now, order, shift)
+        model.weigh(order, shift)
         out = shifted_out(low, span)
-        words[fill] = low >> U(48)
+        words[fill] = (low >> U(48)).astype(np.uint16)
         step = out.astype(U) << U(4)
         low <<= step
         span <<= step
@@ -147,7 +161,8 @@ def decompress(payload: np.ndarray, starts: np.ndarray, block: int) -> np.ndarra
         now = np.where(order == 0, model.p2, model.p1).astype(np.int64)
         place, old = place.astype(np.int64), order[literal] == 2
         now[literal] = np.where(old, model.history.take(np.where(old, place, 0) * lanes + literal), place)
-        model.learn(t, now, order, shift)
+        model.enter(t, now, now.astype(np.uint16), places=False)
+        model.weigh(order, shift)
         out = shifted_out(low, span)
         step = out.astype(U) << U(4)
         low <<= step

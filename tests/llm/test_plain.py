@@ -117,3 +117,31 @@ def test_ids_of_pieces_in_lines():
     encode.tokenizer = Counted()
     assert [np.frombuffer(x, np.uint32).tolist() for x in encode.spaced(pieces)] == [e.ids for e in plain]
     assert len(texts) < 50
+
+
+def test_pieces_are_put_together_from_known_parts():
+    """Letters are not encoded again for each mark or line's end beside them."""
+    import public_tokenizers
+
+    from formfold.llm import tokens
+    encode = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    library, seen = encode.tokenizer, []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, some, **options):
+            seen.extend(some)
+            return self.inner.encode_batch_fast(some, **options)
+
+    encode.tokenizer, encode.model = Counted(library), Counted(getattr(encode, "model", library))
+    words = ["".join(chr(97 + (i * k) % 26) for k in (3, 5, 7, 11, 2)) for i in range(1, 26)] + ["\u00e0\u00e9", "\u00ed\u00f1o", "\u00aa"]
+    texts = [f"A {a}.\n{b.title()}### {a}{m} end" for a in words for b in words for m in ("", "...", "'", "%%%")]
+    coded = [np.frombuffer(x, np.uint32).tolist() for x in encode.encode(texts)]
+    spent = sum(map(len, seen))
+    assert coded == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert spent < 2000
+    odd = ["don't a's a.'s x' it's.\nThe", "a\nb\nc of.\n \nA A.\n\nB", "a<|endoftext|>b <|endoftext|>", "a'll. a.'ll a\rb x\u00a0y", "\u017f. \u01c5a \u0250. \u6f22\u5b57.", "", " ", "\n", "a\n", "A.\nB.\nC"]
+    for t, x in zip(odd, encode.encode(odd)):
+        assert np.frombuffer(x, np.uint32).tolist() == library.encode(t, add_special_tokens=False).ids, t
