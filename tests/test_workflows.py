@@ -376,3 +376,55 @@ def test_copies_of_touched_observations_hold_what_is_read(spark, folder):
     assert sorted(r.encounter_id for r in touched["encounter"].collect()) == [1, 3]
     found = {(r.encounter_id, r.concept_id, r.value_coded, r.value_text) for r in touched["obs"].collect()}
     assert found == {(1, text.concept, None, "a"), (1, coded.concept, 7, None)}
+
+
+def coded_rows(spark, rules):
+    """Rows of a mart's source: every listed code in turn, an unlisted one and none."""
+    codes = {c: [code for code, _ in a.labels] for c, a in rules.decoded}
+    for c, by, cases in rules.dependent:
+        codes[c] = [code for _, a in cases for code, _ in a.labels]
+        codes[by] = [value for value, _ in cases]
+    plain = [f"if(id % 5 = 0, NULL, concat('{c}', id % 7)) AS {c}" for c in rules.carried if c not in codes]
+    picked = [f"get(array({', '.join(map(str, listed))}, 424242), CAST((id + {k}) % {len(listed) + 2} AS INT)) AS {c}"
+              for k, (c, listed) in enumerate(codes.items())]
+    return spark.range(60).selectExpr(*plain, *picked)
+
+
+@pytest.mark.parametrize("name", ["hiv_followup", "mch_antenatal_visit", "laboratory_extract"])
+def test_packed_rows_give_the_mart(spark, name):
+    """The rows that travel are narrower than the source's and give the same labels."""
+    rules = default_catalog().mart(name)
+    source = coded_rows(spark, rules)
+    mart = marts.build({rules.source: source}, name)
+    travelling, made = marts.packed(source, rules)
+    rows_ = travelling.selectExpr(*[f"{made[c]} AS `{c}`" for c in mart.columns])
+    assert [(f.name, f.dataType) for f in rows_.schema] == [(f.name, f.dataType) for f in mart.schema]
+    assert rows_.exceptAll(mart).count() == mart.exceptAll(rows_).count() == 0
+    if len(rules.decoded) > 10:
+        assert 2 * len([c for c in travelling.columns if c.startswith("_word_")]) < len(rules.decoded)
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_a_publication_leaves_little_on_disk(spark, folder):
+    """Its shuffle files go when a mart is written, and filters are as large as the rows need."""
+    import time
+    rules = default_catalog().mart("mch_antenatal_visit")
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, set_before = shuffle_files(spark), spark.conf.get(setting, None)
+    space = Workspace(spark, f"{folder}/root", staging=f"{folder}/staging")
+    seen, real = [], space.broken_references
+    space.broken_references = lambda made: seen.append(spark.conf.get(setting)) or real(made)
+    space.publish({rules.source: coded_rows(spark, rules)}, ["mch_antenatal_visit"])
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert seen == ["true"] and spark.conf.get(setting, None) == set_before
+    files = list(Path(f"{folder}/root/marts/mch_antenatal_visit").glob("version=*/*.parquet"))
+    assert files and max(f.stat().st_size for f in files) < 500_000
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
