@@ -428,3 +428,18 @@ def test_a_publication_leaves_little_on_disk(spark, folder):
     files = list(Path(f"{folder}/root/marts/mch_antenatal_visit").glob("version=*/*.parquet"))
     assert files and max(f.stat().st_size for f in files) < 500_000
     assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def test_the_driver_gives_memory_back(spark, monkeypatch):
+    """After every piece of work, also one that fails, and by a command that this JVM has."""
+    from contextlib import nullcontext
+
+    from formfold.plans import workflows
+    monkeypatch.setattr(staging, "suppress", lambda *errors: nullcontext())
+    given, real = [], staging.give_back
+    monkeypatch.setattr(workflows, "give_back", lambda s: given.append(real(s)))
+    assert workflows.at_once(spark, {"a": lambda: 1, "b": lambda: 2}, 2) == {"a": 1, "b": 2}
+    assert len(given) == 2
+    with pytest.raises(ZeroDivisionError):
+        workflows.at_once(spark, {"a": lambda: 1 / 0}, 2)
+    assert len(given) == 3
